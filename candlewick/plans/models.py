@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators import marts, serving, staging
 from candlewick.operators.series import DEFAULT_BLOCK_ROWS
+from candlewick.session import scratch_path
 from candlewick.sources import fixtures
+from candlewick.sources import raw as raw_src
 
 
 class ModelGraph:
@@ -72,13 +74,23 @@ class ModelGraph:
 
 
 class FixtureGraph(ModelGraph):
-    """The graph over the driver's test tables (``events`` as trade tape)."""
+    """The graph over the driver's test tables (``events`` as trade tape).
 
-    def __init__(self, spark: SparkSession, sf_dir: str, **kw):
+    As in the reference, the raw table is loaded once (full rebuild, K3) and
+    every model reads the stored, day-partitioned table; ``materialize=False``
+    keeps the whole chain lazy from ``events`` instead.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, **kw):
         self.spark = spark
         self.sf_dir = sf_dir
         self.events = fixtures.load_table(spark, sf_dir, "events")
-        super().__init__(fixtures.raw_klines(self.events), **kw)
+        raw = fixtures.raw_klines(self.events)
+        if materialize:
+            path = scratch_path(spark, "raw_klines")
+            raw_src.write_raw_table(raw, path)
+            raw = raw_src.read_raw_table(spark, path)
+        super().__init__(raw, **kw)
 
     @cached_property
     def jobs(self) -> DataFrame:
