@@ -20,6 +20,11 @@ from candlewick.operators.series import DEFAULT_BLOCK_ROWS, series_window
 from candlewick.schema import NATURAL_KEY, SERIES_KEY
 
 
+def _sql_str(v: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULL counts of many columns in ONE scan -> (column_name, violations),
     only columns with violations."""
@@ -64,19 +69,47 @@ def check_relationships(child: DataFrame, column: str, parent: DataFrame, field:
     )
 
 
+# Row-level violations as Spark SQL predicates: a check is
+# ``filter(predicate)``, and the suite fuses all predicates of one model into
+# ONE aggregate scan. (Expression text is parsed JVM-side in one call.)
+
+NEGATIVE_VOLUME = "volume < 0 OR quote_asset_volume < 0"
+
+# high below max(open, close) or low above min(open, close). Rows where open
+# or close is NULL are not judged (max/min of a NULL is unknown), which
+# Spark's NULL-skipping greatest/least alone would not give.
+OHLC_INCONSISTENT = (
+    "CASE WHEN open IS NOT NULL AND close IS NOT NULL "
+    "THEN high < greatest(open, close) OR low > least(open, close) END"
+)
+
+
+def log_return_inconsistent(tol: float = 1e-9) -> str:
+    return f"return_1h IS NOT NULL AND abs(log_return_1h - ln(1 + return_1h)) > {tol!r}"
+
+
+def out_of_range(rows: int = 24) -> str:
+    return (
+        "price_range < 0 OR price_range_pct < 0 OR body_size_pct < 0 "
+        f"OR rolling_window_observations_24h < 1 OR rolling_window_observations_24h > {int(rows)}"
+    )
+
+
+def is_null(column: str) -> str:
+    return f"`{column}` IS NULL"
+
+
+def not_in(column: str, values: Iterable[str]) -> str:
+    quoted = ", ".join(_sql_str(str(v)) for v in values)
+    return f"`{column}` NOT IN ({quoted})"
+
+
 def check_no_negative_volume(stg: DataFrame) -> DataFrame:
-    return stg.filter((F.col("volume") < 0) | (F.col("quote_asset_volume") < 0))
+    return stg.filter(NEGATIVE_VOLUME)
 
 
 def check_ohlc_consistency(stg: DataFrame) -> DataFrame:
-    """high below max(open, close) or low above min(open, close).
-
-    Rows where open or close is NULL are not judged (the max/min of a NULL is
-    unknown), which Spark's NULL-skipping greatest/least would not give.
-    """
-    o, c = F.col("open"), F.col("close")
-    bad = (F.col("high") < F.greatest(o, c)) | (F.col("low") > F.least(o, c))
-    return stg.filter(F.when(o.isNotNull() & c.isNotNull(), bad))
+    return stg.filter(OHLC_INCONSISTENT)
 
 
 def check_no_gaps(
@@ -111,21 +144,11 @@ def check_first_return_null(features: DataFrame) -> DataFrame:
 
 
 def check_log_return_consistency(features: DataFrame, tol: float = 1e-9) -> DataFrame:
-    return features.filter(
-        F.col("return_1h").isNotNull()
-        & (F.abs(F.col("log_return_1h") - F.ln(1 + F.col("return_1h"))) > tol)
-    )
+    return features.filter(log_return_inconsistent(tol))
 
 
 def check_valid_ranges(features: DataFrame, rows: int = 24) -> DataFrame:
-    obs = F.col("rolling_window_observations_24h")
-    return features.filter(
-        (F.col("price_range") < 0)
-        | (F.col("price_range_pct") < 0)
-        | (F.col("body_size_pct") < 0)
-        | (obs < 1)
-        | (obs > rows)
-    )
+    return features.filter(out_of_range(rows))
 
 
 def source_freshness(
@@ -155,54 +178,68 @@ def source_freshness(
 
 @dataclass(frozen=True)
 class Check:
-    """One suite entry: ``run`` maps the model DataFrames to violating rows."""
+    """One suite entry. Exactly one of:
+
+    * ``violation`` -- SQL row predicate; violations = rows where it is true;
+    * ``distinct_of`` + ``violation`` -- violations = distinct values of that
+      column among rows where the predicate is true (accepted_values);
+    * ``run`` -- maps the model DataFrames to violating rows (keys, windows,
+      joins).
+    """
 
     model: str
     name: str
     column: str
-    run: Callable[[dict[str, DataFrame]], DataFrame]
+    violation: str | None = None
+    distinct_of: str | None = None
+    run: Callable[[dict[str, DataFrame]], DataFrame] | None = None
 
 
 def run_checks(models: dict[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
-    """(model, check, column, violations, status) for every check.
+    """(model, check_name, column_name, violations, status) for every check.
 
-    Each check is reduced to a count on the executors; only the counts are
-    unioned. ``not_null`` checks of one model are folded into one scan.
+    All predicate checks of one model are fused into ONE global aggregate over
+    that model (one scan, map-side partial counts); the other checks each
+    reduce to a count on the executors. Only counts are unioned.
     """
     spark = next(iter(models.values())).sparkSession
     parts: list[DataFrame] = []
-    not_null: dict[str, list[str]] = {}
+    fused: dict[str, list[Check]] = {}
     for chk in suite:
-        if chk.name == "not_null":
-            not_null.setdefault(chk.model, []).append(chk.column)
+        if chk.run is None:
+            fused.setdefault(chk.model, []).append(chk)
             continue
         parts.append(
-            chk.run(models)
-            .agg(F.count(F.lit(1)).alias("violations"))
-            .select(
-                F.lit(chk.model).alias("model"),
-                F.lit(chk.name).alias("check_name"),
-                F.lit(chk.column).alias("column_name"),
-                "violations",
+            chk.run(models).selectExpr(
+                f"{_sql_str(chk.model)} AS model",
+                f"{_sql_str(chk.name)} AS check_name",
+                f"{_sql_str(chk.column)} AS column_name",
+                "count(1) AS violations",
             )
         )
-    for model, cols in not_null.items():
-        df = models[model]
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        rows = F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("violations")) for c in cols])
+    for model, chks in fused.items():
+        aggs = [
+            f"count(DISTINCT CASE WHEN {c.violation} THEN `{c.distinct_of}` END) AS v{i}"
+            if c.distinct_of is not None
+            else f"count_if(coalesce({c.violation}, false)) AS v{i}"
+            for i, c in enumerate(chks)
+        ]
+        triples = ", ".join(
+            f"{_sql_str(c.name)}, {_sql_str(c.column)}, CAST(v{i} AS BIGINT)" for i, c in enumerate(chks)
         )
         parts.append(
-            counts.select(rows.alias("r")).select(
-                F.lit(model).alias("model"),
-                F.lit("not_null").alias("check_name"),
-                "r.column_name",
-                "r.violations",
+            models[model]
+            .selectExpr(*aggs)
+            .selectExpr(
+                f"{_sql_str(model)} AS model",
+                f"stack({len(chks)}, {triples}) AS (check_name, column_name, violations)",
             )
         )
     if not parts:
-        return spark.createDataFrame([], "model string, check_name string, column_name string, violations long, status string")
+        return spark.createDataFrame(
+            [], "model string, check_name string, column_name string, violations long, status string"
+        )
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("violations") == 0, "pass").otherwise("fail"))
+    return out.selectExpr("*", "CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status")

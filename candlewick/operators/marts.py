@@ -70,22 +70,45 @@ def price_features(prices: DataFrame, rows: int = 24, block_rows: int | None = D
     return out.select(*FACT_PRICE_FEATURES_COLUMNS)
 
 
+def halo_start(prices: DataFrame, start: dt.date, rows: int = 24) -> dt.date | None:
+    """Earliest day holding one of the last ``rows`` bars before ``start`` in
+    any series (exact under gaps of any length).
+
+    Rows per (series, day) before ``start`` is a partial aggregate over key
+    columns only; the running count from the newest day backwards runs over
+    that small table. Returns None when nothing precedes ``start``.
+    """
+    counts = (
+        prices.filter(F.col("open_date") < F.lit(start))
+        .groupBy(*SERIES_KEY, "open_date")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    newer = Window.partitionBy(*SERIES_KEY).orderBy(F.col("open_date").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    later = counts.withColumn("_later", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
+    return later.filter(F.col("_later") < rows).agg(F.min("open_date")).first()[0]
+
+
 def features_for_range(
     prices: DataFrame,
     start: dt.date,
     end: dt.date,
     rows: int = 24,
-    lookback_days: int = 31,
+    lookback_days: int | None = None,
     block_rows: int | None = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
     """Features for bars with ``start <= open_date <= end`` only.
 
     A date filter cannot be pushed below a window (earlier rows feed the
-    frame), so the scan is bounded to ``start - lookback_days`` explicitly --
-    this prunes day partitions -- and the result is trimmed afterwards.
-    ``lookback_days`` must cover ``rows`` bars of every series.
+    frame), so the scan is bounded explicitly -- from ``halo_start`` (exact),
+    or ``start - lookback_days`` when the caller knows the data is dense
+    enough -- which prunes day partitions; the result is trimmed afterwards.
     """
-    lo = start - dt.timedelta(days=lookback_days)
+    if lookback_days is None:
+        lo = halo_start(prices, start, rows) or start
+    else:
+        lo = start - dt.timedelta(days=lookback_days)
     scoped = prices.filter(F.col("open_date").between(F.lit(lo), F.lit(end)))
     feats = price_features(scoped, rows=rows, block_rows=block_rows)
     return feats.filter(F.col("open_date") >= F.lit(start))

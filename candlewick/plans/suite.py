@@ -36,10 +36,6 @@ NOT_NULL = {
 }
 
 
-def _m(name: str):
-    return lambda models: models[name]
-
-
 def default_suite(
     symbols: Sequence[str] = ("BTCUSDT",),
     intervals: Sequence[str] = ("1h",),
@@ -49,10 +45,10 @@ def default_suite(
 ) -> list[C.Check]:
     suite: list[C.Check] = []
     for model, cols in NOT_NULL.items():
-        suite += [C.Check(model, "not_null", c, None) for c in cols]  # folded into one scan per model
+        suite += [C.Check(model, "not_null", c, violation=C.is_null(c)) for c in cols]
 
     def unique(model: str, column: str, keys: Sequence[str]) -> C.Check:
-        return C.Check(model, "unique", column, lambda m: C.check_unique(m[model], keys))
+        return C.Check(model, "unique", column, run=lambda m: C.check_unique(m[model], keys))
 
     within_series = lambda col: [*SERIES_KEY, col]
     suite += [
@@ -64,7 +60,10 @@ def default_suite(
     ]
 
     def accepted(model: str, column: str, values: Sequence[str]) -> C.Check:
-        return C.Check(model, "accepted_values", column, lambda m: C.check_accepted_values(m[model], column, values))
+        # violations = distinct values outside the list (NULL is not judged)
+        return C.Check(
+            model, "accepted_values", column, violation=C.not_in(column, values), distinct_of=column
+        )
 
     suite += [
         accepted("stg_klines", "source", sources),
@@ -76,7 +75,7 @@ def default_suite(
 
     def rel(model: str, column: str, parent: str, field: str) -> C.Check:
         return C.Check(
-            model, "relationships", column, lambda m: C.check_relationships(m[model], column, m[parent], field)
+            model, "relationships", column, run=lambda m: C.check_relationships(m[model], column, m[parent], field)
         )
 
     suite += [
@@ -87,26 +86,25 @@ def default_suite(
     ]
     key = ",".join(NATURAL_KEY)
     suite += [
-        C.Check("stg_klines", "unique_natural_key", key, lambda m: C.check_unique_natural_key(m["stg_klines"])),
-        C.Check("stg_klines", "no_negative_volume", "volume", lambda m: C.check_no_negative_volume(m["stg_klines"])),
-        C.Check("stg_klines", "ohlc_consistency", "high,low", lambda m: C.check_ohlc_consistency(m["stg_klines"])),
-        C.Check("fact_prices", "unique_natural_key", key, lambda m: C.check_unique_natural_key(m["fact_prices"])),
-        C.Check("fact_prices", "no_hourly_gaps", "open_time_utc", lambda m: C.check_no_gaps(m["fact_prices"])),
+        C.Check("stg_klines", "unique_natural_key", key, run=lambda m: C.check_unique_natural_key(m["stg_klines"])),
+        C.Check("stg_klines", "no_negative_volume", "volume", violation=C.NEGATIVE_VOLUME),
+        C.Check("stg_klines", "ohlc_consistency", "high,low", violation=C.OHLC_INCONSISTENT),
+        C.Check("fact_prices", "unique_natural_key", key, run=lambda m: C.check_unique_natural_key(m["fact_prices"])),
+        C.Check("fact_prices", "no_hourly_gaps", "open_time_utc", run=lambda m: C.check_no_gaps(m["fact_prices"])),
         C.Check(
             "fact_price_features", "unique_natural_key", key,
-            lambda m: C.check_unique_natural_key(m["fact_price_features"]),
+            run=lambda m: C.check_unique_natural_key(m["fact_price_features"]),
         ),
         C.Check(
             "fact_price_features", "first_return_null", "return_1h",
-            lambda m: C.check_first_return_null(m["fact_price_features"]),
+            run=lambda m: C.check_first_return_null(m["fact_price_features"]),
         ),
         C.Check(
-            "fact_price_features", "log_return_consistency", "log_return_1h",
-            lambda m: C.check_log_return_consistency(m["fact_price_features"]),
+            "fact_price_features", "log_return_consistency", "log_return_1h", violation=C.log_return_inconsistent()
         ),
         C.Check(
             "fact_price_features", "valid_ranges", "price_range,rolling_window_observations_24h",
-            lambda m: C.check_valid_ranges(m["fact_price_features"]),
+            violation=C.out_of_range(),
         ),
     ]
     return suite

@@ -123,3 +123,22 @@ def test_dedup_prefers_latest_load(g01):
     kept = g01.norm.join(both, ["symbol", "bar_interval", "open_time_utc"], "left_semi")
     assert kept.filter(F.col("batch_id") != "batch-002").count() == 0
     assert kept.count() == both.count() == 1642
+
+
+def test_halo_start_is_exact_under_gaps(spark):
+    from tests.helpers import bars
+
+    d = dt.date(2024, 1, 1)
+    sparse = bars(spark, d, 10).unionByName(bars(spark, d + dt.timedelta(days=40), 10, batch_id="t-2"))
+    prices = marts.fact_prices(staging_chain(sparse))
+    start = d + dt.timedelta(days=60)
+    # 20 bars before start, fewer than 24: the halo reaches the first day
+    assert marts.halo_start(prices, start) == d
+    dense = marts.fact_prices(staging_chain(bars(spark, d, 24 * 5)))
+    assert marts.halo_start(dense, d + dt.timedelta(days=4)) == d + dt.timedelta(days=3)
+
+
+def staging_chain(raw):
+    from candlewick.operators import staging
+
+    return staging.int_klines_normalized(staging.stg_klines(raw))
