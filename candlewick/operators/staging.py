@@ -12,13 +12,18 @@ from candlewick.schema import NATURAL_KEY, STG_COLUMNS
 
 def stg_klines(raw: DataFrame) -> DataFrame:
     """Raw table -> staging: dataset->source_dataset, interval->bar_interval,
-    open_date = UTC date of open_time_utc; rows without open time dropped."""
-    return (
-        raw.filter(F.col("open_time_utc").isNotNull())
-        .withColumnsRenamed({"dataset": "source_dataset", "interval": "bar_interval"})
-        .withColumn("open_date", F.to_date("open_time_utc"))
-        .select(*STG_COLUMNS)
+    open_date = UTC date of open_time_utc; rows without open time dropped.
+
+    The raw table is day-partitioned by exactly that date; when its
+    ``open_date`` partition column is present it is used as is, so day
+    predicates downstream (merge, ranges) prune raw directories.
+    """
+    renamed = raw.filter(F.col("open_time_utc").isNotNull()).withColumnsRenamed(
+        {"dataset": "source_dataset", "interval": "bar_interval"}
     )
+    if "open_date" not in raw.columns:
+        renamed = renamed.withColumn("open_date", F.to_date("open_time_utc"))
+    return renamed.select(*STG_COLUMNS)
 
 
 def latest_per_key(

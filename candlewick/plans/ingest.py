@@ -109,6 +109,13 @@ def backfill_rows(landed: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return out.filter(F.col("open_time_ms").between(lo, hi))
 
 
+def landed_range(landed: DataFrame, start: dt.date, end: dt.date, date_col: str = "date") -> DataFrame:
+    """Landed payloads of the days ``start..end`` (a partition filter on the
+    landing zone's date folders: only those days are read and parsed)."""
+    RangeRequest(start, end).validate()
+    return landed.filter(F.col(date_col).between(F.lit(start), F.lit(end)))
+
+
 def run_backfill(landed: DataFrame, root: str, start: dt.date, end: dt.date) -> DataFrame:
     """Write the range; returns the per-partition summary read back from the
     written partitions (empty days write nothing)."""
