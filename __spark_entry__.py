@@ -133,7 +133,8 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _g(spark, sf_dir)
-    return checks.run_checks(models_of(g, CALENDAR_TODAY), default_suite(symbols=_oracle.SYMBOLS))
+    suite = default_suite(symbols=_oracle.SYMBOLS, block_rows=g.block_rows)
+    return checks.run_checks(models_of(g, CALENDAR_TODAY), suite)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -196,7 +197,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_unique_natural_key": lambda s, d: checks.check_unique_natural_key(_g(s, d).stg),
         "check_no_negative_volume": lambda s, d: _round(checks.check_no_negative_volume(_g(s, d).dirty)),
         "check_ohlc_consistency": lambda s, d: _round(checks.check_ohlc_consistency(_g(s, d).dirty)),
-        "check_no_hourly_gaps": lambda s, d: checks.check_no_gaps(_g(s, d).prices),
+        "check_no_hourly_gaps": lambda s, d: checks.check_no_gaps(_g(s, d).prices, block_rows=_g(s, d).block_rows),
         "check_first_return_null": lambda s, d: _round(checks.check_first_return_null(_g(s, d).features_tampered)),
         "check_log_return_consistency": lambda s, d: _round(
             checks.check_log_return_consistency(_g(s, d).features_tampered)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators import checks, marts, serving, staging
-from candlewick.operators.series import DEFAULT_BLOCK_ROWS
+from candlewick.operators.series import choose_block_rows
 from candlewick.plans import merge
 from candlewick.plans.suite import default_suite
 from candlewick.schema import FACT_PRICE_FEATURES_COLUMNS, FACT_PRICE_HOURLY_COLUMNS
@@ -57,6 +57,7 @@ class Build:
     root: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
     merge_info: dict = field(default_factory=dict)
+    block_rows: int | None = None
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -69,7 +70,7 @@ def build_marts(
     as_of: dt.datetime | None = None,
     full_refresh: bool = False,
     incremental_features: bool = False,
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    block_rows: int | None | str = "auto",
     view_prefix: str | None = None,
 ) -> Build:
     """Build every model under ``root``; returns DataFrames over the stored
@@ -89,6 +90,9 @@ def build_marts(
         touched_from = newest
     b.merge_info = merge.merge_into(spark, fact_path, marts.fact_prices(norm), exists=exists, full_refresh=full_refresh)
     prices = merge.read_fact_prices(spark, fact_path)
+    if block_rows == "auto":  # decided on the stored fact: a key-column scan
+        block_rows = choose_block_rows(prices)
+    b.block_rows = block_rows
 
     feat_path = b.path("fact_price_features")
     if touched_from is not None and os.path.exists(os.path.join(feat_path, "_SUCCESS")):
@@ -127,4 +131,4 @@ def build_marts(
 
 def test_build(build: Build, **suite_args) -> DataFrame:
     """Run the data-test suite over the built tables."""
-    return checks.run_checks(build.tables, default_suite(**suite_args))
+    return checks.run_checks(build.tables, default_suite(block_rows=build.block_rows, **suite_args))

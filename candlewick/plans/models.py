@@ -16,22 +16,32 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators import marts, serving, staging
-from candlewick.operators.series import DEFAULT_BLOCK_ROWS
+from candlewick.operators.series import choose_block_rows
 from candlewick.session import scratch_path
 from candlewick.sources import fixtures
 from candlewick.sources import raw as raw_src
 
 
 class ModelGraph:
+    """``block_rows="auto"`` picks plain or blocked series windows once per
+    graph from the longest series in the raw table (an upper bound: raw still
+    holds duplicate loads)."""
+
     def __init__(
         self,
         raw: DataFrame,
         as_of: dt.datetime | None = None,
-        block_rows: int | None = DEFAULT_BLOCK_ROWS,
+        block_rows: int | None | str = "auto",
     ):
         self.raw = raw
         self.as_of = as_of
-        self.block_rows = block_rows
+        self._block_rows = block_rows
+
+    @cached_property
+    def block_rows(self) -> int | None:
+        if self._block_rows == "auto":
+            return choose_block_rows(self.raw, ("symbol", "interval"))
+        return self._block_rows
 
     @cached_property
     def stg(self) -> DataFrame:

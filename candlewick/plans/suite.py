@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from candlewick.operators import checks as C
+from candlewick.operators.series import DEFAULT_BLOCK_ROWS
 from candlewick.schema import NATURAL_KEY, SERIES_KEY
 
 # not_null columns per model.
@@ -42,6 +43,7 @@ def default_suite(
     sources: Sequence[str] = ("binance_spot",),
     datasets: Sequence[str] = ("klines",),
     asset_classes: Sequence[str] = ("crypto",),
+    block_rows: int | None = DEFAULT_BLOCK_ROWS,
 ) -> list[C.Check]:
     suite: list[C.Check] = []
     for model, cols in NOT_NULL.items():
@@ -90,7 +92,7 @@ def default_suite(
         C.Check("stg_klines", "no_negative_volume", "volume", violation=C.NEGATIVE_VOLUME),
         C.Check("stg_klines", "ohlc_consistency", "high,low", violation=C.OHLC_INCONSISTENT),
         C.Check("fact_prices", "unique_natural_key", key, run=lambda m: C.check_unique_natural_key(m["fact_prices"])),
-        C.Check("fact_prices", "no_hourly_gaps", "open_time_utc", run=lambda m: C.check_no_gaps(m["fact_prices"])),
+        C.Check("fact_prices", "no_hourly_gaps", "open_time_utc", run=lambda m: C.check_no_gaps(m["fact_prices"], block_rows=block_rows)),
         C.Check(
             "fact_price_features", "unique_natural_key", key,
             run=lambda m: C.check_unique_natural_key(m["fact_price_features"]),

@@ -142,3 +142,11 @@ def staging_chain(raw):
     from candlewick.operators import staging
 
     return staging.int_klines_normalized(staging.stg_klines(raw))
+
+
+def test_choose_block_rows(g01):
+    from candlewick.operators.series import choose_block_rows
+
+    assert choose_block_rows(g01.prices) is None  # every series fits one task
+    assert choose_block_rows(g01.prices, plain_max_rows=100, block_rows=50) == 50
+    assert FixtureGraph(g01.spark, g01.sf_dir, materialize=False).block_rows is None
