@@ -114,25 +114,55 @@ def features_for_range(
     return feats.filter(F.col("open_date") >= F.lit(start))
 
 
-def price_hourly(stg: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """staging -> fact_price_hourly: previous close and 1h return per series.
+# Columns fact_price_hourly carries from staging (all but the return), and
+# its total order: open time, then load, then the values themselves, so
+# identical copies of a row are adjacent.
+_HOURLY_INPUT = [c for c in FACT_PRICE_HOURLY_COLUMNS if c != "return_1h"]
+_HOURLY_ORDER = (
+    "open_time_utc", "loaded_at", "batch_id", "close", "open", "high", "low",
+    "volume", "quote_asset_volume", "number_of_trades",
+)
+
+
+def expand_copies(df: DataFrame, copies: str, chunk_rows: int = 10_000) -> DataFrame:
+    """Emit each row ``copies`` times without one task generating a huge
+    group: a row is first cut into chunks of at most ``chunk_rows`` copies,
+    the chunks are spread over tasks by hash, and each chunk explodes."""
+    n = F.col(copies)
+    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.ceil(n / chunk_rows).cast("int") - 1)))
+    sized = chunks.withColumn("_k", F.least(F.lit(chunk_rows), n - F.col("_chunk") * chunk_rows).cast("int"))
+    spread = sized.repartition(*[c for c in df.columns if c != copies], "_chunk")
+    return spread.withColumn("_one", F.explode(F.array_repeat(F.lit(1), F.col("_k")))).drop(
+        "_chunk", "_k", "_one", copies
+    )
 
-    Reads staging (duplicates included, as the reference does); ties on
-    open_time_utc are ordered by loaded_at, batch_id for determinism.
+
+def price_hourly(stg: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """staging -> fact_price_hourly: previous close and 1h return per series,
+    one output row per staging row.
+
+    Reads staging (duplicate loads included, as the reference does). Exact
+    copies of a row are first counted (a partial aggregate, so a bar with a
+    huge number of copies is combined map-side); the lag runs over the
+    distinct rows in the order open time, load time, batch, values. Each
+    extra copy follows an identical copy, so its return is
+    safe_divide(close - close, close); the copies are regenerated in chunks
+    spread over tasks.
     """
+    versions = stg.groupBy(*_HOURLY_INPUT).agg(F.count(F.lit(1)).alias("_copies"))
 
     def compute(df: DataFrame, w: Window) -> DataFrame:
         prev = F.lag("close").over(w)
         return df.withColumn("return_1h", safe_divide(F.col("close") - prev, prev))
 
-    out = series_window(
-        stg,
-        compute,
-        halo=1,
-        order=("open_time_utc", "loaded_at", "batch_id"),
-        block_rows=block_rows,
+    first = series_window(versions, compute, halo=1, order=_HOURLY_ORDER, block_rows=block_rows)
+    extra = first.filter(F.col("_copies") > 1).drop("return_1h").withColumn("_copies", F.col("_copies") - 1)
+    repeats = expand_copies(extra, "_copies").withColumn(
+        "return_1h", safe_divide(F.col("close") - F.col("close"), "close")
+    )
+    return first.drop("_copies").select(*FACT_PRICE_HOURLY_COLUMNS).unionByName(
+        repeats.select(*FACT_PRICE_HOURLY_COLUMNS)
     )
-    return out.select(*FACT_PRICE_HOURLY_COLUMNS)
 
 
 def dim_symbol(
@@ -180,6 +210,7 @@ def dim_calendar(norm: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 
 
 __all__ = [
+    "FACT_PRICE_HOURLY_COLUMNS",
     "SERIES_KEY",
     "dim_calendar",
     "dim_symbol",

@@ -58,7 +58,8 @@ def write_raw_table(raw: DataFrame, path: str) -> None:
     Parquet row-group min/max statistics cluster by series.
     """
     table = raw_records(raw).withColumn("open_date", F.to_date("open_time_utc"))
-    order = ("open_date", "symbol", "interval", "open_time_utc")
+    # load columns last: repeated loads of one bar can still be split
+    order = ("open_date", "symbol", "interval", "open_time_utc", "loaded_at", "batch_id")
     (
         table.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -150,3 +150,33 @@ def test_choose_block_rows(g01):
     assert choose_block_rows(g01.prices) is None  # every series fits one task
     assert choose_block_rows(g01.prices, plain_max_rows=100, block_rows=50) == 50
     assert FixtureGraph(g01.spark, g01.sf_dir, materialize=False).block_rows is None
+
+
+def test_hourly_with_hot_copies_equals_plain_lag(spark):
+    """A bar loaded many times over: the pre-aggregated form gives the same
+    rows as a plain lag over the fully ordered staging rows."""
+    from pyspark.sql import Window
+
+    from candlewick.functions import safe_divide
+    from candlewick.operators import staging
+    from tests.helpers import bars
+
+    d = dt.date(2024, 1, 1)
+    base = bars(spark, d, 48)
+    hot = bars(spark, d + dt.timedelta(days=1), 1).withColumn(
+        "_r", F.explode(F.sequence(F.lit(1), F.lit(2500)))
+    ).drop("_r")
+    relo = bars(spark, d, 48, batch_id="t-2", loaded_at=dt.datetime(2024, 2, 2), price=90.0)
+    stg = staging.stg_klines(base.unionByName(hot).unionByName(relo))
+    assert stg.count() == 48 + 2500 + 48
+    order = ["open_time_utc", "loaded_at", "batch_id", "close", "open", "high", "low", "volume",
+             "quote_asset_volume", "number_of_trades"]
+    w = Window.partitionBy("symbol", "bar_interval").orderBy(*order)
+    prev = F.lag("close").over(w)
+    expected = stg.withColumn("return_1h", safe_divide(F.col("close") - prev, prev)).select(
+        *marts.FACT_PRICE_HOURLY_COLUMNS
+    )
+    for block_rows in (None, 20):
+        got = marts.price_hourly(stg, block_rows=block_rows)
+        assert got.count() == 2596
+        assert _same(got, expected)
