@@ -12,11 +12,10 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import day_start_ms, lit_ts
-from candlewick.operators import validate
 from candlewick.schema import RAW_COLUMNS, RAW_PARTITION_COLUMNS, WATERMARK, WATERMARK_KEY
 from candlewick.sources import raw as raw_src
 from candlewick.session import ensure_session_conf
@@ -66,24 +65,43 @@ def write_summary(rows: DataFrame) -> DataFrame:
     )
 
 
+def guard_partition_rules(dated: DataFrame) -> DataFrame:
+    """Rows unchanged, but the job fails (inside the task) on a duplicate
+    open time in one raw partition or a row outside its partition's day.
+
+    Duplicates are adjacent once a partition is sorted by open time, so a
+    ``lag`` over (partition key) ordered by open time finds them. That window
+    clusters the rows by raw partition -- the same exchange the write needs --
+    so the rules ride along with the write instead of a second pass.
+    """
+    w = Window.partitionBy(*RAW_PARTITION_COLUMNS).orderBy("open_time_ms")
+    where = F.concat_ws("/", *[F.col(c).cast("string") for c in RAW_PARTITION_COLUMNS])
+    row_day = F.to_date(F.timestamp_millis("open_time_ms"))
+    guard = F.when(
+        F.lag("open_time_ms").over(w) == F.col("open_time_ms"),
+        F.raise_error(F.concat(F.lit("duplicate open_time_ms in raw partition "), where)),
+    ).when(
+        row_day != F.col("date"),
+        F.raise_error(F.concat(F.lit("row date differs from partition date in "), where)),
+    )
+    return dated.withColumn("_violation", guard).filter(F.col("_violation").isNull()).drop("_violation")
+
+
 def write_partitions(rows: DataFrame, root: str, check: bool = True) -> None:
     """Idempotent raw-zone write: each (source, dataset, symbol, interval,
     date) partition is replaced as a whole (dynamic overwrite); partitions
     not in ``rows`` are untouched.
 
     One shuffle on the partition key makes each partition one file, rows
-    sorted by open time. A partition is one series-day, so its size is
-    bounded by the interval; a hot symbol spreads over its many days.
-    ``check`` enforces the partition rules (no duplicate open time, rows in
-    their own day) before anything is written.
+    sorted by open time. A partition is one series-day -- bounded by the
+    interval, since duplicate open times are rejected -- and a hot symbol
+    spreads over its many days. ``check`` enforces the partition rules in the
+    same pass (a violation fails the job before anything is committed).
     """
-    dated = _with_date(rows)
-    if check:
-        validate.check_partition(dated, strict=True)
+    dated = _with_date(rows).select(*RAW_COLUMNS, "date")
+    dated = guard_partition_rules(dated) if check else dated.repartition(*RAW_PARTITION_COLUMNS)
     (
-        dated.select(*RAW_COLUMNS, "date")
-        .repartition(*RAW_PARTITION_COLUMNS)
-        .sortWithinPartitions(*RAW_PARTITION_COLUMNS, "open_time_ms")
+        dated.sortWithinPartitions(*RAW_PARTITION_COLUMNS, "open_time_ms")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*RAW_PARTITION_COLUMNS)

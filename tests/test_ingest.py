@@ -46,13 +46,16 @@ def test_rows_sorted_and_microsecond_timestamps(spark, tmp_root):
 
 
 def test_duplicate_and_wrong_date_rejected(spark, tmp_root):
-    dup = bars(spark, D1, 24).unionByName(bars(spark, D1, 1))
-    with pytest.raises(ValueError):
+    ingest.write_partitions(bars(spark, D1, 48), tmp_root)  # days 1 and 2 exist
+    dup = bars(spark, D1, 24, batch_id="t-9").unionByName(bars(spark, D1, 1, batch_id="t-9"))
+    with pytest.raises(Exception, match="duplicate open_time_ms"):
         ingest.write_partitions(dup, tmp_root)
-    wrong = bars(spark, D1, 1).withColumn("date", F.lit(D2))
-    with pytest.raises(ValueError):
+    wrong = bars(spark, D1, 1, batch_id="t-9").withColumn("date", F.lit(D2))
+    with pytest.raises(Exception, match="row date differs"):
         ingest.write_partitions(wrong, tmp_root)
-    assert not glob.glob(os.path.join(tmp_root, "source=*"))
+    # nothing was committed: both days still hold the first write only
+    scanned = raw_src.scan_raw(spark, tmp_root)
+    assert scanned.count() == 48 and scanned.filter(F.col("batch_id") == "t-9").count() == 0
 
 
 def test_backfill_inclusive_and_empty_days(spark, tmp_root):
