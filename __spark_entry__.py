@@ -28,7 +28,7 @@ from candlewick.plans.suite import default_suite, models_of  # noqa: E402
 from candlewick.schema import NATURAL_KEY  # noqa: E402
 from candlewick.sources import fixtures, payload, raw as raw_src  # noqa: E402
 from candlewick.session import scratch_path  # noqa: E402
-import oracle_sql as _oracle  # noqa: E402
+import candlewick_oracle_sql as _oracle  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 

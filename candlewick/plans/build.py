@@ -129,6 +129,18 @@ def build_marts(
     return b
 
 
-def test_build(build: Build, **suite_args) -> DataFrame:
-    """Run the data-test suite over the built tables."""
-    return checks.run_checks(build.tables, default_suite(block_rows=build.block_rows, **suite_args))
+class DataTestFailure(RuntimeError):
+    pass
+
+
+def test_build(build: Build, strict: bool = False, **suite_args) -> DataFrame:
+    """Run the data-test suite over the built tables. ``strict`` collects the
+    (one row per test) summary and raises if any test failed, so a publish
+    step ordered after it never sees failing marts."""
+    summary = checks.run_checks(build.tables, default_suite(block_rows=build.block_rows, **suite_args))
+    if strict:
+        failed = [r for r in summary.collect() if r["status"] != "pass"]
+        if failed:
+            names = ", ".join(f"{r['model']}.{r['check_name']}({r['column_name']})={r['violations']}" for r in failed)
+            raise DataTestFailure(f"{len(failed)} data test(s) failed: {names}")
+    return summary

@@ -26,15 +26,20 @@ SUPPORTED_INTERVALS = ("1h",)
 
 @dataclass(frozen=True)
 class RangeRequest:
-    """Inclusive day range; validated on the driver before any job starts."""
+    """Inclusive day range, optionally for named intervals; validated on the
+    driver before any job starts."""
 
     start: dt.date
     end: dt.date
-    intervals: Sequence[str] = SUPPORTED_INTERVALS
+    intervals: Sequence[str] = ()
+    supported: Sequence[str] = SUPPORTED_INTERVALS
 
     def validate(self) -> None:
         if self.start > self.end:
             raise ValueError("start_date must be <= end_date")
+        bad = [i for i in self.intervals if i not in self.supported]
+        if bad:
+            raise ValueError(f"unsupported interval(s) {bad}; supported: {list(self.supported)}")
 
 
 def _with_date(rows: DataFrame) -> DataFrame:
@@ -113,15 +118,18 @@ def _range_bounds(start: dt.date, end: dt.date) -> tuple[int, int]:
     return day_start_ms(start), day_start_ms(end + dt.timedelta(days=1)) - 1
 
 
-def backfill_rows(landed: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Bars with start-of-``start`` <= open_time_ms <= end-of-``end`` (UTC).
+def backfill_rows(
+    landed: DataFrame, start: dt.date, end: dt.date, intervals: Sequence[str] = ()
+) -> DataFrame:
+    """Bars with start-of-``start`` <= open_time_ms <= end-of-``end`` (UTC),
+    of the given ``intervals`` (all when empty; each must be supported).
 
     The bounds are literals, so the scan prunes date partitions (when the
     input carries one) and pushes the time range into Parquet.
     """
-    RangeRequest(start, end).validate()
+    RangeRequest(start, end, tuple(intervals)).validate()
     lo, hi = _range_bounds(start, end)
-    out = landed
+    out = landed.filter(F.col("interval").isin(list(intervals))) if intervals else landed
     if "date" in landed.columns:
         out = out.filter(F.col("date").between(F.lit(start), F.lit(end)))
     return out.filter(F.col("open_time_ms").between(lo, hi))

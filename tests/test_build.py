@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from candlewick.plans import build
@@ -22,7 +23,10 @@ def test_build_and_test_over_tables(spark, g01, tmp_root):
     assert _same(b.tables["fact_price_features"], g01.features)
     assert spark.table("t_marts_dashboard_data_status").count() == 5
     assert spark.table("t_staging_stg_klines").count() == 4880
-    summary = build.test_build(b, symbols=["BTCUSDT", "ETHUSDT", "SOLUSDT", "BNBUSDT", "XRPUSDT"])
+    symbols = ["BTCUSDT", "ETHUSDT", "SOLUSDT", "BNBUSDT", "XRPUSDT"]
+    with pytest.raises(build.DataTestFailure, match="no_hourly_gaps"):
+        build.test_build(b, strict=True, symbols=symbols)
+    summary = build.test_build(b, symbols=symbols)
     fails = {(r["model"], r["check_name"]) for r in summary.collect() if r["status"] == "fail"}
     assert fails == {
         ("stg_klines", "unique"),

@@ -67,6 +67,9 @@ def test_backfill_inclusive_and_empty_days(spark, tmp_root):
     assert summary[1]["max_open_time_ms"] == day_start_ms(D3) + 23 * 3_600_000
     with pytest.raises(ValueError):
         ingest.backfill_rows(landed, D3, D1)
+    with pytest.raises(ValueError, match="unsupported interval"):
+        ingest.backfill_rows(landed, D1, D3, intervals=["4h"])
+    assert ingest.backfill_rows(landed, D1, D1, intervals=["1h"]).count() == 24
 
 
 def test_marks_round_trip(spark, tmp_root):
