@@ -31,8 +31,12 @@ NON_NEGATIVE_FIELDS = [
 def row_rules(df_columns: Sequence[str] | None = None) -> list[Column]:
     """One message-or-NULL Column per rule."""
     rules: list[Column] = []
-    for name, _ in KLINE_ARRAY_FIELDS:
-        rules.append(F.when(F.col(name).isNull(), F.lit(f"{name} is missing or not a number")))
+    for name, dtype in KLINE_ARRAY_FIELDS:
+        missing = F.col(name).isNull()
+        if isinstance(dtype, T.DoubleType):
+            # Spark orders NaN above every number, so "> 0" alone would pass it
+            missing = missing | F.isnan(F.col(name))
+        rules.append(F.when(missing, F.lit(f"{name} is missing or not a number")))
     for name in POSITIVE_FIELDS:
         rules.append(F.when(F.col(name) <= 0, F.lit(f"{name} must be > 0")))
     for name in NON_NEGATIVE_FIELDS:

@@ -220,8 +220,9 @@ _DIRTY_DOUBLES = RAW_DOUBLES
 def _validate_rows_sql() -> str:
     parts = []
     for f in _ARRAY_FIELDS:
+        nan = f" or isnan({f})" if f not in ("open_time_ms", "close_time_ms", "number_of_trades") else ""
         parts.append(f"select symbol, bar_interval, open_time_ms, '{f} is missing or not a number' as reason "
-                     f"from klines_dirty where {f} is null")
+                     f"from klines_dirty where {f} is null{nan}")
     for f in ["open", "high", "low", "close"]:
         parts.append(f"select symbol, bar_interval, open_time_ms, '{f} must be > 0' as reason "
                      f"from klines_dirty where {f} <= 0")

@@ -122,3 +122,12 @@ def test_fixture_payload_round_trip(spark, g01):
     src = g01.raw.filter(F.col("batch_id") == "batch-001").select("symbol", "open_time_ms", "open", "close")
     got = rows.select("symbol", "open_time_ms", "open", "close")
     assert got.exceptAll(src).count() == 0 and src.exceptAll(got).count() == 0
+
+
+def test_nan_price_rejected(spark):
+    bad = list(SAMPLE)
+    bad[4] = "NaN"
+    rows, rejects = parse_klines(_payloads(spark, [bad]))
+    assert rejects.count() == 0  # it is a number to the parser ...
+    _, bad_rows = validate_rows(rows)
+    assert "close is missing or not a number" in {r.reason for r in bad_rows.collect()}  # ... but not a price
