@@ -25,7 +25,6 @@ from candlewick.operators import checks, marts, serving, validate  # noqa: E402
 from candlewick.plans import ingest, merge  # noqa: E402
 from candlewick.plans.models import FixtureGraph  # noqa: E402
 from candlewick.plans.suite import default_suite, models_of  # noqa: E402
-from candlewick.schema import NATURAL_KEY  # noqa: E402
 from candlewick.sources import fixtures, payload, raw as raw_src  # noqa: E402
 from candlewick.session import scratch_path  # noqa: E402
 import candlewick_oracle_sql as _oracle  # noqa: E402
@@ -215,4 +214,4 @@ def oracle_sql() -> dict[str, str]:
     return _oracle.oracle_sql()
 
 
-__all__ = ["entry", "queries", "oracle_sql", "NATURAL_KEY"]
+__all__ = ["entry", "queries", "oracle_sql"]

@@ -28,7 +28,7 @@ NON_NEGATIVE_FIELDS = [
 ]
 
 
-def row_rules(df_columns: Sequence[str] | None = None) -> list[Column]:
+def row_rules() -> list[Column]:
     """One message-or-NULL Column per rule."""
     rules: list[Column] = []
     for name, dtype in KLINE_ARRAY_FIELDS:
@@ -98,8 +98,10 @@ def partition_date_mismatch(landed: DataFrame, date_col: str = "date") -> DataFr
     return landed.filter(row_date != F.col(date_col)).withColumn("row_date", row_date)
 
 
-def check_partition(landed: DataFrame, strict: bool = False) -> DataFrame:
-    """Both partition rules; one row per violation with ``reason``."""
+def check_partition(landed: DataFrame) -> DataFrame:
+    """Both partition rules as a report; one row per violation with
+    ``reason``. (The raw-zone writer enforces the same rules inside its own
+    write pass, see ``plans.ingest.guard_partition_rules``.)"""
     dup = partition_duplicates(landed).select(
         "source", "dataset", "symbol", "interval", "date", "open_time_ms",
         F.lit("duplicate open_time_ms in partition").alias("reason"),
@@ -108,10 +110,7 @@ def check_partition(landed: DataFrame, strict: bool = False) -> DataFrame:
         "source", "dataset", "symbol", "interval", "date", "open_time_ms",
         F.lit("row date differs from partition date").alias("reason"),
     )
-    out = dup.unionByName(wrong)
-    if strict and out.limit(1).count():
-        raise ValueError("raw partition rules violated")
-    return out
+    return dup.unionByName(wrong)
 
 
 def check_required(df: DataFrame, schema: T.StructType = RAW_KLINES) -> DataFrame:

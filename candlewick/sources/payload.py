@@ -10,19 +10,13 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import from_epoch_ms, lit_ts
 from candlewick.schema import KLINE_ARRAY_FIELDS, KLINE_MIN_FIELDS, RAW_COLUMNS
 
 
-def _number(text: Column, dtype) -> Column:
-    # integers may arrive as "1704067200000" or as JSON numbers rendered by
-    # from_json into strings; doubles as decimal strings.
-    return text.try_cast(dtype)
-
-
 def parse_klines(
     df: DataFrame, payload_col: str = "payload", keep: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -50,7 +44,9 @@ def parse_klines(
         *keep,
         "row_index",
         F.size("_r").alias("_n"),
-        *[_number(F.get(F.col("_r"), i), t).alias(name) for i, (name, t) in enumerate(KLINE_ARRAY_FIELDS)],
+        # numbers arrive as strings or JSON numbers (read as their text);
+        # try_cast gives NULL for anything that does not convert
+        *[F.get(F.col("_r"), i).try_cast(t).alias(name) for i, (name, t) in enumerate(KLINE_ARRAY_FIELDS)],
     )
     missing = F.array_compact(
         F.array(
