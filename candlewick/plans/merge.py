@@ -32,23 +32,32 @@ class SchemaDriftError(ValueError):
     pass
 
 
+def newest_bar(target: DataFrame, time_col: str = "open_time_utc") -> dt.datetime:
+    """max(open time) of the target -- ONE value to the driver (1900-01-01
+    for an empty target)."""
+    return target.agg(F.max(time_col)).first()[0] or EPOCH_FLOOR
+
+
 def incremental_filter(
-    source: DataFrame, target: DataFrame, per_symbol: bool = False, time_col: str = "open_time_utc"
+    source: DataFrame,
+    target: DataFrame,
+    per_symbol: bool = False,
+    time_col: str = "open_time_utc",
+    newest: dt.datetime | None = None,
 ) -> DataFrame:
     """Source rows at or after the target's newest bar.
 
-    The global max is ONE value read from the target (for a day-partitioned
-    table, Parquet footers answer it); it becomes a literal, together with the
-    implied ``open_date`` bound, so the source scan prunes day partitions.
+    The global max is a literal, together with the implied ``open_date``
+    bound, so the source scan prunes day partitions.
     """
     if per_symbol:
-        newest = target.groupBy(*SERIES_KEY).agg(F.max(time_col).alias("_newest"))
+        latest = target.groupBy(*SERIES_KEY).agg(F.max(time_col).alias("_newest"))
         return (
-            source.join(newest, list(SERIES_KEY), "left")
+            source.join(latest, list(SERIES_KEY), "left")
             .filter(F.col(time_col) >= F.coalesce(F.col("_newest"), lit_ts(EPOCH_FLOOR)))
             .drop("_newest")
         )
-    newest = target.agg(F.max(time_col)).first()[0] or EPOCH_FLOOR
+    newest = newest or newest_bar(target, time_col)
     out = source
     if "open_date" in source.columns:
         out = out.filter(F.col("open_date") >= F.lit(newest.date()))
@@ -124,11 +133,16 @@ def merge_into(
         return {"mode": "full_refresh"}
     target = read_fact_prices(spark, target_path)
     assert_same_schema(target, src)
-    incoming = incremental_filter(src, target, per_symbol=per_symbol)
+    newest = None if per_symbol else newest_bar(target)
+    incoming = incremental_filter(src, target, per_symbol=per_symbol, newest=newest)
     assert_unique_keys(incoming, keys)
-    # touched days: bounded by the calendar, one row per day
+    # touched days: bounded by the calendar, one row per day. With the global
+    # filter every touched day is >= the newest day, a literal bound that
+    # prunes target partitions statically; the semi join (dynamic partition
+    # pruning) skips days in between that receive nothing.
+    scope = target if newest is None else target.filter(F.col("open_date") >= F.lit(newest.date()))
     days = incoming.select("open_date").distinct()
-    touched = target.join(days, "open_date", "left_semi")
+    touched = scope.join(days, "open_date", "left_semi")
     merged = merge_rows(touched, incoming, keys)
     # stage first: the target is read by this plan and must stay intact
     # until the merged days exist in full.

@@ -34,6 +34,23 @@ SCALE_CONF = {
 }
 
 
+# Recommended for a large cluster (~100 TB of bars): let AQE size shuffles
+# from a generous start, split skewed join partitions, read big splits, and
+# keep broadcasts to what the planner has measured. Applied by the cluster's
+# job config, not by the library.
+CLUSTER_CONF = {
+    **REQUIRED_CONF,
+    **SCALE_CONF,
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+}
+
+
 def ensure_session_conf(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings results depend on (idempotent)."""
     for key, value in REQUIRED_CONF.items():
