@@ -17,7 +17,14 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import hours_between, lit_ts
 from candlewick.operators.series import DEFAULT_BLOCK_ROWS, series_window
-from candlewick.schema import NATURAL_KEY, SERIES_KEY
+from candlewick.schema import (
+    FRESHNESS_ERROR_DAYS,
+    FRESHNESS_WARN_DAYS,
+    LOG_RETURN_TOLERANCE,
+    NATURAL_KEY,
+    ROLLING_ROWS,
+    SERIES_KEY,
+)
 
 
 def _sql_str(v: str) -> str:
@@ -84,11 +91,11 @@ OHLC_INCONSISTENT = (
 )
 
 
-def log_return_inconsistent(tol: float = 1e-9) -> str:
+def log_return_inconsistent(tol: float = LOG_RETURN_TOLERANCE) -> str:
     return f"return_1h IS NOT NULL AND abs(log_return_1h - ln(1 + return_1h)) > {tol!r}"
 
 
-def out_of_range(rows: int = 24) -> str:
+def out_of_range(rows: int = ROLLING_ROWS) -> str:
     return (
         "price_range < 0 OR price_range_pct < 0 OR body_size_pct < 0 "
         f"OR rolling_window_observations_24h < 1 OR rolling_window_observations_24h > {int(rows)}"
@@ -143,19 +150,19 @@ def check_first_return_null(features: DataFrame) -> DataFrame:
     )
 
 
-def check_log_return_consistency(features: DataFrame, tol: float = 1e-9) -> DataFrame:
+def check_log_return_consistency(features: DataFrame, tol: float = LOG_RETURN_TOLERANCE) -> DataFrame:
     return features.filter(log_return_inconsistent(tol))
 
 
-def check_valid_ranges(features: DataFrame, rows: int = 24) -> DataFrame:
+def check_valid_ranges(features: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
     return features.filter(out_of_range(rows))
 
 
 def source_freshness(
     raw: DataFrame,
     as_of: dt.datetime | None = None,
-    warn_days: int = 7,
-    error_days: int = 30,
+    warn_days: int = FRESHNESS_WARN_DAYS,
+    error_days: int = FRESHNESS_ERROR_DAYS,
     loaded_at: str = "loaded_at",
 ) -> DataFrame:
     """Age of the newest load: 'error' beyond ``error_days``, 'warn' beyond

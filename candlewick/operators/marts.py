@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from candlewick.functions import guarded_log_ratio, safe_divide
 from candlewick.operators.series import DEFAULT_BLOCK_ROWS, series_window
 from candlewick.schema import (
+    ASSET_CLASS,
+    EXCHANGE,
     FACT_PRICE_FEATURES_COLUMNS,
     FACT_PRICE_HOURLY_COLUMNS,
     FACT_PRICES_COLUMNS,
+    QUOTE_CURRENCY,
+    ROLLING_ROWS,
     SERIES_KEY,
 )
 
@@ -53,7 +57,7 @@ def _feature_columns(df: DataFrame, w: Window, rows: int) -> DataFrame:
     )
 
 
-def price_features(prices: DataFrame, rows: int = 24, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+def price_features(prices: DataFrame, rows: int = ROLLING_ROWS, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """fact_prices -> fact_price_features (27 columns).
 
     Previous close/volume by ``lag``; returns with NULL on zero divisors; log
@@ -70,7 +74,7 @@ def price_features(prices: DataFrame, rows: int = 24, block_rows: int | None = D
     return out.select(*FACT_PRICE_FEATURES_COLUMNS)
 
 
-def halo_start(prices: DataFrame, start: dt.date, rows: int = 24) -> dt.date | None:
+def halo_start(prices: DataFrame, start: dt.date, rows: int = ROLLING_ROWS) -> dt.date | None:
     """Earliest day holding one of the last ``rows`` bars before ``start`` in
     any series (exact under gaps of any length).
 
@@ -94,7 +98,7 @@ def features_for_range(
     prices: DataFrame,
     start: dt.date,
     end: dt.date,
-    rows: int = 24,
+    rows: int = ROLLING_ROWS,
     lookback_days: int | None = None,
     block_rows: int | None = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
@@ -167,9 +171,9 @@ def price_hourly(stg: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS) ->
 
 def dim_symbol(
     norm: DataFrame,
-    asset_class: str = "crypto",
-    exchange: str = "Binance Spot",
-    quote_currency: str = "USDT",
+    asset_class: str = ASSET_CLASS,
+    exchange: str = EXCHANGE,
+    quote_currency: str = QUOTE_CURRENCY,
 ) -> DataFrame:
     """One row per symbol: constant attributes, first/last bar, bar count."""
     return norm.groupBy("symbol").agg(

@@ -12,14 +12,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import hours_between, lit_ts, safe_divide
-from candlewick.schema import TIMESERIES_COLUMNS
+from candlewick.schema import (
+    COVERAGE_COMPLETE,
+    COVERAGE_INCOMPLETE,
+    DASHBOARD_INTERVAL,
+    DASHBOARD_SYMBOL,
+    EXPECTED_BARS_PER_DAY,
+    MIB_BYTES,
+    MIB_DECIMALS,
+    ROLLING_ROWS,
+    TIB_BYTES,
+    TIB_DECIMALS,
+    TIMESERIES_COLUMNS,
+    USAGE_DAYS,
+    USAGE_JOB_TYPE,
+)
 
 
 def _as_of(as_of) -> Column:
     return lit_ts(as_of) if as_of is not None else F.current_timestamp()
 
 
-def price_timeseries(features: DataFrame, symbol: str = "BTCUSDT", bar_interval: str = "1h") -> DataFrame:
+def price_timeseries(
+    features: DataFrame, symbol: str = DASHBOARD_SYMBOL, bar_interval: str = DASHBOARD_INTERVAL
+) -> DataFrame:
     """dashboard_price_timeseries: one series, 24 columns. The filter is on
     the window partition key, so Catalyst pushes it below the feature window
     to the scan."""
@@ -28,12 +44,16 @@ def price_timeseries(features: DataFrame, symbol: str = "BTCUSDT", bar_interval:
     )
 
 
-def feature_extract(timeseries: DataFrame, symbol: str = "BTCUSDT", bar_interval: str = "1h") -> DataFrame:
+def feature_extract(
+    timeseries: DataFrame, symbol: str = DASHBOARD_SYMBOL, bar_interval: str = DASHBOARD_INTERVAL
+) -> DataFrame:
     """Feature extract for downstream research: same columns, time order."""
     return price_timeseries(timeseries, symbol, bar_interval).orderBy("open_time_utc")
 
 
-def daily_summary(features: DataFrame, symbol: str | None = "BTCUSDT", bar_interval: str | None = "1h") -> DataFrame:
+def daily_summary(
+    features: DataFrame, symbol: str | None = DASHBOARD_SYMBOL, bar_interval: str | None = DASHBOARD_INTERVAL
+) -> DataFrame:
     """dashboard_daily_summary: daily OHLCV, bar count, returns, volatility.
 
     First open / last close are ``min_by`` / ``max_by`` on open time
@@ -76,7 +96,7 @@ def daily_summary(features: DataFrame, symbol: str | None = "BTCUSDT", bar_inter
     )
 
 
-def data_status(features: DataFrame, as_of: dt.datetime | None = None, rows: int = 24) -> DataFrame:
+def data_status(features: DataFrame, as_of: dt.datetime | None = None, rows: int = ROLLING_ROWS) -> DataFrame:
     """dashboard_data_status: coverage, freshness and full-window share per
     series. ``as_of`` replaces the wall clock so results are reproducible."""
     now = _as_of(as_of)
@@ -120,7 +140,7 @@ def latest_status(status: DataFrame) -> DataFrame:
     ).orderBy("symbol", "bar_interval")
 
 
-def coverage_by_day(prices: DataFrame, expected_bars: int = 24) -> DataFrame:
+def coverage_by_day(prices: DataFrame, expected_bars: int = EXPECTED_BARS_PER_DAY) -> DataFrame:
     """Bars per series and day; 'complete' iff exactly ``expected_bars``."""
     n = F.count(F.lit(1))
     return (
@@ -132,13 +152,13 @@ def coverage_by_day(prices: DataFrame, expected_bars: int = 24) -> DataFrame:
         )
         .withColumn(
             "coverage_status",
-            F.when(F.col("bars_count") == expected_bars, "complete").otherwise("incomplete"),
+            F.when(F.col("bars_count") == expected_bars, COVERAGE_COMPLETE).otherwise(COVERAGE_INCOMPLETE),
         )
         .orderBy(F.col("open_date").desc(), "symbol", "bar_interval")
     )
 
 
-def contract_check(timeseries: DataFrame, rows: int = 24) -> DataFrame:
+def contract_check(timeseries: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
     """Data contract for downstream consumers, per series."""
     full = F.count_if(F.col("rolling_window_observations_24h") == rows)
     return (
@@ -167,7 +187,7 @@ def validate_raw(raw: DataFrame) -> DataFrame:
     )
 
 
-def validate_marts(features: DataFrame, rows: int = 24) -> DataFrame:
+def validate_marts(features: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
     """Mart validation: n rows -> n-1 returns and max(0, n-rows+1) full
     windows per gap-free series."""
     return features.groupBy("symbol", "bar_interval").agg(
@@ -180,20 +200,22 @@ def validate_marts(features: DataFrame, rows: int = 24) -> DataFrame:
     )
 
 
-def usage(jobs: DataFrame, as_of: dt.datetime | None = None, days: int = 7, by_user: bool = True) -> DataFrame:
+def usage(
+    jobs: DataFrame, as_of: dt.datetime | None = None, days: int = USAGE_DAYS, by_user: bool = True
+) -> DataFrame:
     """Warehouse query usage over the last ``days`` days, by day (and user):
     jobs, processed / billed MiB (2 decimals) and billed TiB (6 decimals)."""
     now = _as_of(as_of)
     recent = jobs.filter(
-        (F.col("creation_time") >= now - F.make_dt_interval(F.lit(days))) & (F.col("job_type") == "QUERY")
+        (F.col("creation_time") >= now - F.make_dt_interval(F.lit(days))) & (F.col("job_type") == USAGE_JOB_TYPE)
     )
     keys = [F.to_date("creation_time").alias("usage_date")] + ([F.col("user_email")] if by_user else [])
-    mib, tib = float(1024**2), float(1024**4)
+    mib, tib = float(MIB_BYTES), float(TIB_BYTES)
     out = recent.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("query_jobs"),
-        F.round(F.sum("total_bytes_processed") / mib, 2).alias("processed_mib"),
-        F.round(F.sum("total_bytes_billed") / mib, 2).alias("billed_mib"),
-        F.round(F.sum("total_bytes_billed") / tib, 6).alias("billed_tib"),
+        F.round(F.sum("total_bytes_processed") / mib, MIB_DECIMALS).alias("processed_mib"),
+        F.round(F.sum("total_bytes_billed") / mib, MIB_DECIMALS).alias("billed_mib"),
+        F.round(F.sum("total_bytes_billed") / tib, TIB_DECIMALS).alias("billed_tib"),
     )
     order = [F.col("usage_date").desc()] + ([F.col("billed_mib").desc()] if by_user else [])
     return out.orderBy(*order)

@@ -1,4 +1,4 @@
-"""Materialized build of the model graph (the reference's ``dbt build``).
+"""Materialized build of the model graph (build all models, then test them).
 
 * staging / intermediate: views (never stored),
 * fact_prices: incremental merge on the natural key (``plans.merge``),

@@ -16,12 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import day_start_ms, lit_ts
-from candlewick.schema import RAW_COLUMNS, RAW_PARTITION_COLUMNS, WATERMARK, WATERMARK_KEY
+from candlewick.schema import RAW_COLUMNS, RAW_PARTITION_COLUMNS, SUPPORTED_INTERVALS, WATERMARK, WATERMARK_KEY
 from candlewick.sources import raw as raw_src
 from candlewick.session import ensure_session_conf
 
-# Intervals the pipeline accepts (argument check on the driver).
-SUPPORTED_INTERVALS = ("1h",)
 
 
 @dataclass(frozen=True)

@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import lit_ts
 from candlewick.operators.checks import check_unique
-from candlewick.schema import FACT_PRICES_COLUMNS, NATURAL_KEY, SERIES_KEY
+from candlewick.schema import EMPTY_TARGET_FLOOR, FACT_PRICES_COLUMNS, NATURAL_KEY, SERIES_KEY
 from candlewick.session import ensure_session_conf, scratch_path
 
-EPOCH_FLOOR = dt.datetime(1900, 1, 1)
+EPOCH_FLOOR = EMPTY_TARGET_FLOOR
 
 
 class SchemaDriftError(ValueError):

@@ -14,7 +14,15 @@ from pyspark.sql import DataFrame
 
 from candlewick.operators import checks as C
 from candlewick.operators.series import DEFAULT_BLOCK_ROWS
-from candlewick.schema import NATURAL_KEY, SERIES_KEY
+from candlewick.schema import (
+    ASSET_CLASS,
+    DASHBOARD_SYMBOL,
+    DATASET_NAME,
+    NATURAL_KEY,
+    SERIES_KEY,
+    SOURCE_NAME,
+    SUPPORTED_INTERVALS,
+)
 
 # not_null columns per model.
 NOT_NULL = {
@@ -38,11 +46,11 @@ NOT_NULL = {
 
 
 def default_suite(
-    symbols: Sequence[str] = ("BTCUSDT",),
-    intervals: Sequence[str] = ("1h",),
-    sources: Sequence[str] = ("binance_spot",),
-    datasets: Sequence[str] = ("klines",),
-    asset_classes: Sequence[str] = ("crypto",),
+    symbols: Sequence[str] = (DASHBOARD_SYMBOL,),
+    intervals: Sequence[str] = SUPPORTED_INTERVALS,
+    sources: Sequence[str] = (SOURCE_NAME,),
+    datasets: Sequence[str] = (DATASET_NAME,),
+    asset_classes: Sequence[str] = (ASSET_CLASS,),
     block_rows: int | None = DEFAULT_BLOCK_ROWS,
 ) -> list[C.Check]:
     suite: list[C.Check] = []

@@ -2,8 +2,38 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------------------
+# These must equal the reference's for equal results.
+#   landed bars: source "binance_spot", dataset "klines", interval "1h"
+#     (the only supported interval)
+#   symbol dimension: asset class "crypto", exchange "Binance Spot",
+#     quote currency "USDT"
+#   dashboards serve symbol "BTCUSDT", interval "1h"
+#   rolling window 24 rows; a day is "complete" with 24 bars, else "incomplete"
+#   log-return consistency tolerance 1e-9
+#   source freshness: warn after 7 days, error after 30 days
+#   usage report: last 7 days, job type "QUERY", MiB = 1024^2 bytes rounded
+#     to 2 decimals, TiB = 1024^4 bytes rounded to 6 decimals
+#   an empty merge target counts as newest bar 1900-01-01 00:00:00
+SOURCE_NAME, DATASET_NAME, BAR_INTERVAL = "binance_spot", "klines", "1h"
+SUPPORTED_INTERVALS = ("1h",)
+ASSET_CLASS, EXCHANGE, QUOTE_CURRENCY = "crypto", "Binance Spot", "USDT"
+DASHBOARD_SYMBOL, DASHBOARD_INTERVAL = "BTCUSDT", "1h"
+ROLLING_ROWS = 24
+EXPECTED_BARS_PER_DAY = 24
+COVERAGE_COMPLETE, COVERAGE_INCOMPLETE = "complete", "incomplete"
+LOG_RETURN_TOLERANCE = 1e-9
+FRESHNESS_WARN_DAYS, FRESHNESS_ERROR_DAYS = 7, 30
+USAGE_DAYS, USAGE_JOB_TYPE = 7, "QUERY"
+MIB_BYTES, TIB_BYTES = 1024**2, 1024**4
+MIB_DECIMALS, TIB_DECIMALS = 2, 6
+EMPTY_TARGET_FLOOR = _dt.datetime(1900, 1, 1)
+# ---------------------------------------------------------------------------
+
 # Natural key of a bar and the key of one time series.
 SERIES_KEY = ("symbol", "bar_interval")
 NATURAL_KEY = ("symbol", "bar_interval", "open_time_utc")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions import from_epoch_ms
-from candlewick.schema import KLINE_ARRAY_FIELDS, RAW_COLUMNS
+from candlewick.schema import BAR_INTERVAL, DATASET_NAME, KLINE_ARRAY_FIELDS, RAW_COLUMNS, SOURCE_NAME
 from candlewick.session import ensure_session_conf
 
 # Fixed values of the fixture (must equal the oracle SQL):
@@ -33,7 +33,7 @@ OTHER_SYMBOL = "XRPUSDT"
 BATCH_1 = ("batch-001", "2024-02-01 00:00:00")
 BATCH_2 = ("batch-002", "2024-02-02 00:00:00")
 BATCH_2_FROM = "2024-01-15 00:00:00"
-SOURCE, DATASET, INTERVAL = "binance_spot", "klines", "1h"
+SOURCE, DATASET, INTERVAL = SOURCE_NAME, DATASET_NAME, BAR_INTERVAL
 HOUR_MS = 3_600_000
 
 
