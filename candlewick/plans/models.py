@@ -68,7 +68,10 @@ class ModelGraph:
         return marts.dim_symbol(self.norm)
 
     def dim_calendar(self, as_of: dt.date | None = None) -> DataFrame:
-        return marts.dim_calendar(self.norm, as_of)
+        # dedup keeps one version of every key, so the date bounds of the
+        # normalized bars are those of staging: read them there -- a scan of
+        # the raw table's day-partition column, no dedup shuffle.
+        return marts.dim_calendar(self.stg, as_of)
 
     @cached_property
     def timeseries(self) -> DataFrame:
