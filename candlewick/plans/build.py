@@ -103,7 +103,9 @@ def build_marts(
         write_day_table(marts.price_features(prices, block_rows=block_rows), feat_path)
     write_day_table(marts.price_hourly(stg, block_rows=block_rows), b.path("fact_price_hourly"))
     write_small_table(marts.dim_symbol(norm), b.path("dim_symbol"))
-    write_small_table(marts.dim_calendar(norm, as_of.date() if as_of else None), b.path("dim_calendar"))
+    # date bounds of the deduplicated bars equal those of staging (one version
+    # of every key survives): a partition-column scan, no dedup shuffle
+    write_small_table(marts.dim_calendar(stg, as_of.date() if as_of else None), b.path("dim_calendar"))
 
     def read(name: str, columns=None) -> DataFrame:
         df = spark.read.parquet(b.path(name))

@@ -7,20 +7,24 @@ partition overwrite as the batch path, and the high-water marks are advanced
 after the data. ``trigger(availableNow=True)`` processes what has landed and
 stops, so the job can run on a schedule; the stream checkpoint records which
 files were consumed, and the micro-batch id fixes the batch_id, so a retried
-micro-batch rewrites the same partitions with the same rows.
+micro-batch rewrites the same partitions with the same rows. With
+``fact_path`` each micro-batch is also merged into fact_prices on the natural
+key (same merge as the batch build).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from candlewick.operators import marts, staging
 from candlewick.operators.validate import validate_rows
-from candlewick.plans import ingest
+from candlewick.plans import ingest, merge
 from candlewick.schema import RAW_COLUMNS, WATERMARK_KEY
 from candlewick.session import ensure_session_conf
 from candlewick.sources.payload import enrich_raw, parse_klines
@@ -44,9 +48,13 @@ def process_batch(
     batch_id: str,
     loaded_at: dt.datetime | None = None,
     rejects_path: str | None = None,
+    fact_path: str | None = None,
 ) -> dict:
     """One micro-batch (also usable on a static DataFrame): parse -> validate
-    -> write raw partitions -> advance marks of the written keys."""
+    -> write raw partitions -> advance marks of the written keys -> (with
+    ``fact_path``) merge the batch's bars into fact_prices."""
+    # one load time for every write of this batch (raw zone and fact)
+    loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows, parse_rejects = parse_klines(landed)
     ok, rejects = validate_rows(rows)
     if rejects_path is not None:
@@ -72,6 +80,10 @@ def process_batch(
     n = merged.count()
     if n:
         ingest.write_marks(merged, state_path)
+    if fact_path is not None and n:
+        bars = marts.fact_prices(staging.int_klines_normalized(staging.stg_klines(raw)))
+        exists = os.path.exists(os.path.join(fact_path, "_SUCCESS"))
+        merge.merge_into(spark, fact_path, bars, exists=exists)
     return {"keys": n}
 
 
@@ -83,6 +95,7 @@ def start(
     checkpoint_dir: str,
     loaded_at: dt.datetime | None = None,
     rejects_path: str | None = None,
+    fact_path: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
@@ -95,7 +108,12 @@ def start(
     stream = reader.parquet(landing_dir)
 
     def each(df: DataFrame, epoch_id: int) -> None:
-        process_batch(df, raw_root, state_path, f"stream-{epoch_id:06d}", loaded_at, rejects_path)
+        # the batch feeds several writes: read the landed files once
+        df.persist()
+        try:
+            process_batch(df, raw_root, state_path, f"stream-{epoch_id:06d}", loaded_at, rejects_path, fact_path)
+        finally:
+            df.unpersist()
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -8,7 +8,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from candlewick.plans import ingest
+from candlewick.operators import marts, staging
+from candlewick.plans import ingest, merge
 from candlewick.sources import raw as raw_src
 from candlewick.sources.payload import enrich_raw, parse_klines
 from candlewick.streaming import incremental
@@ -25,13 +26,14 @@ def test_stream_matches_batch(spark, g01, tmp_root):
 
     raw_root, state = os.path.join(tmp_root, "raw"), os.path.join(tmp_root, "state")
     ckpt, rejects = os.path.join(tmp_root, "ckpt"), os.path.join(tmp_root, "rejects")
-    q = incremental.start(spark, landing, raw_root, state, ckpt, loaded_at=LOADED, rejects_path=rejects)
+    fact = os.path.join(tmp_root, "fact_prices")
+    q = incremental.start(spark, landing, raw_root, state, ckpt, loaded_at=LOADED, rejects_path=rejects, fact_path=fact)
     q.awaitTermination(300)
     first = raw_src.scan_raw(spark, raw_root).count()
     assert first > 0
 
     late.write.parquet(os.path.join(landing, "part=2"))
-    q = incremental.start(spark, landing, raw_root, state, ckpt, loaded_at=LOADED, rejects_path=rejects)
+    q = incremental.start(spark, landing, raw_root, state, ckpt, loaded_at=LOADED, rejects_path=rejects, fact_path=fact)
     q.awaitTermination(300)
 
     streamed = raw_src.scan_raw(spark, raw_root).drop("batch_id", "date")
@@ -46,3 +48,11 @@ def test_stream_matches_batch(spark, g01, tmp_root):
     marks = {r["symbol"]: r["last_open_time_ms"] for r in ingest.read_marks(spark, state).collect()}
     newest = {r["symbol"]: r["m"] for r in batch.groupBy("symbol").agg(F.max("open_time_ms").alias("m")).collect()}
     assert marks == newest
+    # the merged fact equals the batch-built fact (load stamps aside)
+    streamed_fact = merge.read_fact_prices(spark, fact).drop("loaded_at", "batch_id")
+    batch_raw = enrich_raw(rows, loaded_at=LOADED, batch_id="b")
+    batch_fact = marts.fact_prices(staging.int_klines_normalized(staging.stg_klines(batch_raw))).drop(
+        "loaded_at", "batch_id"
+    )
+    assert streamed_fact.count() == 3068
+    assert streamed_fact.exceptAll(batch_fact).count() == 0 and batch_fact.exceptAll(streamed_fact).count() == 0
