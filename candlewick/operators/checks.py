@@ -190,8 +190,9 @@ class Check:
     * ``violation`` -- SQL row predicate; violations = rows where it is true;
     * ``distinct_of`` + ``violation`` -- violations = distinct values of that
       column among rows where the predicate is true (accepted_values);
-    * ``run`` -- maps the model DataFrames to violating rows (keys, windows,
-      joins).
+    * ``unique_keys`` -- violations = key values (NULL-free) held by more than
+      one row;
+    * ``run`` -- maps the model DataFrames to violating rows (windows, joins).
     """
 
     model: str
@@ -199,9 +200,35 @@ class Check:
     column: str
     violation: str | None = None
     distinct_of: str | None = None
+    unique_keys: tuple[str, ...] | None = None
     run: Callable[[dict[str, DataFrame]], DataFrame] | None = None
 
 
+def duplicate_counts(df: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> DataFrame:
+    """For each key set: how many key values (without NULLs) occur more than
+    once -- all sets in ONE scan and ONE partial aggregate.
+
+    Every row is tagged once per key set (columns outside the set blanked),
+    rows with a NULL key in their set are dropped, then rows per (set, key)
+    are counted map-side first, so a hot key is combined before the shuffle.
+    Returns one row with columns d0, d1, ... in ``key_sets`` order.
+    """
+    cols = list(dict.fromkeys(c for ks in key_sets for c in ks))
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    tags = []
+    for i, ks in enumerate(key_sets):
+        fields = [f"'_set', {i}"] + [
+            f"'{c}', " + (f"`{c}`" if c in ks else f"CAST(NULL AS {types[c]})") for c in cols
+        ]
+        valid = " AND ".join(f"`{c}` IS NOT NULL" for c in ks)
+        tags.append(f"IF({valid}, named_struct({', '.join(fields)}), NULL)")
+    exploded = df.selectExpr(f"explode(array_compact(array({', '.join(tags)}))) AS _t").select("_t.*")
+    groups = exploded.groupBy("_set", *cols).count().filter("count > 1")
+    return groups.selectExpr(
+        *[f"CAST(count_if(_set = {i}) AS BIGINT) AS d{i}" for i in range(len(key_sets))]
+    )
+
+
 def run_checks(models: dict[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
     """(model, check_name, column_name, violations, status) for every check.
 
@@ -212,7 +239,11 @@ def run_checks(models: dict[str, DataFrame], suite: Sequence[Check]) -> DataFram
     spark = next(iter(models.values())).sparkSession
     parts: list[DataFrame] = []
     fused: dict[str, list[Check]] = {}
+    uniques: dict[str, list[Check]] = {}
     for chk in suite:
+        if chk.unique_keys is not None:
+            uniques.setdefault(chk.model, []).append(chk)
+            continue
         if chk.run is None:
             fused.setdefault(chk.model, []).append(chk)
             continue
@@ -242,6 +273,17 @@ def run_checks(models: dict[str, DataFrame], suite: Sequence[Check]) -> DataFram
                 f"stack({len(chks)}, {triples}) AS (check_name, column_name, violations)",
             )
         )
+    for model, chks in uniques.items():
+        sets = list(dict.fromkeys(tuple(c.unique_keys) for c in chks))
+        triples = ", ".join(
+            f"{_sql_str(c.name)}, {_sql_str(c.column)}, d{sets.index(tuple(c.unique_keys))}" for c in chks
+        )
+        parts.append(
+            duplicate_counts(models[model], sets).selectExpr(
+                f"{_sql_str(model)} AS model",
+                f"stack({len(chks)}, {triples}) AS (check_name, column_name, violations)",
+            )
+        )
     if not parts:
         return spark.createDataFrame(
             [], "model string, check_name string, column_name string, violations long, status string"

@@ -58,7 +58,7 @@ def default_suite(
         suite += [C.Check(model, "not_null", c, violation=C.is_null(c)) for c in cols]
 
     def unique(model: str, column: str, keys: Sequence[str]) -> C.Check:
-        return C.Check(model, "unique", column, run=lambda m: C.check_unique(m[model], keys))
+        return C.Check(model, "unique", column, unique_keys=tuple(keys))
 
     within_series = lambda col: [*SERIES_KEY, col]
     suite += [
@@ -96,15 +96,12 @@ def default_suite(
     ]
     key = ",".join(NATURAL_KEY)
     suite += [
-        C.Check("stg_klines", "unique_natural_key", key, run=lambda m: C.check_unique_natural_key(m["stg_klines"])),
+        C.Check("stg_klines", "unique_natural_key", key, unique_keys=NATURAL_KEY),
         C.Check("stg_klines", "no_negative_volume", "volume", violation=C.NEGATIVE_VOLUME),
         C.Check("stg_klines", "ohlc_consistency", "high,low", violation=C.OHLC_INCONSISTENT),
-        C.Check("fact_prices", "unique_natural_key", key, run=lambda m: C.check_unique_natural_key(m["fact_prices"])),
+        C.Check("fact_prices", "unique_natural_key", key, unique_keys=NATURAL_KEY),
         C.Check("fact_prices", "no_hourly_gaps", "open_time_utc", run=lambda m: C.check_no_gaps(m["fact_prices"], block_rows=block_rows)),
-        C.Check(
-            "fact_price_features", "unique_natural_key", key,
-            run=lambda m: C.check_unique_natural_key(m["fact_price_features"]),
-        ),
+        C.Check("fact_price_features", "unique_natural_key", key, unique_keys=NATURAL_KEY),
         C.Check(
             "fact_price_features", "first_return_null", "return_1h",
             run=lambda m: C.check_first_return_null(m["fact_price_features"]),

@@ -85,3 +85,13 @@ def test_suite_summary(g01):
         ("stg_klines", "unique_natural_key", key): 1642,
         ("fact_prices", "no_hourly_gaps", "open_time_utc"): 300,
     }
+
+
+def test_duplicate_counts_several_key_sets(spark):
+    rows = [("a", 1, "x")] * 500 + [("a", 2, "x"), ("b", 1, None), ("b", 1, None), (None, 3, "y"), (None, 3, "y")]
+    df = spark.createDataFrame(rows, "k string, t int, v string")
+    out = checks.duplicate_counts(df, [("k", "t"), ("k",), ("v",), ("t", "v")]).first()
+    # (k, t): (a,1) and (b,1) repeat; NULL k never judged
+    # (k,): a and b; (v,): x and y; (t, v): (1, x) and (3, y) -- (1, NULL) not judged
+    assert (out["d0"], out["d1"], out["d2"], out["d3"]) == (2, 2, 2, 2)
+    assert checks.check_unique(df, ["k", "t"]).count() == out["d0"]
