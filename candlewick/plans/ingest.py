@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from candlewick.functions import day_start_ms, lit_ts
 from candlewick.schema import RAW_COLUMNS, RAW_PARTITION_COLUMNS, SUPPORTED_INTERVALS, WATERMARK, WATERMARK_KEY
 from candlewick.sources import raw as raw_src
-from candlewick.session import ensure_session_conf
+from candlewick.session import ensure_checkpoint_dir, ensure_session_conf
 
 
 
@@ -242,6 +242,7 @@ def run_incremental(
     folder is rewritten at the end.
     """
     spark = landed.sparkSession
+    ensure_checkpoint_dir(spark)
     before = read_marks(spark, state_path).checkpoint(eager=True)
     scope = landed if keys is None else landed.join(keys, list(WATERMARK_KEY), "left_semi")
     starts = start_dates(before, bootstrap)

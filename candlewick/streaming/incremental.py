@@ -26,7 +26,7 @@ from candlewick.operators import marts, staging
 from candlewick.operators.validate import validate_rows
 from candlewick.plans import ingest, merge
 from candlewick.schema import RAW_COLUMNS, WATERMARK_KEY
-from candlewick.session import ensure_session_conf
+from candlewick.session import ensure_checkpoint_dir, ensure_session_conf
 from candlewick.sources.payload import enrich_raw, parse_klines
 
 LANDED = T.StructType(
@@ -69,6 +69,7 @@ def process_batch(
     ingest.write_partitions(raw, raw_root)
     written = raw.groupBy(*WATERMARK_KEY).agg(F.max("open_time_ms").alias("last_open_time_ms"))
     spark = landed.sparkSession
+    ensure_checkpoint_dir(spark)
     current = ingest.read_marks(spark, state_path)
     # a mark only moves forward (a late, older day does not pull it back)
     merged = (
