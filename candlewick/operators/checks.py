@@ -192,6 +192,8 @@ class Check:
       column among rows where the predicate is true (accepted_values);
     * ``unique_keys`` -- violations = key values (NULL-free) held by more than
       one row;
+    * ``references`` = (parent model, parent field) -- violations = rows whose
+      non-NULL ``column`` has no match in the parent;
     * ``run`` -- maps the model DataFrames to violating rows (windows, joins).
     """
 
@@ -201,9 +203,32 @@ class Check:
     violation: str | None = None
     distinct_of: str | None = None
     unique_keys: tuple[str, ...] | None = None
+    references: tuple[str, str] | None = None
     run: Callable[[dict[str, DataFrame]], DataFrame] | None = None
 
 
+def missing_reference_counts(
+    child: DataFrame, refs: Sequence[tuple[str, DataFrame, str]]
+) -> DataFrame:
+    """For each (child column, parent, parent field): child rows whose
+    non-NULL value has no parent -- ONE pass over the child.
+
+    The child's columns are left-joined with each parent's distinct keys
+    (each child row matches at most one key, so rows are neither lost nor
+    repeated; parents are dimensions, broadcast by adaptive execution when
+    small), then one aggregate counts the misses. Returns one row with
+    columns r0, r1, ... in ``refs`` order.
+    """
+    cols = list(dict.fromkeys(c for c, _, _ in refs))
+    joined = child.select(*cols)
+    for i, (col, parent, field) in enumerate(refs):
+        keys = parent.select(F.col(field).alias(f"_k{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+        joined = joined.join(keys, F.col(col) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+    return joined.selectExpr(
+        *[f"CAST(count_if(`{col}` IS NOT NULL AND _hit{i} IS NULL) AS BIGINT) AS r{i}" for i, (col, _, _) in enumerate(refs)]
+    )
+
+
 def duplicate_counts(df: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> DataFrame:
     """For each key set: how many key values (without NULLs) occur more than
     once -- all sets in ONE scan and ONE partial aggregate.
@@ -240,7 +265,11 @@ def run_checks(models: dict[str, DataFrame], suite: Sequence[Check]) -> DataFram
     parts: list[DataFrame] = []
     fused: dict[str, list[Check]] = {}
     uniques: dict[str, list[Check]] = {}
+    references: dict[str, list[Check]] = {}
     for chk in suite:
+        if chk.references is not None:
+            references.setdefault(chk.model, []).append(chk)
+            continue
         if chk.unique_keys is not None:
             uniques.setdefault(chk.model, []).append(chk)
             continue
@@ -273,6 +302,15 @@ def run_checks(models: dict[str, DataFrame], suite: Sequence[Check]) -> DataFram
                 f"stack({len(chks)}, {triples}) AS (check_name, column_name, violations)",
             )
         )
+    for model, chks in references.items():
+        refs = [(c.column, models[c.references[0]], c.references[1]) for c in chks]
+        triples = ", ".join(f"{_sql_str(c.name)}, {_sql_str(c.column)}, r{i}" for i, c in enumerate(chks))
+        parts.append(
+            missing_reference_counts(models[model], refs).selectExpr(
+                f"{_sql_str(model)} AS model",
+                f"stack({len(chks)}, {triples}) AS (check_name, column_name, violations)",
+            )
+        )
     for model, chks in uniques.items():
         sets = list(dict.fromkeys(tuple(c.unique_keys) for c in chks))
         triples = ", ".join(

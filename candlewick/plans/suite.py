@@ -84,9 +84,7 @@ def default_suite(
     ]
 
     def rel(model: str, column: str, parent: str, field: str) -> C.Check:
-        return C.Check(
-            model, "relationships", column, run=lambda m: C.check_relationships(m[model], column, m[parent], field)
-        )
+        return C.Check(model, "relationships", column, references=(parent, field))
 
     suite += [
         rel("fact_prices", "symbol", "dim_symbol", "symbol"),

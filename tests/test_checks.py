@@ -95,3 +95,14 @@ def test_duplicate_counts_several_key_sets(spark):
     # (k,): a and b; (v,): x and y; (t, v): (1, x) and (3, y) -- (1, NULL) not judged
     assert (out["d0"], out["d1"], out["d2"], out["d3"]) == (2, 2, 2, 2)
     assert checks.check_unique(df, ["k", "t"]).count() == out["d0"]
+
+
+def test_missing_reference_counts(spark):
+    child = spark.createDataFrame(
+        [("a", 1)] * 300 + [("b", 2), ("z", 1), (None, 9), ("z", None)], "sym string, day int"
+    )
+    syms = spark.createDataFrame([("a",), ("a",), ("b",)], "symbol string")  # duplicate parent key
+    days = spark.createDataFrame([(1,), (2,)], "d int")
+    out = checks.missing_reference_counts(child, [("sym", syms, "symbol"), ("day", days, "d")]).first()
+    assert (out["r0"], out["r1"]) == (2, 1)  # two 'z' rows; one day 9; NULLs never judged
+    assert checks.check_relationships(child, "sym", syms, "symbol").count() == out["r0"]
