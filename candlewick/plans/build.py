@@ -34,11 +34,12 @@ DAY_TABLE_ORDER = ("open_date", "symbol", "bar_interval", "open_time_utc")
 
 
 def write_day_table(df: DataFrame, path: str, dynamic: bool = False) -> None:
-    """Day-partitioned table: range slices over (day, series, time) keep tasks
-    balanced even when one day or series dominates; files sorted for
-    row-group skipping."""
+    """Day-partitioned table: a rebalancing shuffle on the day (adaptive
+    execution splits an oversized day over several tasks and coalesces small
+    ones; no sampling pass re-runs the stage below), files sorted by series
+    for row-group skipping."""
     (
-        df.repartitionByRange(*DAY_TABLE_ORDER)
+        df.hint("rebalance", "open_date")
         .sortWithinPartitions(*DAY_TABLE_ORDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")

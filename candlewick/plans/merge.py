@@ -98,12 +98,12 @@ def read_fact_prices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_fact_prices(df: DataFrame, path: str, dynamic: bool = True) -> None:
-    """Day-partitioned table; balanced range slices sorted by series."""
-    order = ("open_date", "symbol", "bar_interval", "open_time_utc")
+    """Day-partitioned table: rebalanced on the day (oversized days split by
+    adaptive execution, no sampling pass), files sorted by series."""
     (
         df.select(*FACT_PRICES_COLUMNS)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        .hint("rebalance", "open_date")
+        .sortWithinPartitions("open_date", "symbol", "bar_interval", "open_time_utc")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy("open_date")

@@ -52,17 +52,15 @@ def raw_records(landed: DataFrame) -> DataFrame:
 def write_raw_table(raw: DataFrame, path: str) -> None:
     """Full rebuild of the raw table (truncate + load), day-partitioned.
 
-    One range shuffle on (day, symbol, interval, open time): tasks get
-    contiguous, balanced slices, so a big day or a hot symbol is split over
-    several files instead of landing in one task, and each file is sorted so
-    Parquet row-group min/max statistics cluster by series.
+    One rebalancing shuffle on the day: adaptive execution splits a day that
+    is too big for one task (a hot symbol, a heavy day) over several tasks and
+    coalesces small days, with no sampling pass over the input; each file is
+    sorted so Parquet row-group min/max statistics cluster by series.
     """
     table = raw_records(raw).withColumn("open_date", F.to_date("open_time_utc"))
-    # load columns last: repeated loads of one bar can still be split
-    order = ("open_date", "symbol", "interval", "open_time_utc", "loaded_at", "batch_id")
     (
-        table.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        table.hint("rebalance", "open_date")
+        .sortWithinPartitions("open_date", "symbol", "interval", "open_time_utc")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("open_date")
