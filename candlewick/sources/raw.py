@@ -72,3 +72,15 @@ def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
     ensure_session_conf(spark)
     schema = T.StructType(RAW_KLINES.fields + [T.StructField("open_date", T.DateType(), True)])
     return spark.read.schema(schema).parquet(path).select(*RAW_COLUMNS, "open_date")
+
+
+def load_raw_table(spark: SparkSession, landing_root: str, table_path: str, glob: str | None = None) -> DataFrame:
+    """K3: rebuild the raw table from the raw zone (truncate + load).
+
+    By default the whole root is loaded, so every symbol and interval stays in
+    the table; a narrower ``glob`` (e.g. one symbol's folders) loads only
+    those partitions -- and, as a full rebuild, drops everything else.
+    Returns the rebuilt table.
+    """
+    write_raw_table(raw_records(scan_raw(spark, landing_root, glob)), table_path)
+    return read_raw_table(spark, table_path)

@@ -118,3 +118,12 @@ def test_raw_table_rebuild(spark, tmp_root):
     # full rebuild truncates
     raw_src.write_raw_table(bars(spark, D1, 1), path)
     assert raw_src.read_raw_table(spark, path).count() == 1
+
+
+def test_load_raw_table_whole_root_or_glob(spark, tmp_root):
+    zone, table = os.path.join(tmp_root, "zone"), os.path.join(tmp_root, "raw_klines")
+    ingest.write_partitions(bars(spark, D1, 48).unionByName(bars(spark, D1, 24, symbol="ETHUSDT")), zone)
+    full = raw_src.load_raw_table(spark, zone, table)
+    assert full.count() == 72 and full.select("symbol").distinct().count() == 2
+    one = raw_src.load_raw_table(spark, zone, table, "source=*/dataset=klines/symbol=ETHUSDT/interval=1h/date=*")
+    assert one.count() == 24 and {r[0] for r in one.select("symbol").distinct().collect()} == {"ETHUSDT"}
