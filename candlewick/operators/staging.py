@@ -35,10 +35,12 @@ def latest_per_key(
 
     ``row_number() = 1`` is planned as WindowGroupLimit Partial *before* the
     shuffle, so however many copies a hot key has, each map task forwards at
-    most one of them. ``batch_id`` breaks ties in ``loaded_at``
-    deterministically (DESC puts NULLs last).
+    most one of them. ``batch_id`` breaks ties in ``loaded_at`` (DESC puts
+    NULLs last); a hash of the row's values breaks what remains, so a retried
+    task keeps the same version as the first attempt would have.
     """
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    content = F.xxhash64(*[F.col(c) for c in stg.columns if c not in keys])
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order], content.desc())
     return (
         stg.withColumn("_rn", F.row_number().over(w))
         .filter(F.col("_rn") == 1)
