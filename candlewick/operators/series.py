@@ -46,17 +46,16 @@ def with_positions(
 ) -> DataFrame:
     """Add ``_pos``, the 1-based position of each row in its series.
 
-    The per-(series, day) counts are read off the local row numbers (their
-    max), so both branches share one exchange of the input; the counts
-    aggregate needs no shuffle of its own (the window output is already
-    partitioned by its keys) and the offsets window runs on the small count
-    table.
+    Rows per (series, day) come from a partial aggregate over the key columns
+    only (on a stored table: a key-column scan); the offsets window runs on
+    that small count table. The join back needs no shuffle of the rows: the
+    row-numbering window already partitions them by the join keys.
     """
     bucket_col = F.col(bucket) if isinstance(bucket, str) else bucket
     df = df.withColumn("_bucket", bucket_col)
     keys = [*series, "_bucket"]
     local = df.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    counts = local.groupBy(*keys).agg(F.max("_local").alias("_n"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*series).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     # join on the window's own partition keys: the big side keeps its
