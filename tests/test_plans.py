@@ -69,3 +69,11 @@ def test_merge_prunes_target_days(spark, tmp_root):
 def test_day_tables_are_rebalanced(g01):
     df = g01.prices.hint("rebalance", "open_date")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(df)
+
+
+def test_feature_windows_share_one_sort(g01):
+    from candlewick.operators import marts
+
+    ops = tree(marts.price_features(g01.prices, block_rows=None))
+    top = ops[: ops.index("Exchange") + 1]  # everything above the series shuffle
+    assert top.count("Window") == 2 and top.count("Sort") == 1
