@@ -71,6 +71,7 @@ def build_marts(
     as_of: dt.datetime | None = None,
     full_refresh: bool = False,
     incremental_features: bool = False,
+    per_symbol: bool = False,
     block_rows: int | None | str = "auto",
     view_prefix: str | None = None,
 ) -> Build:
@@ -84,19 +85,21 @@ def build_marts(
 
     fact_path = b.path("fact_prices")
     exists = os.path.exists(os.path.join(fact_path, "_SUCCESS"))
-    touched_from = None
-    if exists and not full_refresh and incremental_features:
-        target = merge.read_fact_prices(spark, fact_path)
-        newest = target.agg(F.max("open_date")).first()[0]
-        touched_from = newest
-    b.merge_info = merge.merge_into(spark, fact_path, marts.fact_prices(norm), exists=exists, full_refresh=full_refresh)
+    b.merge_info = merge.merge_into(
+        spark, fact_path, marts.fact_prices(norm), exists=exists, full_refresh=full_refresh, per_symbol=per_symbol
+    )
+    incremental = exists and not full_refresh and incremental_features
+    touched_from = b.merge_info.get("first_day") if incremental else None
     prices = merge.read_fact_prices(spark, fact_path)
     if block_rows == "auto":  # decided on the stored fact: a key-column scan
         block_rows = choose_block_rows(prices)
     b.block_rows = block_rows
 
     feat_path = b.path("fact_price_features")
-    if touched_from is not None and os.path.exists(os.path.join(feat_path, "_SUCCESS")):
+    have_features = os.path.exists(os.path.join(feat_path, "_SUCCESS"))
+    if incremental and have_features and touched_from is None:
+        pass  # nothing merged: the stored features are current
+    elif incremental and have_features:
         hi = prices.agg(F.max("open_date")).first()[0]
         feats = marts.features_for_range(prices, touched_from, hi, block_rows=block_rows)
         write_day_table(feats, feat_path, dynamic=True)

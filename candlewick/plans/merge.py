@@ -125,7 +125,8 @@ def merge_into(
     First run (``exists=False``) or ``full_refresh``: rebuild from source.
     Otherwise: filter the source (see module doc), check schema and key
     uniqueness, merge only the touched days and overwrite those days.
-    Returns counts for the caller's log.
+    Returns the mode and ``first_day``, the earliest day the merge touched
+    (None when nothing came in), for downstream incremental refreshes.
     """
     src = source.select(*FACT_PRICES_COLUMNS)
     if full_refresh or not exists:
@@ -136,6 +137,9 @@ def merge_into(
     newest = None if per_symbol else newest_bar(target)
     incoming = incremental_filter(src, target, per_symbol=per_symbol, newest=newest)
     assert_unique_keys(incoming, keys)
+    first_day = incoming.agg(F.min("open_date")).first()[0]  # one value
+    if first_day is None:
+        return {"mode": "merge", "first_day": None}
     # touched days: bounded by the calendar, one row per day. With the global
     # filter every touched day is >= the newest day, a literal bound that
     # prunes target partitions statically; the semi join (dynamic partition
@@ -149,4 +153,4 @@ def merge_into(
     staged = scratch_path(spark, "fact_prices_merge")
     merged.write.mode("overwrite").parquet(staged)
     write_fact_prices(spark.read.parquet(staged), target_path, dynamic=True)
-    return {"mode": "merge", "staged": staged}
+    return {"mode": "merge", "staged": staged, "first_day": first_day}

@@ -48,3 +48,20 @@ def test_incremental_features_equal_full_rebuild(spark, tmp_root):
     assert _same(a, b)
     # days before the newest target day were not rewritten
     assert a.filter(F.col("open_date") < F.lit(d + dt.timedelta(days=2))).count() == 48
+
+
+def test_incremental_features_with_new_symbol_history(spark, tmp_root):
+    """per_symbol merge: a new symbol arrives with history older than the
+    newest bar; the incremental refresh starts at its first day."""
+    d = dt.date(2024, 1, 1)
+    first = bars(spark, d, 24 * 4)
+    more = first.unionByName(bars(spark, d, 24 * 2, symbol="ETHUSDT", batch_id="t-2", price=50.0))
+    inc_root, full_root = os.path.join(tmp_root, "inc"), os.path.join(tmp_root, "full")
+    build.build_marts(spark, first, inc_root)
+    inc = build.build_marts(spark, more, inc_root, incremental_features=True, per_symbol=True)
+    assert inc.merge_info["first_day"] == d
+    full = build.build_marts(spark, more, full_root)
+    assert _same(inc.tables["fact_price_features"], full.tables["fact_price_features"])
+    # rebuilding with nothing new keeps the stored features
+    again = build.build_marts(spark, more, inc_root, incremental_features=True, per_symbol=True)
+    assert again.tables["fact_price_features"].count() == 24 * 6
