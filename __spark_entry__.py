@@ -59,7 +59,8 @@ def _g(spark: SparkSession, sf_dir: str) -> FixtureGraph:
     the DataFrames of the shared models are reused by every query."""
     key = (id(spark), os.path.abspath(sf_dir))
     g = _GRAPHS.get(key)
-    if g is None or g.spark is not spark or spark.sparkContext._jsc is None:
+    gone = g is not None and g.raw_path and "://" not in g.raw_path and not os.path.exists(g.raw_path)
+    if g is None or gone or g.spark is not spark or spark.sparkContext._jsc is None:
         g = _GRAPHS[key] = FixtureGraph(spark, sf_dir, as_of=AS_OF)
     return g
 

@@ -99,10 +99,11 @@ class FixtureGraph(ModelGraph):
         self.sf_dir = sf_dir
         self.events = fixtures.load_table(spark, sf_dir, "events")
         raw = fixtures.raw_klines(self.events)
+        self.raw_path = None
         if materialize:
-            path = scratch_path(spark, "raw_klines")
-            raw_src.write_raw_table(raw, path)
-            raw = raw_src.read_raw_table(spark, path)
+            self.raw_path = scratch_path(spark, "raw_klines")
+            raw_src.write_raw_table(raw, self.raw_path)
+            raw = raw_src.read_raw_table(spark, self.raw_path)
         super().__init__(raw, **kw)
 
     @cached_property
