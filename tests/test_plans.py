@@ -77,3 +77,16 @@ def test_feature_windows_share_one_sort(g01):
     ops = tree(marts.price_features(g01.prices, block_rows=None))
     top = ops[: ops.index("Exchange") + 1]  # everything above the series shuffle
     assert top.count("Window") == 2 and top.count("Sort") == 1
+
+
+def test_raw_zone_predicates_prune_directories(spark, tmp_root):
+    from candlewick.plans import ingest
+    from candlewick.sources import raw as raw_src
+
+    ingest.write_partitions(bars(spark, dt.date(2024, 1, 1), 48), tmp_root)
+    scoped = raw_src.scan_raw(spark, tmp_root).filter(
+        (F.col("symbol") == "BTCUSDT") & (F.col("date") == F.lit(dt.date(2024, 1, 2)))
+    )
+    filters = [line for line in plan(scoped).splitlines() if "PartitionFilters" in line]
+    assert any("symbol" in line and "date" in line for line in filters)
+    assert scoped.count() == 24
