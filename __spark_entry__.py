@@ -9,6 +9,7 @@ differences do not show; the library itself never rounds.
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -208,11 +209,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_fact_prices": lambda s, d: _round(_merged(s, d)),
         "merge_full_refresh": lambda s, d: _round(merge.merge_rows(_merge_target(_g(s, d)), _g(s, d).prices, full_refresh=True)),
     }
+    for module in _add_ons():
+        q |= module.queries()
     return q
 
 
+def _add_ons() -> list:
+    """Modules that bring queries of their own, as far as they are installed."""
+    found = []
+    for name in ("candlewick.llm.queries", "corpus_pipeline"):
+        try:
+            found.append(importlib.import_module(name))
+        except ModuleNotFoundError as missing:
+            if not (missing.name or "").startswith(("candlewick.llm", "corpus_pipeline")):
+                raise
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
-    return _oracle.oracle_sql()
+    sql = _oracle.oracle_sql()
+    for module in _add_ons():
+        sql |= module.oracle_sql()
+    return sql
 
 
 __all__ = ["entry", "queries", "oracle_sql"]
