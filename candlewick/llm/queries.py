@@ -8,12 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontaminate, packing, repair, sharding
-from candlewick.llm.common import table
+from candlewick.llm import (
+    decontaminate, html_text, langid, lm, neardup, packing, repair, sharding, spotsigs, toxicity,
+)
+from candlewick.llm.common import crc_mod, table
 from candlewick.session import scratch_path
 
 
-def _tokenizer() -> str:
+def tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
@@ -21,12 +23,21 @@ def _tokenizer() -> str:
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-file")
-    repair.write(spark, table(spark, sf_dir, "documents"), path, _tokenizer(), end_id=1)
+    repair.write(spark, table(spark, sf_dir, "documents"), path, tokenizer(), end_id=1)
     return repair.read(spark, path, {"ids_crc32": F.crc32("ids")})
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(spark, table(spark, sf_dir, "documents"), _tokenizer(), capacity=2048, end_id=0)
+    return packing.pack_documents(spark, table(spark, sf_dir, "documents"), tokenizer(), capacity=2048, end_id=0)
+
+
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", crc_mod(F.col("doc_id"), 5) == 1)
+    return lm.score(spark, docs, "held_out")
+
+
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,17 +46,52 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_model(spark: SparkSession, docs: DataFrame) -> langid.Model:
+    return langid.fit(spark, docs.filter(crc_mod(F.col("doc_id"), 3) != 1))
+
+
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "text", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"))
+    return langid.identify(spark, rows, language_model(spark, docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(spark, table(spark, sf_dir, "documents")).drop("first", "text_hash")
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.find_hits(spark, docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(spark, docs.filter(crc_mod(F.col("doc_id"), 5) != 0), labels)
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "text", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"))
+    model = toxicity_model(spark, docs, table(spark, sf_dir, "labels"))
+    return toxicity.rate(spark, rows, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repair_token_file": op1,
         "op2_best_fit_packing": op2,
+        "op3_lm_scoring": op3,
+        "op4_html_text": op4,
         "op5_sharding": op5,
+        "op6_language_id": op6,
+        "op7_near_duplicates": op7,
         "op8_decontamination": op8,
+        "op9_toxicity": op9,
+        "op10_spotsigs": op10,
     }
 
 
