@@ -7,7 +7,8 @@ labelled texts are the instances; a sample of them are the landmarks of a
 Nyström approximation, in which a linear support vector machine is trained. As
 a toxic text need not be toxic throughout, training repeats with each toxic
 text's highest word as its witness and the highest words of clean texts as
-counterexamples. A text scores as its highest word, turned into a probability.
+counterexamples. A text's probability is a logistic function of its highest word,
+the number of its toxic words and their share.
 
 The decision function is a sum over landmarks of kernel values; the kernel
 counts letter triples, so the sum is kept as one weight for each triple.
@@ -30,13 +31,16 @@ TRIPLES = 1 << 15
 FLOOR = -1.0
 #: Digits and signs that stand for letters (fixed values).
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
+#: Stands for a word's start and end, which count as letters.
+EDGE = "\1"
+_OUTER = "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~"
 #: Three or more single characters in a row.
 _SPELLED = re.compile(r"(?<!\S)\S(?:\s\S(?!\S)){2,}")
 
 
 def _letters() -> np.ndarray:
     """Code point -> 1 to 26 for a to z in either case and what stands for them,
-    27 to 31 for other letters, 0 for anything else."""
+    27 to 30 for other letters, 31 for EDGE, 0 for anything else."""
     out = np.zeros(0x10000, np.uint8)
     for cp in range(0x10000):
         ch = chr(cp)
@@ -44,7 +48,8 @@ def _letters() -> np.ndarray:
         if "a" <= base <= "z":
             out[cp] = ord(base) - 96
         elif ch.isalpha():
-            out[cp] = 27 + ord(base) % 5
+            out[cp] = 27 + ord(base) % 4
+    out[ord(EDGE)] = 31
     return out
 
 
@@ -71,6 +76,7 @@ _PAD = 2 * GAP + 2
 def _occurrences(words: list[str]):
     """For each gap pattern: (triple at each character, weight), and where each
     word's characters begin. Triples with a character that is no letter are 0."""
+    words = [EDGE + w.replace(EDGE, "").strip(_OUTER) + EDGE for w in words]
     text = ("\0" * _PAD).join(words) + "\0" * _PAD
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     x = LETTERS[np.where(cp < 0x10000, cp, 0)].astype(np.int32)
@@ -122,8 +128,7 @@ def _dense(words: list[str]) -> np.ndarray:
 class Model:
     weights: np.ndarray  # one for each triple
     bias: float
-    slope: float
-    offset: float
+    curve: np.ndarray  # of the logistic function of a text's features, constant last
 
     def decide(self, words: list[str]) -> np.ndarray:
         """Decision value of each word, not below FLOOR."""
@@ -144,8 +149,18 @@ class Model:
                 out[i + near] = np.maximum(exact, FLOOR)
         return out
 
-    def probability(self, decision: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * decision + self.offset)))
+    def probability(self, features: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(features @ self.curve, -500, 500)))
+
+
+def features(values: np.ndarray) -> list[float]:
+    """A text's features from its words' decision values: the highest, how many
+    are toxic, and their share."""
+    hits = int((values > 0).sum())
+    return [
+        float(values.max()) if len(values) else FLOOR, float(np.log1p(hits)),
+        float(np.log((hits + 0.1) / (len(values) + 20))), 1.0,
+    ]
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, epochs: int = 40, seed: int = 3):
@@ -196,6 +211,12 @@ def _surprise(n1: np.ndarray, n0: np.ndarray, of1: int, of0: int) -> np.ndarray:
     return np.where(n1 / of1 > 4 * n0 / of0, 2 * (in_1 + in_0), 0.0)
 
 
+def _disguised(word: str) -> list[str]:
+    """A word with characters put between its letters, doubled or masked."""
+    m = len(word) // 2
+    return [".".join(word), "-".join(word), word[:m] + "-" + word[m:], word[:m] + word[m] + word[m:], word[:m] + "*" + word[m:]]
+
+
 def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int = 15_000, rounds: int = 3, share: float | None = None) -> Model:
     """Fit on (text, 0 or 1). ``share``: the toxic share of the population, if
     the sample's differs. Without texts of both kinds, a constant."""
@@ -206,7 +227,9 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
     y = np.array([label for _, label in texts])
     prior = share if share is not None else float(y.mean()) if len(y) else 0.0
     prior = min(max(prior, 1e-3), 1 - 1e-3)
-    constant = Model(np.zeros(TRIPLES), FLOOR, 0.0, float(np.log(prior / (1 - prior))))
+    # a constant model calls nothing toxic
+    flat = min(prior, 0.49)
+    constant = Model(np.zeros(TRIPLES), FLOOR, np.array([0.0, 0.0, 0.0, np.log(flat / (1 - flat))]))
     if not 0 < y.sum() < len(y):
         return constant
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
@@ -259,14 +282,15 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
     project = vectors[:, keep] / np.sqrt(values[keep])
     x0, positive = kernel(clean, dense) @ project, list(good)
     hard: list[str] = []
+    hidden = sorted({v for w in tried[:60] for v in _disguised(w.strip(_OUTER))} - set(clean))
     model = constant
     for _ in range(rounds):
-        x1, xh = kernel(positive, dense) @ project, kernel(hard, dense) @ project
+        x1, xh = kernel(positive + hidden, dense) @ project, kernel(hard, dense) @ project
         x = np.concatenate([x1, x0, xh])
         label = np.concatenate([np.ones(len(x1)), -np.ones(len(x0) + len(xh))])
         cost = np.where(label > 0, len(label) / (2 * len(x1)), len(label) / (2 * (len(x0) + len(xh))))
         w, b = _svm(x, label, cost)
-        model = Model(dense @ (project @ w), float(b), 1.0, 0.0)
+        model = Model(dense @ (project @ w), float(b), np.zeros(4))
         value = model.decide(every)
         best = []
         for at in inside:
@@ -275,22 +299,19 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
         witness = {w for (f, w), t in zip(best, y) if t and f > 0}
         positive = sorted(witness | set(good))
         hard = sorted(set(hard) | {w for (f, w), t in zip(best, y) if not t and f > -0.9 and w} - set(good))
-    # logistic curve over the texts' highest words, weighted to the population
-    f = np.array([v for v, _ in best])
+    # logistic function of the texts' features, weighted to the population
+    x = np.array([features(value[[number[w] for w in split(t)]]) for t, _ in texts])
     weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    slope, offset = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-(slope * f + offset)))
-        g = weight * (p - target)
-        h = np.maximum(weight * p * (1 - p), 1e-9)
-        hess = np.array([[(h * f * f).sum() + 1e-3, (h * f).sum()], [(h * f).sum(), h.sum() + 1e-3]])
-        move = np.linalg.solve(hess, [(g * f).sum() + 1e-3 * slope, g.sum()])
-        move *= min(1.0, 1.0 / np.abs(move).max()) if np.abs(move).max() else 1.0
-        slope, offset = slope - move[0], offset - move[1]
+    ridge = np.diag([1e-2, 1e-2, 1e-2, 0])
+    for _ in range(100):
+        p = model.probability(x)
+        hess = (x * (np.maximum(weight * p * (1 - p), 1e-9))[:, None]).T @ x + ridge + 1e-9 * np.eye(4)
+        move = np.linalg.solve(hess, (weight * (p - target)) @ x + ridge @ model.curve)
+        move *= min(1.0, 1.0 / max(np.abs(move).max(), 1e-12))
+        model.curve = model.curve - move
         if np.abs(move).max() < 1e-6:
             break
-    model.slope, model.offset = float(max(slope, 0.0)), float(offset)
     return model
 
 
@@ -327,14 +348,14 @@ class _Scorer:
         found = [list(map(get, ws)) for ws in bags]
         new = sorted({w for ws, fs in zip(bags, found) if None in fs for w, f in zip(ws, fs) if f is None})
         values = dict(zip(new, self.model.decide(new).tolist()))
-        best = np.full(len(texts), FLOOR)
-        for i, (ws, fs) in enumerate(zip(bags, found)):
-            if ws:
-                best[i] = max(fs) if None not in fs else max(values[w] if f is None else f for w, f in zip(ws, fs))
+        x = [
+            features(np.array(fs if None not in fs else [values[w] if f is None else f for w, f in zip(ws, fs)]))
+            for ws, fs in zip(bags, found)
+        ]
         if len(self.seen) > self.max_words:
             self.seen.clear()
         self.seen.update(values)
-        return self.model.probability(best)
+        return self.model.probability(np.array(x).reshape(-1, 4))
 
 
 def rate(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
