@@ -18,16 +18,17 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from candlewick.operators import checks, marts, serving, validate  # noqa: E402
 from candlewick.plans import ingest, merge  # noqa: E402
 from candlewick.plans.models import FixtureGraph  # noqa: E402
-from candlewick.plans.suite import default_suite, models_of  # noqa: E402
+from candlewick.plans.suite import default_suite  # noqa: E402
 from candlewick.sources import fixtures, payload, raw as raw_src  # noqa: E402
-from candlewick.session import scratch_path  # noqa: E402
+from candlewick.session import scratch_path, table_exists  # noqa: E402
+from candlewick.streaming import incremental  # noqa: E402
 import candlewick_oracle_sql as _oracle  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -40,6 +41,8 @@ MERGE_TARGET_BEFORE = "2024-01-20 00:00:00"
 BACKFILL_START, BACKFILL_END = dt.date(2024, 1, 5), dt.date(2024, 1, 10)
 INCREMENTAL_BOOTSTRAP, INCREMENTAL_END = dt.date(2024, 1, 1), dt.date(2024, 1, 20)
 LOADED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
+SHORT_CALENDAR_END = dt.date(2024, 1, 25)
+BLOCK_ROWS = 200
 
 
 def _round(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -58,11 +61,12 @@ _GRAPHS: dict[tuple[int, str], FixtureGraph] = {}
 def _g(spark: SparkSession, sf_dir: str) -> FixtureGraph:
     """One model graph per (session, scale): the raw table is loaded once and
     the DataFrames of the shared models are reused by every query."""
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (id(spark), sf_dir)
     g = _GRAPHS.get(key)
-    gone = g is not None and g.raw_path and "://" not in g.raw_path and not os.path.exists(g.raw_path)
+    gone = g is not None and not table_exists(spark, g.raw_path)
     if g is None or gone or g.spark is not spark or spark.sparkContext._jsc is None:
-        g = _GRAPHS[key] = FixtureGraph(spark, sf_dir, as_of=AS_OF)
+        # small blocks, so that series are split at every scale
+        g = _GRAPHS[key] = FixtureGraph(spark, sf_dir, as_of=AS_OF, block_rows=BLOCK_ROWS)
     return g
 
 
@@ -127,15 +131,65 @@ def _merge_target(g: FixtureGraph) -> DataFrame:
     )
 
 
-def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _merged(spark: SparkSession, sf_dir: str, full_refresh: bool = False) -> DataFrame:
+    """On disk: the target is written, merged into, and read back."""
     g = _g(spark, sf_dir)
-    return merge.merge_rows(_merge_target(g), merge.incremental_filter(g.prices, _merge_target(g)))
+    path = scratch_path(spark, "fact_prices")
+    merge.merge_into(spark, path, _merge_target(g))
+    merge.merge_into(spark, path, g.prices, full_refresh=full_refresh)
+    return merge.read_fact_prices(spark, path)
+
+
+def _merged_into_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _g(spark, sf_dir)
+    empty = _merge_target(g).limit(0)
+    return merge.merge_rows(empty, merge.incremental_filter(g.prices, empty))
+
+
+def _incremental_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, to 10 and to 20 January, over a raw zone that already holds a
+    later day; marks as read back after the second."""
+    rows = ingest.with_date(_enriched(_g(spark, sf_dir)))
+    root, state = scratch_path(spark, "raw-zone"), scratch_path(spark, "marks")
+    ingest.write_partitions(rows.filter(F.col("date") == F.lit(dt.date(2024, 1, 25))), root)
+    ingest.run_incremental(rows, root, state, INCREMENTAL_BOOTSTRAP, BACKFILL_END)
+    result = ingest.run_incremental(rows, root, state, INCREMENTAL_BOOTSTRAP, INCREMENTAL_END)
+    return result.marks_after.drop("updated_at")
+
+
+def _marks_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "marks")
+    ingest.write_marks(ingest.high_water_marks(_enriched(_g(spark, sf_dir)), updated_at=LOADED_AT), path)
+    return ingest.read_marks(spark, path)
+
+
+def _stream_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's bars land in two files of two micro-batches."""
+    raw = _g(spark, sf_dir).raw
+    root, state = scratch_path(spark, "raw-zone"), scratch_path(spark, "marks")
+    morning = F.hour("open_time_utc") < 12
+    for n, part in enumerate((raw.filter(morning), raw.filter(~morning))):
+        incremental.process_batch(fixtures.payloads(part), root, state, f"stream-{n:06d}", LOADED_AT)
+    return raw_src.scan_raw(spark, root).select(
+        "symbol", "interval", "open_time_ms", "open", "high", "low", "close", "volume", "number_of_trades", "date"
+    )
+
+
+def _coverage_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's own order, as positions (ids of a sorted result ascend)."""
+    report = serving.coverage_by_day(_g(spark, sf_dir).prices).withColumn("_id", F.monotonically_increasing_id())
+    # one row a series and day
+    position = F.row_number().over(Window.orderBy("_id")).cast("long")
+    return report.select(position.alias("position"), "symbol", "bar_interval", "open_date", "bars_count")
 
 
 def _check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data tests over the stored tables of the build."""
     g = _g(spark, sf_dir)
-    suite = default_suite(symbols=_oracle.SYMBOLS, block_rows=g.block_rows)
-    return checks.run_checks(models_of(g, CALENDAR_TODAY), suite)
+    return checks.run_checks(
+        {**g.stored.tables, "dim_calendar": g.dim_calendar(CALENDAR_TODAY)},
+        default_suite(symbols=_oracle.SYMBOLS, block_rows=g.block_rows),
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -171,15 +225,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_symbol": lambda s, d: _g(s, d).dim_symbol,
         "dim_calendar": lambda s, d: _g(s, d).dim_calendar(CALENDAR_TODAY),
         # serving and reports
-        "dashboard_price_timeseries": lambda s, d: _round(_g(s, d).timeseries),
-        "feature_extract": lambda s, d: _round(serving.feature_extract(_g(s, d).timeseries)),
-        "dashboard_daily_summary": lambda s, d: _round(_g(s, d).daily_summary),
-        "dashboard_data_status": lambda s, d: _round(_g(s, d).data_status),
-        "latest_status": lambda s, d: _round(serving.latest_status(_g(s, d).data_status)),
+        "dashboard_price_timeseries": lambda s, d: _round(_g(s, d).stored.tables["dashboard_price_timeseries"]),
+        "feature_extract": lambda s, d: _round(serving.feature_extract(_g(s, d).stored.tables["dashboard_price_timeseries"])),
+        "dashboard_daily_summary": lambda s, d: _round(_g(s, d).stored.tables["dashboard_daily_summary"]),
+        "dashboard_data_status": lambda s, d: _round(_g(s, d).stored.tables["dashboard_data_status"]),
+        "latest_status": lambda s, d: _round(serving.latest_status(_g(s, d).stored.tables["dashboard_data_status"])),
         "data_coverage_by_day": lambda s, d: serving.coverage_by_day(_g(s, d).prices),
-        "data_contract_check": lambda s, d: _round(serving.contract_check(_g(s, d).timeseries)),
+        "data_contract_check": lambda s, d: _round(serving.contract_check(_g(s, d).stored.tables["dashboard_price_timeseries"])),
         "validate_raw": lambda s, d: serving.validate_raw(_g(s, d).raw),
-        "validate_marts": lambda s, d: serving.validate_marts(_g(s, d).features),
+        "validate_marts": lambda s, d: serving.validate_marts(_g(s, d).stored.tables["fact_price_features"]),
         "usage_last_7_days": lambda s, d: serving.usage(_g(s, d).jobs, USAGE_AS_OF),
         "usage_by_day": lambda s, d: serving.usage(_g(s, d).jobs, USAGE_AS_OF, by_user=False),
         "source_freshness": lambda s, d: _round(checks.source_freshness(_g(s, d).raw, AS_OF)),
@@ -193,7 +247,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _g(s, d).dirty, "symbol", _g(s, d).dim_symbol, "symbol"
         ),
         "check_relationships_calendar": lambda s, d: checks.check_relationships(
-            _g(s, d).features, "open_date", _g(s, d).dim_calendar(CALENDAR_TODAY), "calendar_date"
+            _g(s, d).features, "open_date",
+            marts.dim_calendar(_g(s, d).stg.filter(F.col("open_date") <= F.lit(SHORT_CALENDAR_END)), CALENDAR_TODAY),
+            "calendar_date",
         ),
         "check_unique_natural_key": lambda s, d: checks.check_unique_natural_key(_g(s, d).stg),
         "check_no_negative_volume": lambda s, d: _round(checks.check_no_negative_volume(_g(s, d).dirty)),
@@ -207,7 +263,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_summary": lambda s, d: _check_summary(s, d),
         # incremental merge and full refresh of fact_prices
         "merge_fact_prices": lambda s, d: _round(_merged(s, d)),
-        "merge_full_refresh": lambda s, d: _round(merge.merge_rows(_merge_target(_g(s, d)), _g(s, d).prices, full_refresh=True)),
+        "merge_full_refresh": lambda s, d: _round(_merged(s, d, full_refresh=True)),
+        "merge_empty_target": lambda s, d: _round(_merged_into_empty(s, d)),
+        # state and raw zone after several runs
+        "run_incremental_marks": _incremental_marks,
+        "marks_read_back": _marks_read_back,
+        "stream_two_batches": lambda s, d: _round(_stream_two_batches(s, d)),
+        "coverage_report_order": _coverage_in_order,
     }
     for module in _add_ons():
         q |= module.queries()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import hours_between, lit_ts
-from candlewick.operators.series import DEFAULT_BLOCK_ROWS, series_window
+from candlewick.operators.series import DEFAULT_BLOCK_ROWS, expand_copies, series_window
 from candlewick.schema import (
     FRESHNESS_ERROR_DAYS,
     FRESHNESS_WARN_DAYS,
@@ -71,9 +71,11 @@ def check_accepted_values(df: DataFrame, column: str, values: Iterable[str]) ->
 def check_relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose non-NULL ``column`` has no ``field`` in ``parent``."""
     keys = parent.select(F.col(field).alias(column)).distinct()
-    return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti").select(
-        F.col(column).alias("from_field")
-    )
+    # distinct child values (map-side first) decide which are missing; only rows
+    # with such a value come back, and a hot value that is present none
+    values = child.select(column).filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    missing = values.join(keys, column, "left_anti")
+    return expand_copies(missing.select(F.col(column).alias("from_field"), "_rows"), "_rows")
 
 
 # Row-level violations as Spark SQL predicates: a check is
@@ -120,7 +122,7 @@ def check_ohlc_consistency(stg: DataFrame) -> DataFrame:
 
 
 def check_no_gaps(
-    prices: DataFrame, step_hours: int = 1, block_rows: int | None = DEFAULT_BLOCK_ROWS
+    prices: DataFrame, step_hours: int = 1, block_rows: int = DEFAULT_BLOCK_ROWS
 ) -> DataFrame:
     """Bars whose predecessor in the series is not exactly ``step_hours``
     whole hours earlier."""
@@ -139,14 +141,14 @@ def check_no_gaps(
 def check_first_return_null(features: DataFrame) -> DataFrame:
     """First bar of each series must have no return.
 
-    The first bar is found by a partial-aggregated min per series and a join
-    on the (unique) natural key -- no window over a whole series.
+    The first row of each series is itself the result of a partial aggregate
+    (``min_by`` of the row), so nothing is joined and at most one row of each
+    series leaves a map task. Keys are unique, so there is one first bar.
     """
-    first = features.groupBy(*SERIES_KEY).agg(F.min("open_time_utc").alias("open_time_utc"))
-    return (
-        features.filter(F.col("return_1h").isNotNull())
-        .join(first, list(NATURAL_KEY), "left_semi")
-        .withColumn("row_number_ascending", F.lit(1).cast("long"))
+    row = F.struct(*[F.col(c) for c in features.columns])
+    first = features.groupBy(*SERIES_KEY).agg(F.min_by(row, "open_time_utc").alias("_row"))
+    return first.select("_row.*").filter(F.col("return_1h").isNotNull()).withColumn(
+        "row_number_ascending", F.lit(1).cast("long")
     )
 
 
@@ -220,12 +222,17 @@ def missing_reference_counts(
     columns r0, r1, ... in ``refs`` order.
     """
     cols = list(dict.fromkeys(c for c, _, _ in refs))
-    joined = child.select(*cols)
+    # values are counted map-side first: the joins see a row for each
+    # combination of values, not each child row, whatever key is hot
+    joined = child.groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
     for i, (col, parent, field) in enumerate(refs):
         keys = parent.select(F.col(field).alias(f"_k{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
         joined = joined.join(keys, F.col(col) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
     return joined.selectExpr(
-        *[f"CAST(count_if(`{col}` IS NOT NULL AND _hit{i} IS NULL) AS BIGINT) AS r{i}" for i, (col, _, _) in enumerate(refs)]
+        *[
+            f"CAST(coalesce(sum(IF(`{col}` IS NOT NULL AND _hit{i} IS NULL, _rows, 0)), 0) AS BIGINT) AS r{i}"
+            for i, (col, _, _) in enumerate(refs)
+        ]
     )
 
 

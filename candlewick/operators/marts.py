@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import guarded_log_ratio, safe_divide
-from candlewick.operators.series import DEFAULT_BLOCK_ROWS, series_window
+from candlewick.operators.series import DEFAULT_BLOCK_ROWS, expand_copies, series_window
 from candlewick.schema import (
     ASSET_CLASS,
     EXCHANGE,
@@ -57,7 +57,7 @@ def _feature_columns(df: DataFrame, w: Window, rows: int) -> DataFrame:
     )
 
 
-def price_features(prices: DataFrame, rows: int = ROLLING_ROWS, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+def price_features(prices: DataFrame, rows: int = ROLLING_ROWS, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """fact_prices -> fact_price_features (27 columns).
 
     Previous close/volume by ``lag``; returns with NULL on zero divisors; log
@@ -74,24 +74,43 @@ def price_features(prices: DataFrame, rows: int = ROLLING_ROWS, block_rows: int
     return out.select(*FACT_PRICE_FEATURES_COLUMNS)
 
 
-def halo_start(prices: DataFrame, start: dt.date, rows: int = ROLLING_ROWS) -> dt.date | None:
+def halo_start(
+    prices: DataFrame, start: dt.date, rows: int = ROLLING_ROWS, look_back_days: int = 8
+) -> dt.date | None:
     """Earliest day holding one of the last ``rows`` bars before ``start`` in
-    any series (exact under gaps of any length).
+    any series (exact under gaps of any length). None when nothing precedes.
 
-    Rows per (series, day) before ``start`` is a partial aggregate over key
-    columns only; the running count from the newest day backwards runs over
-    that small table. Returns None when nothing precedes ``start``.
+    Rows per (series, day) are a partial aggregate over key columns; the running
+    count from the newest day backwards runs over that small table. Days are
+    looked at ``look_back_days`` back, then four times as far, until every
+    series has its rows or the days before that hold none.
     """
-    counts = (
-        prices.filter(F.col("open_date") < F.lit(start))
-        .groupBy(*SERIES_KEY, "open_date")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    before = prices.filter(F.col("open_date") < F.lit(start))
+    oldest = before.agg(F.min("open_date")).first()[0]  # partition column of a stored table
+    if oldest is None:
+        return None
     newer = Window.partitionBy(*SERIES_KEY).orderBy(F.col("open_date").desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    later = counts.withColumn("_later", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
-    return later.filter(F.col("_later") < rows).agg(F.min("open_date")).first()[0]
+    while True:
+        low = max(oldest, start - dt.timedelta(days=look_back_days))
+        counts = (
+            before.filter(F.col("open_date") >= F.lit(low)).groupBy(*SERIES_KEY, "open_date")
+            .agg(F.count(F.lit(1)).alias("_n"))
+        )
+        if low > oldest:
+            # series that exist before, with what they have in these days
+            total = counts.groupBy(*SERIES_KEY).agg(F.sum("_n").alias("_total"))
+            earlier = before.filter(F.col("open_date") < F.lit(low)).select(*SERIES_KEY).distinct()
+            same = [F.col(f"e.{c}").eqNullSafe(F.col(f"t.{c}")) for c in SERIES_KEY]
+            short = earlier.alias("e").join(total.alias("t"), same, "left").filter(
+                F.coalesce("_total", F.lit(0)) < rows
+            )
+            if not short.isEmpty():
+                look_back_days *= 4
+                continue
+        later = counts.withColumn("_later", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
+        return later.filter(F.col("_later") < rows).agg(F.min("open_date")).first()[0]
 
 
 def features_for_range(
@@ -100,7 +119,7 @@ def features_for_range(
     end: dt.date,
     rows: int = ROLLING_ROWS,
     lookback_days: int | None = None,
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
     """Features for bars with ``start <= open_date <= end`` only.
 
@@ -128,20 +147,7 @@ _HOURLY_ORDER = (
 )
 
 
-def expand_copies(df: DataFrame, copies: str, chunk_rows: int = 10_000) -> DataFrame:
-    """Emit each row ``copies`` times without one task generating a huge
-    group: a row is first cut into chunks of at most ``chunk_rows`` copies,
-    the chunks are spread over tasks by hash, and each chunk explodes."""
-    n = F.col(copies)
-    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.ceil(n / chunk_rows).cast("int") - 1)))
-    sized = chunks.withColumn("_k", F.least(F.lit(chunk_rows), n - F.col("_chunk") * chunk_rows).cast("int"))
-    spread = sized.repartition(*[c for c in df.columns if c != copies], "_chunk")
-    return spread.withColumn("_one", F.explode(F.array_repeat(F.lit(1), F.col("_k")))).drop(
-        "_chunk", "_k", "_one", copies
-    )
-
-
-def price_hourly(stg: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+def price_hourly(stg: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """staging -> fact_price_hourly: previous close and 1h return per series,
     one output row per staging row.
 

@@ -31,9 +31,6 @@ from candlewick.schema import SERIES_KEY
 # over the shuffle partitions; the halo costs halo/block_rows extra rows
 # (24 / 100,000 = 0.024 %).
 DEFAULT_BLOCK_ROWS = 100_000
-# A series up to this many rows is windowed whole in one task (seconds of
-# work); a longer one would straggle, so it is split into blocks.
-PLAIN_MAX_ROWS = 1_000_000
 
 POS, BLOCK, HALO = "_pos", "_block", "_halo"
 
@@ -52,38 +49,24 @@ def with_positions(
     row-numbering window already partitions them by the join keys.
     """
     bucket_col = F.col(bucket) if isinstance(bucket, str) else bucket
-    df = df.withColumn("_bucket", bucket_col)
-    keys = [*series, "_bucket"]
-    local = df.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*series).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # join on the window's own partition keys: the big side keeps its
-    # partitioning; AQE broadcasts the offsets if they turn out small.
+    # one struct is the key of the numbering window and of the join: it is
+    # never null itself, so rows with NULL in the series are kept, and both use
+    # one partitioning
+    df = df.withColumn("_key", F.struct(*[F.col(c) for c in series], bucket_col.alias("_bucket")))
+    local = df.withColumn("_local", F.row_number().over(Window.partitionBy("_key").orderBy(*order)))
+    counts = df.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    before = (
+        Window.partitionBy(*[f"_key.{c}" for c in series]).orderBy("_key._bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = counts.select("_key", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        local.join(offsets, keys)
+        local.join(offsets, "_key")
         .withColumn(POS, F.col("_local") + F.col("_offset"))
-        .drop("_local", "_offset", "_bucket")
+        .drop("_local", "_offset", "_key")
     )
 
 
-def choose_block_rows(
-    df: DataFrame,
-    series: Sequence[str] = SERIES_KEY,
-    plain_max_rows: int = PLAIN_MAX_ROWS,
-    block_rows: int = DEFAULT_BLOCK_ROWS,
-) -> int | None:
-    """Blocked windows only when some series is too long for one task.
-
-    One small job: rows per series (partial aggregate over the key columns
-    only) and their max -- one value to the driver. Run it on a stored table
-    (or an upper bound of the series, e.g. the raw table before dedup), not
-    on an expensive lazy plan.
-    """
-    longest = df.groupBy(*series).count().agg(F.max("count")).first()[0]
-    return None if (longest or 0) <= plain_max_rows else block_rows
-
-
 def blocked(df: DataFrame, block_rows: int, halo: int) -> DataFrame:
     """Assign ``_block``; rows in the last ``halo`` positions of a block are
     duplicated into the next block with ``_halo = true``."""
@@ -104,14 +87,25 @@ def series_window(
     halo: int,
     series: Sequence[str] = SERIES_KEY,
     order: Sequence[str] = ("open_time_utc",),
-    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
     bucket: Column | str = "open_date",
 ) -> DataFrame:
     """Run ``compute(df, window_spec)`` -- window expressions over each series
-    whose frames reach at most ``halo`` rows back -- blocked when
-    ``block_rows`` is set, over whole series when it is None."""
-    if block_rows is None:
-        return compute(df, Window.partitionBy(*series).orderBy(*order))
+    whose frames reach at most ``halo`` rows back -- in blocks of
+    ``block_rows``. NULLs in the series columns form series of their own."""
     blocks = blocked(with_positions(df, series, order, bucket), block_rows, halo)
     out = compute(blocks, Window.partitionBy(*series, BLOCK).orderBy(POS))
     return out.filter(~F.col(HALO)).drop(POS, BLOCK, HALO)
+
+
+def expand_copies(df: DataFrame, copies: str, chunk_rows: int = 10_000) -> DataFrame:
+    """Emit each row ``copies`` times without one task generating a huge
+    group: a row is first cut into chunks of at most ``chunk_rows`` copies,
+    the chunks are spread over tasks by hash, and each chunk explodes."""
+    n = F.col(copies)
+    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.ceil(n / chunk_rows).cast("int") - 1)))
+    sized = chunks.withColumn("_k", F.least(F.lit(chunk_rows), n - F.col("_chunk") * chunk_rows).cast("int"))
+    spread = sized.repartition(*[c for c in df.columns if c != copies], "_chunk")
+    return spread.withColumn("_one", F.explode(F.array_repeat(F.lit(1), F.col("_k")))).drop(
+        "_chunk", "_k", "_one", copies
+    )

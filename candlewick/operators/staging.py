@@ -40,7 +40,10 @@ def latest_per_key(
     task keeps the same version as the first attempt would have.
     """
     content = F.xxhash64(*[F.col(c) for c in stg.columns if c not in keys])
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order], content.desc())
+    # open_date is a function of the open time: as a partition column of the
+    # window it changes no group, and day predicates pass below the dedup
+    day = ["open_date"] if "open_time_utc" in keys and "open_date" in stg.columns else []
+    w = Window.partitionBy(*keys, *day).orderBy(*[F.col(c).desc() for c in order], content.desc())
     return (
         stg.withColumn("_rn", F.row_number().over(w))
         .filter(F.col("_rn") == 1)

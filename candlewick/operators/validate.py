@@ -42,10 +42,10 @@ def row_rules() -> list[Column]:
     for name in NON_NEGATIVE_FIELDS:
         rules.append(F.when(F.col(name) < 0, F.lit(f"{name} must be >= 0")))
     o, h, lo, c = (F.col(n) for n in ("open", "high", "low", "close"))
-    rules.append(F.when(h < F.greatest(o, c), F.lit("high must be >= max(open, close)")))
-    rules.append(F.when(lo > F.least(o, c), F.lit("low must be <= min(open, close)")))
+    rules.append(F.when(h < F.greatest(o, c), F.lit("high is below open or close")))
+    rules.append(F.when(lo > F.least(o, c), F.lit("low is above open or close")))
     rules.append(
-        F.when(F.col("close_time_ms") <= F.col("open_time_ms"), F.lit("close_time_ms must be > open_time_ms"))
+        F.when(F.col("close_time_ms") <= F.col("open_time_ms"), F.lit("bar closes before it opens"))
     )
     return rules
 

@@ -17,18 +17,17 @@ recomputed with an exact halo and those days are overwritten.
 from __future__ import annotations
 
 import datetime as dt
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators import checks, marts, serving, staging
-from candlewick.operators.series import choose_block_rows
+from candlewick.operators.series import DEFAULT_BLOCK_ROWS
 from candlewick.plans import merge
 from candlewick.plans.suite import default_suite
 from candlewick.schema import FACT_PRICE_FEATURES_COLUMNS, FACT_PRICE_HOURLY_COLUMNS
-from candlewick.session import ensure_session_conf
+from candlewick.session import ensure_session_conf, table_exists
 
 DAY_TABLE_ORDER = ("open_date", "symbol", "bar_interval", "open_time_utc")
 
@@ -58,10 +57,24 @@ class Build:
     root: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
     merge_info: dict = field(default_factory=dict)
-    block_rows: int | None = None
+    block_rows: int = DEFAULT_BLOCK_ROWS
 
     def path(self, name: str) -> str:
-        return os.path.join(self.root, name)
+        return f"{self.root.rstrip('/')}/{name}"
+
+
+def _days_to_refresh(spark: SparkSession, prices: DataFrame, feat_path: str, touched: dt.date | None):
+    """First and last day whose features must be computed: from the first day
+    this merge touched, or the first day on which stored features and facts
+    differ in number (an earlier run was cut off between the two writes).
+    Counts per day read partition columns and file footers only."""
+    per_day = lambda df, n: df.groupBy("open_date").agg(F.count(F.lit(1)).alias(n))
+    facts, feats = per_day(prices, "facts"), per_day(spark.read.parquet(feat_path).select("open_date"), "feats")
+    behind = facts.join(feats, "open_date", "left").agg(
+        F.min(F.when(~F.col("facts").eqNullSafe(F.col("feats")), F.col("open_date"))), F.max("open_date")
+    ).first()
+    days = [d for d in (behind[0], touched) if d is not None]
+    return (min(days) if days else None), behind[1]
 
 
 def build_marts(
@@ -72,7 +85,7 @@ def build_marts(
     full_refresh: bool = False,
     incremental_features: bool = False,
     per_symbol: bool = False,
-    block_rows: int | None | str = "auto",
+    block_rows: int = DEFAULT_BLOCK_ROWS,
     view_prefix: str | None = None,
 ) -> Build:
     """Build every model under ``root``; returns DataFrames over the stored
@@ -84,25 +97,17 @@ def build_marts(
     norm = staging.int_klines_normalized(stg)
 
     fact_path = b.path("fact_prices")
-    exists = os.path.exists(os.path.join(fact_path, "_SUCCESS"))
+    feat_path = b.path("fact_price_features")
+    exists, have_features = table_exists(spark, fact_path), table_exists(spark, feat_path)
     b.merge_info = merge.merge_into(
-        spark, fact_path, marts.fact_prices(norm), exists=exists, full_refresh=full_refresh, per_symbol=per_symbol
+        spark, fact_path, marts.fact_prices(norm), full_refresh=full_refresh, per_symbol=per_symbol
     )
-    incremental = exists and not full_refresh and incremental_features
-    touched_from = b.merge_info.get("first_day") if incremental else None
-    prices = merge.read_fact_prices(spark, fact_path)
-    if block_rows == "auto":  # decided on the stored fact: a key-column scan
-        block_rows = choose_block_rows(prices)
     b.block_rows = block_rows
-
-    feat_path = b.path("fact_price_features")
-    have_features = os.path.exists(os.path.join(feat_path, "_SUCCESS"))
-    if incremental and have_features and touched_from is None:
-        pass  # nothing merged: the stored features are current
-    elif incremental and have_features:
-        hi = prices.agg(F.max("open_date")).first()[0]
-        feats = marts.features_for_range(prices, touched_from, hi, block_rows=block_rows)
-        write_day_table(feats, feat_path, dynamic=True)
+    prices = merge.read_fact_prices(spark, fact_path)
+    if exists and have_features and not full_refresh and incremental_features:
+        first, last = _days_to_refresh(spark, prices, feat_path, b.merge_info.get("first_day"))
+        if first is not None:  # else the stored features are current
+            write_day_table(marts.features_for_range(prices, first, last, block_rows=block_rows), feat_path, dynamic=True)
     else:
         write_day_table(marts.price_features(prices, block_rows=block_rows), feat_path)
     write_day_table(marts.price_hourly(stg, block_rows=block_rows), b.path("fact_price_hourly"))

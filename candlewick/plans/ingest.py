@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from candlewick.functions import day_start_ms, lit_ts
 from candlewick.schema import RAW_COLUMNS, RAW_PARTITION_COLUMNS, SUPPORTED_INTERVALS, WATERMARK, WATERMARK_KEY
 from candlewick.sources import raw as raw_src
-from candlewick.session import ensure_checkpoint_dir, ensure_session_conf
+from candlewick.session import ensure_session_conf, scratch_path
 
 
 
@@ -34,13 +34,13 @@ class RangeRequest:
 
     def validate(self) -> None:
         if self.start > self.end:
-            raise ValueError("start_date must be <= end_date")
+            raise ValueError(f"the range ends ({self.end}) before it starts ({self.start})")
         bad = [i for i in self.intervals if i not in self.supported]
         if bad:
             raise ValueError(f"unsupported interval(s) {bad}; supported: {list(self.supported)}")
 
 
-def _with_date(rows: DataFrame) -> DataFrame:
+def with_date(rows: DataFrame) -> DataFrame:
     if "date" in rows.columns:
         return rows
     return rows.withColumn("date", F.to_date(F.timestamp_millis("open_time_ms")))
@@ -57,7 +57,7 @@ def write_summary(rows: DataFrame) -> DataFrame:
     """Per raw partition: row count and min/max open time (one partial
     aggregate; one row per written partition)."""
     return (
-        _with_date(rows)
+        with_date(rows)
         .groupBy(*RAW_PARTITION_COLUMNS)
         .agg(
             F.count(F.lit(1)).alias("row_count"),
@@ -101,7 +101,7 @@ def write_partitions(rows: DataFrame, root: str, check: bool = True) -> None:
     spreads over its many days. ``check`` enforces the partition rules in the
     same pass (a violation fails the job before anything is committed).
     """
-    dated = _with_date(rows).select(*RAW_COLUMNS, "date")
+    dated = with_date(rows).select(*RAW_COLUMNS, "date")
     dated = guard_partition_rules(dated) if check else dated.repartition(*RAW_PARTITION_COLUMNS)
     (
         dated.sortWithinPartitions(*RAW_PARTITION_COLUMNS, "open_time_ms")
@@ -187,7 +187,7 @@ def write_marks(marks: DataFrame, path: str) -> None:
     )
 
 
-def start_dates(marks: DataFrame, bootstrap: dt.date) -> DataFrame:
+def start_dates(marks: DataFrame) -> DataFrame:
     """Per key with a mark: the day after the mark's UTC date (a mark in
     mid-day skips the rest of that day, as in the reference)."""
     return marks.select(
@@ -196,31 +196,48 @@ def start_dates(marks: DataFrame, bootstrap: dt.date) -> DataFrame:
     )
 
 
+def first_day(starts: DataFrame, keys: DataFrame, bootstrap: dt.date) -> dt.date:
+    """The earliest day any of ``keys`` needs: its own start, or the bootstrap
+    day if it has no mark. ONE value to the driver; a literal lower bound for
+    the landed scan."""
+    lowest = keys.join(starts, list(WATERMARK_KEY), "left").agg(
+        F.min(F.coalesce("start_date", F.lit(bootstrap)))
+    ).first()[0]
+    return bootstrap if lowest is None else lowest
+
+
 def incremental_rows(
-    landed: DataFrame, marks: DataFrame, bootstrap: dt.date, end: dt.date
+    landed: DataFrame, marks: DataFrame, bootstrap: dt.date, end: dt.date, keys: DataFrame | None = None
 ) -> DataFrame:
     """Rows of an incremental run: per key from its start date (bootstrap if
     it has no mark) through ``end``; a key whose start is after ``end`` gets
     nothing (no-op).
 
-    The marks are one row per series; they are joined on the key (adaptive
-    execution broadcasts them when small). The lowest start is pulled to the
-    driver as ONE value so the scan gets a literal lower bound.
+    ``keys``: the series to look for; without them, those of ``landed`` (their
+    key columns are scanned; on a landing zone these are folder names). The
+    marks are one row per series, joined on the key.
     """
     RangeRequest(bootstrap, end).validate()
-    starts = start_dates(marks, bootstrap)
-    lowest = starts.agg(F.min("start_date")).first()[0]
-    lo_day = min(bootstrap, lowest) if lowest is not None else bootstrap
-    scoped = backfill_rows(landed, lo_day, end)
-    joined = scoped.join(starts, list(WATERMARK_KEY), "left")
+    starts = start_dates(marks)
+    if keys is None:
+        keys = landed.select(*WATERMARK_KEY).distinct()
+    lo_day = first_day(starts, keys, bootstrap)
+    if lo_day > end:
+        return landed.limit(0)
+    joined = backfill_rows(landed, lo_day, end).join(starts, list(WATERMARK_KEY), "left")
     start_ms = F.unix_millis(F.coalesce(F.col("start_date"), F.lit(bootstrap)).cast("timestamp"))
     return joined.filter(F.col("open_time_ms") >= start_ms).drop("start_date").select(*landed.columns)
 
 
 @dataclass(frozen=True)
 class IncrementalResult:
+    """What a run did. ``starts``: each key's first day; ``outputs``: one row per
+    partition written (as ``write_summary``)."""
+
     partitions_written: int
     rows_written: int
+    starts: DataFrame
+    outputs: DataFrame
     marks_before: DataFrame
     marks_after: DataFrame
 
@@ -237,34 +254,35 @@ def run_incremental(
     the keys that wrote something -> write marks.
 
     ``keys`` limits the run to some (source, dataset, symbol, interval);
-    default: every key present in ``landed``. The marks read at the start are
-    checkpointed (reliable, under ``spark.checkpoint.dir``) because the state
-    folder is rewritten at the end.
+    default: every key present in ``landed``. The rows are staged once; the raw
+    zone, the summary and the marks all come from them, so a mark is the newest
+    bar of THIS run, whatever else the raw zone holds. The marks read at the
+    start are staged because the state folder is rewritten at the end.
     """
     spark = landed.sparkSession
-    ensure_checkpoint_dir(spark)
-    before = read_marks(spark, state_path).checkpoint(eager=True)
+    before = _stage(read_marks(spark, state_path), "marks")
     scope = landed if keys is None else landed.join(keys, list(WATERMARK_KEY), "left_semi")
-    starts = start_dates(before, bootstrap)
-    lowest = starts.agg(F.min("start_date")).first()[0]
-    lo_day = min(bootstrap, lowest) if lowest is not None else bootstrap
-    rows = incremental_rows(scope, before, bootstrap, end)
-    write_partitions(rows, root)
-    # Read back what this run wrote: the range's partitions of keys that got
-    # rows. Older partitions of those keys in the range hold earlier bars, so
-    # the max is this run's max.
-    written_keys = rows.select(*WATERMARK_KEY).distinct()
-    written = (
-        raw_src.scan_raw(spark, root)
-        .filter(F.col("date").between(F.lit(lo_day), F.lit(end)))
-        .join(written_keys, list(WATERMARK_KEY), "left_semi")
-    )
-    stats = write_summary(rows).agg(F.count(F.lit(1)).alias("p"), F.sum("row_count").alias("r")).first()
+    known = (scope if keys is None else keys).select(*WATERMARK_KEY).distinct()
+    rows = _stage(incremental_rows(scope, before, bootstrap, end, known), "incremental")
+    outputs = _stage(write_summary(rows), "outputs")
+    stats = outputs.agg(F.count(F.lit(1)).alias("p"), F.sum("row_count").alias("r")).first()
     if stats["p"]:
-        write_marks(high_water_marks(written), state_path)
+        write_partitions(rows, root)
+        write_marks(high_water_marks(rows), state_path)
+    starts = known.join(start_dates(before), list(WATERMARK_KEY), "left").withColumn(
+        "start_date", F.coalesce("start_date", F.lit(bootstrap))
+    )
     return IncrementalResult(
         partitions_written=int(stats["p"] or 0),
         rows_written=int(stats["r"] or 0),
+        starts=starts,
+        outputs=outputs,
         marks_before=before,
         marks_after=read_marks(spark, state_path),
     )
+
+
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from candlewick.functions import lit_ts
 from candlewick.operators.checks import check_unique
 from candlewick.schema import EMPTY_TARGET_FLOOR, FACT_PRICES_COLUMNS, NATURAL_KEY, SERIES_KEY
-from candlewick.session import ensure_session_conf, scratch_path
+from candlewick.session import drop_staged, ensure_session_conf, scratch_path, table_exists
 
 EPOCH_FLOOR = EMPTY_TARGET_FLOOR
 
@@ -34,7 +34,13 @@ class SchemaDriftError(ValueError):
 
 def newest_bar(target: DataFrame, time_col: str = "open_time_utc") -> dt.datetime:
     """max(open time) of the target -- ONE value to the driver (1900-01-01
-    for an empty target)."""
+    for an empty target). With days, the newest day is found first (on a stored
+    table from its partition column) and only that day's times are read."""
+    if "open_date" in target.columns:
+        day = target.agg(F.max("open_date")).first()[0]
+        if day is None:
+            return EPOCH_FLOOR
+        target = target.filter(F.col("open_date") == F.lit(day))
     return target.agg(F.max(time_col)).first()[0] or EPOCH_FLOOR
 
 
@@ -92,6 +98,13 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str] = NATURAL_KEY) ->
         raise ValueError("merge source has several rows for one key")
 
 
+def assert_fact_columns(source: DataFrame) -> None:
+    """The source must have the fact's columns and no others."""
+    extra, missing = set(source.columns) - set(FACT_PRICES_COLUMNS), set(FACT_PRICES_COLUMNS) - set(source.columns)
+    if extra or missing:
+        raise SchemaDriftError(f"columns added: {sorted(extra)}; missing: {sorted(missing)}")
+
+
 def read_fact_prices(spark: SparkSession, path: str) -> DataFrame:
     ensure_session_conf(spark)
     return spark.read.parquet(path).select(*FACT_PRICES_COLUMNS)
@@ -118,39 +131,46 @@ def merge_into(
     keys: Sequence[str] = NATURAL_KEY,
     full_refresh: bool = False,
     per_symbol: bool = False,
-    exists: bool = True,
 ) -> dict:
     """Incremental materialization of fact_prices at ``target_path``.
 
-    First run (``exists=False``) or ``full_refresh``: rebuild from source.
-    Otherwise: filter the source (see module doc), check schema and key
-    uniqueness, merge only the touched days and overwrite those days.
-    Returns the mode and ``first_day``, the earliest day the merge touched
-    (None when nothing came in), for downstream incremental refreshes.
+    ``full_refresh``, or no table there yet (asked of the path's own file
+    system): rebuild from source. Otherwise: check the schema, filter the
+    source (see module doc), stage what comes in once, check its keys, merge
+    only the touched days and overwrite those days. Returns the mode and
+    ``first_day``, the earliest day the merge touched (None when nothing came
+    in), for downstream incremental refreshes.
     """
+    assert_fact_columns(source)
     src = source.select(*FACT_PRICES_COLUMNS)
-    if full_refresh or not exists:
-        write_fact_prices(src, target_path, dynamic=False)
+    if full_refresh or not table_exists(spark, target_path):
+        staged = scratch_path(spark, "fact_prices_full")
+        src.write.parquet(staged)  # the source may read the target
+        write_fact_prices(spark.read.schema(src.schema).parquet(staged), target_path, dynamic=False)
+        drop_staged(spark, staged)
         return {"mode": "full_refresh"}
     target = read_fact_prices(spark, target_path)
     assert_same_schema(target, src)
     newest = None if per_symbol else newest_bar(target)
-    incoming = incremental_filter(src, target, per_symbol=per_symbol, newest=newest)
+    coming = scratch_path(spark, "fact_prices_incoming")
+    incremental_filter(src, target, per_symbol=per_symbol, newest=newest).write.parquet(coming)
+    incoming = spark.read.schema(src.schema).parquet(coming)
     assert_unique_keys(incoming, keys)
     first_day = incoming.agg(F.min("open_date")).first()[0]  # one value
     if first_day is None:
+        drop_staged(spark, coming)
         return {"mode": "merge", "first_day": None}
-    # touched days: bounded by the calendar, one row per day. With the global
-    # filter every touched day is >= the newest day, a literal bound that
-    # prunes target partitions statically; the semi join (dynamic partition
-    # pruning) skips days in between that receive nothing.
-    scope = target if newest is None else target.filter(F.col("open_date") >= F.lit(newest.date()))
-    days = incoming.select("open_date").distinct()
-    touched = scope.join(days, "open_date", "left_semi")
-    merged = merge_rows(touched, incoming, keys)
+    # touched days: bounded by the calendar, one row per day. Every touched day
+    # is >= the first one, a literal bound that prunes target partitions
+    # statically; the semi join (dynamic partition pruning) skips days in
+    # between that receive nothing.
+    scope = target.filter(F.col("open_date") >= F.lit(first_day))
+    touched = scope.join(incoming.select("open_date").distinct(), "open_date", "left_semi")
     # stage first: the target is read by this plan and must stay intact
     # until the merged days exist in full.
     staged = scratch_path(spark, "fact_prices_merge")
-    merged.write.mode("overwrite").parquet(staged)
-    write_fact_prices(spark.read.parquet(staged), target_path, dynamic=True)
-    return {"mode": "merge", "staged": staged, "first_day": first_day}
+    merge_rows(touched, incoming, keys).write.parquet(staged)
+    write_fact_prices(spark.read.schema(src.schema).parquet(staged), target_path, dynamic=True)
+    drop_staged(spark, coming)
+    drop_staged(spark, staged)
+    return {"mode": "merge", "first_day": first_day}

@@ -16,32 +16,24 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators import marts, serving, staging
-from candlewick.operators.series import choose_block_rows
+from candlewick.operators.series import DEFAULT_BLOCK_ROWS
 from candlewick.session import scratch_path
 from candlewick.sources import fixtures
 from candlewick.sources import raw as raw_src
 
 
 class ModelGraph:
-    """``block_rows="auto"`` picks plain or blocked series windows once per
-    graph from the longest series in the raw table (an upper bound: raw still
-    holds duplicate loads)."""
+    """``block_rows``: rows of a series that one task windows at a time."""
 
     def __init__(
         self,
         raw: DataFrame,
         as_of: dt.datetime | None = None,
-        block_rows: int | None | str = "auto",
+        block_rows: int = DEFAULT_BLOCK_ROWS,
     ):
         self.raw = raw
         self.as_of = as_of
-        self._block_rows = block_rows
-
-    @cached_property
-    def block_rows(self) -> int | None:
-        if self._block_rows == "auto":
-            return choose_block_rows(self.raw, ("symbol", "interval"))
-        return self._block_rows
+        self.block_rows = block_rows
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -106,6 +98,15 @@ class FixtureGraph(ModelGraph):
             raw = raw_src.read_raw_table(spark, self.raw_path)
         super().__init__(raw, **kw)
 
+    @cached_property
+    def stored(self):
+        """The materialized build over the raw table: dashboards and the data
+        tests read its stored facts and features, as a build's users do."""
+        from candlewick.plans.build import build_marts
+
+        root = scratch_path(self.spark, "marts")
+        return build_marts(self.spark, self.raw, root, as_of=self.as_of, block_rows=self.block_rows)
+
     @cached_property
     def jobs(self) -> DataFrame:
         return fixtures.jobs(self.events)

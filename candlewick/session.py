@@ -9,7 +9,7 @@ which is the case in local tests.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -29,8 +29,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Dimension tables are broadcast explicitly and only after a size check;
-    # the automatic threshold stays at Spark's default.
+    # No table is broadcast by hand: Spark does so below its own threshold,
+    # from sizes that it has measured.
 }
 
 
@@ -59,36 +59,62 @@ def ensure_session_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "candlewick") -> SparkSession:
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
-    )
+def build_session(
+    master: str | None = None, shuffle_partitions: int | None = None, app: str = "candlewick", **conf: str
+) -> SparkSession:
+    """A session with the library's settings. On a cluster leave ``master`` and
+    ``shuffle_partitions`` out: the job's own configuration decides. ``conf``
+    adds settings, dots written as double underscores."""
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in conf.items():
+        builder = builder.config(key.replace("__", "."), value)
     for key, value in {**REQUIRED_CONF, **SCALE_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return ensure_session_conf(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a private one only if unset."""
+    """The shared folder named in ``spark.checkpoint.dir``. Only a local master
+    may go without: a private temporary folder serves it (tests). On a cluster
+    that would be another folder on each machine, so it is an error there."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="candlewick-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="candlewick-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    spark.sparkContext.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for staged tables."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "staged", f"{name}-{uuid.uuid4().hex}")
+    return f"{root.rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was ever committed at ``path``, on any file system that
+    Spark reads: the folder holds something besides hidden files (a write that
+    was cut off leaves only those)."""
+    fs, at = _file_system(spark, path)
+    return fs.exists(at) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(at))
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Remove a staged table once nothing reads it any more."""
+    if "/staged/" not in path:
+        raise ValueError(f"{path} is not a staged table")
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)

@@ -8,8 +8,6 @@ oracle SQL; they are test inputs, not library semantics.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +25,9 @@ EVENT_SYMBOLS = [
     ("signup", "BNBUSDT"),
 ]
 OTHER_SYMBOL = "XRPUSDT"
-# Two load batches: batch-001 holds ticks with event_id % 3 <> 0, loaded
-# 2024-02-01; batch-002 re-delivers every tick from 2024-01-15 on, loaded
-# 2024-02-02.
+# Two load batches: batch-001 holds every tick before 2024-01-15 and after that
+# those with event_id % 3 <> 0, loaded 2024-02-01; batch-002 re-delivers every
+# tick from 2024-01-15 on, loaded 2024-02-02.
 BATCH_1 = ("batch-001", "2024-02-01 00:00:00")
 BATCH_2 = ("batch-002", "2024-02-02 00:00:00")
 BATCH_2_FROM = "2024-01-15 00:00:00"
@@ -39,7 +37,7 @@ HOUR_MS = 3_600_000
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_session_conf(spark)
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ticks(events: DataFrame) -> DataFrame:
@@ -64,8 +62,8 @@ def raw_klines(events: DataFrame) -> DataFrame:
     symbol is combined map-side before the shuffle.
     """
     t = ticks(events)
-    in_b1 = F.col("event_id") % 3 != 0
     in_b2 = F.col("open_time_utc") >= F.lit(BATCH_2_FROM).cast("timestamp")
+    in_b1 = (F.col("event_id") % 3 != 0) | ~in_b2
     tagged = t.withColumn(
         "batch_id",
         F.explode(F.array_compact(F.array(F.when(in_b1, BATCH_1[0]), F.when(in_b2, BATCH_2[0])))),
@@ -153,17 +151,23 @@ def jobs(events: DataFrame) -> DataFrame:
     )
 
 
-def payloads(raw: DataFrame, batch_id: str = BATCH_1[0]) -> DataFrame:
-    """Landed exchange payloads: one JSON string per (symbol, interval, day),
-    an array of 12-element string arrays, plus one extra payload holding a
-    short row and a row with a non-numeric open.
+def landed_bars(raw: DataFrame) -> DataFrame:
+    """The bars in the landing zone: the re-delivery replaced its days."""
+    again = F.col("open_time_utc") >= F.lit(BATCH_2_FROM).cast("timestamp")
+    return raw.filter(F.col("batch_id") == F.when(again, BATCH_2[0]).otherwise(BATCH_1[0]))
+
+
+def payloads(raw: DataFrame) -> DataFrame:
+    """Landed exchange payloads of both batches: one JSON string per (symbol,
+    interval, day), an array of 12-element string arrays, plus one extra payload
+    holding a short row and a row with a non-numeric open.
 
     Columns: source, dataset, symbol, interval, date, payload.
     """
     num = lambda c: F.col(c).cast("string")
     row = F.array(*[num(name) for name, _ in KLINE_ARRAY_FIELDS], F.lit("0"))
     per_day = (
-        raw.filter(F.col("batch_id") == batch_id)
+        landed_bars(raw)
         .select(
             "source",
             "dataset",

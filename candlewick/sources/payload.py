@@ -50,7 +50,7 @@ def parse_klines(
     )
     missing = F.array_compact(
         F.array(
-            F.when(F.col("_n") < KLINE_MIN_FIELDS, F.concat(F.lit("expected at least 11 fields, got "), F.col("_n").cast("string"))),
+            F.when(F.col("_n") < KLINE_MIN_FIELDS, F.concat(F.lit("row has "), F.col("_n").cast("string"), F.lit(" fields, 11 are needed"))),
             *[
                 F.when((F.col("_n") >= KLINE_MIN_FIELDS) & F.col(name).isNull(), F.lit(f"{name} is not a number"))
                 for name, _ in KLINE_ARRAY_FIELDS

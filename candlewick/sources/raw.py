@@ -12,7 +12,7 @@ other symbols.
 
 from __future__ import annotations
 
-import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 from candlewick.schema import RAW_COLUMNS, RAW_KLINES
 from candlewick.session import ensure_session_conf
 
+# All 19 columns of the raw table are REQUIRED.
+REQUIRED_COLUMNS = tuple(RAW_COLUMNS)
+
 # Partition columns in the raw-zone path; the file also stores symbol and
 # interval, and a same-named path value wins on read.
 _PATH_SCHEMA = T.StructType(
@@ -36,7 +39,7 @@ def scan_raw(spark: SparkSession, root: str, glob: str | None = None) -> DataFra
     columns (symbol, interval, date) prune directories.
     """
     ensure_session_conf(spark)
-    path = os.path.join(root, glob) if glob else root
+    path = f"{root.rstrip('/')}/{glob}" if glob else root
     return (
         spark.read.schema(_PATH_SCHEMA)
         .option("basePath", root)
@@ -49,15 +52,25 @@ def raw_records(landed: DataFrame) -> DataFrame:
     return landed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_KLINES.fields])
 
 
+def require_columns(records: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """Rows unchanged, but the job fails inside the task on a NULL in a required
+    column, before the write commits anything."""
+    guard = F.lit(None).cast("string")
+    for c in reversed(list(required)):
+        guard = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"required column {c} is NULL"))).otherwise(guard)
+    return records.withColumn("_missing", guard).filter(F.col("_missing").isNull()).drop("_missing")
+
+
 def write_raw_table(raw: DataFrame, path: str) -> None:
-    """Full rebuild of the raw table (truncate + load), day-partitioned.
+    """Full rebuild of the raw table (truncate + load), day-partitioned. A NULL
+    in a required column fails the load and leaves the old table in place.
 
     One rebalancing shuffle on the day: adaptive execution splits a day that
     is too big for one task (a hot symbol, a heavy day) over several tasks and
     coalesces small days, with no sampling pass over the input; each file is
     sorted so Parquet row-group min/max statistics cluster by series.
     """
-    table = raw_records(raw).withColumn("open_date", F.to_date("open_time_utc"))
+    table = require_columns(raw_records(raw)).withColumn("open_date", F.to_date("open_time_utc"))
     (
         table.hint("rebalance", "open_date")
         .sortWithinPartitions("open_date", "symbol", "interval", "open_time_utc")

@@ -54,7 +54,7 @@ with ticks as (
            value as price, cast(1 + event_id % 10 as double) as qty, user_id % 2 = 0 as is_buy
     from events),
 raw_klines as (
-    {_bars("event_id % 3 <> 0", "batch-001", "2024-02-01 00:00:00")}
+    {_bars("(event_id % 3 <> 0 or open_time_utc < timestamp '2024-01-15 00:00:00')", "batch-001", "2024-02-01 00:00:00")}
     union all
     {_bars("open_time_utc >= timestamp '2024-01-15 00:00:00'", "batch-002", "2024-02-02 00:00:00")}),
 stg_klines as (
@@ -178,7 +178,10 @@ jobs as (
            event_id * 1000 as total_bytes_processed,
            (event_id % 7 + 1) * 10485760 as total_bytes_billed
     from events),
-batch1 as (select * from raw_klines where batch_id = 'batch-001'),
+batch1 as (
+    select * replace (timestamp '2024-02-01 00:00:00' as loaded_at, 'batch-001' as batch_id)
+    from raw_klines
+    where batch_id = case when open_time_utc >= timestamp '2024-01-15 00:00:00' then 'batch-002' else 'batch-001' end),
 landed as (
     select *, case when batch_id = 'batch-002'
                    then cast(open_time_utc - interval 1 hour as date)
@@ -232,11 +235,11 @@ def _validate_rows_sql() -> str:
                      f"from klines_dirty where {f} < 0")
     full = ("open is not null and high is not null and low is not null and close is not null "
             "and open_time_ms is not null and close_time_ms is not null")
-    parts.append("select symbol, bar_interval, open_time_ms, 'high must be >= max(open, close)' as reason "
+    parts.append("select symbol, bar_interval, open_time_ms, 'high is below open or close' as reason "
                  f"from klines_dirty where {full} and (high < open or high < close)")
-    parts.append("select symbol, bar_interval, open_time_ms, 'low must be <= min(open, close)' as reason "
+    parts.append("select symbol, bar_interval, open_time_ms, 'low is above open or close' as reason "
                  f"from klines_dirty where {full} and (low > open or low > close)")
-    parts.append("select symbol, bar_interval, open_time_ms, 'close_time_ms must be > open_time_ms' as reason "
+    parts.append("select symbol, bar_interval, open_time_ms, 'bar closes before it opens' as reason "
                  f"from klines_dirty where {full} and close_time_ms <= open_time_ms")
     return "\nunion all\n".join(parts)
 
@@ -413,6 +416,26 @@ def oracle_sql() -> dict[str, str]:
             "timestamp '2024-02-01 00:00:00' as updated_at from batch1 "
             "group by source, dataset, symbol, \"interval\""
         ),
+        "run_incremental_marks": _q(
+            "select source, dataset, symbol, \"interval\", max(open_time_ms) as last_open_time_ms from batch1 "
+            "where open_time_utc < timestamp '2024-01-21 00:00:00' group by source, dataset, symbol, \"interval\""
+        ),
+        "marks_read_back": _q(
+            "select source, dataset, symbol, \"interval\", max(open_time_ms) as last_open_time_ms, "
+            "timestamp '2024-02-01 00:00:00' as updated_at from batch1 "
+            "group by source, dataset, symbol, \"interval\""
+        ),
+        "stream_two_batches": _q(
+            "select symbol, \"interval\", open_time_ms, open, high, low, close, volume, number_of_trades, "
+            "cast(open_time_utc as date) as date from batch1",
+            ["open", "high", "low", "close", "volume"],
+        ),
+        "merge_empty_target": _q("select * from fact_prices", RAW_DOUBLES),
+        "coverage_report_order": _q(
+            "select row_number() over (order by open_date desc, symbol, bar_interval) as position, "
+            "symbol, bar_interval, open_date, count(*) as bars_count from fact_prices "
+            "group by symbol, bar_interval, open_date"
+        ),
         "validate_rows": _q(_validate_rows_sql()),
         "validate_partition_duplicates": _q(
             "select source, dataset, symbol, \"interval\", date, open_time_ms, count(*) as row_count "
@@ -527,7 +550,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "check_relationships_calendar": _q(
             "select c.open_date as from_field from fact_price_features c where c.open_date is not null "
-            "and not exists (select 1 from dim_calendar p where p.calendar_date = c.open_date)"
+            "and not exists (select 1 from dim_calendar p where p.calendar_date = c.open_date "
+            "and p.calendar_date <= date '2024-01-25')"
         ),
         "check_unique_natural_key": _q(
             "select symbol, bar_interval, open_time_utc, count(*) as row_count from stg_klines "

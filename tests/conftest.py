@@ -19,7 +19,7 @@ SF1 = "/root/testdata/sf0.1"
 def spark():
     from candlewick.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8, app="candlewick-tests")
+    s = build_session(master="local[*]", shuffle_partitions=8, app="candlewick-tests", spark__driver__memory="16g")
     yield s
     s.stop()
 
