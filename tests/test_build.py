@@ -19,10 +19,10 @@ def _same(a, b):
 
 def test_build_and_test_over_tables(spark, g01, tmp_root):
     b = build.build_marts(spark, g01.raw, tmp_root, as_of=dt.datetime(2024, 2, 3), view_prefix="t_")
-    assert b.tables["fact_prices"].count() == 3238
+    assert b.tables["fact_prices"].count() == 3385
     assert _same(b.tables["fact_price_features"], g01.features)
     assert spark.table("t_marts_dashboard_data_status").count() == 5
-    assert spark.table("t_staging_stg_klines").count() == 4880
+    assert spark.table("t_staging_stg_klines").count() == 5027
     symbols = ["BTCUSDT", "ETHUSDT", "SOLUSDT", "BNBUSDT", "XRPUSDT"]
     with pytest.raises(build.DataTestFailure, match="no_hourly_gaps"):
         build.test_build(b, strict=True, symbols=symbols)
@@ -65,3 +65,28 @@ def test_incremental_features_with_new_symbol_history(spark, tmp_root):
     # rebuilding with nothing new keeps the stored features
     again = build.build_marts(spark, more, inc_root, incremental_features=True, per_symbol=True)
     assert again.tables["fact_price_features"].count() == 24 * 6
+
+
+def test_two_builds_on_a_uri_lose_nothing(spark, tmp_root):
+    d = dt.date(2024, 1, 1)
+    root = f"file://{tmp_root}"
+    build.build_marts(spark, bars(spark, d, 24 * 3), root)
+    b = build.build_marts(spark, bars(spark, d + dt.timedelta(days=3), 24 * 2), root, incremental_features=True)
+    assert b.merge_info["mode"] == "merge"
+    assert b.tables["fact_prices"].count() == b.tables["fact_price_features"].count() == 120
+
+
+def test_features_catch_up_after_a_cut_off_run(spark, tmp_root):
+    """The fact was merged, then the run died before it wrote features."""
+    from candlewick.operators import marts, staging
+    from candlewick.plans import merge
+
+    d = dt.date(2024, 1, 1)
+    more = bars(spark, d, 24 * 4)
+    build.build_marts(spark, bars(spark, d, 24 * 2), tmp_root)
+    norm = staging.int_klines_normalized(staging.stg_klines(more))
+    merge.merge_into(spark, os.path.join(tmp_root, "fact_prices"), marts.fact_prices(norm))
+    last = more.unionByName(bars(spark, d + dt.timedelta(days=4), 24, batch_id="t-5"))
+    b = build.build_marts(spark, last, tmp_root, incremental_features=True)
+    assert b.tables["fact_price_features"].count() == 24 * 5
+    assert _same(b.tables["fact_price_features"], marts.price_features(b.tables["fact_prices"]))

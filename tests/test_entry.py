@@ -16,7 +16,7 @@ from tools.compare import digest
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert len(df.columns) == 27
-    assert df.count() == 745
+    assert df.count() == 868
 
 
 def test_every_query_has_oracle_sql():

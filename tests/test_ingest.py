@@ -127,3 +127,37 @@ def test_load_raw_table_whole_root_or_glob(spark, tmp_root):
     assert full.count() == 72 and full.select("symbol").distinct().count() == 2
     one = raw_src.load_raw_table(spark, zone, table, "source=*/dataset=klines/symbol=ETHUSDT/interval=1h/date=*")
     assert one.count() == 24 and {r[0] for r in one.select("symbol").distinct().collect()} == {"ETHUSDT"}
+
+
+def test_mark_is_the_newest_bar_of_this_run(spark, tmp_root):
+    """A later day already in the raw zone doesn't push the mark past days that
+    were not loaded."""
+    root, state = os.path.join(tmp_root, "raw"), os.path.join(tmp_root, "state")
+    ingest.write_partitions(bars(spark, dt.date(2024, 1, 8), 12), root)
+    landed = bars(spark, D1, 24 * 4 + 19)
+    result = ingest.run_incremental(landed, root, state, bootstrap=D1, end=dt.date(2024, 1, 7))
+    assert result.marks_after.collect()[0]["last_open_time_ms"] == day_start_ms(dt.date(2024, 1, 5)) + 18 * 3_600_000
+    assert result.outputs.count() == 5
+    assert [r["start_date"] for r in result.starts.collect()] == [D1]
+    rest = ingest.run_incremental(bars(spark, D1, 24 * 8), root, state, bootstrap=D1, end=dt.date(2024, 1, 7))
+    assert rest.rows_written == 48 and rest.starts.collect()[0]["start_date"] == dt.date(2024, 1, 6)
+
+
+def test_only_keys_without_a_mark_start_at_the_bootstrap(spark):
+    landed = bars(spark, D1, 24 * 4).unionByName(bars(spark, D1, 24 * 4, symbol="ETHUSDT"))
+    marks = ingest.high_water_marks(landed.filter((F.col("symbol") == "BTCUSDT") & (F.col("open_time_ms") < day_start_ms(D3))))
+    keys = landed.select("source", "dataset", "symbol", "interval").distinct()
+    starts = ingest.start_dates(marks)
+    assert ingest.first_day(starts, keys.filter(F.col("symbol") == "BTCUSDT"), D1) == D3
+    assert ingest.first_day(starts, keys, D1) == D1
+    rows = ingest.incremental_rows(landed, marks, D1, dt.date(2024, 1, 4))
+    assert {r["symbol"]: r["count"] for r in rows.groupBy("symbol").count().collect()} == {"BTCUSDT": 48, "ETHUSDT": 96}
+
+
+def test_null_in_a_required_column_fails_the_raw_load(spark, tmp_root):
+    path = os.path.join(tmp_root, "raw_klines")
+    raw_src.write_raw_table(bars(spark, D1, 24), path)
+    bad = bars(spark, D1, 48).withColumn("close", F.when(F.col("open") < 110, F.col("close")))
+    with pytest.raises(Exception, match="required column close is NULL"):
+        raw_src.write_raw_table(bad, path)
+    assert raw_src.read_raw_table(spark, path).count() == 24

@@ -20,18 +20,18 @@ def _target(g):
 
 
 def test_fixture_merge_counts(g01):
-    """B5: 1,926 target rows, 1,255 source rows, 4 updates -> 3,177 rows; the
-    61 older bars appear only after a full refresh (3,238)."""
+    """B5: 2,073 target rows, 1,255 source rows, 4 updates -> 3,324 rows; the
+    61 older bars appear only after a full refresh (3,385)."""
     target = _target(g01)
     source = merge.incremental_filter(g01.prices, target)
-    assert target.count() == 1926 and source.count() == 1255
+    assert target.count() == 2073 and source.count() == 1255
     keys = ["symbol", "bar_interval", "open_time_utc"]
     assert source.join(target, keys, "left_semi").count() == 4
     merged = merge.merge_rows(target, source)
-    assert merged.count() == 3177
+    assert merged.count() == 3324
     skipped = g01.prices.join(merged, keys, "left_anti")
     assert skipped.count() == 61
-    assert merge.merge_rows(target, g01.prices, full_refresh=True).count() == 3238
+    assert merge.merge_rows(target, g01.prices, full_refresh=True).count() == 3385
     # updated rows carry the source version
     upd = merged.join(source.select(*keys), keys, "left_semi")
     assert upd.filter(F.col("batch_id") == "batch-002").count() == upd.count()
@@ -59,10 +59,12 @@ def _build(spark, raw):
 def test_schema_drift_and_duplicate_keys_fail(spark, tmp_root):
     path = os.path.join(tmp_root, "fact_prices")
     raw = bars(spark, dt.date(2024, 1, 1), 24)
-    merge.merge_into(spark, path, _build(spark, raw), exists=False)
+    merge.merge_into(spark, path, _build(spark, raw))
     drifted = _build(spark, raw).withColumn("volume", F.col("volume").cast("float"))
     with pytest.raises(merge.SchemaDriftError):
         merge.assert_same_schema(merge.read_fact_prices(spark, path), drifted)
+    with pytest.raises(merge.SchemaDriftError, match="added"):
+        merge.merge_into(spark, path, _build(spark, raw).withColumn("extra", F.lit(1)))
     dup = _build(spark, raw)
     dup = dup.unionByName(dup.filter(F.col("open_time_utc") == F.lit("2024-01-01 23:00:00").cast("timestamp")))
     with pytest.raises(ValueError):
@@ -79,7 +81,7 @@ def test_recovery_story(spark, tmp_root):
     day_6 = bars(spark, d + dt.timedelta(days=5), 24, batch_id="t-006", price=300.0)
     day_7 = bars(spark, d + dt.timedelta(days=6), 24, batch_id="t-007", price=400.0)
 
-    merge.merge_into(spark, path, _build(spark, days_1_5), exists=False)
+    merge.merge_into(spark, path, _build(spark, days_1_5))
     assert merge.read_fact_prices(spark, path).count() == 120
 
     merge.merge_into(spark, path, _build(spark, days_1_5.unionByName(day_7)))
@@ -104,7 +106,7 @@ def test_recovery_story(spark, tmp_root):
 def test_merge_rewrites_only_touched_days(spark, tmp_root):
     path = os.path.join(tmp_root, "fact_prices")
     d = dt.date(2024, 1, 1)
-    merge.merge_into(spark, path, _build(spark, bars(spark, d, 48)), exists=False)
+    merge.merge_into(spark, path, _build(spark, bars(spark, d, 48)))
     day1 = os.path.join(path, "open_date=2024-01-01")
     before = sorted(os.listdir(day1))
     later = bars(spark, d + dt.timedelta(days=1), 48, batch_id="t-002")  # days 2, 3
@@ -119,3 +121,39 @@ def test_merge_rewrites_only_touched_days(spark, tmp_root):
     }
     d2, d3 = d + dt.timedelta(days=1), d + dt.timedelta(days=2)
     assert by_day == {(d, "t-001"): 24, (d2, "t-001"): 23, (d2, "t-002"): 1, (d3, "t-002"): 24}
+
+
+def test_two_runs_on_a_uri_lose_nothing(spark, tmp_root):
+    """Whether a table is there is asked of the path's own file system."""
+    path = f"file://{tmp_root}/fact_prices"
+    d = dt.date(2024, 1, 1)
+    assert merge.merge_into(spark, path, _build(spark, bars(spark, d, 120)))["mode"] == "full_refresh"
+    info = merge.merge_into(spark, path, _build(spark, bars(spark, d + dt.timedelta(days=5), 120)))
+    assert (info["mode"], info["first_day"]) == ("merge", d + dt.timedelta(days=5))
+    assert merge.read_fact_prices(spark, path).count() == 240
+
+
+def test_empty_target_takes_everything(spark):
+    prices = _build(spark, bars(spark, dt.date(2024, 1, 1), 30))
+    assert merge.newest_bar(prices.limit(0)) == dt.datetime(1900, 1, 1)
+    assert merge.incremental_filter(prices, prices.limit(0)).count() == 30
+
+
+def test_a_write_that_was_cut_off_is_no_table(spark, tmp_root):
+    from candlewick.session import table_exists
+
+    os.makedirs(os.path.join(tmp_root, "t", "_temporary", "0"))
+    assert not table_exists(spark, os.path.join(tmp_root, "t"))
+    assert not table_exists(spark, os.path.join(tmp_root, "absent"))
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode(spark, monkeypatch):
+    from candlewick import session
+
+    class Elsewhere:
+        def __init__(self):
+            self.conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})
+            self.sparkContext = type("S", (), {"master": "spark://m:7077", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Elsewhere())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from candlewick.operators import checks, marts, serving
@@ -13,6 +14,12 @@ from candlewick.plans.models import FixtureGraph
 from tests.conftest import SF001
 
 
+def plain_features(prices):
+    """The feature columns over whole series, one window for each."""
+    w = Window.partitionBy("symbol", "bar_interval").orderBy("open_time_utc")
+    return marts._feature_columns(prices, w, 24).select(*marts.FACT_PRICE_FEATURES_COLUMNS)
+
+
 def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -20,13 +27,15 @@ def _same(a, b):
 @pytest.mark.parametrize(
     "which,raw,dedup,b1,b2,btc,gaps,full,days,complete",
     [
-        ("g01", 4880, 3238, 1426, 1812, 647, 300, 3123, 150, 23),
+        ("g01", 5027, 3385, 1573, 1812, 673, 198, 3270, 150, 36),
         ("g1", 5520, 3600, 1680, 1920, 720, 0, 3485, 150, 150),
     ],
 )
 def test_fixture_counts(request, which, raw, dedup, b1, b2, btc, gaps, full, days, complete):
     g = request.getfixturevalue(which)
     assert g.raw.count() == raw
+    # every tick of the tape is in a bar
+    assert g.norm.agg(F.sum("number_of_trades")).first()[0] == g.events.count()
     assert g.norm.count() == dedup
     split = {r["batch_id"]: r["count"] for r in g.norm.groupBy("batch_id").count().collect()}
     assert split == {"batch-001": b1, "batch-002": b2}
@@ -42,7 +51,7 @@ def test_fixture_counts(request, which, raw, dedup, b1, b2, btc, gaps, full, day
 
 def test_smallest_scale_counts(spark):
     g = FixtureGraph(spark, SF001, materialize=False)
-    assert (g.raw.count(), g.norm.count()) == (1058, 745)
+    assert (g.raw.count(), g.norm.count()) == (1181, 868)
 
 
 def test_gapless_identities(g1):
@@ -62,14 +71,22 @@ def test_first_row_has_no_return_and_window_bounds(g01):
 
 @pytest.mark.parametrize("block_rows", [24, 100, 257])
 def test_blocked_features_equal_plain(g01, block_rows):
-    plain = marts.price_features(g01.prices, block_rows=None)
-    blocked = marts.price_features(g01.prices, block_rows=block_rows)
-    assert _same(plain, blocked)
+    assert _same(plain_features(g01.prices), marts.price_features(g01.prices, block_rows=block_rows))
 
 
 def test_blocked_hourly_and_gaps_equal_plain(g01):
-    assert _same(marts.price_hourly(g01.stg, block_rows=None), marts.price_hourly(g01.stg, block_rows=50))
-    assert _same(checks.check_no_gaps(g01.prices, block_rows=None), checks.check_no_gaps(g01.prices, block_rows=7))
+    assert _same(marts.price_hourly(g01.stg, block_rows=100_000), marts.price_hourly(g01.stg, block_rows=50))
+    assert _same(checks.check_no_gaps(g01.prices, block_rows=100_000), checks.check_no_gaps(g01.prices, block_rows=7))
+
+
+@pytest.mark.parametrize("block_rows", [24, 90, 100_000])
+def test_rows_with_a_null_series_are_kept(g01, block_rows):
+    """Bars without a symbol form a series; any block size gives the same."""
+    hole = F.when(F.hour("open_time_utc") != 3, F.col("symbol"))
+    prices = g01.prices.filter(F.col("symbol") == "BTCUSDT").withColumn("symbol", hole)
+    blocked = marts.price_features(prices, block_rows=block_rows)
+    assert blocked.count() == prices.count() and blocked.filter("symbol IS NULL").count() > 20
+    assert _same(plain_features(prices), blocked)
 
 
 def test_block_smaller_than_halo_rejected(g01):
@@ -125,6 +142,16 @@ def test_dedup_prefers_latest_load(g01):
     assert kept.count() == both.count() == 1642
 
 
+def test_halo_start_widens_until_every_series_has_its_rows(spark):
+    from tests.helpers import bars
+
+    d = dt.date(2024, 1, 1)
+    many = bars(spark, d + dt.timedelta(days=50), 24 * 10).unionByName(bars(spark, d, 48, symbol="ETHUSDT"))
+    prices = marts.fact_prices(staging_chain(many))
+    # BTCUSDT needs one day back, ETHUSDT its last day of long before
+    assert marts.halo_start(prices, d + dt.timedelta(days=58)) == d + dt.timedelta(days=1)
+
+
 def test_halo_start_is_exact_under_gaps(spark):
     from tests.helpers import bars
 
@@ -144,14 +171,6 @@ def staging_chain(raw):
     return staging.int_klines_normalized(staging.stg_klines(raw))
 
 
-def test_choose_block_rows(g01):
-    from candlewick.operators.series import choose_block_rows
-
-    assert choose_block_rows(g01.prices) is None  # every series fits one task
-    assert choose_block_rows(g01.prices, plain_max_rows=100, block_rows=50) == 50
-    assert FixtureGraph(g01.spark, g01.sf_dir, materialize=False).block_rows is None
-
-
 def test_hourly_with_hot_copies_equals_plain_lag(spark):
     """A bar loaded many times over: the pre-aggregated form gives the same
     rows as a plain lag over the fully ordered staging rows."""
@@ -176,7 +195,7 @@ def test_hourly_with_hot_copies_equals_plain_lag(spark):
     expected = stg.withColumn("return_1h", safe_divide(F.col("close") - prev, prev)).select(
         *marts.FACT_PRICE_HOURLY_COLUMNS
     )
-    for block_rows in (None, 20):
+    for block_rows in (100_000, 20):
         got = marts.price_hourly(stg, block_rows=block_rows)
         assert got.count() == 2596
         assert _same(got, expected)

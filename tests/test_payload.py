@@ -10,20 +10,22 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.validate import validate_rows
 from candlewick.schema import RAW_COLUMNS
+from candlewick.sources import fixtures
 from candlewick.sources.payload import enrich_raw, parse_klines
 
+# open time 2024-01-01 00:00 UTC, then prices, volumes and counts of our own
 SAMPLE = [
     1704067200000,
-    "42283.58000000",
-    "42554.57000000",
-    "42180.00000000",
-    "42475.23000000",
-    "1271.68156000",
+    "101.25",
+    "109.5",
+    "98.75",
+    "104.0",
+    "640.125",
     1704070799999,
-    "53978544.71370080",
-    43921,
-    "658.12075000",
-    "27936997.40174620",
+    "66573.0",
+    417,
+    "320.5",
+    "33332.0",
     "0",
 ]
 
@@ -41,11 +43,11 @@ def test_parse_sample_row(spark):
     assert len(r) == 1
     r = r[0]
     assert r.open_time_ms == 1704067200000
-    assert r.open == pytest.approx(42283.58)
-    assert r.high == pytest.approx(42554.57)
+    assert r.open == 101.25
+    assert r.high == 109.5
     assert r.close_time_ms == 1704070799999
-    assert r.number_of_trades == 43921
-    assert r.taker_buy_quote_asset_volume == pytest.approx(27936997.4017462)
+    assert r.number_of_trades == 417
+    assert r.taker_buy_quote_asset_volume == 33332.0
     assert r.symbol == "BTCUSDT" and r.row_index == 0
 
 
@@ -57,7 +59,7 @@ def test_short_row_and_bad_number_rejected_extra_ignored(spark):
     rows, rejects = parse_klines(_payloads(spark, [short, bad, extra]))
     assert rows.count() == 1
     reasons = sorted(r.reason for r in rejects.collect())
-    assert reasons == ["expected at least 11 fields, got 10", "open is not a number"]
+    assert reasons == ["open is not a number", "row has 10 fields, 11 are needed"]
 
 
 def test_not_an_array_payload(spark):
@@ -87,11 +89,11 @@ def test_default_batch_id_is_one_per_write(spark):
 
 def test_inconsistent_ohlc_rejected(spark):
     bad = list(SAMPLE)
-    bad[2] = "42000.00000000"  # high below open and close
+    bad[2] = "100.5"  # below open and close
     rows, _ = parse_klines(_payloads(spark, [SAMPLE, bad]))
     ok, rejects = validate_rows(rows)
     assert ok.count() == 1
-    assert [r.reason for r in rejects.collect()] == ["high must be >= max(open, close)"]
+    assert [r.reason for r in rejects.collect()] == ["high is below open or close"]
     with pytest.raises(ValueError):
         validate_rows(rows, strict=True)
 
@@ -107,19 +109,19 @@ def test_bounds_and_close_time(spark):
     reasons = {r.reason for r in rejects.collect()}
     assert "open must be > 0" in reasons
     assert "volume must be >= 0" in reasons
-    assert "close_time_ms must be > open_time_ms" in reasons
-    assert "low must be <= min(open, close)" in reasons
+    assert "bar closes before it opens" in reasons
+    assert "low is above open or close" in reasons
 
 
 def test_fixture_payload_round_trip(spark, g01):
-    """B6: 151 payload strings, 3,070 exploded rows, 3,068 valid, equal to the
-    batch-001 bars they were made from."""
+    """B6: 151 payload strings, 3,387 exploded rows, 3,385 valid, equal to the
+    landed bars of both batches."""
     p = g01.payloads
     assert p.count() == 151
     rows, rejects = parse_klines(p)
-    assert rows.count() == 3068
+    assert rows.count() == 3385
     assert rejects.count() == 2
-    src = g01.raw.filter(F.col("batch_id") == "batch-001").select("symbol", "open_time_ms", "open", "close")
+    src = fixtures.landed_bars(g01.raw).select("symbol", "open_time_ms", "open", "close")
     got = rows.select("symbol", "open_time_ms", "open", "close")
     assert got.exceptAll(src).count() == 0 and src.exceptAll(got).count() == 0
 

@@ -45,7 +45,8 @@ def test_reports_aggregate_map_side(g01):
 
 
 def test_series_filter_reaches_the_scan(g01):
-    text = plan(serving.price_timeseries(g01.features))
+    # on a stored feature table, as the build has it
+    text = plan(serving.price_timeseries(g01.stored.tables["fact_price_features"]))
     scans = [line for line in text.splitlines() if line.strip().startswith("PushedFilters")]
     assert any("EqualTo(symbol,BTCUSDT)" in line for line in scans)
 
@@ -58,12 +59,39 @@ def test_merge_prunes_target_days(spark, tmp_root):
         "quote_asset_volume", "number_of_trades", "taker_buy_base_asset_volume",
         "taker_buy_quote_asset_volume", "loaded_at", "batch_id",
     )
-    merge.merge_into(spark, path, prices, exists=False)
+    merge.merge_into(spark, path, prices)
     target = merge.read_fact_prices(spark, path)
     newest = merge.newest_bar(target)
     scoped = target.filter(F.col("open_date") >= F.lit(newest.date()))
     assert "PartitionFilters: [isnotnull(open_date" in plan(scoped)
-    assert "open_date" in plan(merge.incremental_filter(prices, target, newest=newest))
+
+
+def test_merge_source_reads_only_new_days_of_the_raw_table(spark, g01):
+    """The day bound passes below the dedup to the raw table's partitions."""
+    prices = merge.incremental_filter(g01.prices, g01.prices, newest=dt.datetime(2024, 1, 20, 5))
+    filters = [line for line in plan(prices).splitlines() if "PartitionFilters" in line]
+    assert filters and all("open_date" in line and "2024-01-20" in line for line in filters)
+
+
+def test_incremental_run_reads_from_the_lowest_start(spark, tmp_root):
+    from candlewick.plans import ingest
+    from candlewick.sources import raw as raw_src
+
+    ingest.write_partitions(bars(spark, dt.date(2024, 1, 1), 24 * 20), tmp_root)
+    landed = raw_src.scan_raw(spark, tmp_root)
+    marks = ingest.high_water_marks(landed.filter(F.col("date") < F.lit(dt.date(2024, 1, 18))))
+    rows = ingest.incremental_rows(landed, marks, dt.date(2024, 1, 1), dt.date(2024, 1, 20))
+    filters = [line for line in plan(rows).splitlines() if "PartitionFilters" in line]
+    assert any("2024-01-18" in line for line in filters) and not any("2024-01-01" in line for line in filters)
+    assert rows.count() == 72
+
+
+def test_no_window_over_rows_is_keyed_by_series_alone(g01):
+    from candlewick.operators import marts
+
+    text = plan(marts.price_features(g01.stored.tables["fact_prices"], block_rows=200))
+    specs = [line for line in text.splitlines() if "windowspecdefinition(symbol" in line]
+    assert specs and all("_block" in line for line in specs)
 
 
 def test_day_tables_are_rebalanced(g01):
@@ -74,8 +102,8 @@ def test_day_tables_are_rebalanced(g01):
 def test_feature_windows_share_one_sort(g01):
     from candlewick.operators import marts
 
-    ops = tree(marts.price_features(g01.prices, block_rows=None))
-    top = ops[: ops.index("Exchange") + 1]  # everything above the series shuffle
+    ops = tree(marts.price_features(g01.prices))
+    top = ops[: ops.index("Exchange") + 1]  # everything above the block shuffle
     assert top.count("Window") == 2 and top.count("Sort") == 1
 
 

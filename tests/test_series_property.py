@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import day_start_ms
 from candlewick.operators import marts
+from tests.test_models import plain_features
 
 HOUR = 3_600_000
 
@@ -58,7 +59,7 @@ def test_blocked_equals_plain(spark, series, block_rows, seed):
         F.lit("2024-02-01").cast("timestamp").alias("loaded_at"),
         F.lit("b").alias("batch_id"),
     )
-    plain = marts.price_features(prices, block_rows=None)
+    plain = plain_features(prices)
     blocked = marts.price_features(prices, block_rows=block_rows)
     assert plain.exceptAll(blocked).count() == 0 and blocked.exceptAll(plain).count() == 0
 
