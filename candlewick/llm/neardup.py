@@ -27,16 +27,18 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.common import connected_components, number_rows, partitions, segments, stage
 
-BANDS, ROWS = 32, 3
+#: MinHash samples of a set; the first BANDS * ROWS of them are banded, all are
+#: folded into the sketch. A pair at 0.75 shares no band about once in 10^7.
+SAMPLES, BANDS, ROWS = 512, 40, 4
 #: Bits of the odd sketch.
-BITS = 512
-#: Pairs whose estimate is below this are not confirmed: with 96 samples a pair
-#: at 0.75 falls so low about once in 10^10.
-SCREEN = 0.42
+BITS = 2048
+#: Pairs whose estimate is below this are not confirmed: a pair at 0.75 falls so
+#: low about once in 10^8 (six standard deviations).
+SCREEN = 0.6
 
 _RNG = np.random.default_rng(20240607)
-_FLIP = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-_TURN = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _RNG.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
+_TURN = _RNG.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -59,20 +61,21 @@ def shingles(text: str | None, n: int = 5) -> np.ndarray:
     return np.unique(_mix(out))
 
 
-def minhashes(sets: list[np.ndarray]) -> np.ndarray:
-    """(sets, BANDS * ROWS) smallest hash of each set under each permutation;
-    sets must not be empty. Long lists are taken in pieces that fit in cache."""
-    out = np.empty((len(sets), BANDS * ROWS), np.uint64)
+def minhashes(sets: list[np.ndarray], piece: int = 1 << 16) -> np.ndarray:
+    """(sets, SAMPLES) smallest upper hash half of each set under each
+    permutation; sets must not be empty. They are taken in pieces that fit in
+    cache."""
+    out = np.empty((len(sets), SAMPLES), np.uint32)
     at = 0
     while at < len(sets):
         end, size = at, 0
-        while end < len(sets) and (end == at or size + len(sets[end]) <= 16_384):
+        while end < len(sets) and (end == at or size + len(sets[end]) <= piece):
             size += len(sets[end])
             end += 1
-        flat = np.concatenate(sets[at:end])
+        flat = (np.concatenate(sets[at:end]) >> np.uint64(32)).astype(np.uint32)
         starts = segments(np.fromiter(map(len, sets[at:end]), np.int64))
         work = np.empty_like(flat)
-        for k in range(BANDS * ROWS):
+        for k in range(SAMPLES):
             np.bitwise_xor(flat, _FLIP[k], out=work)
             np.multiply(work, _TURN[k], out=work)
             out[at:end, k] = np.minimum.reduceat(work, starts)
@@ -81,7 +84,7 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
-    by = low.reshape(len(low), BANDS, ROWS)
+    by = low[:, : BANDS * ROWS].reshape(len(low), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), by.shape[:2]).copy()
     for r in range(ROWS):
         key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + by[:, :, r])
@@ -91,7 +94,7 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 def odd_sketches(low: np.ndarray) -> np.ndarray:
     """(sets, BITS / 64) words; bit = parity of the samples that hash to it."""
     n, k = low.shape
-    bit = (_mix(low + np.arange(k, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) % np.uint64(BITS)).astype(np.int64)
+    bit = (_mix(low.astype(np.uint64) + np.arange(k, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) % np.uint64(BITS)).astype(np.int64)
     parity = np.bincount((bit + np.arange(n)[:, None] * BITS).ravel(), minlength=n * BITS) & 1
     return np.packbits(parity.astype(np.uint8).reshape(n, BITS), axis=1).view(np.uint64)
 
@@ -99,7 +102,7 @@ def odd_sketches(low: np.ndarray) -> np.ndarray:
 #: Estimated Jaccard similarity for each XOR population count: differing bits
 #: give the size of the samples' symmetric difference, two for each mismatch.
 _ESTIMATE = np.array(
-    [1 + BITS / 2 * np.log(max(1 - 2 * z / BITS, 1e-9)) / (2 * BANDS * ROWS) for z in range(BITS + 1)]
+    [1 + BITS / 2 * np.log(max(1 - 2 * z / BITS, 1e-9)) / (2 * SAMPLES) for z in range(BITS + 1)]
 )
 
 
