@@ -126,9 +126,14 @@ def logits(model: Model, texts: list[bytes]) -> np.ndarray:
 
 def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float, bool]]:
     """(language, score, accepted) of each text; texts without a letter are
-    unknown, with score 0, and rejected."""
+    unknown, with score 0, and rejected. A model without languages knows none and
+    accepts every text with a letter."""
     out = [(UNKNOWN, 0.0, False)] * len(texts)
-    some = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if model.langs else []
+    some = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
+    if not model.langs:  # nothing was learned, so nothing can be rejected
+        for i in some:
+            out[i] = (UNKNOWN, 0.0, True)
+        return out
     at = 0
     while at < len(some):
         # about 4 MB at a time

@@ -96,7 +96,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": OP8_SQL}
+    return {"op7_near_duplicates": OP7_SQL, "op8_decontamination": OP8_SQL}
+
+
+#: All pairs that share a shingle, then everything reachable over the links.
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x20\x09-\x0D]+') IF x <> ''] AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(ws[i : i + least(5, len(ws)) - 1], ' ') AS shingle
+  FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+shared AS (
+  SELECT x.r AS a, y.r AS b, count(*) AS m FROM s AS x JOIN s AS y ON x.shingle = y.shingle AND x.r < y.r GROUP BY x.r, y.r),
+links AS (
+  SELECT a, b FROM shared JOIN n AS na ON na.r = a JOIN n AS nb ON nb.r = b WHERE 100 * m >= 75 * (na.n + nb.n - m)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT r, r AS x FROM w
+  UNION
+  SELECT reach.r, sides.b FROM reach JOIN sides ON sides.a = reach.x),
+low AS (SELECT reach.r, min(w.doc_id) AS component_id FROM reach JOIN w ON w.r = reach.x GROUP BY reach.r)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM w LEFT JOIN n USING (r) JOIN low USING (r)
+"""
 
 
 #: Windows of both sides as strings, joined; words are lists.
