@@ -87,13 +87,17 @@ def place_runs(df: DataFrame, keys: np.ndarray, place, schema: str, columns: tup
     return df.mapInArrow(look_up, out)
 
 
-def connected_components(spark: SparkSession, links: DataFrame, name: str = "components") -> DataFrame:
+def connected_components(
+    spark: SparkSession, links: DataFrame, name: str = "components", rounds: int | None = None
+) -> DataFrame:
     """``links(a long, b long)`` -> ``(id, component)``, component the smallest
     id reachable; only ids that occur in a link are returned.
 
     Labels start at the smaller end of each link. A round takes the smallest
     label among a node and its neighbours, then follows that label once more
-    (pointer jumping), until nothing changes. Each round is a staged table.
+    (pointer jumping), until nothing changes. Each round is a staged table. With
+    ``rounds``, it stops after so many: then equal components are connected, but
+    a component may still have several names.
     """
     both = stage(
         spark,
@@ -106,6 +110,7 @@ def connected_components(spark: SparkSession, links: DataFrame, name: str = "com
         both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")),
         f"{name}-labels",
     )
+    done = 0
     while True:
         near = (
             both.join(labels.withColumnRenamed("id", "b"), "b")
@@ -119,10 +124,19 @@ def connected_components(spark: SparkSession, links: DataFrame, name: str = "com
             f"{name}-labels",
         )
         labels = new.select("id", "label")
-        if new.filter("old <> label").isEmpty():
+        done += 1
+        if done == rounds or new.filter("old <> label").isEmpty():
             return labels.withColumnRenamed("label", "component")
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches in pieces of at most ``rows`` rows, so that a task holds
+    few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def segments(lengths: np.ndarray) -> np.ndarray:
     """Start of each run when runs of these lengths are laid end to end."""
     out = np.zeros(len(lengths), np.int64)

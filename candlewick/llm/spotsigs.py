@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import partitions
+from candlewick.llm.common import partitions, slices
 from candlewick.llm.decontaminate import words
 
 #: Common words of four languages (fixed values).
@@ -178,7 +178,7 @@ def fingerprints(spark: SparkSession, docs: DataFrame, anchors: tuple[str, ...]
                 column.append(v)
 
         of = None
-        for batch in batches:
+        for batch in slices(batches):
             of = batch.schema.types[2]
             for bucket, halo, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if halo and held is None:
