@@ -36,6 +36,18 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def thinned(df: DataFrame, group: str, key: str, sizes: dict, wanted: dict) -> DataFrame:
+    """Rows whose key's hash is low enough that about four times ``wanted`` rows
+    of each group stay, all if it has fewer; adds ``__share``, the hash as 0 to 1.
+    ``sizes`` holds the groups' row counts. So what a later ordered limit works
+    on doesn't grow with the data. Rows without a key or group go."""
+    share = F.xxhash64(key).bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
+    rate = F.create_map(*[F.lit(x) for g, n in sizes.items() for x in (g, min(1.0, 4.0 * wanted[g] / max(n, 1)))])
+    return df.filter(F.col(key).isNotNull() & F.col(group).isNotNull()).withColumn("__share", share).filter(
+        F.col("__share") < rate[F.col(group)]
+    )
+
+
 def number_rows(df: DataFrame, group: list[str], out: str, order: list[str], buckets: int) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each group.
 

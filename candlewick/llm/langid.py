@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from candlewick.llm.common import thinned
+
 BUCKETS, DIM, ORDERS = 1 << 15, 16, (2, 3, 4)
 UNKNOWN = "und"
 
@@ -158,11 +160,14 @@ def fit(spark: SparkSession, docs: DataFrame, per_language: int = 300, max_bytes
     usable = docs.filter(
         F.col("lang").isNotNull() & (F.octet_length("text") <= max_bytes) & F.col("text").rlike(r"\p{L}")
     ).select("doc_id", "text", "lang")
-    common = [r["lang"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "text")
-    rows = usable.filter(F.col("lang").isin(common)).withColumn("rank", F.row_number().over(by_hash)).filter(
-        F.col("rank") <= per_language
-    )
+    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    sizes = {r["lang"]: r["count"] for r in common.collect()}
+    if not sizes:
+        return train([])
+    by_hash = Window.partitionBy("lang").orderBy("__share", "text")
+    rows = thinned(usable, "lang", "doc_id", sizes, dict.fromkeys(sizes, per_language)).withColumn(
+        "rank", F.row_number().over(by_hash)
+    ).filter(F.col("rank") <= per_language)
     return train(sorted((r["text"], r["lang"]) for r in rows.select("text", "lang").collect()))
 
 

@@ -22,9 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.llm.common import thinned
+
 GAP, DECAY, LONGEST = 2, 0.5, 24
 TRIPLES = 1 << 15
 #: Decision values are cut below this: such words are as good as clean.
@@ -326,13 +328,18 @@ def fit(
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
     size = docs.filter(F.octet_length("text") <= max_bytes).select("doc_id")
     ids = known.join(size.distinct(), "doc_id")
-    rank = F.row_number().over(Window.partitionBy("__toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = ids.withColumn("__rank", rank).filter(F.col("__rank") <= F.when(F.col("__toxic") == 1, toxic).otherwise(clean))
+    ids = ids.withColumn("__toxic", (F.col("__toxic") == 1).cast("int"))
+    sizes = {r["__toxic"]: r["count"] for r in ids.groupBy("__toxic").count().collect()}
+    if not sizes:
+        return train([])
+    few = thinned(ids, "__toxic", "doc_id", sizes, {1: toxic, 0: clean})
+    first = lambda label, n: few.filter(F.col("__toxic") == label).orderBy("__share", "doc_id").limit(n)
+    chosen = first(1, toxic).union(first(0, clean))
     # at most toxic + clean rows
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "__toxic")), "doc_id").filter(
         F.octet_length("text") <= max_bytes
     ).groupBy("doc_id").agg(F.min("text").alias("text"), F.max("__toxic").alias("toxic")).orderBy("doc_id").collect()
-    share = known.agg(F.avg("__toxic")).first()[0]
+    share = sizes.get(1, 0) / sum(sizes.values())
     return train([(r["text"], int(r["toxic"])) for r in rows], share=share)
 
 
