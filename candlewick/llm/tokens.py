@@ -60,11 +60,14 @@ class TextEncoder:
             if len(self.words) > self.max_words:
                 self.words.clear()
                 self.parts.clear()
-                short = [i for i, ws in enumerate(split) if ws]
-            new = {w for i in short for w, ids in zip(split[i], found[i]) if ids is None or not self.words}
-            self._learn(list(new))
+                found = [[None] * len(ws) for ws in split]
+                short = range(len(split))
+            self._learn(list({w for i in short for w, ids in zip(split[i], found[i]) if ids is None}))
             for i in short:
-                found[i] = map(get, split[i])
+                ids, ws, at = found[i], split[i], -1
+                for _ in range(ids.count(None)):
+                    at = ids.index(None, at + 1)
+                    ids[at] = get(ws[at])
         return [b"".join(ids) for ids in found]
 
     def _learn(self, new: list[str]) -> None:
@@ -95,11 +98,13 @@ class TextEncoder:
             words.update(zip(whole, self.direct(whole)))
 
     def _runs(self, runs: list[str]) -> None:
-        """Encode many runs of letters as one text, cut after each word end."""
+        """Encode runs of letters many to a text, cut after each word end."""
         runs.sort()
         for i in range(0, len(runs), 20_000):
             some = runs[i : i + 20_000]
-            ids = np.asarray(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            lines = [" ".join(some[k : k + 200]) for k in range(0, len(some), 200)]
+            found = self.tok.encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.concatenate([np.asarray(e.ids, "<u4") for e in found])
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(some) and (not len(ids) or stops[-1] == len(ids)):
                 raw, at = ids.tobytes(), 0
