@@ -22,7 +22,7 @@ from candlewick.llm.common import segments
 from candlewick.llm.tokens import encoder
 
 MAGIC = b"RPR1"
-_SLOTS = 20
+_SLOTS = 17
 
 
 def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
