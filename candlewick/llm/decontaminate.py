@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import stage
+from candlewick.llm.common import slices, stage
 
 #: Bytes of UTF-8 text -> the same with A-Z lowered and every separator a
 #: space. Words are digits, letters a-z and all bytes of other code points.
@@ -108,7 +108,7 @@ def find_hits(
 
         def look(batches, held=held):
             found = automaton(held.value, window)
-            for batch in batches:
+            for batch in slices(batches):
                 n, hits = [], []
                 for text, old in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist()):
                     k, new = scan(found, text)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import thinned
+from candlewick.llm.common import slices, thinned
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, (2, 3, 4)
 UNKNOWN = "und"
@@ -138,9 +138,9 @@ def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float, boo
         return out
     at = 0
     while at < len(some):
-        # about 4 MB at a time
+        # about half a MB at a time: its subwords take some 50 times that
         end, size, raws = at, 0, []
-        while end < len(some) and (size < 1 << 22):
+        while end < len(some) and size < 1 << 19:
             raws.append(_bytes(texts[some[end]]))
             size += len(raws[-1])
             end += 1
@@ -177,7 +177,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     held = spark.sparkContext.broadcast(model)
 
     def look(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = predict(held.value, batch.column("text").to_pylist())
             cols = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *names])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import thinned
+from candlewick.llm.common import slices, thinned
 
 GAP, DECAY, LONGEST = 2, 0.5, 24
 TRIPLES = 1 << 15
@@ -346,7 +346,7 @@ def fit(
 class _Scorer:
     """Decision values of words, kept in a bounded table in each worker."""
 
-    def __init__(self, model: Model, max_words: int = 400_000):
+    def __init__(self, model: Model, max_words: int = 250_000):
         self.model, self.max_words, self.seen = model, max_words, {}
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
@@ -374,9 +374,8 @@ def rate(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
 
     def look(batches):
         scorer = _Scorer(held.value)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            score = np.concatenate([scorer(texts[i : i + 500]) for i in range(0, len(texts), 500)] or [np.empty(0)])
+        for batch in slices(batches):
+            score = scorer(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))],
                 names=[*batch.schema.names, *names],
