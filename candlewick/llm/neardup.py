@@ -11,8 +11,8 @@ Buckets of any size are worked off without listing their pairs: in a few
 rounds each member is compared with one hub of its bucket (the most alike over
 its buckets), and members that are already connected need no further
 comparison. What is left, members of one bucket in different components, is
-compared in blocks of bounded size, and only pairs alike enough by their
-sketches leave a block.
+compared in blocks of bounded size, by sketches and then by full sets inside
+the task, so that only nodes and links leave a block.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import connected_components, number_rows, partitions, segments, stage
+from candlewick.llm.common import connected_components, number_rows, partitions, segments, slices, stage
 
 #: MinHash samples of a set; the first BANDS * ROWS of them are banded, all are
 #: folded into the sketch. A pair at 0.75 shares no band about once in 10^7.
@@ -115,7 +115,7 @@ def describe(spark: SparkSession, docs: DataFrame) -> DataFrame:
     the digest of its shingle set and ``row`` a number of its own."""
 
     def look(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts, hashes = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
             for at in range(0, len(texts), 512):
                 sets = [shingles(t) for t in texts[at : at + 512]]
@@ -179,7 +179,7 @@ def _full_sets(spark: SparkSession, docs: DataFrame, nodes: DataFrame, max_broad
     rows = docs.select("doc_id", "text").withColumn("k", F.struct("doc_id")).join(ids, "k", "left_semi").select("text")
 
     def look(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -213,58 +213,113 @@ def _confirm(spark: SparkSession, docs: DataFrame, pairs: DataFrame, info: DataF
     return rows.mapInArrow(look, "a long, b long")
 
 
-def _in_blocks(spark: SparkSession, left: DataFrame, block: int = 1024) -> DataFrame:
-    """Pairs ``(a, b)`` of ``left(band, node, label, n, sketch)`` that share a
-    band, differ in label and pass the screen. A band's members are numbered and
-    cut into blocks; each task holds two blocks at a time."""
+def _in_blocks(spark: SparkSession, left: DataFrame, columns: list[str], work, schema: str, block: int) -> DataFrame:
+    """Compare the rows of ``left`` that share a band. A band's members are
+    numbered and cut into blocks; each task holds two blocks of one band at a
+    time and calls ``work(members, one, two)``: the columns by name, and the
+    rows of either block."""
     numbered = stage(spark, number_rows(left, ["band"], "at", ["node"], partitions(spark)), "members")
-    blocks = numbered.groupBy("band").agg((F.floor(F.max("at") / block)).cast("int").alias("last"))
-    mine = F.floor(F.col("at") / block).cast("int")
-    spread = numbered.withColumn("mine", mine).join(blocks, "band").withColumn(
+    last = numbered.groupBy("band").agg((F.floor(F.max("at") / block)).cast("int").alias("last"))
+    spread = numbered.withColumn("mine", F.floor(F.col("at") / block).cast("int")).join(last, "band").withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("last")))
     )
-    spread = spread.select(
-        "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        "mine", "node", "label", "n", "sketch",
-    )
-
-    def pairs(group):
-        side, node, label, n, sketch = group
-        sketch = np.frombuffer(b"".join(sketch), np.uint64).reshape(-1, BITS // 64)
-        node, label, n, side = (np.array(x, np.int64) for x in (node, label, n, side))
-        one = np.flatnonzero(side == side.min())
-        two = np.flatnonzero(side == side.max())
-        a, b = [], []
-        for i in one:
-            ok = two[(label[two] != label[i]) & (node[two] != node[i])]
-            ok = ok[np.minimum(n[ok], n[i]) * 100 >= np.maximum(n[ok], n[i]) * 75]
-            if len(ok):
-                ok = ok[estimates(sketch[ok], sketch[i]) >= SCREEN]
-            if len(ok):
-                a.append(np.minimum(node[i], node[ok]))
-                b.append(np.maximum(node[i], node[ok]))
-        return (np.concatenate(a), np.concatenate(b)) if a else None
+    spread = spread.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", *columns)
+
+    def pairs(held):
+        members = dict(zip(["mine", *columns], held))
+        side = np.array(members["mine"])
+        members["sketch"] = np.frombuffer(b"".join(members["sketch"]), np.uint64).reshape(-1, BITS // 64)
+        for name in ("node", "label", "n", "bands"):
+            members[name] = np.array(members[name], np.int64)
+        # where this band stands among a set's bands
+        members["place"] = int(np.flatnonzero(members["bands"][0] == members["here"][0])[0])
+        return work(members, np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max()))
 
     def look(batches):
         held, key = None, None
-        for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns))
-            for band, i, j, *row in rows:
+        for batch in slices(batches):
+            for band, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (band, i, j) != key:
                     if held and (got := pairs(held)):
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in got], names=["a", "b"])
-                    key, held = (band, i, j), [[], [], [], [], []]
+                        yield got
+                    key, held = (band, i, j), [[] for _ in row]
                 for column, v in zip(held, row):
                     column.append(v)
         if held and (got := pairs(held)):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in got], names=["a", "b"])
+            yield got
 
     return (
         spread.repartition(partitions(spark), "band", "i", "j").sortWithinPartitions("band", "i", "j")
-        .mapInArrow(look, "a long, b long").distinct()
+        .mapInArrow(look, schema)
     )
 
 
+def _partners(members: dict, i: int, two: np.ndarray) -> np.ndarray:
+    """Rows of ``two`` that may be linked with row ``i`` and aren't connected yet.
+    A pair counts in the first band that it shares only."""
+    label, n, bands = members["label"], members["n"], members["bands"]
+    ok = two[label[two] != label[i]]
+    ok = ok[np.minimum(n[ok], n[i]) * 100 >= np.maximum(n[ok], n[i]) * 75]
+    if len(ok):
+        ok = ok[estimates(members["sketch"][ok], members["sketch"][i]) >= SCREEN]
+    place = members["place"]
+    return ok[~(bands[ok, :place] == bands[i, :place]).any(1)] if len(ok) and place else ok
+
+
+def _involved(members: dict, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch | None:
+    """The rows that have a possible partner here."""
+    found = np.zeros(len(members["node"]), bool)
+    for i in one:
+        partners = _partners(members, i, two)
+        found[partners] = True
+        found[i] |= len(partners) > 0
+    if found.any():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.array(members["here"])[found], pa.int64()), pa.array(members["node"][found])], names=["band", "node"]
+        )
+
+
+def _links(members: dict, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch | None:
+    """Linked pairs by full sets, without those already connected by others."""
+    sets = [np.frombuffer(x, np.uint64) for x in members["shingles"]]
+    label, up = members["label"], {}
+
+    def top(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    a, b = [], []
+    for i in one:
+        for j in _partners(members, i, two):
+            x, y = top(label[i]), top(label[j])
+            if x == y:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                up[x] = y
+                a.append(members["node"][i])
+                b.append(members["node"][j])
+    if a:
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _remaining_links(spark: SparkSession, docs: DataFrame, left: DataFrame, info: DataFrame, block: int = 512) -> DataFrame:
+    """Links between rows of ``left(band, node, label)`` that share a band and
+    differ in label. First the sketches tell which rows may have any; only those
+    are compared again, with their full sets, so nothing leaves a task but row
+    names and links."""
+    left = left.withColumn("here", F.col("band"))
+    columns = ["node", "label", "n", "sketch", "bands", "here"]
+    sketched = left.join(info.select("node", "n", "sketch", "bands"), "node")
+    found = _in_blocks(spark, sketched, columns, _involved, "band long, node long", block)
+    involved = stage(spark, found.distinct(), "involved")
+    nodes = involved.select("node").distinct()
+    held = _full_sets(spark, docs, info.join(nodes, "node", "left_semi").select("node", "doc_id", "key"))
+    rows = sketched.join(involved, ["band", "node"], "left_semi").join(held, "node")
+    return _in_blocks(spark, rows, [*columns, "shingles"], _links, "a long, b long", block)
+
+
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without all but one row of each group of near copies, the one
     with the smallest doc_id (of repeated rows, any one). Rows without words are
@@ -278,7 +333,7 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return rows.filter("__rank = 1").select(docs.columns).union(docs.filter(~worded).select(docs.columns))
 
 
-def components(spark: SparkSession, docs: DataFrame, rounds: int = 3) -> DataFrame:
+def components(spark: SparkSession, docs: DataFrame, rounds: int = 2) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, text_hash, n_shingles,
     component_id, kept, first)``.
 
@@ -294,32 +349,33 @@ def components(spark: SparkSession, docs: DataFrame, rounds: int = 3) -> DataFra
     classes = stage(spark, full.groupBy("key").agg(F.min("row").alias("node"), smallest.alias("low")), "classes")
     reps = full.join(classes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
     buckets = reps.select("node", F.explode("bands").alias("band"))
-    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band")
+    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     live = stage(spark, buckets.join(shared, "band"), "buckets")
-    info = stage(
-        spark,
-        reps.select("node", "doc_id", "key", "n", "sketch").join(live.select("node").distinct(), "node", "left_semi"),
-        "sketches",
-    )
+    # the node that shares buckets with most others is the likely original of copies
+    degree = live.groupBy("node").agg(F.sum("c").alias("degree"))
+    info = stage(spark, reps.select("node", "doc_id", "key", "n", "sketch", "bands").join(degree, "node"), "sketches")
+    live = stage(spark, live.select("node", "band").join(info.select("node", "degree"), "node"), "buckets")
     links, labels = None, None
 
     def labelled() -> DataFrame:
         if labels is None:
             return live.withColumn("label", F.col("node"))
         return live.join(labels.select(F.col("id").alias("node"), "component"), "node", "left").select(
-            "node", "band", F.coalesce("component", "node").alias("label")
+            "node", "band", "degree", F.coalesce("component", "node").alias("label")
         )
 
     def join_up(pairs: DataFrame):
         new = _confirm(spark, docs, pairs, info)
         every = stage(spark, new if links is None else links.union(new), "links")
-        return every, connected_components(spark, every)
+        # which members need no comparison; whole components come at the end
+        return every, connected_components(spark, every, rounds=3)
 
     apart = F.min("label") != F.max("label")
     for k in range(rounds):
         now = stage(spark, labelled(), "labelled")
+        rank = F.col("degree") if k == 0 else F.xxhash64("node", F.lit(k))
         hubs = now.groupBy("band").agg(
-            F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(k))).alias("hub"), apart.alias("apart")
+            F.max_by(F.struct("node", "label"), F.struct(rank, "node")).alias("hub"), apart.alias("apart")
         ).filter("apart").select("band", "hub")
         pairs = now.join(hubs, "band").filter("label <> hub.label").select(
             F.col("node").alias("member"), F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")
@@ -331,11 +387,13 @@ def components(spark: SparkSession, docs: DataFrame, rounds: int = 3) -> DataFra
         links, labels = join_up(pairs)
     now = stage(spark, labelled(), "labelled")
     open_bands = now.groupBy("band").agg(apart.alias("apart")).filter("apart").select("band")
-    left = now.join(open_bands, "band").join(info.select("node", "n", "sketch"), "node")
-    pairs = stage(spark, _in_blocks(spark, left), "pairs")
-    if not pairs.isEmpty():
-        links, labels = join_up(pairs)
-    if labels is None:
+    left = stage(spark, now.join(open_bands, "band").select("band", "node", "label"), "open")
+    if not left.isEmpty():
+        new = _remaining_links(spark, docs, left, info)
+        links = new if links is None else links.union(new)
+    if links is not None:
+        labels = connected_components(spark, links)
+    else:
         labels = classes.select(F.col("node").alias("id"), F.col("node").alias("component")).limit(0)
     member = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select(
         "key", "low", F.coalesce("component", "node").alias("component")
