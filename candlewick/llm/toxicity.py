@@ -7,8 +7,14 @@ labelled texts are the instances; a sample of them are the landmarks of a
 Nyström approximation, in which a linear support vector machine is trained. As
 a toxic text need not be toxic throughout, training repeats with each toxic
 text's highest word as its witness and the highest words of clean texts as
-counterexamples. A text's probability is a logistic function of its highest word,
-the number of its toxic words and their share.
+counterexamples.
+
+Toxic words are found by markers: fragments of 4 to 8 letters (word edges count)
+that are in toxic texts at rates at which clean ones don't have them, so rare words
+that share a fragment count together. Words without a marker that the machine calls
+toxic form one more group. A text's probability is a logistic function of its highest
+word, the number and share of toxic words, and how far each group's share of
+the text's distinct words exceeds that in clean texts that have any.
 
 The decision function is a sum over landmarks of kernel values; the kernel
 counts letter triples, so the sum is kept as one weight for each triple.
@@ -36,6 +42,8 @@ _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "
 #: Stands for a word's start and end, which count as letters.
 EDGE = "\1"
 _OUTER = "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~"
+#: Lengths of markers, and the shares of a text's words at which they are tried.
+FRAGMENTS, SHARES = (8, 7, 6, 5, 4), (0.0, 0.003, 0.006, 0.01, 0.015)
 #: Three or more single characters in a row.
 _SPELLED = re.compile(r"(?<!\S)\S(?:\s\S(?!\S)){2,}")
 
@@ -71,6 +79,14 @@ def split(text: str | None) -> list[str]:
     return out
 
 
+_STANDS = str.maketrans(_LEET)
+
+
+def plain(word: str) -> str:
+    """The word's letters in lower case, without signs in between, with its edges."""
+    return EDGE + "".join(filter(str.isalpha, word.strip(_OUTER).translate(_STANDS).lower())) + EDGE
+
+
 _GAPS = [(1 + i, 2 + i + j, DECAY ** (i + j)) for i in range(GAP + 1) for j in range(GAP + 1)]
 _PAD = 2 * GAP + 2
 
@@ -113,9 +129,10 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
     """(words, landmarks) kernel values in 0 to 1; ``landmarks`` is (TRIPLES, m)."""
     out = np.zeros((len(words), landmarks.shape[1]))
-    for i in range(0, len(words), 2000):
-        word, triple, value = triples(words[i : i + 2000])
-        np.add.at(out[i : i + 2000], word, landmarks[triple] * value[:, None])
+    step = max(1, 128_000 // max(1, landmarks.shape[1]))
+    for i in range(0, len(words), step):
+        word, triple, value = triples(words[i : i + step])
+        np.add.at(out[i : i + step], word, landmarks[triple] * value[:, None])
     return out
 
 
@@ -131,6 +148,8 @@ class Model:
     weights: np.ndarray  # one for each triple
     bias: float
     curve: np.ndarray  # of the logistic function of a text's features, constant last
+    markers: list[str]
+    usual: np.ndarray  # share of words by marker, and of other toxic words, in clean texts with any
 
     def decide(self, words: list[str]) -> np.ndarray:
         """Decision value of each word, not below FLOOR."""
@@ -151,18 +170,34 @@ class Model:
                 out[i + near] = np.maximum(exact, FLOOR)
         return out
 
-    def probability(self, features: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(features @ self.curve, -500, 500)))
+    def group(self, words: list[str], values: np.ndarray) -> np.ndarray:
+        """Number of the first marker that each word holds; the number of markers
+        if it has none and a decision value above 0; else -1."""
+        out = np.where(values > 0, len(self.markers), -1)
+        if self.markers:
+            number = {m: i for i, m in enumerate(self.markers)}
+            find = re.compile("|".join(map(re.escape, self.markers))).search
+            for i, w in enumerate(words):
+                if found := find(plain(w)):
+                    out[i] = number[found[0]]
+        return out
 
+    def features(self, values: np.ndarray, groups: np.ndarray, distinct: int) -> list[float]:
+        """A text's features from its words' decision values, and from the groups of
+        its ``distinct`` different words: the highest value, how many are toxic, their
+        share, and the excess of the groups over their usual shares."""
+        hits = int((values > 0).sum())
+        k = np.bincount(groups[groups >= 0], minlength=len(self.usual)).astype(float)
+        usual = distinct * self.usual
+        over = np.where(k > usual, k * np.log(np.maximum(k, 1e-9) / usual) - (k - usual), 0.0)
+        times = np.where(k > usual, np.log((k + 1) / (usual + 1)), 0.0)
+        return [
+            float(values.max()) if len(values) else FLOOR, float(np.log1p(hits)),
+            float(np.log((hits + 0.1) / (len(values) + 20))), float(np.log1p(over.sum())), float(times.sum()), 1.0,
+        ]
 
-def features(values: np.ndarray) -> list[float]:
-    """A text's features from its words' decision values: the highest, how many
-    are toxic, and their share."""
-    hits = int((values > 0).sum())
-    return [
-        float(values.max()) if len(values) else FLOOR, float(np.log1p(hits)),
-        float(np.log((hits + 0.1) / (len(values) + 20))), 1.0,
-    ]
+    def probability(self, features: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(features @ self.curve, -500, 500)))
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, epochs: int = 40, seed: int = 3):
@@ -213,6 +248,93 @@ def _surprise(n1: np.ndarray, n0: np.ndarray, of1: int, of0: int) -> np.ndarray:
     return np.where(n1 / of1 > 4 * n0 / of0, 2 * (in_1 + in_0), 0.0)
 
 
+def _pieces(shapes: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Every fragment of the words: (word, hash, first character, length)."""
+    cp = np.frombuffer("\0".join([*shapes, ""]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    long = np.fromiter(map(len, shapes), np.int64, len(shapes))
+    word = np.repeat(np.arange(len(shapes)), long + 1)
+    start = np.arange(len(cp)) - np.repeat(np.cumsum(long + 1) - long - 1, long + 1)
+    h, out = np.zeros(len(cp), np.uint64), []
+    for n in range(1, max(FRAGMENTS) + 1):
+        if len(cp) < n:
+            break
+        h = (h[: len(cp) - n + 1] + cp[n - 1 :]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        if n in FRAGMENTS:
+            at = np.flatnonzero(start[: len(h)] + n <= long[word[: len(h)]])
+            out.append((word[at], h[at], start[at], np.full(len(at), n)))
+    return tuple(np.concatenate([o[i] for o in out] or [np.empty(0, np.int64)]) for i in range(4))
+
+
+def _markers(words: list[str], inside: list[np.ndarray], y: np.ndarray, least: float = 25.0, most: int = 200) -> list[str]:
+    """Fragments that tell toxic texts (``y`` 1) from clean ones, by the share of a
+    text's distinct ``words`` that hold them. Each is the most surprising among
+    texts that no two before account for; of equal ones the longest."""
+    shapes = list(map(plain, words))
+    toxic = np.flatnonzero(y == 1)
+    # how many toxic texts have a fragment: first by 24 bits of its hash, then exactly
+    few, least_texts = np.zeros(1 << 24, np.uint16), 5
+    for i in toxic:
+        few[np.unique(_pieces([shapes[w] for w in inside[i]])[1] & np.uint64((1 << 24) - 1))] += 1
+    pieces = [np.empty(0, np.uint64)]
+    for i in toxic:
+        h = np.unique(_pieces([shapes[w] for w in inside[i]])[1])
+        pieces.append(h[few[h & np.uint64((1 << 24) - 1)] >= least_texts])
+    hashes, n = np.unique(np.concatenate(pieces), return_counts=True)
+    hashes = hashes[n >= least_texts]
+    del few, pieces
+    if not len(hashes):
+        return []
+    of: list[np.ndarray] = []
+    text_of: dict[int, str] = {}
+    for at in range(0, len(shapes), 5000):
+        some = shapes[at : at + 5000]
+        word, h, start, size = _pieces(some)
+        m = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        hit = hashes[m] == h
+        word, m, start, size = word[hit], m[hit].astype(np.int32), start[hit], size[hit]
+        for j in np.unique(m, return_index=True)[1]:
+            text_of.setdefault(int(m[j]), some[word[j]][start[j] : start[j] + size[j]])
+        key = np.unique(word << 32 | m)
+        cuts = np.searchsorted(key, np.arange(1, len(some), dtype=np.int64) << 32)
+        of += np.split((key & 0xFFFFFFFF).astype(np.int32), cuts)
+    # the longest first
+    order = sorted(range(len(hashes)), key=lambda m: (-len(text_of[m]), text_of[m]))
+    names = [text_of[m] for m in order]
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order))
+    of = [place[m] for m in of]
+    texts, marks, shares = [], [], []
+    for i, at in enumerate(inside):
+        if len(at):
+            which, k = np.unique(np.concatenate([of[w] for w in at]), return_counts=True)
+            texts.append(np.full(len(which), i, np.int32))
+            marks.append(which)
+            shares.append((k / (len(at) + 40)).astype(np.float32))
+    text, mark, share = np.concatenate(texts), np.concatenate(marks), np.concatenate(shares)
+    n1, n0 = len(toxic), len(y) - len(toxic)
+    above = []
+    for s in SHARES:
+        at = share > s
+        t, m = text[at], mark[at]
+        clean = np.bincount(m[y[t] == 0], minlength=len(names))
+        above.append((t[y[t] == 1], m[y[t] == 1], clean))
+    left, out = np.where(y == 1, 2, 0), []
+    while len(out) < most:
+        gains = [
+            _surprise(np.bincount(m[left[t] > 0], minlength=len(names)), clean, n1, n0) for t, m, clean in above
+        ]
+        for g in gains:
+            g[out] = 0
+        best = int(np.argmax([g.max() for g in gains]))
+        if gains[best].max() <= least:
+            break
+        out.append(int(gains[best].argmax()))
+        t, m, _ = above[best]
+        left[t[m == out[-1]]] -= 1
+    return [names[i] for i in out]
+
+
 def _disguised(word: str) -> list[str]:
     """A word with characters put between its letters, doubled or masked."""
     m = len(word) // 2
@@ -231,7 +353,9 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     # a constant model calls nothing toxic
     flat = min(prior, 0.49)
-    constant = Model(np.zeros(TRIPLES), FLOOR, np.array([0.0, 0.0, 0.0, np.log(flat / (1 - flat))]))
+    constant = Model(
+        np.zeros(TRIPLES), FLOOR, np.array([0.0] * 5 + [np.log(flat / (1 - flat))]), [], np.ones(1)
+    )
     if not 0 < y.sum() < len(y):
         return constant
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
@@ -257,12 +381,20 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
             if not open_[i]:
                 del open_[i]
                 left[inside[i]] -= 1
-    if not picks:
+    markers = _markers(every, inside, y)
+    # the toxic texts' words with a marker, the most frequent first
+    holds = Model(constant.weights, FLOOR, constant.curve, markers, np.ones(1)).group(
+        every, np.full(len(every), FLOOR)
+    )
+    order = np.lexsort((np.arange(len(every)), -in_toxic))
+    alike = [int(i) for i in order if holds[i] >= 0 and spelled[i] and in_toxic[i] > 4 * in_clean[i] * n1 / n0]
+    if not picks and not alike:
         return constant
+    picks += [i for i in alike if i not in set(picks)]
     tried = [every[i] for i in picks]
     # and words like those, if they are surprising themselves
     alike = [i for i in np.flatnonzero(spelled & (_surprise(in_toxic, in_clean, n1, n0) > 12)) if i not in set(picks)]
-    near = kernel([every[i] for i in alike], _dense(tried)).max(1, initial=0)
+    near = kernel([every[i] for i in alike], _dense(tried[:landmarks])).max(1, initial=0)
     good = tried + [every[i] for i, k in zip(alike, near) if k > 0.4]
     # landmarks: toxic words that differ from those before, and common clean words
     marks: list[str] = []
@@ -292,7 +424,7 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
         label = np.concatenate([np.ones(len(x1)), -np.ones(len(x0) + len(xh))])
         cost = np.where(label > 0, len(label) / (2 * len(x1)), len(label) / (2 * (len(x0) + len(xh))))
         w, b = _svm(x, label, cost)
-        model = Model(dense @ (project @ w), float(b), np.zeros(4))
+        model = Model(dense @ (project @ w), float(b), np.zeros(6), markers, np.ones(len(markers) + 1))
         value = model.decide(every)
         best = []
         for at in inside:
@@ -302,13 +434,22 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
         positive = sorted(witness | set(good))
         hard = sorted(set(hard) | {w for (f, w), t in zip(best, y) if not t and f > -0.9 and w} - set(good))
     # logistic function of the texts' features, weighted to the population
-    x = np.array([features(value[[number[w] for w in split(t)]]) for t, _ in texts])
+    groups = model.group(every, value)
+    held, of = np.zeros(len(markers) + 1), np.zeros(len(markers) + 1)
+    for at, label in zip(inside, y):
+        k = np.bincount(groups[at][groups[at] >= 0], minlength=len(held))
+        held += np.where(label == 0, k, 0)
+        of += np.where((label == 0) & (k > 0), len(at), 0)
+    model.usual = (held + 0.5) / (of + 5_000)
+    x = np.array([
+        model.features(value[[number[w] for w in split(t)]], groups[at], len(at)) for (t, _), at in zip(texts, inside)
+    ])
     weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    ridge = np.diag([1e-2, 1e-2, 1e-2, 0])
+    ridge = np.diag([1e-2] * 5 + [0])
     for _ in range(100):
         p = model.probability(x)
-        hess = (x * (np.maximum(weight * p * (1 - p), 1e-9))[:, None]).T @ x + ridge + 1e-9 * np.eye(4)
+        hess = (x * (np.maximum(weight * p * (1 - p), 1e-9))[:, None]).T @ x + ridge + 1e-9 * np.eye(6)
         move = np.linalg.solve(hess, (weight * (p - target)) @ x + ridge @ model.curve)
         move *= min(1.0, 1.0 / max(np.abs(move).max(), 1e-12))
         model.curve = model.curve - move
@@ -351,18 +492,17 @@ class _Scorer:
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         bags = [split(t) for t in texts]
-        get = self.seen.get
-        found = [list(map(get, ws)) for ws in bags]
-        new = sorted({w for ws, fs in zip(bags, found) if None in fs for w, f in zip(ws, fs) if f is None})
-        values = dict(zip(new, self.model.decide(new).tolist()))
-        x = [
-            features(np.array(fs if None not in fs else [values[w] if f is None else f for w, f in zip(ws, fs)]))
-            for ws, fs in zip(bags, found)
-        ]
+        new = sorted({w for ws in bags for w in ws if w not in self.seen})
+        values = self.model.decide(new)
+        self.seen.update(zip(new, zip(values.tolist(), self.model.group(new, values).tolist())))
+        x = []
+        for ws in bags:
+            kinds = {w: self.seen[w] for w in ws}
+            groups = np.fromiter((g for _, g in kinds.values()), np.int64, len(kinds))
+            x.append(self.model.features(np.array([kinds[w][0] for w in ws]), groups, len(kinds)))
         if len(self.seen) > self.max_words:
             self.seen.clear()
-        self.seen.update(values)
-        return self.model.probability(np.array(x).reshape(-1, 4))
+        return self.model.probability(np.array(x).reshape(-1, 6))
 
 
 def rate(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
