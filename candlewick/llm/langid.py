@@ -4,6 +4,10 @@ softmax, trained by stochastic gradient descent, with calibrated rejection.
 A text's subwords are its runs of 2 to 4 UTF-8 bytes (lower-cased). Since the
 classifier is linear in the average, each subword's embedding times the output
 matrix is kept as one row of language scores.
+
+A text is rejected for the share of its three-byte subwords that training never
+saw, however many languages there are: a softmax over the known languages says
+nothing of others.
 """
 
 from __future__ import annotations
@@ -19,6 +23,11 @@ from candlewick.llm.common import slices, thinned
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, (2, 3, 4)
 UNKNOWN = "und"
+#: The order looked at for unseen subwords, and how many seen ones each text is
+#: given besides, so that a word or two don't decide.
+FAMILIAR, SPARE = ORDERS.index(3), 10
+_LETTER = np.zeros(256, bool)
+_LETTER[[9, 10, 13, 32, *range(97, 123), *range(128, 256)]] = True
 
 
 @dataclass
@@ -26,7 +35,8 @@ class Model:
     langs: list[str]
     rows: np.ndarray  # (BUCKETS + 1, languages), the last row zero
     temperature: float
-    accept: float  # least score of accepted texts
+    seen: np.ndarray  # by bucket: whether training has it as a subword of order FAMILIAR
+    strange: np.ndarray  # by language: largest share of unseen subwords of accepted texts
 
 
 def subwords(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -64,12 +74,13 @@ def train(
 ) -> Model:
     """Fit on (text, language) pairs: whole texts in chunks of ``chunk`` bytes,
     ``max_chunks`` of them drawn evenly by language; a fifth of the texts sets
-    the temperature, and the rejection threshold at half the score that one in a
-    thousand of them falls below (0.3 at most)."""
+    the temperature. Each fifth in turn is held back for the rejection
+    threshold: the share of subwords unseen in the other four that one in 200
+    of a language's texts exceeds."""
     rng = np.random.default_rng(seed)
     langs = sorted({lang for _, lang in samples})
     if not langs:
-        return Model([], np.zeros((BUCKETS + 1, 0), np.float32), 1.0, 0.0)
+        return Model([], np.zeros((BUCKETS + 1, 0), np.float32), 1.0, np.zeros(BUCKETS + 1, bool), np.zeros(0))
     kept, held = [], []
     for text, lang in samples:
         raw = _bytes(text)
@@ -103,7 +114,7 @@ def train(
                 np.add.at(e, row, -back)
             e[-1] = 0
             step += 1
-    model = Model(langs, (e @ w).astype(np.float32), 1.0, 0.0)
+    model = Model(langs, (e @ w).astype(np.float32), 1.0, *_familiar(samples, langs))
     test = [(b"".join(p for p, _ in parts), parts[0][1]) for parts in (held or kept) if parts]
     if test:
         z = logits(model, [t for t, _ in test])
@@ -111,24 +122,55 @@ def train(
         grid = np.geomspace(0.05, 5, 40)
         loss = [-np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean() for t in grid]
         model.temperature = float(grid[int(np.argmin(loss))])
-        best = _softmax(z / model.temperature).max(1)
-        model.accept = float(min(0.3, np.quantile(best, 0.001) / 2))
     return model
 
 
+def _lettered(texts: list[bytes], row: np.ndarray) -> np.ndarray:
+    """Whether each position's subword of order FAMILIAR has letters and space
+    only, so that numbers, keys and signs count neither way."""
+    pad, n = b"\0" * ORDERS[-1], len(row)
+    ok = _LETTER[np.frombuffer(pad.join(texts) + pad, np.uint8)]
+    return ok[:n] & ok[1 : n + 1] & ok[2 : n + 2] & (row < BUCKETS)
+
+
+def _familiar(samples: list[tuple[str, str]], langs: list[str], folds: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets seen in training, and the threshold of each language."""
+    counts, own = np.zeros((folds, BUCKETS + 1), np.int64), []
+    for i, (text, _) in enumerate(samples):
+        row = subwords([_bytes(text)])[0][FAMILIAR]
+        own.append(row[_lettered([_bytes(text)], row)].astype(np.uint16))
+        counts[i % folds, own[-1]] += 1
+    every = counts.sum(0)
+    new = every - counts == 0  # by fold: unseen in the others
+    share = np.array([new[i % folds, row].sum() / (len(row) + SPARE) for i, row in enumerate(own)])
+    of = np.array([langs.index(lang) for _, lang in samples])
+    return every > 0, np.array([np.quantile(share[of == k], 0.995) for k in range(len(langs))])
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     p = np.exp(z - z.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
 
 def logits(model: Model, texts: list[bytes]) -> np.ndarray:
+    return _look(model, texts)[0]
+
+
+def _look(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Language scores of each text, and its share of unseen subwords."""
     ids, starts = subwords(texts)
-    return sum(np.add.reduceat(model.rows[row], starts, dtype=np.float64) for row in ids) / _size(texts)
+    row = ids[FAMILIAR]
+    ok = _lettered(texts, row)
+    n = np.add.reduceat(ok, starts, dtype=np.int64)
+    new = np.add.reduceat(ok & ~model.seen[row], starts, dtype=np.int64)
+    z = sum(np.add.reduceat(model.rows[row], starts, dtype=np.float64) for row in ids) / _size(texts)
+    return z, new / (n + SPARE)
 
 
 def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float, bool]]:
     """(language, score, accepted) of each text; texts without a letter are
-    unknown, with score 0, and rejected. A model without languages knows none and
+    unknown, with score 0, and rejected; others are rejected if more of their
+    subwords are unseen than the threshold of the best language allows. A model without languages knows none and
     accepts every text with a letter."""
     out = [(UNKNOWN, 0.0, False)] * len(texts)
     some = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
@@ -144,10 +186,11 @@ def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float, boo
             raws.append(_bytes(texts[some[end]]))
             size += len(raws[-1])
             end += 1
-        p = _softmax(logits(model, raws) / model.temperature)
+        z, strange = _look(model, raws)
+        p = _softmax(z / model.temperature)
         best = p.argmax(1)
-        for i, k, row in zip(some[at:end], best, p):
-            out[i] = (model.langs[k], float(row[k]), bool(row[k] >= model.accept))
+        for i, k, row, new in zip(some[at:end], best, p, strange):
+            out[i] = (model.langs[k], float(row[k]), bool(new <= model.strange[k]))
         at = end
     return out
 

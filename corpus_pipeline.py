@@ -23,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that operator 6 rejects go: texts without a letter, and those whose
-    best language is below the calibrated threshold."""
+    """Rows that operator 6 rejects go: texts without a letter, and those with more
+    unseen subwords than the calibrated threshold allows."""
     model = _queries.language_model(spark, docs)
     return langid.identify(spark, docs, model).filter("accepted").select(docs.columns)
 

@@ -82,6 +82,26 @@ def test_op6_held_out_accuracy(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.95
 
 
+def test_texts_of_other_languages_and_gibberish_are_rejected(spark):
+    rows = spark.read.parquet(f"{SF01}/documents.parquet").filter("lang IS NOT NULL AND text IS NOT NULL").collect()
+    rows = [r for r in rows if any(map(str.isalpha, r.text)) and len(r.text.encode()) <= 20_000]
+    foreign = [
+        "Kuningas istui vaihtelevassa metsässä ja katseli järvelle hiljaisena iltana kunnes aurinko laski",
+        "Wszyscy ludzie rodza sie wolni i rowni pod wzgledem swej godnosci i swych praw",
+        "Butun insanlar hur haysiyet ve haklar bakimindan esit dogarlar",
+        "Всички хора се раждат свободни и равни по достойнство и права",
+    ]
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    gibberish = [" ".join("".join(rng.choice(letters, rng.integers(3, 10))) for _ in range(50)) for _ in range(20)]
+    for langs in ({"en"}, {"de", "fr"}, {"de", "en", "es", "fr"}):
+        some = [r for r in rows if r.lang in langs]
+        model = langid.train([(r.text, r.lang) for r in some if crc_mod(r.doc_id, 3) != 1])
+        accepted = lambda texts: [a for _, _, a in langid.predict(model, texts)]
+        assert not any(accepted(foreign + gibberish))
+        assert np.mean(accepted([r.text for r in some if crc_mod(r.doc_id, 3) == 1])) > 0.96
+
+
 def test_language_of_odd_rows(spark, odd_docs, no_docs):
     model = langid.train([("the cat and the dog", "en")] * 5 + [("der hund und die katze", "de")] * 5)
     rows = langid.identify(spark, odd_docs, model).collect()
