@@ -17,8 +17,15 @@ from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(
-    "head script style template noscript title datalist iframe object svg math canvas audio video map select".split()
+    "head script style template noscript title datalist iframe object canvas audio video".split()
 )
+#: What head holds; any other start tag ends it.
+HEAD = frozenset("base basefont bgsound link meta title style script template noscript noframes".split())
+#: Inside pictures and formulas, what is only described, defined or annotated.
+SILENT = {
+    "svg": frozenset("desc metadata defs symbol clippath mask pattern marker".split()),
+    "math": frozenset(["annotation", "annotation-xml"]),
+}
 #: Blocks with a blank line around them, and those without.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset".split())
 BLOCKS = SPACED | frozenset(
@@ -38,6 +45,7 @@ ENDS = {
     "tbody": (_CELL | _ROW | _PART, frozenset(["table"])),
     "tfoot": (_CELL | _ROW | _PART, frozenset(["table"])),
     "option": (frozenset(["option"]), frozenset(["select", "datalist"])),
+    "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select", "datalist"])),
 }
 #: End tags don't reach beyond these.
 SCOPES = frozenset("table td th caption html body".split())
@@ -67,19 +75,26 @@ class Tree(HTMLParser):
         if tag == "body" or tag == "html":
             self._pop_to("head")
             return
-        if tag in BLOCKS:
+        if self.open[-1].tag == "head" and tag not in HEAD:
+            self._pop_to("head")
+        if tag in BLOCKS and tag != "option":
             self._end({"p"}, SCOPES)  # a block ends a paragraph
             if tag not in _CELL | _ROW | _PART:
                 self._pop_to("head")
         if tag in ENDS:
             self._end(*ENDS[tag])
         node = Node(tag, {k: v or "" for k, v in attrs})
+        if any(tag in SILENT[n.tag] for n in self.open if n.tag in SILENT):
+            node.attrs["hidden"] = ""
         self.open[-1].kids.append(node)
         if tag not in VOID and len(self.open) < DEEPEST:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        # pictures and formulas have empty elements; HTML hasn't
+        if self.open[-1].tag == tag and not self.open[-1].kids and any(n.tag in SILENT for n in self.open):
+            self.open.pop()
 
     def handle_endtag(self, tag):
         if tag not in ("body", "html"):
@@ -116,6 +131,25 @@ def visible(node: Node) -> bool:
     return not (node.tag == "dialog" and "open" not in node.attrs)
 
 
+def chosen(select: Node) -> list[Node]:
+    """The options that a reader sees: all of a list box, else the last selected
+    one, or the first that can be chosen."""
+    options = []
+
+    def collect(node: Node, off: bool):
+        for kid in node.kids:
+            if isinstance(kid, Node) and visible(kid):
+                if kid.tag == "option":
+                    options.append((kid, off or "disabled" in kid.attrs))
+                else:
+                    collect(kid, off or "disabled" in kid.attrs)
+
+    collect(select, False)
+    if "multiple" in select.attrs or re.fullmatch(r"\s*0*([2-9]|[1-9]\d+)\s*", select.attrs.get("size", "")):
+        return [o for o, _ in options]
+    return [o for o, _ in options if "selected" in o.attrs][-1:] or [o for o, off in options if not off][:1]
+
+
 class Layout:
     """Lines of text, with blank lines between spaced blocks."""
 
@@ -186,15 +220,25 @@ class Layout:
                 self._inside(kid, marker, pre, depth)
             elif tag == "dd" or tag == "blockquote":
                 self._inside(kid, None, pre, depth)
+            elif tag == "select":
+                of = chosen(kid)
+                for option in of:
+                    if len(of) > 1:
+                        self.block(False)
+                    self.walk(option, pre, depth + 1)
+                if len(of) > 1:
+                    self.block(False)
             elif tag in BLOCKS:
                 spaced = tag in SPACED and not (tag in ("ul", "ol") and node.tag == "li")
                 self.block(spaced)
                 self.walk(kid, pre or tag == "pre", depth + 1)
                 self.block(spaced)
             else:
-                if tag == "textarea":
+                if tag == "textarea" or tag == "text":  # text of a picture
                     self.block(False)
                 self.walk(kid, pre or tag == "textarea", depth + 1)
+                if tag == "text":
+                    self.block(False)
 
     def _inside(self, kid: Node, marker: str | None, pre: bool, depth: int) -> None:
         self.block(kid.tag == "blockquote")

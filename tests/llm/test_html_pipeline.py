@@ -23,6 +23,24 @@ def test_blocks_lists_and_tables():
     ])
 
 
+def test_head_ends_at_any_tag_that_is_not_its_own():
+    assert ht.text_of("<head><title>t</title><b>Hello</b><p>x") == "Hello\n\nx"
+    assert ht.text_of("<head><meta charset=x><a href=y>link</a> <span>here</span>") == "link here"
+    assert ht.text_of("<head><title>t</title><style>b</style><script>c</script><noscript><b>d</b></noscript></head>e") == "e"
+
+
+def test_text_of_formulas_pictures_maps_and_choices():
+    assert ht.text_of("a <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>tex</annotation></math> b") == "a x+1 b"
+    svg = "<svg><title>t</title><desc>d</desc><defs><text>no</text></defs><g><text>one</text><text>two</text></g></svg>"
+    assert ht.text_of(f"<p>p{svg}q") == "p\none\ntwo\nq"
+    assert ht.text_of("<svg><defs/><path d='M0'/><text>seen</text></svg>") == "seen"
+    assert ht.text_of("<map name=m><p>way</p><area></map>") == "way"
+    options = "<option disabled>-<optgroup label=l><option>b<option{}>c</optgroup><option hidden>h"
+    assert ht.text_of(f"<p>Pick <select>{options.format('')}</select> now") == "Pick b now"
+    assert ht.text_of(f"<p>Pick <select>{options.format(' selected')}</select> now") == "Pick c now"
+    assert ht.text_of(f"<select multiple>{options.format('')}</select>") == "-\nb\nc"
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None), (2, ""), (3, "<p>a"), (3, "<p>a"), (None, "<li>x</ul>y"), (5, deep), (6, "a < b <3 <!-- c --> &nbsp;d"),
