@@ -3,7 +3,8 @@
 Best-fit decreasing over groups: groups sorted by size enter the bin with the
 tightest remaining capacity that still holds them, found in an ordered tree of
 remaining capacities. Groups are placed by size class (their size to 14
-significant bits, with the class's mean size), so the plan has a bounded number
+significant bits, with the class's mean size, or its largest where a capacity must
+hold), so the plan has a bounded number
 of entries however many groups there are; a class with many groups is laid out
 as runs over the rank of a group in its class.
 """
@@ -112,8 +113,9 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 8, capacity: int |
         grouped.select("key", "bytes", F.expr("shiftright(bytes, bits) + bits * 16384L").alias("cls")),
         "shard-groups",
     )
-    sizes = groups.groupBy("cls").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
-    classes = sorted(((int(r["cls"]), r["bytes"] / r["n"], int(r["n"])) for r in sizes), key=lambda c: (-c[1], c[0]))
+    sizes = groups.groupBy("cls").agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("most"), F.count(F.lit(1)).alias("n")).collect()
+    # under a capacity, a class's largest group stands for all of them
+    classes = sorted(((int(r["cls"]), r["most"] if capacity else r["bytes"] / r["n"], int(r["n"])) for r in sizes), key=lambda c: (-c[1], c[0]))
     runs = best_fit_decreasing(classes, capacity)[0] if capacity else balance(classes, shards)
     runs = np.array(sorted((c << 40 | first, b) for c, first, _, b in runs) or [(0, 0)], np.int64)
     placed = place_runs(

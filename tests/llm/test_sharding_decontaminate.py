@@ -44,6 +44,16 @@ def test_shards_of_odd_rows(spark, odd_docs, no_docs):
     assert sharding.shard(spark, odd_docs, capacity=1000).count() == odd_docs.count()
 
 
+def test_a_capacity_is_never_exceeded(spark):
+    # 65536 to 65539 bytes are one size class; by their mean, four would fit
+    sizes = [65536, 65536, 65536, 65536, 65539, 65539, 65539, 65539]
+    docs = spark.createDataFrame([(i, chr(97 + i) * (n - 1)) for i, n in enumerate(sizes)], "doc_id long, text string")
+    capacity, load = 4 * 65536 + 7, Counter()
+    for r in sharding.shard(spark, docs, capacity=capacity).collect():
+        load[r.shard] += r.size
+    assert max(load.values()) <= capacity
+
+
 def test_a_group_above_the_mean_gets_its_own_shard():
     runs = sharding.balance([(90, 90.0, 1), (10, 10.0, 8), (5, 5.0, 4)], 4)
     load = Counter()
