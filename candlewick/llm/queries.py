@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (
-    decontaminate, html_text, langid, lm, neardup, packing, repair, sharding, spotsigs, toxicity,
+    decontaminate, html_text, langid, lm, neardup, packing, repair, sharding, spotsigs, toxicity, whitening,
 )
 from candlewick.llm.common import crc_mod, table
 from candlewick.session import scratch_path
@@ -80,6 +80,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(spark, table(spark, sf_dir, "documents"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(spark, table(spark, sf_dir, "embeddings"), components=8)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repair_token_file": op1,
@@ -92,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8,
         "op9_toxicity": op9,
         "op10_spotsigs": op10,
+        "op12_whitening": op12,
     }
 
 
