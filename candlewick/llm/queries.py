@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (
-    decontaminate, html_text, langid, lm, neardup, packing, repair, sharding, spotsigs, toxicity, whitening,
+    conversations, decontaminate, html_text, langid, lm, neardup, packing, repair, sharding, spotsigs, toxicity, whitening,
 )
-from candlewick.llm.common import crc_mod, table
+from candlewick.llm.common import crc_mod, stage, table
 from candlewick.session import scratch_path
 
 
@@ -84,6 +84,35 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(spark, table(spark, sf_dir, "embeddings"), components=8)
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations as op13 damages them, by crc32 of ``conv_id:turn`` modulo 20."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(F.col("__kind") == 1, "").when(F.col("__kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return (
+        rows.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"), kind.alias("__kind"))
+        .filter("__kind <> 0")
+        .withColumns({"text": text, "role": F.when(F.col("__kind") == 4, "user").otherwise(F.col("role"))})
+        .withColumn("__copy", F.explode(F.when(F.col("__kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .drop("__kind", "__copy")
+    )
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = table(spark, sf_dir, "conversations")
+    rows = damaged(source)
+    audits = stage(spark, conversations.audit(spark, rows), "conversation-audits")
+    digests = conversations.digests(spark, conversations.repaired(spark, rows, audits))
+    every = source.select("conv_id").distinct()
+    found = every.join(audits.withColumnRenamed("conv_id", "__id"), F.col("conv_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    found = found.join(digests.withColumnRenamed("conv_id", "__id"), F.col("conv_id").eqNullSafe(F.col("__id")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select(
+        "conv_id", *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repair_token_file": op1,
@@ -97,11 +126,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9,
         "op10_spotsigs": op10,
         "op12_whitening": op12,
+        "op13_conversation_repair": op13,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_near_duplicates": OP7_SQL, "op8_decontamination": OP8_SQL}
+    return {
+        "op7_near_duplicates": OP7_SQL, "op8_decontamination": OP8_SQL, "op13_conversation_repair": OP13_SQL,
+    }
 
 
 #: All pairs that share a shingle, then everything reachable over the links.
@@ -159,3 +191,91 @@ SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) A
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 """
+
+
+#: Cheapest way on from each state of the grammar, from a conversation's last turn
+#: back; letters are matched with turns afterwards. CRC-32 bit by bit.
+OP13_SQL = r"""
+WITH RECURSIVE table_ AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(0, 256)) AS i)),
+source AS (
+  SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+kinds AS (
+  SELECT r, xor(list_reduce(list_prepend(4294967295, [CAST(ascii(x) AS BIGINT) FOR x IN string_split(k, '')]),
+                            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM source, table_),
+rows_ AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM source JOIN kinds USING (r), unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS c(copy)),
+marked AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+         trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, unhex(md5(text))) AS p
+  FROM rows_),
+faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'd'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY p) || initial AS pair
+  FROM marked),
+-- a state's way on: cost in six digits, then the audit; states: nothing yet, after s, after u, after a
+back(conv_id, p, w0, ws, wu, wa) AS (
+  SELECT conv_id, max(p) + 1, '000000', '000006II', '000003I', '000000' FROM faults GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, p,
+    least(c0, printf('%06d', CAST(cu[:6] AS INT) + 3) || 'I' || cu[7:], printf('%06d', CAST(ca[:6] AS INT) + 6) || 'II' || ca[7:]),
+    least(cs, printf('%06d', CAST(cu[:6] AS INT) + 3) || 'I' || cu[7:], printf('%06d', CAST(ca[:6] AS INT) + 6) || 'II' || ca[7:]),
+    least(cu, printf('%06d', CAST(ca[:6] AS INT) + 3) || 'I' || ca[7:]),
+    least(ca, printf('%06d', CAST(cu[:6] AS INT) + 3) || 'I' || cu[7:])
+  FROM (
+    SELECT b.conv_id, f.p,
+      least(del0, CASE WHEN ok THEN least(
+        CASE WHEN initial = 's' THEN printf('%06d', CAST(ws[:6] AS INT) + cut) || 'K' || ws[7:] ELSE '9' END, to_u) ELSE '9' END) AS c0,
+      least(dels, CASE WHEN ok THEN to_u ELSE '9' END) AS cs,
+      least(delu, CASE WHEN ok THEN to_a ELSE '9' END) AS cu,
+      least(dela, CASE WHEN ok THEN to_u ELSE '9' END) AS ca
+    FROM (
+      SELECT conv_id, p, ws,
+        printf('%06d', CAST(w0[:6] AS INT) + 4) || 'D' || w0[7:] AS del0, printf('%06d', CAST(ws[:6] AS INT) + 4) || 'D' || ws[7:] AS dels,
+        printf('%06d', CAST(wu[:6] AS INT) + 4) || 'D' || wu[7:] AS delu, printf('%06d', CAST(wa[:6] AS INT) + 4) || 'D' || wa[7:] AS dela,
+        wu, wa
+      FROM back) AS b
+    JOIN (SELECT conv_id, p, initial, fault NOT IN ('b', 'd') AS ok, CASE fault WHEN 't' THEN 3 ELSE 0 END AS cut FROM faults) AS f
+      ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.p = b.p - 1,
+    LATERAL (SELECT
+      CASE WHEN initial = 'u' THEN printf('%06d', CAST(wu[:6] AS INT) + cut) || 'K' || wu[7:]
+           ELSE printf('%06d', CAST(wu[:6] AS INT) + cut + 3) || 'R' || wu[7:] END AS to_u,
+      CASE WHEN initial = 'a' THEN printf('%06d', CAST(wa[:6] AS INT) + cut) || 'K' || wa[7:]
+           ELSE printf('%06d', CAST(wa[:6] AS INT) + cut + 3) || 'R' || wa[7:] END AS to_a))),
+best AS (SELECT conv_id, CAST(w0[:6] AS BIGINT) AS cost, w0[7:] AS audit FROM back WHERE p = 1),
+letters AS (
+  SELECT conv_id, j, audit[j] AS edit FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS j FROM best)),
+placed AS (
+  SELECT l.conv_id, j, edit, f.role, f.text, f.initial,
+         count(*) FILTER (edit <> 'D') OVER (PARTITION BY l.conv_id ORDER BY j) AS e
+  FROM (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS p FROM letters) AS l
+  LEFT JOIN faults AS f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.p = l.p),
+heads AS (SELECT conv_id, bool_or(e = 1 AND edit = 'K' AND initial = 's') AS led FROM placed WHERE edit <> 'D' GROUP BY conv_id),
+fixed AS (
+  SELECT placed.conv_id, string_agg(
+    CASE edit WHEN 'K' THEN role ELSE CASE WHEN (e - CAST(led AS INT)) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY e) AS repaired
+  FROM placed JOIN heads ON heads.conv_id IS NOT DISTINCT FROM placed.conv_id WHERE edit <> 'D' GROUP BY placed.conv_id),
+counts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+         count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM ids LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN fixed ON fixed.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""

@@ -13,7 +13,7 @@ from tests.conftest import SF001
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     want = con.sql(E.oracle_sql()[name])
     got = E.queries()[name](spark, SF001)
