@@ -137,6 +137,23 @@ def features_for_range(
     return feats.filter(F.col("open_date") >= F.lit(start))
 
 
+def series_tail(bars: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
+    """The last ``rows`` bars of each series. Planned as a partial limit before the
+    shuffle: a map task forwards at most ``rows`` bars of a series."""
+    w = Window.partitionBy(*SERIES_KEY).orderBy(F.col("open_time_utc").desc())
+    return bars.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= rows).drop("_rn")
+
+
+def features_after(
+    bars: DataFrame, halo: DataFrame, start: dt.date, rows: int = ROLLING_ROWS, block_rows: int = DEFAULT_BLOCK_ROWS
+) -> DataFrame:
+    """Features of ``bars``, all from ``start`` on, given ``halo``: the last ``rows``
+    bars of each series before that day. Nothing older is needed, so nothing older
+    is read."""
+    scoped = halo.select(*FACT_PRICES_COLUMNS).unionByName(bars.select(*FACT_PRICES_COLUMNS))
+    return price_features(scoped, rows=rows, block_rows=block_rows).filter(F.col("open_date") >= F.lit(start))
+
+
 # Columns fact_price_hourly carries from staging (all but the return), and
 # its total order: open time, then load, then the values themselves, so
 # identical copies of a row are adjacent.
@@ -225,7 +242,9 @@ __all__ = [
     "dim_calendar",
     "dim_symbol",
     "fact_prices",
+    "features_after",
     "features_for_range",
     "price_features",
     "price_hourly",
+    "series_tail",
 ]

@@ -158,6 +158,84 @@ def coverage_by_day(prices: DataFrame, expected_bars: int = EXPECTED_BARS_PER_DA
     )
 
 
+# --- daily partial aggregates ---------------------------------------------------
+
+#: Partials are filed by month: small files, few of them.
+PARTIAL_MONTH = "month"
+
+
+def daily_partials(features: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
+    """One row per series and day from which the daily summary, the data status and
+    the coverage report follow without the bars: counts, sums and extremes. A
+    day's partials depend on that day's features only, so a changed day replaces its own."""
+    return features.groupBy("symbol", "bar_interval", "open_date").agg(
+        F.min_by("open", "open_time_utc").alias("daily_open"),
+        F.max("high").alias("daily_high"),
+        F.min("low").alias("daily_low"),
+        F.max_by("close", "open_time_utc").alias("daily_close"),
+        F.sum("volume").alias("daily_volume"),
+        F.count(F.lit(1)).alias("bars_count"),
+        F.sum("return_1h").alias("return_sum"),
+        F.count("return_1h").alias("return_count"),
+        F.sum("rolling_volatility_24h").alias("volatility_sum"),
+        F.count("rolling_volatility_24h").alias("volatility_count"),
+        F.count_if(F.col("rolling_window_observations_24h") == rows).alias("full_windows"),
+        F.min("open_time_utc").alias("first_bar_utc"),
+        F.max("open_time_utc").alias("last_bar_utc"),
+        F.max("loaded_at").alias("latest_loaded_at"),
+    ).withColumn(PARTIAL_MONTH, F.date_format("open_date", "yyyy-MM"))
+
+
+def daily_summary_of(
+    partials: DataFrame, symbol: str | None = DASHBOARD_SYMBOL, bar_interval: str | None = DASHBOARD_INTERVAL
+) -> DataFrame:
+    """``daily_summary`` from partials: a projection."""
+    df = partials
+    if symbol is not None:
+        df = df.filter(F.col("symbol") == symbol)
+    if bar_interval is not None:
+        df = df.filter(F.col("bar_interval") == bar_interval)
+    return df.select(
+        "symbol", "bar_interval", "open_date", "daily_open", "daily_high", "daily_low", "daily_close", "daily_volume",
+        "bars_count",
+        safe_divide(F.col("daily_close") - F.col("daily_open"), "daily_open").alias("daily_return"),
+        safe_divide(F.col("return_sum"), F.col("return_count")).alias("average_hourly_return"),
+        safe_divide(F.col("volatility_sum"), F.col("volatility_count")).alias("average_rolling_volatility_24h"),
+        "first_bar_utc", "last_bar_utc", "latest_loaded_at",
+    )
+
+
+def data_status_of(partials: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
+    """``data_status`` from partials: one row a series and day is added up."""
+    now = _as_of(as_of)
+    agg = partials.groupBy("symbol", "bar_interval").agg(
+        F.sum("bars_count").alias("total_bars"),
+        # one partial a day
+        F.count("open_date").alias("total_market_days"),
+        F.min("first_bar_utc").alias("first_market_bar_utc"),
+        F.max("last_bar_utc").alias("latest_market_bar_utc"),
+        F.max("latest_loaded_at").alias("latest_loaded_at"),
+        F.sum("full_windows").alias("bars_with_full_24h_window"),
+    )
+    return agg.select(
+        "symbol", "bar_interval", "total_bars", "total_market_days", "first_market_bar_utc", "latest_market_bar_utc",
+        "latest_loaded_at",
+        hours_between(now, "latest_market_bar_utc").alias("hours_since_latest_market_bar"),
+        hours_between(now, "latest_loaded_at").alias("hours_since_latest_load"),
+        "bars_with_full_24h_window",
+        safe_divide(F.col("bars_with_full_24h_window"), F.col("total_bars")).alias("full_24h_window_ratio"),
+    )
+
+
+def coverage_by_day_of(partials: DataFrame, expected_bars: int = EXPECTED_BARS_PER_DAY) -> DataFrame:
+    """``coverage_by_day`` from partials."""
+    status = F.when(F.col("bars_count") == expected_bars, COVERAGE_COMPLETE).otherwise(COVERAGE_INCOMPLETE)
+    return partials.select(
+        "symbol", "bar_interval", "open_date", "bars_count", "first_bar_utc", "last_bar_utc",
+        status.alias("coverage_status"),
+    ).orderBy(F.col("open_date").desc(), "symbol", "bar_interval")
+
+
 def contract_check(timeseries: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
     """Data contract for downstream consumers, per series."""
     full = F.count_if(F.col("rolling_window_observations_24h") == rows)

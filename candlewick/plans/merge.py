@@ -3,8 +3,9 @@
 Plain Parquet has no MERGE, so the merge is expressed as DataFrame algebra:
 target rows without a source match (left anti join on the key) plus all
 source rows; matched keys take the source version (update), new keys are
-inserted. On disk only the touched days are rewritten (dynamic partition
-overwrite), from a staged copy, so a failed job never loses a day.
+inserted. On disk (a ``VersionedTable``) the touched days are written beside the old
+ones and replace them in one commit: a run that stops anywhere before it leaves the
+old table, whatever it had written, and no reader sees some of the days only.
 
 Incremental filter (kept from the reference): source rows with
 ``open_time_utc >= max(target.open_time_utc)`` -- inclusive, over the WHOLE
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import lit_ts
 from candlewick.operators.checks import check_unique
+from candlewick.operators.layout import DEFAULT_FILE_ROWS, clustered_by_day
 from candlewick.schema import EMPTY_TARGET_FLOOR, FACT_PRICES_COLUMNS, NATURAL_KEY, SERIES_KEY
-from candlewick.session import drop_staged, ensure_session_conf, scratch_path, table_exists
+from candlewick.session import scratch_path, staged_run
+from candlewick.sources.versioned import VersionedTable
 
 EPOCH_FLOOR = EMPTY_TARGET_FLOOR
 
@@ -105,23 +108,14 @@ def assert_fact_columns(source: DataFrame) -> None:
         raise SchemaDriftError(f"columns added: {sorted(extra)}; missing: {sorted(missing)}")
 
 
-def read_fact_prices(spark: SparkSession, path: str) -> DataFrame:
-    ensure_session_conf(spark)
-    return spark.read.parquet(path).select(*FACT_PRICES_COLUMNS)
+def fact_table(spark: SparkSession, path: str) -> VersionedTable:
+    """The stored fact, day-partitioned. Its commits carry the rows and the content
+    digest of every day."""
+    return VersionedTable(spark, path, "open_date")
 
 
-def write_fact_prices(df: DataFrame, path: str, dynamic: bool = True) -> None:
-    """Day-partitioned table: rebalanced on the day (oversized days split by
-    adaptive execution, no sampling pass), files sorted by series."""
-    (
-        df.select(*FACT_PRICES_COLUMNS)
-        .hint("rebalance", "open_date")
-        .sortWithinPartitions("open_date", "symbol", "bar_interval", "open_time_utc")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy("open_date")
-        .parquet(path)
-    )
+def read_fact_prices(spark: SparkSession, path: str) -> DataFrame:
+    return fact_table(spark, path).read().select(*FACT_PRICES_COLUMNS)
 
 
 def merge_into(
@@ -131,46 +125,51 @@ def merge_into(
     keys: Sequence[str] = NATURAL_KEY,
     full_refresh: bool = False,
     per_symbol: bool = False,
+    layout_keys: DataFrame | None = None,
+    file_rows: int = DEFAULT_FILE_ROWS,
 ) -> dict:
     """Incremental materialization of fact_prices at ``target_path``.
 
-    ``full_refresh``, or no table there yet (asked of the path's own file
-    system): rebuild from source. Otherwise: check the schema, filter the
-    source (see module doc), stage what comes in once, check its keys, merge
-    only the touched days and overwrite those days. Returns the mode and
-    ``first_day``, the earliest day the merge touched (None when nothing came
-    in), for downstream incremental refreshes.
+    ``full_refresh``, or no table committed there yet: rebuild from source.
+    Otherwise: check the schema, filter the source (see module doc), stage what
+    comes in once, check its keys, merge only the touched days and replace those days
+    in one commit. Returns the mode and ``first_day``, the earliest day the merge
+    touched (None when nothing came in).
+
+    ``layout_keys``: rows (series, day, time) that a rebuild may count instead of the
+    source to lay out files; without them the source is staged, so that it is
+    computed once.
     """
     assert_fact_columns(source)
-    src = source.select(*FACT_PRICES_COLUMNS)
-    if full_refresh or not table_exists(spark, target_path):
-        staged = scratch_path(spark, "fact_prices_full")
-        src.write.parquet(staged)  # the source may read the target
-        write_fact_prices(spark.read.schema(src.schema).parquet(staged), target_path, dynamic=False)
-        drop_staged(spark, staged)
-        return {"mode": "full_refresh"}
-    target = read_fact_prices(spark, target_path)
-    assert_same_schema(target, src)
-    newest = None if per_symbol else newest_bar(target)
-    coming = scratch_path(spark, "fact_prices_incoming")
-    incremental_filter(src, target, per_symbol=per_symbol, newest=newest).write.parquet(coming)
-    incoming = spark.read.schema(src.schema).parquet(coming)
-    assert_unique_keys(incoming, keys)
-    first_day = incoming.agg(F.min("open_date")).first()[0]  # one value
-    if first_day is None:
-        drop_staged(spark, coming)
-        return {"mode": "merge", "first_day": None}
-    # touched days: bounded by the calendar, one row per day. Every touched day
-    # is >= the first one, a literal bound that prunes target partitions
-    # statically; the semi join (dynamic partition pruning) skips days in
-    # between that receive nothing.
-    scope = target.filter(F.col("open_date") >= F.lit(first_day))
-    touched = scope.join(incoming.select("open_date").distinct(), "open_date", "left_semi")
-    # stage first: the target is read by this plan and must stay intact
-    # until the merged days exist in full.
-    staged = scratch_path(spark, "fact_prices_merge")
-    merge_rows(touched, incoming, keys).write.parquet(staged)
-    write_fact_prices(spark.read.schema(src.schema).parquet(staged), target_path, dynamic=True)
-    drop_staged(spark, coming)
-    drop_staged(spark, staged)
-    return {"mode": "merge", "first_day": first_day}
+    table = fact_table(spark, target_path)
+    with staged_run(spark):
+        src = source.select(*FACT_PRICES_COLUMNS)
+        if full_refresh or not table.exists():
+            if layout_keys is None:
+                src = layout_keys = _staged(src, "fact_prices_full")
+            table.write(clustered_by_day(src, layout_keys, file_rows), digests=True)
+            return {"mode": "full_refresh"}
+        target = read_fact_prices(spark, target_path)
+        assert_same_schema(target, src)
+        newest = None if per_symbol else newest_bar(target)
+        incoming = _staged(incremental_filter(src, target, per_symbol=per_symbol, newest=newest), "fact_prices_incoming")
+        assert_unique_keys(incoming, keys)
+        first_day = incoming.agg(F.min("open_date")).first()[0]  # one value
+        if first_day is None:
+            return {"mode": "merge", "first_day": None}
+        # touched days: bounded by the calendar, one row per day. Every touched day
+        # is >= the first one, a literal bound that prunes target partitions
+        # statically; the semi join (dynamic partition pruning) skips days in
+        # between that receive nothing.
+        scope = target.filter(F.col("open_date") >= F.lit(first_day))
+        touched = scope.join(incoming.select("open_date").distinct(), "open_date", "left_semi")
+        both = touched.select(*NATURAL_KEY, "open_date").unionByName(incoming.select(*NATURAL_KEY, "open_date"))
+        merged = clustered_by_day(merge_rows(touched, incoming, keys), both, file_rows)
+        table.write(merged.select(*FACT_PRICES_COLUMNS), replace="touched", digests=True)
+        return {"mode": "merge", "first_day": first_day}
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

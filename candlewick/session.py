@@ -9,9 +9,12 @@ which is the case in local tests.
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -93,10 +96,55 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for staged tables."""
+# Staged folders of the runs that are open, innermost last, and those that outlive
+# their run because a result still reads them.
+_RUNS: list[list[str]] = []
+_LASTING: dict[str, SparkSession] = {}
+
+
+def scratch_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
+    """A fresh folder under the shared checkpoint location for a staged table. It is
+    dropped when the innermost ``staged_run`` ends; a ``lasting`` one belongs to the
+    run around that (and, like all without a run, is dropped when the program ends)."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    runs = _RUNS[:-1] if lasting else _RUNS
+    if runs:
+        runs[-1].append(path)
+    else:
+        _LASTING[path] = spark
+    return path
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[None]:
+    """Drops every folder staged inside at its end, after a failure as well. What is
+    returned from it may only read ``lasting`` ones."""
+    mine: list[str] = []
+    _RUNS.append(mine)
+    try:
+        yield
+    finally:
+        _RUNS.pop()
+        for path in mine:
+            drop_staged(spark, path)
+
+
+def drop_lasting(spark: SparkSession) -> int:
+    """Drop the staged folders that results of this session still read; their number."""
+    mine = [p for p, of in _LASTING.items() if of is spark]
+    for path in mine:
+        drop_staged(spark, path)
+        del _LASTING[path]
+    return len(mine)
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    """Only while the session still runs: a stopped one has no file system to ask."""
+    for spark in {id(s): s for s in _LASTING.values()}.values():
+        if spark.sparkContext._jsc is not None:
+            drop_lasting(spark)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -108,13 +156,49 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table was ever committed at ``path``, on any file system that
     Spark reads: the folder holds something besides hidden files (a write that
     was cut off leaves only those)."""
+    return any(not name.startswith(("_", ".")) for name in list_names(spark, path))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, at = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small control file as text."""
     fs, at = _file_system(spark, path)
-    return fs.exists(at) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(at))
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small control file with its whole content in one step (written
+    beside it, then renamed); False if there is one already."""
+    fs, at = _file_system(spark, path)
+    folder, name = path.rsplit("/", 1)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+    stream = fs.create(beside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    done = not fs.exists(at) and fs.rename(beside, at)
+    if not done:
+        fs.delete(beside, False)
+    return done
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
 
 
 def drop_staged(spark: SparkSession, path: str) -> None:
     """Remove a staged table once nothing reads it any more."""
     if "/staged/" not in path:
         raise ValueError(f"{path} is not a staged table")
-    fs, at = _file_system(spark, path)
-    fs.delete(at, True)
+    delete_path(spark, path)

@@ -4,10 +4,10 @@ Raw zone layout (one Parquet file per partition, deterministic path)::
 
     <root>/source=<s>/dataset=<d>/symbol=<sym>/interval=<i>/date=<yyyy-mm-dd>/
 
-The raw table keeps the 19 declared columns and is day-partitioned by
-``open_date`` and sorted by (symbol, interval, open_time_utc) inside each
-partition, so day predicates prune directories and row-group statistics skip
-other symbols.
+The raw table (a ``VersionedTable``: a rebuild is all or nothing) keeps the 19
+declared columns, is day-partitioned by ``open_date`` and its files hold disjoint
+(symbol, interval, open_time_utc) ranges, so day predicates prune directories and
+row-group statistics skip other symbols.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.operators.layout import DEFAULT_FILE_ROWS, clustered_by_day
 from candlewick.schema import RAW_COLUMNS, RAW_KLINES
 from candlewick.session import ensure_session_conf
+from candlewick.sources.versioned import VersionedTable
 
 # All 19 columns of the raw table are REQUIRED.
 REQUIRED_COLUMNS = tuple(RAW_COLUMNS)
@@ -61,30 +63,29 @@ def require_columns(records: DataFrame, required: Sequence[str] = REQUIRED_COLUM
     return records.withColumn("_missing", guard).filter(F.col("_missing").isNull()).drop("_missing")
 
 
-def write_raw_table(raw: DataFrame, path: str) -> None:
-    """Full rebuild of the raw table (truncate + load), day-partitioned. A NULL
-    in a required column fails the load and leaves the old table in place.
+def raw_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, "open_date")
 
-    One rebalancing shuffle on the day: adaptive execution splits a day that
-    is too big for one task (a hot symbol, a heavy day) over several tasks and
-    coalesces small days, with no sampling pass over the input; each file is
-    sorted so Parquet row-group min/max statistics cluster by series.
+
+def write_raw_table(raw: DataFrame, path: str, file_rows: int = DEFAULT_FILE_ROWS) -> None:
+    """Full rebuild of the raw table (truncate + load), day-partitioned. Whatever fails
+    -- a NULL in a required column, a lost job in any stage -- leaves the old table in
+    place: the new one counts once its commit is written.
+
+    Rows are dealt by exact counts per (day, series, hour) (``clustered_by_day``);
+    counting reads the key columns of ``raw`` once more.
     """
-    table = require_columns(raw_records(raw)).withColumn("open_date", F.to_date("open_time_utc"))
-    (
-        table.hint("rebalance", "open_date")
-        .sortWithinPartitions("open_date", "symbol", "interval", "open_time_utc")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("open_date")
-        .parquet(path)
+    records = raw_records(raw)
+    day = F.to_date("open_time_utc").alias("open_date")
+    table = require_columns(records).withColumn("open_date", day)
+    keys = records.select("symbol", "interval", "open_time_utc", day)
+    raw_table(raw.sparkSession, path).write(
+        clustered_by_day(table, keys, file_rows, series=("symbol", "interval"))
     )
 
 
 def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
-    ensure_session_conf(spark)
-    schema = T.StructType(RAW_KLINES.fields + [T.StructField("open_date", T.DateType(), True)])
-    return spark.read.schema(schema).parquet(path).select(*RAW_COLUMNS, "open_date")
+    return raw_table(spark, path).read().select(*RAW_COLUMNS, "open_date")
 
 
 def load_raw_table(spark: SparkSession, landing_root: str, table_path: str, glob: str | None = None) -> DataFrame:

@@ -107,11 +107,12 @@ def test_merge_rewrites_only_touched_days(spark, tmp_root):
     path = os.path.join(tmp_root, "fact_prices")
     d = dt.date(2024, 1, 1)
     merge.merge_into(spark, path, _build(spark, bars(spark, d, 48)))
-    day1 = os.path.join(path, "open_date=2024-01-01")
-    before = sorted(os.listdir(day1))
+    table, day1 = merge.fact_table(spark, path), "open_date=2024-01-01"
+    before = table.commit().parts[day1]
     later = bars(spark, d + dt.timedelta(days=1), 48, batch_id="t-002")  # days 2, 3
     merge.merge_into(spark, path, _build(spark, later))
-    assert sorted(os.listdir(day1)) == before  # untouched day keeps its files
+    assert table.commit().parts[day1] == before  # untouched day keeps its files
+    assert table.commit().parts["open_date=2024-01-02"]["commit"] != before["commit"]
     fact = merge.read_fact_prices(spark, path)
     assert fact.count() == 72
     # only bars at/after the target's newest bar (day 2, 23:00) are merged
