@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (
-    conversations, decontaminate, html_text, langid, lm, neardup, packing, repair, sharding, spotsigs, toxicity, whitening,
+    conversations, decontaminate, html_text, langid, lines, lm, neardup, packing, repair, sharding, spotsigs, toxicity, whitening,
 )
 from candlewick.llm.common import crc_mod, stage, table
 from candlewick.session import scratch_path
@@ -80,6 +80,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(spark, table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = lines.LineIndex(spark, scratch_path(spark, "line-index"), least=3, min_chars=20)
+    index.insert(docs)
+    return index.apply(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(spark, table(spark, sf_dir, "embeddings"), components=8)
 
@@ -125,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8,
         "op9_toxicity": op9,
         "op10_spotsigs": op10,
+        "op11_line_dedup": op11,
         "op12_whitening": op12,
         "op13_conversation_repair": op13,
     }
@@ -132,7 +140,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op7_near_duplicates": OP7_SQL, "op8_decontamination": OP8_SQL, "op13_conversation_repair": OP13_SQL,
+        "op7_near_duplicates": OP7_SQL, "op8_decontamination": OP8_SQL, "op11_line_dedup": OP11_SQL,
+        "op13_conversation_repair": OP13_SQL,
     }
 
 
@@ -193,6 +202,27 @@ FROM w LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 """
 
 
+#: Documents are told apart by id; a null id is the least.
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (
+  SELECT r, doc_id, i, line, lower_ AS key, length(lower_) >= 20 AS keyed
+  FROM (SELECT r, doc_id, i, parts[i] AS line,
+               translate(trim(parts[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_
+        FROM (SELECT r, doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
+              FROM (SELECT r, doc_id, string_split(text, chr(10)) AS parts FROM d)))),
+held AS (SELECT DISTINCT key, doc_id FROM l WHERE keyed),
+repeated AS (SELECT key, max(doc_id) AS largest FROM held GROUP BY key HAVING count(*) >= 3),
+judged AS (
+  SELECT l.*, repeated.key IS NOT NULL AND l.doc_id IS DISTINCT FROM largest AS gone
+  FROM l LEFT JOIN repeated ON keyed AND repeated.key = l.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
+
+
 #: Cheapest way on from each state of the grammar, from a conversation's last turn
 #: back; letters are matched with turns afterwards. CRC-32 bit by bit.
 OP13_SQL = r"""
