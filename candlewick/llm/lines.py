@@ -308,11 +308,12 @@ class LineIndex:
         self._store(self._updated(known, updates))
 
     def _documents(self, keys: DataFrame, version: int | None = None) -> DataFrame:
-        """Exact count and largest id of the documents that hold each of ``keys``."""
-        refs = self.references(version)
-        return refs.join(keys.select("key"), "key", "left_semi").groupBy("key").agg(
+        """Exact count and largest id of the documents that hold each of ``keys``. Counted
+        before the join: a key's rows are added up in the map tasks."""
+        counts = self.references(version).groupBy("key").agg(
             F.count(F.lit(1)).alias("documents"), F.max("doc").alias("largest")
         )
+        return counts.join(keys.select("key"), "key", "left_semi")
 
     def compact(self, shards: int | None = None) -> None:
         """Add up all batches and deal the keys over ``shards`` (by default what the

@@ -4,20 +4,24 @@ The kernel of two words compares their subsequences of three letters, each gap
 of skipped characters (up to two between neighbours) costing a factor, so
 insults with gaps or inserted characters stay close to the plain ones. Words of
 labelled texts are the instances; a sample of them are the landmarks of a
-Nyström approximation, in which a linear support vector machine is trained. As
-a toxic text need not be toxic throughout, training repeats with each toxic
-text's highest word as its witness and the highest words of clean texts as
-counterexamples.
-
-Toxic words are found by markers: fragments of 4 to 8 letters (word edges count)
-that are in toxic texts at rates at which clean ones don't have them, so rare words
-that share a fragment count together. Words without a marker that the machine calls
-toxic form one more group. A text's probability is a logistic function of its highest
-word, the number and share of toxic words, and how far each group's share of
-the text's distinct words exceeds that in clean texts that have any.
+Nyström approximation, in which a linear support vector machine is trained. It starts
+from words that are in surprisingly many toxic texts, and disguised forms of
+these, against words of clean texts; then rounds add the words that it calls toxic and
+that toxic texts favour, and, as counterexamples, those of clean texts that come near.
+
+What a text's score rests on is the machine's verdict on its words. Words with a
+positive decision value are grouped by the toxic landmark that the kernel finds
+nearest (landmarks alike form one group). A text's probability is a logistic
+function of its highest value, the number and share of toxic words, and how far each
+group's share of the text's distinct words exceeds that in clean texts that
+have any: some words are toxic only by how often they come.
 
 The decision function is a sum over landmarks of kernel values; the kernel
 counts letter triples, so the sum is kept as one weight for each triple.
+
+Words are counted, looked up and scored on the executors; what reaches the driver is
+bounded by the arguments of ``fit``: candidate words, a sample of clean words, and some
+numbers for each text of the sample.
 """
 
 from __future__ import annotations
@@ -25,13 +29,15 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import slices, thinned
+from candlewick.llm.common import partitions, slices, stage, thinned
+from candlewick.session import staged_run
 
 GAP, DECAY, LONGEST = 2, 0.5, 24
 TRIPLES = 1 << 15
@@ -42,8 +48,6 @@ _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "
 #: Stands for a word's start and end, which count as letters.
 EDGE = "\1"
 _OUTER = "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~"
-#: Lengths of markers, and the shares of a text's words at which they are tried.
-FRAGMENTS, SHARES = (8, 7, 6, 5, 4), (0.0, 0.003, 0.006, 0.01, 0.015)
 #: Three or more single characters in a row.
 _SPELLED = re.compile(r"(?<!\S)\S(?:\s\S(?!\S)){2,}")
 
@@ -79,14 +83,6 @@ def split(text: str | None) -> list[str]:
     return out
 
 
-_STANDS = str.maketrans(_LEET)
-
-
-def plain(word: str) -> str:
-    """The word's letters in lower case, without signs in between, with its edges."""
-    return EDGE + "".join(filter(str.isalpha, word.strip(_OUTER).translate(_STANDS).lower())) + EDGE
-
-
 _GAPS = [(1 + i, 2 + i + j, DECAY ** (i + j)) for i in range(GAP + 1) for j in range(GAP + 1)]
 _PAD = 2 * GAP + 2
 
@@ -148,8 +144,9 @@ class Model:
     weights: np.ndarray  # one for each triple
     bias: float
     curve: np.ndarray  # of the logistic function of a text's features, constant last
-    markers: list[str]
-    usual: np.ndarray  # share of words by marker, and of other toxic words, in clean texts with any
+    landmarks: list[str]  # the toxic ones
+    kind: np.ndarray  # group of each
+    usual: np.ndarray  # share of words by group in clean texts with any
 
     def decide(self, words: list[str]) -> np.ndarray:
         """Decision value of each word, not below FLOOR."""
@@ -170,30 +167,32 @@ class Model:
                 out[i + near] = np.maximum(exact, FLOOR)
         return out
 
+    @cached_property
+    def _dense_landmarks(self) -> np.ndarray:
+        return _dense(self.landmarks)
+
     def group(self, words: list[str], values: np.ndarray) -> np.ndarray:
-        """Number of the first marker that each word holds; the number of markers
-        if it has none and a decision value above 0; else -1."""
-        out = np.where(values > 0, len(self.markers), -1)
-        if self.markers:
-            number = {m: i for i, m in enumerate(self.markers)}
-            find = re.compile("|".join(map(re.escape, self.markers))).search
-            for i, w in enumerate(words):
-                if found := find(plain(w)):
-                    out[i] = number[found[0]]
+        """Group of each word with a decision value above 0, that of its nearest toxic
+        landmark; else -1."""
+        out = np.full(len(words), -1)
+        at = np.flatnonzero(values > 0)
+        if len(at):
+            near = kernel([words[i] for i in at], self._dense_landmarks)
+            out[at] = self.kind[near.argmax(1)]
         return out
 
-    def features(self, values: np.ndarray, groups: np.ndarray, distinct: int) -> list[float]:
-        """A text's features from its words' decision values, and from the groups of
-        its ``distinct`` different words: the highest value, how many are toxic, their
-        share, and the excess of the groups over their usual shares."""
-        hits = int((values > 0).sum())
-        k = np.bincount(groups[groups >= 0], minlength=len(self.usual)).astype(float)
-        usual = distinct * self.usual
-        over = np.where(k > usual, k * np.log(np.maximum(k, 1e-9) / usual) - (k - usual), 0.0)
+    def features(self, e: Evidence) -> list[float]:
+        """A text's features: the highest value, how many words are toxic, their share,
+        and the excess of the groups over their usual shares."""
+        k = np.zeros(len(self.usual))
+        for g, n in e.groups.items():
+            k[g] = n
+        usual = e.distinct * self.usual
+        over = np.where(k > usual, k * np.log(np.maximum(k, 1e-9) / np.maximum(usual, 1e-12)) - (k - usual), 0.0)
         times = np.where(k > usual, np.log((k + 1) / (usual + 1)), 0.0)
         return [
-            float(values.max()) if len(values) else FLOOR, float(np.log1p(hits)),
-            float(np.log((hits + 0.1) / (len(values) + 20))), float(np.log1p(over.sum())), float(times.sum()), 1.0,
+            e.top, float(np.log1p(e.hits)), float(np.log((e.hits + 0.1) / (e.words + 20))),
+            float(np.log1p(over.sum())), float(times.sum()), 1.0,
         ]
 
     def probability(self, features: np.ndarray) -> np.ndarray:
@@ -221,16 +220,22 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4,
     return mean_w / n, mean_b / n
 
 
-def _distinct(bags: list[list[str]], values: int = 8) -> list[int]:
-    """One text of each group of near copies: texts that agree in half of a few
-    smallest word hashes count as copies of the first."""
-    low = np.array([
-        [min(zlib.crc32(w.encode("utf-8", "surrogatepass"), k) for w in bag) if bag else -1 for k in range(values)]
-        for bag in bags
-    ]).reshape(len(bags), values)
+#: Hashes that near copies are told by.
+SKETCH = 8
+
+
+def _sketch(text: str | None) -> list[int]:
+    """A few smallest word hashes of a text."""
+    bag = {w.encode("utf-8", "surrogatepass") for w in split(text)}
+    return [min(zlib.crc32(w, k) for w in bag) if bag else -1 for k in range(SKETCH)]
+
+
+def _distinct(sketches: np.ndarray) -> list[int]:
+    """One text of each group of near copies: texts that agree in half of their
+    hashes count as copies of the first."""
     kept: list[int] = []
-    for i, row in enumerate(low):
-        if not kept or ((low[kept] == row).sum(1) < values // 2).all():
+    for i, row in enumerate(sketches):
+        if not kept or ((sketches[kept] == row).sum(1) < sketches.shape[1] // 2).all():
             kept.append(i)
     return kept
 
@@ -248,175 +253,227 @@ def _surprise(n1: np.ndarray, n0: np.ndarray, of1: int, of0: int) -> np.ndarray:
     return np.where(n1 / of1 > 4 * n0 / of0, 2 * (in_1 + in_0), 0.0)
 
 
-def _pieces(shapes: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Every fragment of the words: (word, hash, first character, length)."""
-    cp = np.frombuffer("\0".join([*shapes, ""]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    long = np.fromiter(map(len, shapes), np.int64, len(shapes))
-    word = np.repeat(np.arange(len(shapes)), long + 1)
-    start = np.arange(len(cp)) - np.repeat(np.cumsum(long + 1) - long - 1, long + 1)
-    h, out = np.zeros(len(cp), np.uint64), []
-    for n in range(1, max(FRAGMENTS) + 1):
-        if len(cp) < n:
-            break
-        h = (h[: len(cp) - n + 1] + cp[n - 1 :]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-        if n in FRAGMENTS:
-            at = np.flatnonzero(start[: len(h)] + n <= long[word[: len(h)]])
-            out.append((word[at], h[at], start[at], np.full(len(at), n)))
-    return tuple(np.concatenate([o[i] for o in out] or [np.empty(0, np.int64)]) for i in range(4))
-
-
-def _markers(words: list[str], inside: list[np.ndarray], y: np.ndarray, least: float = 25.0, most: int = 200) -> list[str]:
-    """Fragments that tell toxic texts (``y`` 1) from clean ones, by the share of a
-    text's distinct ``words`` that hold them. Each is the most surprising among
-    texts that no two before account for; of equal ones the longest."""
-    shapes = list(map(plain, words))
-    toxic = np.flatnonzero(y == 1)
-    # how many toxic texts have a fragment: first by 24 bits of its hash, then exactly
-    few, least_texts = np.zeros(1 << 24, np.uint16), 5
-    for i in toxic:
-        few[np.unique(_pieces([shapes[w] for w in inside[i]])[1] & np.uint64((1 << 24) - 1))] += 1
-    pieces = [np.empty(0, np.uint64)]
-    for i in toxic:
-        h = np.unique(_pieces([shapes[w] for w in inside[i]])[1])
-        pieces.append(h[few[h & np.uint64((1 << 24) - 1)] >= least_texts])
-    hashes, n = np.unique(np.concatenate(pieces), return_counts=True)
-    hashes = hashes[n >= least_texts]
-    del few, pieces
-    if not len(hashes):
-        return []
-    of: list[np.ndarray] = []
-    text_of: dict[int, str] = {}
-    for at in range(0, len(shapes), 5000):
-        some = shapes[at : at + 5000]
-        word, h, start, size = _pieces(some)
-        m = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        hit = hashes[m] == h
-        word, m, start, size = word[hit], m[hit].astype(np.int32), start[hit], size[hit]
-        for j in np.unique(m, return_index=True)[1]:
-            text_of.setdefault(int(m[j]), some[word[j]][start[j] : start[j] + size[j]])
-        key = np.unique(word << 32 | m)
-        cuts = np.searchsorted(key, np.arange(1, len(some), dtype=np.int64) << 32)
-        of += np.split((key & 0xFFFFFFFF).astype(np.int32), cuts)
-    # the longest first
-    order = sorted(range(len(hashes)), key=lambda m: (-len(text_of[m]), text_of[m]))
-    names = [text_of[m] for m in order]
-    place = np.empty(len(order), np.int32)
-    place[order] = np.arange(len(order))
-    of = [place[m] for m in of]
-    texts, marks, shares = [], [], []
-    for i, at in enumerate(inside):
-        if len(at):
-            which, k = np.unique(np.concatenate([of[w] for w in at]), return_counts=True)
-            texts.append(np.full(len(which), i, np.int32))
-            marks.append(which)
-            shares.append((k / (len(at) + 40)).astype(np.float32))
-    text, mark, share = np.concatenate(texts), np.concatenate(marks), np.concatenate(shares)
-    n1, n0 = len(toxic), len(y) - len(toxic)
-    above = []
-    for s in SHARES:
-        at = share > s
-        t, m = text[at], mark[at]
-        clean = np.bincount(m[y[t] == 0], minlength=len(names))
-        above.append((t[y[t] == 1], m[y[t] == 1], clean))
-    left, out = np.where(y == 1, 2, 0), []
-    while len(out) < most:
-        gains = [
-            _surprise(np.bincount(m[left[t] > 0], minlength=len(names)), clean, n1, n0) for t, m, clean in above
-        ]
-        for g in gains:
-            g[out] = 0
-        best = int(np.argmax([g.max() for g in gains]))
-        if gains[best].max() <= least:
-            break
-        out.append(int(gains[best].argmax()))
-        t, m, _ = above[best]
-        left[t[m == out[-1]]] -= 1
-    return [names[i] for i in out]
-
-
 def _disguised(word: str) -> list[str]:
     """A word with characters put between its letters, doubled or masked."""
     m = len(word) // 2
     return [".".join(word), "-".join(word), word[:m] + "-" + word[m:], word[:m] + word[m] + word[m:], word[:m] + "*" + word[m:]]
 
 
-def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int = 15_000, rounds: int = 3, share: float | None = None) -> Model:
-    """Fit on (text, 0 or 1). ``share``: the toxic share of the population, if
-    the sample's differs. Without texts of both kinds, a constant."""
-    texts = sorted({(t or "", label) for t, label in texts})
-    bags = [sorted(set(split(t))) for t, _ in texts]
-    alone = _distinct(bags)
-    texts, bags = [texts[i] for i in alone], [bags[i] for i in alone]
-    y = np.array([label for _, label in texts])
-    prior = share if share is not None else float(y.mean()) if len(y) else 0.0
+#: How surprising a word must be to be a candidate; how many texts a word that a
+#: round adds must be in; decision value from which a clean word is a counterexample.
+SURPRISE, ROUND_TEXTS, NEAR = 12.0, 3, -0.9
+#: Kernel values: landmarks more alike than this are one; in one group.
+ALIKE, LINKED = 0.9, 0.5
+
+
+def _candidate(words: list[str], n1: np.ndarray, n0: np.ndarray, of1: int, of0: int) -> np.ndarray:
+    """Surprise of words with three letters or more, 0 where it is too little."""
+    gain = _surprise(n1, n0, of1, of0)
+    spelled = np.fromiter((_letters_in(w) > 2 for w in words), bool, len(words))
+    return np.where(spelled & (gain > SURPRISE), gain, 0.0)
+
+
+def _verdicts(model: Model, words: list[str], n1: np.ndarray, n0: np.ndarray, of1: int, of0: int):
+    """Decision values, and 1 for words that a round adds as toxic, 0 for
+    counterexamples, -1 for others."""
+    value = model.decide(words)
+    spelled = np.fromiter((_letters_in(w) > 2 for w in words), bool, len(words))
+    toxic = (value > 0) & spelled & (n1 >= ROUND_TEXTS) & (n1 / of1 > 4 * n0 / of0)
+    return value, np.where(toxic, 1, np.where((value > NEAR) & (n0 / of0 >= n1 / of1), 0, -1))
+
+
+class _Texts:
+    """A labelled sample in memory: (text, 0 or 1). Near copies count once."""
+
+    def __init__(self, texts: list[tuple[str, int]]):
+        texts = sorted({(t or "", label) for t, label in texts})
+        sketches = np.array([_sketch(t) for t, _ in texts]).reshape(len(texts), SKETCH)
+        self.texts = [texts[i] for i in _distinct(sketches)]
+        self.of1 = sum(label for _, label in self.texts)
+        self.of0 = len(self.texts) - self.of1
+        counts = _count(self.texts)
+        self.words = sorted(counts)
+        self.n1 = np.array([counts[w][1] for w in self.words])
+        self.n0 = np.array([counts[w][0] for w in self.words])
+
+    def candidates(self, most: int) -> list[tuple[str, int]]:
+        """The most surprising words and the number of clean texts they are in."""
+        gain = _candidate(self.words, self.n1, self.n0, self.of1, self.of0)
+        order = [i for i in np.lexsort((np.arange(len(gain)), -gain))[:most] if gain[i] > 0]
+        return [(self.words[i], int(self.n0[i])) for i in order]
+
+    def members(self, words: list[str]) -> list[list[int]]:
+        """For each toxic text with any, which of ``words`` it holds."""
+        return [at for t, label in self.texts if label and (at := _inside(t, {w: i for i, w in enumerate(words)}))]
+
+    def clean(self, most: int) -> list[str]:
+        """A sample of the words of clean texts."""
+        few = [w for w, n in zip(self.words, self.n0) if n]
+        return sorted(few, key=lambda w: (zlib.crc32(w.encode("utf-8", "surrogatepass")), w))[:most]
+
+    def verdicts(self, model: Model, most: int) -> tuple[list[str], list[str]]:
+        """Words that a round adds as toxic, and counterexamples, the highest first."""
+        value, kind = _verdicts(model, self.words, self.n1, self.n0, self.of1, self.of0)
+        order = np.argsort(-value, kind="stable")
+        return tuple([self.words[i] for i in order if kind[i] == k][:most] for k in (1, 0))
+
+    def evidence(self, model: Model) -> list[tuple[int, Evidence]]:
+        scorer = _Scorer(model)
+        return [(label, e) for (_, label), e in zip(self.texts, scorer.evidence([t for t, _ in self.texts]))]
+
+
+def _count(texts: list[tuple[str, int]]) -> dict[str, list[int]]:
+    """Word -> in how many clean and toxic texts it is."""
+    out: dict[str, list[int]] = {}
+    for text, label in texts:
+        for w in set(split(text)):
+            out.setdefault(w, [0, 0])[label] += 1
+    return out
+
+
+def _inside(text: str, number: dict[str, int]) -> list[int]:
+    return sorted({number[w] for w in split(text) if w in number})
+
+
+class _StoredTexts:
+    """The same over ``rows(__id, text, __toxic)`` of a staged sample: texts and word
+    counts stay on the executors."""
+
+    def __init__(self, spark: SparkSession, rows: DataFrame):
+        self.spark = spark
+
+        def sketch(batches):
+            for batch in slices(batches):
+                got = [_sketch(t) for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("__id"), batch.column("__toxic"), pa.array(got, pa.list_(pa.int64()))],
+                    names=["__id", "__toxic", "sketch"],
+                )
+
+        # one row of a few numbers for each text of the sample
+        seen = rows.mapInArrow(sketch, "__id long, __toxic int, sketch array<long>").orderBy("__id").collect()
+        kept = [seen[i] for i in _distinct(np.array([r["sketch"] for r in seen]).reshape(len(seen), SKETCH))]
+        self.of1 = sum(r["__toxic"] for r in kept)
+        self.of0 = len(kept) - self.of1
+        ids = spark.createDataFrame([(r["__id"],) for r in kept], "__id long")
+        self.rows = rows.join(F.broadcast(ids), "__id")
+
+        def count(batches):
+            for batch in slices(batches):
+                got = _count(list(zip(batch.column("text").to_pylist(), batch.column("__toxic").to_pylist())))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(got), pa.string()), *(pa.array([n[k] for n in got.values()], pa.int64()) for k in (1, 0))],
+                    names=["word", "n1", "n0"],
+                )
+
+        counts = self.rows.mapInArrow(count, "word string, n1 long, n0 long")
+        self.counts = stage(
+            spark, counts.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "toxicity-words"
+        )
+
+    def _look(self, judge) -> DataFrame:
+        """(word, n0, value, kind) of the words that ``judge`` gives a kind above -1."""
+        def look(batches):
+            for batch in batches:
+                words = batch.column("word").to_pylist()
+                n1, n0 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n1", "n0"))
+                value, kind = judge(words, n1, n0)
+                at = pa.array(np.flatnonzero(kind >= 0))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("word").take(at), batch.column("n0").take(at),
+                     pa.array(value, pa.float64()).take(at), pa.array(kind, pa.int32()).take(at)],
+                    names=["word", "n0", "value", "kind"],
+                )
+
+        return self.counts.mapInArrow(look, "word string, n0 long, value double, kind int")
+
+    def candidates(self, most: int) -> list[tuple[str, int]]:
+        of1, of0 = self.of1, self.of0
+
+        def judge(words, n1, n0):
+            gain = _candidate(words, n1, n0, of1, of0)
+            return gain, np.where(gain > 0, 0, -1)
+
+        best = self._look(judge).orderBy(F.desc("value"), "word").limit(most).collect()
+        return [(r["word"], r["n0"]) for r in best]
+
+    def members(self, words: list[str]) -> list[list[int]]:
+        number = {w: i for i, w in enumerate(words)}
+
+        def look(batches):
+            for batch in slices(batches):
+                got = [at for t in batch.column("text").to_pylist() if (at := _inside(t, number))]
+                yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.int64()))], names=["words"])
+
+        return [r["words"] for r in self.rows.filter("__toxic = 1").mapInArrow(look, "words array<long>").collect()]
+
+    def clean(self, most: int) -> list[str]:
+        few = self.counts.filter("n0 > 0").orderBy(F.crc32(F.col("word").cast("binary")), "word").limit(most)
+        return [r["word"] for r in few.select("word").collect()]
+
+    def verdicts(self, model: Model, most: int) -> tuple[list[str], list[str]]:
+        held, of1, of0 = self.spark.sparkContext.broadcast(model), self.of1, self.of0
+        judged = self._look(lambda words, n1, n0: _verdicts(held.value, words, n1, n0, of1, of0))
+        judged = stage(self.spark, judged, "toxicity-verdicts")
+        best = lambda k: judged.filter(F.col("kind") == k).orderBy(F.desc("value"), "word").limit(most).collect()
+        return tuple([r["word"] for r in best(k)] for k in (1, 0))
+
+    def evidence(self, model: Model) -> list[tuple[int, Evidence]]:
+        held = self.spark.sparkContext.broadcast(model)
+
+        def look(batches):
+            scorer = _Scorer(held.value)
+            for batch in slices(batches):
+                got = scorer.evidence(batch.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("__toxic"), pa.array([e.top for e in got], pa.float64()),
+                     *(pa.array([getattr(e, c) for e in got], pa.int64()) for c in ("hits", "words", "distinct")),
+                     pa.array([list(e.groups.items()) for e in got], pa.map_(pa.int64(), pa.int64()))],
+                    names=["__toxic", "top", "hits", "words", "distinct", "groups"],
+                )
+
+        schema = "__toxic int, top double, hits long, words long, distinct long, groups map<long, long>"
+        return [
+            (r["__toxic"], Evidence(r["top"], r["hits"], r["words"], r["distinct"], r["groups"]))
+            for r in self.rows.mapInArrow(look, schema).collect()
+        ]
+
+
+def learn(
+    texts: _Texts | _StoredTexts, share: float | None = None, landmarks: int = 256, clean_words: int = 15_000,
+    candidates: int = 5_000, added: int = 10_000, rounds: int = 3,
+) -> Model:
+    """Train on a sample. ``share``: the toxic share of the population, if the sample's
+    differs. Without texts of both kinds, or without a telling word, a constant."""
+    of1, of0 = texts.of1, texts.of0
+    prior = share if share is not None else of1 / max(1, of1 + of0)
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     # a constant model calls nothing toxic
     flat = min(prior, 0.49)
-    constant = Model(
-        np.zeros(TRIPLES), FLOOR, np.array([0.0] * 5 + [np.log(flat / (1 - flat))]), [], np.ones(1)
-    )
-    if not 0 < y.sum() < len(y):
+    constant = Model(np.zeros(TRIPLES), FLOOR, np.array([0.0] * 5 + [np.log(flat / (1 - flat))]), [], np.zeros(0, int), np.ones(1))
+    if not of1 or not of0:
         return constant
-    n1, n0 = int(y.sum()), int(len(y) - y.sum())
-    every = sorted(set().union(*bags))
-    number = {w: i for i, w in enumerate(every)}
-    inside = [np.array([number[w] for w in bag], np.int64) for bag in bags]
-    many = lambda which: np.bincount(np.concatenate([inside[i] for i in which] or [[]]).astype(np.int64), minlength=len(every))
-    in_toxic, in_clean = many(np.flatnonzero(y == 1)), many(np.flatnonzero(y == 0))
-    spelled = np.fromiter((_letters_in(w) > 2 for w in every), bool, len(every))
-    # the most surprising word accounts for the toxic texts it is in; a text that
-    # two words account for no longer counts, nor do words that stand beside them
-    picks: list[int] = []
-    left, open_ = in_toxic.copy(), {i: 2 for i in np.flatnonzero(y == 1).tolist()}
-    while len(picks) < 400:
-        gain = np.where(spelled, _surprise(left, in_clean, n1, n0), 0.0)
-        gain[picks] = 0
-        best = int(gain.argmax())
-        if gain[best] <= 12:
-            break
-        picks.append(best)
-        for i in [i for i in open_ if best in inside[i]]:
-            open_[i] -= 1
-            if not open_[i]:
-                del open_[i]
-                left[inside[i]] -= 1
-    markers = _markers(every, inside, y)
-    # the toxic texts' words with a marker, the most frequent first
-    holds = Model(constant.weights, FLOOR, constant.curve, markers, np.ones(1)).group(
-        every, np.full(len(every), FLOOR)
-    )
-    order = np.lexsort((np.arange(len(every)), -in_toxic))
-    alike = [int(i) for i in order if holds[i] >= 0 and spelled[i] and in_toxic[i] > 4 * in_clean[i] * n1 / n0]
-    if not picks and not alike:
+    good = _cover(texts, of1, of0, candidates)
+    if not good:
         return constant
-    picks += [i for i in alike if i not in set(picks)]
-    tried = [every[i] for i in picks]
-    # and words like those, if they are surprising themselves
-    alike = [i for i in np.flatnonzero(spelled & (_surprise(in_toxic, in_clean, n1, n0) > 12)) if i not in set(picks)]
-    near = kernel([every[i] for i in alike], _dense(tried[:landmarks])).max(1, initial=0)
-    good = tried + [every[i] for i, k in zip(alike, near) if k > 0.4]
-    # landmarks: toxic words that differ from those before, and common clean words
-    marks: list[str] = []
-    tried = good[:500]
-    close, taken = kernel(tried, _dense(tried)), []
-    for i, w in enumerate(tried):
-        if len(marks) < 2 * landmarks // 3 and all(close[i, j] < 0.85 for j in taken):
-            marks.append(w)
+    # landmarks: toxic words that differ from those before, and the clean words most like
+    # one of them
+    close, taken = kernel(good, _dense(good)), []
+    for i in range(len(good)):
+        if len(taken) < 2 * landmarks // 3 and (close[i, taken] < ALIKE).all():
             taken.append(i)
-    # and the clean words most like one of them
-    rng = np.random.default_rng(7)
-    clean = np.flatnonzero(in_clean)
-    clean = [every[i] for i in rng.permutation(clean)[:clean_words]]
-    against = kernel(clean, _dense(marks)).max(1)
-    marks += [clean[i] for i in np.argsort(-against, kind="stable")[: landmarks - len(marks)]]
+    toxic = [good[i] for i in taken]
+    clean = texts.clean(clean_words)
+    against = kernel(clean, _dense(toxic)).max(1, initial=0.0)
+    marks = toxic + [clean[i] for i in np.argsort(-against, kind="stable")[: landmarks - len(toxic)]]
     dense = _dense(marks)
     values, vectors = np.linalg.eigh(dense.T @ dense)
     keep = values > 1e-6
     project = vectors[:, keep] / np.sqrt(values[keep])
-    x0, positive = kernel(clean, dense) @ project, list(good)
-    hard: list[str] = []
-    hidden = sorted({v for w in tried[:60] for v in _disguised(w.strip(_OUTER))} - set(clean))
+    kind = _linked(close[np.ix_(taken, taken)])
+    hidden = sorted({v for w in good[:60] for v in _disguised(w.strip(_OUTER))} - set(clean))
+    x0 = kernel(clean, dense) @ project
+    positive, hard = list(good), []
     model = constant
     for _ in range(rounds):
         x1, xh = kernel(positive + hidden, dense) @ project, kernel(hard, dense) @ project
@@ -424,26 +481,64 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
         label = np.concatenate([np.ones(len(x1)), -np.ones(len(x0) + len(xh))])
         cost = np.where(label > 0, len(label) / (2 * len(x1)), len(label) / (2 * (len(x0) + len(xh))))
         w, b = _svm(x, label, cost)
-        model = Model(dense @ (project @ w), float(b), np.zeros(6), markers, np.ones(len(markers) + 1))
-        value = model.decide(every)
-        best = []
-        for at in inside:
-            i = at[int(value[at].argmax())] if len(at) else -1
-            best.append((float(value[i]), every[i]) if i >= 0 else (FLOOR, ""))
-        witness = {w for (f, w), t in zip(best, y) if t and f > 0}
-        positive = sorted(witness | set(good))
-        hard = sorted(set(hard) | {w for (f, w), t in zip(best, y) if not t and f > -0.9 and w} - set(good))
-    # logistic function of the texts' features, weighted to the population
-    groups = model.group(every, value)
-    held, of = np.zeros(len(markers) + 1), np.zeros(len(markers) + 1)
-    for at, label in zip(inside, y):
-        k = np.bincount(groups[at][groups[at] >= 0], minlength=len(held))
-        held += np.where(label == 0, k, 0)
-        of += np.where((label == 0) & (k > 0), len(at), 0)
+        del x
+        model = Model(dense @ (project @ w), float(b), np.zeros(6), toxic, kind, np.ones(int(kind.max()) + 1))
+        more, against = texts.verdicts(model, added)
+        positive = sorted(set(more) | set(good))
+        hard = sorted((set(hard) | set(against)) - set(good))
+    return _fit_curve(model, texts.evidence(model), prior)
+
+
+def _cover(texts: _Texts | _StoredTexts, of1: int, of0: int, candidates: int, most: int = 400) -> list[str]:
+    """The most surprising word accounts for the toxic texts it is in; a text that two
+    words account for no longer counts, nor do words that stand beside them."""
+    known = texts.candidates(candidates)
+    words, n0 = [w for w, _ in known], np.array([n for _, n in known])
+    open_ = [(set(at), 2) for at in texts.members(words)] if words else []
+    left = np.zeros(len(words))
+    for at, _ in open_:
+        left[list(at)] += 1
+    picks: list[int] = []
+    while len(picks) < most and len(words):
+        gain = _surprise(left, n0, of1, of0)
+        gain[picks] = 0
+        best = int(gain.argmax())
+        if gain[best] <= SURPRISE:
+            break
+        picks.append(best)
+        still = []
+        for at, need in open_:
+            need -= best in at
+            if need:
+                still.append((at, need))
+            else:
+                left[list(at)] -= 1
+        open_ = still
+    return [words[i] for i in picks]
+
+
+def _linked(close: np.ndarray) -> np.ndarray:
+    """Group of each landmark: those that a chain of pairs more alike than LINKED joins."""
+    group = np.arange(len(close))
+    for i, j in zip(*np.nonzero(close > LINKED)):
+        if i > j:
+            group[group == group[i]] = group[j]
+    return np.unique(group, return_inverse=True)[1]
+
+
+def _fit_curve(model: Model, seen: list[tuple[int, Evidence]], prior: float) -> Model:
+    """Usual shares of the groups, and a logistic function of the texts' features,
+    weighted to the population."""
+    y = np.array([label for label, _ in seen])
+    held, of = np.zeros(len(model.usual)), np.zeros(len(model.usual))
+    for label, e in seen:
+        if not label:
+            for g, k in e.groups.items():
+                held[g] += k
+                of[g] += e.distinct
     model.usual = (held + 0.5) / (of + 5_000)
-    x = np.array([
-        model.features(value[[number[w] for w in split(t)]], groups[at], len(at)) for (t, _), at in zip(texts, inside)
-    ])
+    x = np.array([model.features(e) for _, e in seen])
+    n1, n0 = int(y.sum()), int(len(y) - y.sum())
     weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     ridge = np.diag([1e-2] * 5 + [0])
@@ -458,14 +553,23 @@ def train(texts: list[tuple[str, int]], landmarks: int = 128, clean_words: int =
     return model
 
 
+def train(texts: list[tuple[str, int]], share: float | None = None, **options) -> Model:
+    """Train on (text, 0 or 1) in memory; options as those of ``learn``."""
+    return learn(_Texts(texts), share, **options)
+
+
 def fit(
-    spark: SparkSession, docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int = 3000, max_bytes: int = 20_000
+    spark: SparkSession, docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int = 3000,
+    max_bytes: int = 20_000, **options,
 ) -> Model:
     """Learn from ``docs(doc_id, text)`` with ``labels(doc_id, toxic)``: at most
     ``toxic`` and ``clean`` texts of at most ``max_bytes`` bytes, in the order of
-    their ids' hashes. The bounds hold at every size, and so does what reaches
-    the driver. Rows without id, text or label are left out; an id with several
-    labels counts as toxic if one says so."""
+    their ids' hashes; near copies among them count once. Options, as those of
+    ``learn``, bound the rest: ``landmarks`` of the kernel machine, ``candidates`` and
+    ``clean_words`` that training starts from, words ``added`` by each of the
+    ``rounds``. The bounds hold at every size, and so does what reaches the driver.
+    Rows without id, text or label are left out; an id with several labels counts as toxic
+    if one says so, one with several texts as the least of them."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
     size = docs.filter(F.octet_length("text") <= max_bytes).select("doc_id")
     ids = known.join(size.distinct(), "doc_id")
@@ -475,13 +579,30 @@ def fit(
         return train([])
     few = thinned(ids, "__toxic", "doc_id", sizes, {1: toxic, 0: clean})
     first = lambda label, n: few.filter(F.col("__toxic") == label).orderBy("__share", "doc_id").limit(n)
-    chosen = first(1, toxic).union(first(0, clean))
-    # at most toxic + clean rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "__toxic")), "doc_id").filter(
-        F.octet_length("text") <= max_bytes
-    ).groupBy("doc_id").agg(F.min("text").alias("text"), F.max("__toxic").alias("toxic")).orderBy("doc_id").collect()
-    share = sizes.get(1, 0) / sum(sizes.values())
-    return train([(r["text"], int(r["toxic"])) for r in rows], share=share)
+    chosen = first(1, toxic).union(first(0, clean)).select("doc_id", "__toxic")
+    with staged_run(spark):
+        # at most toxic + clean rows
+        rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(
+            F.octet_length("text") <= max_bytes
+        ).groupBy("doc_id").agg(F.min("text").alias("text"), F.max("__toxic").alias("__toxic"))
+        numbered = rows.withColumn("__id", F.row_number().over(Window.orderBy("doc_id")).cast("long"))
+        sample = stage(spark, numbered.select("__id", "text", "__toxic"), "toxicity-sample")
+        return learn(
+            _StoredTexts(spark, sample.repartition(partitions(spark), "__id")), sizes.get(1, 0) / sum(sizes.values()), **options
+        )
+
+
+@dataclass
+class Evidence:
+    """What the machine's verdicts say about a text: its highest decision value,
+    how many of its ``words`` are toxic, how many words are ``distinct``, and how
+    many of these are in each group."""
+
+    top: float
+    hits: int
+    words: int
+    distinct: int
+    groups: dict[int, int]
 
 
 class _Scorer:
@@ -490,18 +611,26 @@ class _Scorer:
     def __init__(self, model: Model, max_words: int = 250_000):
         self.model, self.max_words, self.seen = model, max_words, {}
 
-    def __call__(self, texts: list[str | None]) -> np.ndarray:
+    def evidence(self, texts: list[str | None]) -> list[Evidence]:
         bags = [split(t) for t in texts]
         new = sorted({w for ws in bags for w in ws if w not in self.seen})
         values = self.model.decide(new)
         self.seen.update(zip(new, zip(values.tolist(), self.model.group(new, values).tolist())))
-        x = []
+        out = []
         for ws in bags:
-            kinds = {w: self.seen[w] for w in ws}
-            groups = np.fromiter((g for _, g in kinds.values()), np.int64, len(kinds))
-            x.append(self.model.features(np.array([kinds[w][0] for w in ws]), groups, len(kinds)))
+            distinct = set(ws)
+            groups: dict[int, int] = {}
+            for w in distinct:
+                if (g := self.seen[w][1]) >= 0:
+                    groups[g] = groups.get(g, 0) + 1
+            values = [self.seen[w][0] for w in ws]
+            out.append(Evidence(max(values, default=FLOOR), sum(v > 0 for v in values), len(ws), len(distinct), groups))
         if len(self.seen) > self.max_words:
             self.seen.clear()
+        return out
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        x = [self.model.features(e) for e in self.evidence(texts)]
         return self.model.probability(np.array(x).reshape(-1, 6))
 
 

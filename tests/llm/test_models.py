@@ -14,6 +14,18 @@ from tests.conftest import SF01, SF001
 from tests.llm.conftest import crc_mod
 
 
+def _phi(w):
+    """Weights of a word's triples, by loops."""
+    x = toxicity.LETTERS[[ord(c) for c in toxicity.EDGE + w + toxicity.EDGE]].tolist()
+    out = Counter()
+    for i in range(len(x)):
+        for j in range(i + 1, min(i + 2 + toxicity.GAP, len(x))):
+            for k in range(j + 1, min(j + 2 + toxicity.GAP, len(x))):
+                if x[i] and x[j] and x[k]:
+                    out[x[i], x[j], x[k]] += toxicity.DECAY ** (j - i - 1 + k - j - 1)
+    return out
+
+
 def _words(text):
     return (text or "").encode().lower().split()
 
@@ -119,22 +131,15 @@ def test_a_text_is_scored_alike_in_any_batch():
     assert langid.predict(model, texts) == [langid.predict(model, [t])[0] for t in texts]
 
 
-def test_op9_held_out_accuracy(spark):
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
-    rows = op9(spark, "/root/testdata/sf0.1").collect()
-    assert all(r.held_out == (crc_mod(r.doc_id, 5) == 0) and 0 <= r.score <= 1 for r in rows)
-    assert all(r.predicted == (r.score >= 0.5) for r in rows)
-    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
-    # in this table some toxic texts only differ in how often a word stands in them
-    assert np.mean([p for p, t in held if t]) > 0.7
-    assert np.mean([p for p, t in held if not t]) < 0.03
-
-
-def test_op9_finds_toxic_texts_of_every_language(spark):
+def test_op9_held_out_accuracy_in_every_language(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     docs = {r.doc_id: (r.lang, r.text.lower()) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    held = [(r, *docs[r.doc_id], labels[r.doc_id]) for r in op9(spark, sf).collect() if r.held_out and r.doc_id in labels]
+    rows = op9(spark, sf).collect()
+    assert len(rows) == len(docs)
+    assert all(r.held_out == (crc_mod(r.doc_id, 5) == 0) and 0 <= r.score <= 1 for r in rows)
+    assert all(r.predicted == (r.score >= 0.5) for r in rows)
+    held = [(r, *docs[r.doc_id], labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     toxic = [(r.predicted, lang, text) for r, lang, text, t in held if t]
     assert np.mean([p for p, *_ in toxic]) > 0.9
     assert np.mean([r.predicted for r, _, _, t in held if not t]) < 0.005
@@ -145,6 +150,38 @@ def test_op9_finds_toxic_texts_of_every_language(spark):
         assert np.mean([p for p, of, _ in toxic if of == lang]) > 0.75
 
 
+def test_stored_and_local_samples_train_the_same_model(spark):
+    sf = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
+    stored = toxicity.fit(spark, *sf, landmarks=64, clean_words=2000)
+    labels = {r.doc_id: r.toxic for r in sf[1].collect()}
+    texts = [(r.text, labels[r.doc_id]) for r in sf[0].orderBy("doc_id").collect() if r.doc_id in labels and len(r.text.encode()) <= 20_000]
+    # the stored sample is in the order of ids, which decides which near copy stays
+    local = toxicity.train(texts, sum(t for _, t in texts) / len(texts), landmarks=64, clean_words=2000)
+    assert len(set(stored.landmarks) & set(local.landmarks)) >= 0.8 * len(local.landmarks) > 0
+    words = ["idiot", "i.d.i.o.t", "trash", "the", "eauouon"]
+    assert ((stored.decide(words) > 0) == (local.decide(words) > 0)).all()
+
+
+def test_decision_equals_a_naive_kernel_machine():
+    """Every word against every triple's weight by loops, and the group by the naive kernel."""
+    rng = np.random.default_rng(0)
+    words = ["".join(rng.choice(list("aeioulnrstm"), 6)) for _ in range(200)]
+    texts = [(" ".join([*rng.choice(words, 8), w]), 1) for w in ("idiot", "idiots", "moronic", "moron") * 8]
+    model = toxicity.train(texts + [(" ".join(rng.choice(words, 12)), 0) for _ in range(80)], landmarks=24)
+    assert len(set(model.kind)) >= 2
+    phi = [_phi(w.strip(toxicity._OUTER)) for w in model.landmarks]
+    for word in ["idiot", "i-d-iot", "idioot", "moronic", *words[:20]]:
+        a = _phi(word)
+        norm = math.sqrt(sum(v * v for v in a.values()))
+        value = sum(v * model.weights[x * 1024 + y * 32 + z] for (x, y, z), v in a.items()) / norm + model.bias
+        got = model.decide([word])
+        assert abs(got[0] - max(value, toxicity.FLOOR)) < 1e-5
+        near = [sum(a[t] * b[t] for t in a) / norm / math.sqrt(sum(v * v for v in b.values())) for b in phi]
+        group = model.group([word], got)[0]
+        assert group == (model.kind[int(np.argmax(near))] if got[0] > 0 else -1)
+    assert (model.decide(["idiot", "i.d.i.o.t", "idioot", "moron"]) > 0).all()
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     rng = np.random.default_rng(0)
     words = ["".join(rng.choice(list("aeioulnrstm"), 5)) for _ in range(400)]
@@ -161,17 +198,7 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
 
 @pytest.mark.parametrize("word,landmark", [("idiot", "idiot"), ("i.d.iot", "idiot"), ("house", "idiot"), ("aaaa", "aaa")])
 def test_kernel_equals_the_sum_over_subsequences(word, landmark):
-    def phi(w):
-        x = toxicity.LETTERS[[ord(c) for c in toxicity.EDGE + w + toxicity.EDGE]]
-        out = Counter()
-        for i in range(len(x)):
-            for j in range(i + 1, min(i + 2 + toxicity.GAP, len(x))):
-                for k in range(j + 1, min(j + 2 + toxicity.GAP, len(x))):
-                    if x[i] and x[j] and x[k]:
-                        out[x[i], x[j], x[k]] += toxicity.DECAY ** (j - i - 1 + k - j - 1)
-        return out
-
-    a, b = phi(word), phi(landmark)
+    a, b = _phi(word), _phi(landmark)
     norm = math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
     want = sum(a[t] * b[t] for t in a) / norm if norm else 0.0
     assert abs(toxicity.kernel([word], toxicity._dense([landmark]))[0, 0] - want) < 1e-6
