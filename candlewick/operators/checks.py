@@ -138,6 +138,36 @@ def check_no_gaps(
     ).select("symbol", "bar_interval", "open_time_utc", "previous_open_time_utc")
 
 
+def day_islands(prices: DataFrame, step_hours: int = 1) -> DataFrame:
+    """Runs of bars that follow each other by exactly ``step_hours`` whole hours, by
+    series and day: their first and last bar and number of bars. A day without a gap
+    is one row. A day's islands depend on that day's bars only, so a changed day
+    replaces its own."""
+    w = Window.partitionBy(*SERIES_KEY, "open_date").orderBy("open_time_utc")
+    before = F.lag("open_time_utc").over(w)
+    begins = before.isNull() | (hours_between("open_time_utc", before) != step_hours)
+    runs = prices.select(*SERIES_KEY, "open_date", "open_time_utc").withColumn("_begins", begins.cast("int"))
+    runs = runs.withColumn("_run", F.sum("_begins").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return runs.groupBy(*SERIES_KEY, "open_date", "_run").agg(
+        F.min("open_time_utc").alias("first_bar_utc"),
+        F.max("open_time_utc").alias("last_bar_utc"),
+        F.count(F.lit(1)).alias("bars"),
+    ).drop("_run")
+
+
+def check_no_gaps_of(islands: DataFrame, step_hours: int = 1, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``check_no_gaps`` from day islands: islands that don't join the one before."""
+
+    def compute(df: DataFrame, w: Window) -> DataFrame:
+        return df.withColumn("previous_open_time_utc", F.lag("last_bar_utc").over(w))
+
+    lagged = series_window(islands, compute, halo=1, order=("first_bar_utc",), block_rows=block_rows)
+    return lagged.filter(
+        F.col("previous_open_time_utc").isNotNull()
+        & (hours_between("first_bar_utc", "previous_open_time_utc") != step_hours)
+    ).select("symbol", "bar_interval", F.col("first_bar_utc").alias("open_time_utc"), "previous_open_time_utc")
+
+
 def check_first_return_null(features: DataFrame) -> DataFrame:
     """First bar of each series must have no return.
 

@@ -160,10 +160,6 @@ def coverage_by_day(prices: DataFrame, expected_bars: int = EXPECTED_BARS_PER_DA
 
 # --- daily partial aggregates ---------------------------------------------------
 
-#: Partials are filed by month: small files, few of them.
-PARTIAL_MONTH = "month"
-
-
 def daily_partials(features: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
     """One row per series and day from which the daily summary, the data status and
     the coverage report follow without the bars: counts, sums and extremes. A
@@ -183,7 +179,7 @@ def daily_partials(features: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
         F.min("open_time_utc").alias("first_bar_utc"),
         F.max("open_time_utc").alias("last_bar_utc"),
         F.max("loaded_at").alias("latest_loaded_at"),
-    ).withColumn(PARTIAL_MONTH, F.date_format("open_date", "yyyy-MM"))
+    )
 
 
 def daily_summary_of(

@@ -5,7 +5,8 @@
 * fact_price_features, fact_price_hourly, dim_symbol, dim_calendar: tables,
   day-partitioned where they carry ``open_date``,
 * daily_partials: one row per series and day, from which the daily summary, the
-  data status and the coverage report are read,
+  data status and the coverage report are read; day_islands: runs of bars without a
+  gap by series and day, from which the gap check reads,
 * dashboards: views over the STORED features and partials, so the window work is
   done once per build,
 * then the data-test suite runs against the stored tables.
@@ -38,12 +39,14 @@ from candlewick.schema import FACT_PRICE_FEATURES_COLUMNS, FACT_PRICE_HOURLY_COL
 from candlewick.session import ensure_session_conf
 from candlewick.sources.versioned import VersionedTable
 
-#: Tables with a folder for each day; partials have one for each month.
+#: Tables with a folder for each day; tables of per-day rows have one for each month.
+MONTH = "month"
 PARTITIONS = {
     "fact_prices": "open_date",
     "fact_price_features": "open_date",
     "fact_price_hourly": "open_date",
-    "daily_partials": serving.PARTIAL_MONTH,
+    "daily_partials": MONTH,
+    "day_islands": MONTH,
 }
 
 
@@ -117,7 +120,8 @@ def _refresh_features(spark: SparkSession, b: Build, incremental: bool) -> None:
         gone = [d for d in _dated(feats.commit().parts) if d >= stale]
         feats.write(clustered_by_day(computed, new), replace="touched", drop=gone, notes={"source": now})
     _refresh_tail(tail, prices, now)
-    _refresh_partials(b.table(spark, "daily_partials"), feats, now, incremental)
+    _refresh_daily(b.table(spark, "daily_partials"), feats.read(), serving.daily_partials, now, incremental)
+    _refresh_daily(b.table(spark, "day_islands"), prices, checks.day_islands, now, incremental)
 
 
 def _refresh_tail(tail: VersionedTable, prices: DataFrame, now: dict[str, str]) -> None:
@@ -138,27 +142,24 @@ def _refresh_tail(tail: VersionedTable, prices: DataFrame, now: dict[str, str])
     tail.write(marts.series_tail(bars), notes={"before": newest.isoformat(), "source": source})
 
 
-def _refresh_partials(
-    partials: VersionedTable, feats: VersionedTable, now: dict[str, str], incremental: bool
-) -> None:
-    """Partials of the days from the first one on that they weren't computed from; of
-    the months that these lie in, the earlier days stay."""
-    features = feats.read()
-    built = partials.commit() if incremental else None
+def _refresh_daily(table: VersionedTable, days: DataFrame, derive, now: dict[str, str], incremental: bool) -> None:
+    """Bring a table of per-day rows, filed by month, up to ``now``: ``derive`` the rows of
+    ``days`` from the first day on that they weren't computed from; of that day's
+    month, the earlier days stay."""
+    month_of = F.date_format("open_date", "yyyy-MM")
+    built = table.commit() if incremental else None
     stale = first_stale_day(now, built.notes.get("source", {})) if built else None
     if built and stale is None:
         return
     if built is None or "__HIVE" in stale:
-        partials.write(serving.daily_partials(features).coalesce(1), notes={"source": now})
+        table.write(derive(days).withColumn(MONTH, month_of).repartition(MONTH), notes={"source": now})
         return
     start = _date(stale)
-    fresh = serving.daily_partials(features.filter(F.col("open_date") >= F.lit(start)))
+    fresh = derive(days.filter(F.col("open_date") >= F.lit(start))).withColumn(MONTH, month_of)
     month = f"{start:%Y-%m}"
-    kept = partials.read().filter((F.col(serving.PARTIAL_MONTH) == month) & (F.col("open_date") < F.lit(start)))
-    gone = [m for m in built.parts if m >= partials.folder(month)]
-    partials.write(
-        kept.unionByName(fresh).repartition(serving.PARTIAL_MONTH), replace="touched", drop=gone, notes={"source": now}
-    )
+    kept = table.read().filter((F.col(MONTH) == month) & (F.col("open_date") < F.lit(start)))
+    gone = [m for m in built.parts if m >= table.folder(month) and "__HIVE" not in m]
+    table.write(kept.unionByName(fresh).repartition(MONTH), replace="touched", drop=gone, notes={"source": now})
 
 
 def build_marts(
@@ -205,6 +206,7 @@ def build_marts(
         "dashboard_price_timeseries": serving.price_timeseries(features),
         "dashboard_daily_summary": serving.daily_summary_of(partials),
         "dashboard_data_status": serving.data_status_of(partials, as_of),
+        "day_islands": b.table(spark, "day_islands").read(),
         "data_coverage_by_day": serving.coverage_by_day_of(partials),
     }
     if view_prefix is not None:

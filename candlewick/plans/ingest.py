@@ -3,7 +3,8 @@
 The reference loops over days and calls an API per day; here the landed
 payloads are one DataFrame and a range is one predicate, so all days of all
 series are written by one job. Order is kept: data first, mark last -- a
-crash re-runs days, which overwrite the same partitions.
+crash re-runs days, which overwrite the same partitions. Rows are checked before
+anything is stored.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import day_start_ms, lit_ts
+from candlewick.operators.validate import with_reasons
 from candlewick.schema import RAW_COLUMNS, RAW_PARTITION_COLUMNS, SUPPORTED_INTERVALS, WATERMARK, WATERMARK_KEY
 from candlewick.sources import raw as raw_src
-from candlewick.session import ensure_session_conf, scratch_path
+from candlewick.session import ensure_session_conf, scratch_path, staged_run, table_exists
 
 
 
@@ -140,15 +142,63 @@ def landed_range(landed: DataFrame, start: dt.date, end: dt.date, date_col: str
     return landed.filter(F.col(date_col).between(F.lit(start), F.lit(end)))
 
 
-def run_backfill(landed: DataFrame, root: str, start: dt.date, end: dt.date) -> DataFrame:
-    """Write the range; returns the per-partition summary read back from the
-    written partitions (empty days write nothing)."""
-    rows = backfill_rows(landed, start, end)
-    write_partitions(rows, root)
+class InvalidRows(ValueError):
+    """Rows broke a row rule and no place for rejects was named."""
+
+
+def accepted_rows(rows: DataFrame, rejects_path: str | None, run_id: str) -> DataFrame:
+    """The rows that keep every row rule; call it inside a ``staged_run``.
+
+    ``rows`` are computed, checked and staged once, with the reasons against them. With
+    ``rejects_path`` the others are filed there, one row per broken rule under their
+    run (a repeated run replaces its own); without, any of them stops the run
+    before it has written anything.
+    """
+    checked = _stage(with_reasons(rows), "checked-rows")
+    bad = checked.filter(F.size("reasons") > 0)
+    if rejects_path is None:
+        first = bad.select("reasons").first()
+        if first is not None:
+            raise InvalidRows(f"invalid rows, e.g.: {'; '.join(first['reasons'])}")
+    else:
+        write_rejects(bad.select(*REJECT_KEY, F.explode("reasons").alias("reason")), rejects_path, run_id)
+    return checked.filter(F.size("reasons") == 0).drop("reasons")
+
+
+REJECT_KEY = (*WATERMARK_KEY, "open_time_ms")
+
+
+def write_rejects(rejects: DataFrame, path: str, run_id: str) -> None:
+    """File ``rejects`` under ``run=<run_id>``; other runs keep theirs."""
+    (
+        rejects.select(*REJECT_KEY, "reason").withColumn("run", F.lit(run_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+    )
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """All filed rejects: series, open time, reason, run (none if nothing was filed)."""
+    types = {f.name: f.dataType.simpleString() for f in WATERMARK.fields}
+    keys = ", ".join(f"{c} {types[c]}" for c in WATERMARK_KEY)
+    schema = f"{keys}, open_time_ms long, reason string, run string"
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def run_backfill(
+    landed: DataFrame, root: str, start: dt.date, end: dt.date, rejects_path: str | None = None, run_id: str = "backfill"
+) -> DataFrame:
+    """Write the valid rows of the range; returns the per-partition summary read back
+    from the written partitions (empty days write nothing). Invalid rows are filed
+    under ``rejects_path`` or, without one, stop the run (see ``accepted_rows``)."""
     spark = landed.sparkSession
-    written = raw_src.scan_raw(spark, root).filter(F.col("date").between(F.lit(start), F.lit(end)))
-    keys = rows.select(*RAW_PARTITION_COLUMNS[:-1]).distinct()
-    return write_summary(written.join(keys, list(RAW_PARTITION_COLUMNS[:-1]), "left_semi"))
+    with staged_run(spark):
+        rows = accepted_rows(backfill_rows(landed, start, end), rejects_path, run_id)
+        write_partitions(rows, root)
+        written = raw_src.scan_raw(spark, root).filter(F.col("date").between(F.lit(start), F.lit(end)))
+        keys = rows.select(*RAW_PARTITION_COLUMNS[:-1]).distinct()
+        return _stage(write_summary(written.join(keys, list(RAW_PARTITION_COLUMNS[:-1]), "left_semi")), "summary", lasting=True)
 
 
 # --- high-water marks ---------------------------------------------------------
@@ -249,26 +299,30 @@ def run_incremental(
     bootstrap: dt.date,
     end: dt.date,
     keys: DataFrame | None = None,
+    rejects_path: str | None = None,
+    run_id: str = "incremental",
 ) -> IncrementalResult:
-    """Bounded incremental load: read marks -> write the rows -> new marks for
+    """Bounded incremental load: read marks -> write the valid rows -> new marks for
     the keys that wrote something -> write marks.
 
     ``keys`` limits the run to some (source, dataset, symbol, interval);
-    default: every key present in ``landed``. The rows are staged once; the raw
-    zone, the summary and the marks all come from them, so a mark is the newest
-    bar of THIS run, whatever else the raw zone holds. The marks read at the
-    start are staged because the state folder is rewritten at the end.
+    default: every key present in ``landed``. The rows are checked and staged once
+    (see ``accepted_rows`` for the others); the raw zone, the summary and the marks all
+    come from them, so a mark is the newest accepted bar of THIS run, whatever else the
+    raw zone holds. The marks read at the start are staged because the state folder is
+    rewritten at the end.
     """
     spark = landed.sparkSession
-    before = _stage(read_marks(spark, state_path), "marks")
-    scope = landed if keys is None else landed.join(keys, list(WATERMARK_KEY), "left_semi")
-    known = (scope if keys is None else keys).select(*WATERMARK_KEY).distinct()
-    rows = _stage(incremental_rows(scope, before, bootstrap, end, known), "incremental")
-    outputs = _stage(write_summary(rows), "outputs")
-    stats = outputs.agg(F.count(F.lit(1)).alias("p"), F.sum("row_count").alias("r")).first()
-    if stats["p"]:
-        write_partitions(rows, root)
-        write_marks(high_water_marks(rows), state_path)
+    with staged_run(spark):
+        before = _stage(read_marks(spark, state_path), "marks", lasting=True)
+        scope = landed if keys is None else landed.join(keys, list(WATERMARK_KEY), "left_semi")
+        known = (scope if keys is None else keys).select(*WATERMARK_KEY).distinct()
+        rows = accepted_rows(incremental_rows(scope, before, bootstrap, end, known), rejects_path, run_id)
+        outputs = _stage(write_summary(rows), "outputs", lasting=True)
+        stats = outputs.agg(F.count(F.lit(1)).alias("p"), F.sum("row_count").alias("r")).first()
+        if stats["p"]:
+            write_partitions(rows, root)
+            write_marks(high_water_marks(rows), state_path)
     starts = known.join(start_dates(before), list(WATERMARK_KEY), "left").withColumn(
         "start_date", F.coalesce("start_date", F.lit(bootstrap))
     )
@@ -282,7 +336,7 @@ def run_incremental(
     )
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
+def _stage(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+    path = scratch_path(df.sparkSession, name, lasting)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

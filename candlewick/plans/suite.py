@@ -93,12 +93,19 @@ def default_suite(
         rel("fact_price_features", "open_date", "dim_calendar", "calendar_date"),
     ]
     key = ",".join(NATURAL_KEY)
+
+    def no_gaps(models: dict[str, DataFrame]) -> DataFrame:
+        """From the stored islands of the build, else from the bars."""
+        if "day_islands" in models:
+            return C.check_no_gaps_of(models["day_islands"], block_rows=block_rows)
+        return C.check_no_gaps(models["fact_prices"], block_rows=block_rows)
+
     suite += [
         C.Check("stg_klines", "unique_natural_key", key, unique_keys=NATURAL_KEY),
         C.Check("stg_klines", "no_negative_volume", "volume", violation=C.NEGATIVE_VOLUME),
         C.Check("stg_klines", "ohlc_consistency", "high,low", violation=C.OHLC_INCONSISTENT),
         C.Check("fact_prices", "unique_natural_key", key, unique_keys=NATURAL_KEY),
-        C.Check("fact_prices", "no_hourly_gaps", "open_time_utc", run=lambda m: C.check_no_gaps(m["fact_prices"], block_rows=block_rows)),
+        C.Check("fact_prices", "no_hourly_gaps", "open_time_utc", run=no_gaps),
         C.Check("fact_price_features", "unique_natural_key", key, unique_keys=NATURAL_KEY),
         C.Check(
             "fact_price_features", "first_return_null", "return_1h",

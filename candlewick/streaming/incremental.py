@@ -26,7 +26,7 @@ from candlewick.operators.validate import validate_rows
 from candlewick.plans import ingest, merge
 from candlewick.plans.ingest import _stage
 from candlewick.schema import RAW_COLUMNS, RAW_PARTITION_COLUMNS, WATERMARK_KEY
-from candlewick.session import ensure_session_conf, table_exists
+from candlewick.session import ensure_session_conf, staged_run, table_exists
 from candlewick.sources.payload import enrich_raw, parse_klines
 from candlewick.sources.raw import scan_raw
 
@@ -57,36 +57,37 @@ def process_batch(
     # one load time for every write of this batch (raw zone and fact)
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     spark = landed.sparkSession
-    rows, parse_rejects = parse_klines(landed)
-    ok, rejects = validate_rows(rows)
-    if rejects_path is not None:
-        # filed by batch and overwritten: a retried micro-batch writes the same
-        (
-            parse_rejects.select(*WATERMARK_KEY, "row_index", "reason")
-            .unionByName(rejects.select(*WATERMARK_KEY, F.lit(None).cast("long").alias("row_index"), "reason"))
-            .withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-            .parquet(rejects_path)
+    with staged_run(spark):  # an endless stream leaves nothing behind
+        rows, parse_rejects = parse_klines(landed)
+        ok, rejects = validate_rows(rows)
+        if rejects_path is not None:
+            # filed by batch and overwritten: a retried micro-batch writes the same
+            (
+                parse_rejects.select(*WATERMARK_KEY, "row_index", "reason")
+                .unionByName(rejects.select(*WATERMARK_KEY, F.lit(None).cast("long").alias("row_index"), "reason"))
+                .withColumn("batch_id", F.lit(batch_id))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+                .parquet(rejects_path)
+            )
+        # parsed and validated once; everything below reads the staged rows
+        raw = _stage(enrich_raw(ok, loaded_at=loaded_at, batch_id=batch_id).select(*RAW_COLUMNS), "stream-rows")
+        ingest.write_partitions(with_stored_bars(raw, raw_root), raw_root)
+        written = raw.groupBy(*WATERMARK_KEY).agg(F.max("open_time_ms").alias("last_open_time_ms"))
+        current = ingest.read_marks(spark, state_path)
+        # a mark only moves forward (a late, older day does not pull it back)
+        merged = _stage(
+            written.join(current.select(*WATERMARK_KEY, F.col("last_open_time_ms").alias("_old")), list(WATERMARK_KEY), "left")
+            .select(*WATERMARK_KEY, F.greatest("last_open_time_ms", F.coalesce("_old", F.lit(0))).alias("last_open_time_ms"))
+            .withColumn("updated_at", F.current_timestamp()),
+            "stream-marks",  # the state folder is rewritten below
         )
-    # parsed and validated once; everything below reads the staged rows
-    raw = _stage(enrich_raw(ok, loaded_at=loaded_at, batch_id=batch_id).select(*RAW_COLUMNS), "stream-rows")
-    ingest.write_partitions(with_stored_bars(raw, raw_root), raw_root)
-    written = raw.groupBy(*WATERMARK_KEY).agg(F.max("open_time_ms").alias("last_open_time_ms"))
-    current = ingest.read_marks(spark, state_path)
-    # a mark only moves forward (a late, older day does not pull it back)
-    merged = _stage(
-        written.join(current.select(*WATERMARK_KEY, F.col("last_open_time_ms").alias("_old")), list(WATERMARK_KEY), "left")
-        .select(*WATERMARK_KEY, F.greatest("last_open_time_ms", F.coalesce("_old", F.lit(0))).alias("last_open_time_ms"))
-        .withColumn("updated_at", F.current_timestamp()),
-        "stream-marks",  # the state folder is rewritten below
-    )
-    n = merged.count()
-    if n:
-        ingest.write_marks(merged, state_path)
-    if fact_path is not None and n:
-        bars = marts.fact_prices(staging.int_klines_normalized(staging.stg_klines(raw)))
-        merge.merge_into(spark, fact_path, bars, per_symbol=True)
-    return {"keys": n}
+        n = merged.count()
+        if n:
+            ingest.write_marks(merged, state_path)
+        if fact_path is not None and n:
+            bars = marts.fact_prices(staging.int_klines_normalized(staging.stg_klines(raw)))
+            merge.merge_into(spark, fact_path, bars, per_symbol=True)
+        return {"keys": n}
 
 
 def with_stored_bars(raw: DataFrame, raw_root: str) -> DataFrame:

@@ -199,11 +199,26 @@ merge_source as (
 """
 
 
-def _q(body: str, doubles: list[str] | None = None) -> str:
+# The same models over the fact after an incremental merge: what the target held
+# that the source doesn't replace, and the source from the target's newest bar on.
+_HEAD, _REST = CTES.split("fact_prices as (", 1)
+_FACT_BODY, _REST = _REST.split("f_lag as (", 1)
+_MODELS, _MERGE = _REST.split("merge_target as (", 1)
+MERGED_CTES = f"""{_HEAD}all_prices as ({_FACT_BODY}merge_target as ({_MERGE.replace("from fact_prices", "from all_prices").rstrip()},
+fact_prices as (
+    select * from merge_target t where not exists (
+        select 1 from merge_source s where s.symbol = t.symbol and s.bar_interval = t.bar_interval
+        and s.open_time_utc = t.open_time_utc)
+    union all select * from merge_source),
+f_lag as ({_MODELS.rstrip().rstrip(",")}
+"""
+
+
+def _q(body: str, doubles: list[str] | None = None, ctes: str = CTES) -> str:
     if not doubles:
-        return f"{CTES}\n{body}"
+        return f"{ctes}\n{body}"
     rep = ", ".join(f"round({c}, 6) as {c}" for c in doubles)
-    return f"{CTES}\nselect * replace ({rep}) from ({body}) as _t"
+    return f"{ctes}\nselect * replace ({rep}) from ({body}) as _t"
 
 
 _ARRAY_FIELDS = [
@@ -220,27 +235,27 @@ _RAW_COLS = [
 _DIRTY_DOUBLES = RAW_DOUBLES
 
 
-def _validate_rows_sql() -> str:
+def _validate_rows_sql(table: str = "klines_dirty", keys: str = "symbol, bar_interval, open_time_ms") -> str:
     parts = []
     for f in _ARRAY_FIELDS:
         nan = f" or isnan({f})" if f not in ("open_time_ms", "close_time_ms", "number_of_trades") else ""
-        parts.append(f"select symbol, bar_interval, open_time_ms, '{f} is missing or not a number' as reason "
-                     f"from klines_dirty where {f} is null{nan}")
+        parts.append(f"select {keys}, '{f} is missing or not a number' as reason "
+                     f"from {table} where {f} is null{nan}")
     for f in ["open", "high", "low", "close"]:
-        parts.append(f"select symbol, bar_interval, open_time_ms, '{f} must be > 0' as reason "
-                     f"from klines_dirty where {f} <= 0")
+        parts.append(f"select {keys}, '{f} must be > 0' as reason "
+                     f"from {table} where {f} <= 0")
     for f in ["open_time_ms", "volume", "close_time_ms", "quote_asset_volume", "number_of_trades",
               "taker_buy_base_asset_volume", "taker_buy_quote_asset_volume"]:
-        parts.append(f"select symbol, bar_interval, open_time_ms, '{f} must be >= 0' as reason "
-                     f"from klines_dirty where {f} < 0")
+        parts.append(f"select {keys}, '{f} must be >= 0' as reason "
+                     f"from {table} where {f} < 0")
     full = ("open is not null and high is not null and low is not null and close is not null "
             "and open_time_ms is not null and close_time_ms is not null")
-    parts.append("select symbol, bar_interval, open_time_ms, 'high is below open or close' as reason "
-                 f"from klines_dirty where {full} and (high < open or high < close)")
-    parts.append("select symbol, bar_interval, open_time_ms, 'low is above open or close' as reason "
-                 f"from klines_dirty where {full} and (low > open or low > close)")
-    parts.append("select symbol, bar_interval, open_time_ms, 'bar closes before it opens' as reason "
-                 f"from klines_dirty where {full} and close_time_ms <= open_time_ms")
+    parts.append(f"select {keys}, 'high is below open or close' as reason "
+                 f"from {table} where {full} and (high < open or high < close)")
+    parts.append(f"select {keys}, 'low is above open or close' as reason "
+                 f"from {table} where {full} and (low > open or low > close)")
+    parts.append(f"select {keys}, 'bar closes before it opens' as reason "
+                 f"from {table} where {full} and close_time_ms <= open_time_ms")
     return "\nunion all\n".join(parts)
 
 
@@ -355,6 +370,28 @@ where previous_open_time_utc is not null
   and date_sub('hour', previous_open_time_utc, open_time_utc) != 1"""
 
 
+_COVERAGE_BODY = (
+    "select symbol, bar_interval, open_date, count(*) as bars_count, min(open_time_utc) as first_bar_utc, "
+    "max(open_time_utc) as last_bar_utc, "
+    "case when count(*) = 24 then 'complete' else 'incomplete' end as coverage_status "
+    "from fact_prices group by symbol, bar_interval, open_date "
+    "order by open_date desc, symbol, bar_interval"
+)
+
+# Landed bars with damage, as loaded by a backfill to 10 January and an incremental
+# run to the 20th.
+_DAMAGED_CTES = f"""{CTES.rstrip()},
+damaged as (
+    select * replace (
+        case when (open_time_ms // 3600000) % 97 = 0 then low * 0.5 else high end as high,
+        case when (open_time_ms // 3600000) % 83 = 0 then cast(null as double) else close end as close,
+        case when (open_time_ms // 3600000) % 89 = 0 then cast(-1 as double) else volume end as volume),
+        case when open_time_utc < timestamp '2024-01-11 00:00:00' then 'backfill' else 'incremental' end as run
+    from batch1
+    where open_time_utc >= timestamp '2024-01-01 00:00:00' and open_time_utc < timestamp '2024-01-21 00:00:00')
+"""
+
+
 def _summary_sql() -> str:
     parts = [
         f"select '{m}' as model, '{c}' as check_name, '{col}' as column_name, "
@@ -425,6 +462,16 @@ def oracle_sql() -> dict[str, str]:
             "timestamp '2024-02-01 00:00:00' as updated_at from batch1 "
             "group by source, dataset, symbol, \"interval\""
         ),
+        "ingest_rejects": _q(_validate_rows_sql("damaged", "symbol, \"interval\", open_time_ms, run"), ctes=_DAMAGED_CTES),
+        "ingest_accepted": _q(
+            "select symbol, \"interval\", open_time_ms, open, high, low, close, volume, cast(open_time_utc as date) as date "
+            f"from damaged where (symbol, open_time_ms) not in (select (symbol, open_time_ms) from ({_validate_rows_sql('damaged', 'symbol, open_time_ms')}))",
+            ["open", "high", "low", "close", "volume"], _DAMAGED_CTES,
+        ),
+        "incremental_features": _q("select * from fact_price_features", FEATURE_DOUBLES, MERGED_CTES),
+        "incremental_gaps": _q(_GAPS_BODY, ctes=MERGED_CTES),
+        "incremental_coverage": _q(_COVERAGE_BODY, ctes=MERGED_CTES),
+        "gaps_from_day_islands": _q(_GAPS_BODY),
         "stream_two_batches": _q(
             "select symbol, \"interval\", open_time_ms, open, high, low, close, volume, number_of_trades, "
             "cast(open_time_utc as date) as date from batch1",
@@ -474,13 +521,7 @@ def oracle_sql() -> dict[str, str]:
             "full_24h_window_ratio from dashboard_data_status order by symbol, bar_interval",
             ["full_24h_window_ratio"],
         ),
-        "data_coverage_by_day": _q(
-            "select symbol, bar_interval, open_date, count(*) as bars_count, min(open_time_utc) as first_bar_utc, "
-            "max(open_time_utc) as last_bar_utc, "
-            "case when count(*) = 24 then 'complete' else 'incomplete' end as coverage_status "
-            "from fact_prices group by symbol, bar_interval, open_date "
-            "order by open_date desc, symbol, bar_interval"
-        ),
+        "data_coverage_by_day": _q(_COVERAGE_BODY),
         "data_contract_check": _q(
             "select symbol, bar_interval, count(*) as rows_count, min(open_time_utc) as first_open_time_utc, "
             "max(open_time_utc) as latest_open_time_utc, "

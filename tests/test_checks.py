@@ -106,3 +106,11 @@ def test_missing_reference_counts(spark):
     out = checks.missing_reference_counts(child, [("sym", syms, "symbol"), ("day", days, "d")]).first()
     assert (out["r0"], out["r1"]) == (2, 1)  # two 'z' rows; one day 9; NULLs never judged
     assert checks.check_relationships(child, "sym", syms, "symbol").count() == out["r0"]
+
+
+def test_gaps_from_islands_equal_the_window_form(spark, g01):
+    want = sorted(checks.check_no_gaps(g01.prices, block_rows=200).collect())
+    islands = checks.day_islands(g01.prices)
+    assert sorted(checks.check_no_gaps_of(islands, block_rows=50).collect()) == want and len(want) == 198
+    assert islands.agg({"bars": "sum"}).first()[0] == g01.prices.count()
+    assert checks.check_no_gaps_of(checks.day_islands(g01.prices.limit(0))).count() == 0

@@ -160,3 +160,54 @@ def test_null_in_a_required_column_fails_the_raw_load(spark, tmp_root):
     with pytest.raises(Exception, match="required column close is NULL"):
         raw_src.write_raw_table(bad, path)
     assert raw_src.read_raw_table(spark, path).count() == 24
+
+
+def _spoiled(landed):
+    """high -1 on every tenth bar, a missing close on every seventeenth."""
+    n = F.expr("open_time_ms div 3600000")
+    return landed.withColumns({
+        "high": F.when(n % 10 == 0, F.lit(-1.0)).otherwise(F.col("high")),
+        "close": F.when(n % 17 == 0, F.lit(None).cast("double")).otherwise(F.col("close")),
+    })
+
+
+def test_invalid_rows_never_reach_the_raw_zone(spark, tmp_root):
+    from candlewick import session
+    from candlewick.operators.validate import validate_rows
+
+    before = session.list_names(spark, f"{session.ensure_checkpoint_dir(spark)}/staged")
+    root, rejects, state = (os.path.join(tmp_root, n) for n in ("raw", "rejects", "state"))
+    landed = _spoiled(bars(spark, D1, 24 * 4))
+    ok, bad = validate_rows(landed)
+    assert 0 < ok.count() < 96
+    # without a place for rejects, nothing at all is written
+    with pytest.raises(ingest.InvalidRows, match="high must be > 0|close is missing"):
+        ingest.run_backfill(landed, root, D1, D3)
+    with pytest.raises(ingest.InvalidRows):
+        ingest.run_incremental(landed, root, state, D1, D3)
+    assert not os.path.exists(root) and ingest.read_marks(spark, state).count() == 0
+    summary = ingest.run_backfill(landed, root, D1, D2, rejects, "first")
+    again = ingest.run_backfill(landed, root, D1, D2, rejects, "first")  # replaces its own rejects
+    assert sorted(summary.collect()) == sorted(again.collect())
+    result = ingest.run_incremental(landed, root, state, D3, dt.date(2024, 1, 4), rejects_path=rejects, run_id="second")
+    stored = raw_src.scan_raw(spark, root)
+    assert stored.count() == ok.count() and validate_rows(stored)[1].count() == 0
+    assert result.rows_written == stored.filter(F.col("date") >= F.lit(D3)).count()
+    filed = ingest.read_rejects(spark, rejects)
+    assert sorted((r.open_time_ms, r.reason) for r in filed.collect()) == sorted(
+        (r.open_time_ms, r.reason) for r in bad.select("open_time_ms", "reason").collect())
+    assert {r[0] for r in filed.select("run").distinct().collect()} == {"first", "second"}
+    assert ingest.read_rejects(spark, os.path.join(tmp_root, "none")).count() == 0
+    # what results still read goes when they are done with
+    assert summary.count() == 2 and result.outputs.count() == 2
+    session.drop_lasting(spark)
+    assert set(session.list_names(spark, f"{session.ensure_checkpoint_dir(spark)}/staged")) <= set(before)
+
+
+def test_a_day_of_invalid_rows_moves_no_mark(spark, tmp_root):
+    root, rejects, state = (os.path.join(tmp_root, n) for n in ("raw", "rejects", "state"))
+    landed = bars(spark, D1, 48).withColumn("low", F.when(F.col("open_time_ms") >= day_start_ms(D2), F.lit(0.0)).otherwise(F.col("low")))
+    result = ingest.run_incremental(landed, root, state, D1, D2, rejects_path=rejects)
+    assert result.rows_written == 24
+    assert result.marks_after.collect()[0]["last_open_time_ms"] == day_start_ms(D1) + 23 * 3_600_000
+    assert ingest.read_rejects(spark, rejects).count() == 24

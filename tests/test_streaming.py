@@ -89,3 +89,18 @@ def test_two_stream_batches_on_a_uri(spark, tmp_root):
             _landed(spark, part), f"{root}/raw", f"{root}/state", f"stream-{n}", LOADED, fact_path=f"{root}/fact"
         )
     assert merge.read_fact_prices(spark, f"{root}/fact").count() == 240
+
+
+def test_micro_batches_leave_no_staged_folder(spark, tmp_root):
+    from candlewick import session
+
+    folder = f"{session.ensure_checkpoint_dir(spark)}/staged"
+    before = session.list_names(spark, folder)
+    raw = bars(spark, dt.date(2024, 1, 1), 72, batch_id="batch-001")
+    for n in range(3):
+        part = raw.filter(F.dayofmonth("open_time_utc") == n + 1)
+        incremental.process_batch(
+            fixtures.payloads(part), f"{tmp_root}/raw", f"{tmp_root}/marks", f"s-{n}", rejects_path=f"{tmp_root}/rejects",
+            fact_path=f"{tmp_root}/fact",
+        )
+    assert session.list_names(spark, folder) == before
