@@ -18,14 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back:
-    lineage ends there, and every executor can read the files."""
-    path = scratch_path(spark, name)
+    lineage ends there, and every executor can read the files. The innermost
+    ``staged_run`` drops it at its end, a ``lasting`` one the run around that."""
+    path = scratch_path(spark, name, lasting)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores added until ``df`` has no such column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width (sized for the data by the job's config)."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -57,20 +65,20 @@ def number_rows(df: DataFrame, group: list[str], out: str, order: list[str], buc
     ``group`` form a group of their own. ``order`` decides the bucket as well:
     rows equal in all of it share a bucket (number in any order).
     """
-    key = F.struct(*[F.col(g) for g in group], F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int").alias("__salt"))
-    salted = df.withColumn("__k", key)
-    sizes = salted.groupBy("__k").agg(F.count(F.lit(1)).alias("__n"))
-    before = (
-        Window.partitionBy(*[f"__k.{g}" for g in group]).orderBy("__k.__salt")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    k, rn, base = (free_name(df, name) for name in ("__k", "__rn", "__base"))
+    key = F.struct(
+        F.struct(*[F.col(g) for g in group]).alias("group"), F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int").alias("salt")
     )
-    bases = sizes.select("__k", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    within = Window.partitionBy("__k").orderBy(*order)
+    salted = df.withColumn(k, key)
+    sizes = salted.groupBy(k).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(f"{k}.group").orderBy(f"{k}.salt").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select(k, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(base))
+    within = Window.partitionBy(k).orderBy(*order)
     return (
-        salted.withColumn("__rn", F.row_number().over(within) - 1)
-        .join(bases, "__k", "left")
-        .withColumn(out, (F.col("__base") + F.col("__rn")).cast("long"))
-        .drop("__k", "__base", "__rn")
+        salted.withColumn(rn, F.row_number().over(within) - 1)
+        .join(bases, k, "left")
+        .withColumn(out, (F.col(base) + F.col(rn)).cast("long"))
+        .drop(k, base, rn)
     )
 
 

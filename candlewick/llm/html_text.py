@@ -49,11 +49,15 @@ ENDS = {
 }
 #: End tags don't reach beyond these.
 SCOPES = frozenset("table td th caption html body".split())
-#: Deeper elements become siblings of their parent; the text keeps its order.
+#: Elements open at once in the tree. Those below are followed by name and visibility
+#: only: their text goes to the deepest element in the tree, with line breaks for blocks.
 DEEPEST = 150
 #: Columns wider than this aren't padded.
 WIDEST = 60
-_HIDDEN = re.compile(r"(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))", re.I)
+_NONE = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+#: Inputs whose value isn't shown as text.
+VALUELESS = frozenset("hidden password checkbox radio file image range color".split())
 
 
 class Node:
@@ -70,6 +74,7 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        self.deep: list[tuple[str, bool | None]] = []  # open elements below: tag, shown (None: nor is anything inside)
 
     def handle_starttag(self, tag, attrs):
         if tag == "body" or tag == "html":
@@ -84,17 +89,43 @@ class Tree(HTMLParser):
         if tag in ENDS:
             self._end(*ENDS[tag])
         node = Node(tag, {k: v or "" for k, v in attrs})
-        if any(tag in SILENT[n.tag] for n in self.open if n.tag in SILENT):
+        if any(tag in SILENT[n] for n in self._names() if n in SILENT):
             node.attrs["hidden"] = ""
-        self.open[-1].kids.append(node)
-        if tag not in VOID and len(self.open) < DEEPEST:
-            self.open.append(node)
+        if len(self.open) < DEEPEST:
+            self.open[-1].kids.append(node)
+            if tag not in VOID:
+                self.open.append(node)
+            return
+        below = self.deep[-1][1] if self.deep else visibility(self.open[1:])
+        if tag in VOID:
+            if not self._unseen():
+                self.open[-1].kids.append(node)
+            return
+        shown = visibility([node], below) if below is not None and visible(node) else None
+        if shown is not None:
+            self._break(tag)
+        self.deep.append((tag, shown))
+
+    def _names(self):
+        yield from (n.tag for n in self.open)
+        yield from (tag for tag, _ in self.deep)
+
+    def _unseen(self) -> bool:
+        """Whether text at this place, below the tree, is not seen."""
+        return bool(self.deep) and self.deep[-1][1] is not True
+
+    def _break(self, tag: str) -> None:
+        if tag in BLOCKS:
+            self.open[-1].kids.append(Node(tag if tag in SPACED else "div", {}))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         # pictures and formulas have empty elements; HTML hasn't
-        if self.open[-1].tag == tag and not self.open[-1].kids and any(n.tag in SILENT for n in self.open):
-            self.open.pop()
+        if tag not in VOID and any(n in SILENT for n in self._names()):
+            if self.deep:
+                self.deep.pop()
+            elif self.open[-1].tag == tag and not self.open[-1].kids:
+                self.open.pop()
 
     def handle_endtag(self, tag):
         if tag not in ("body", "html"):
@@ -103,34 +134,64 @@ class Tree(HTMLParser):
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
             self._pop_to("head")
-        self.open[-1].kids.append(data)
+        if not self.deep:
+            self.open[-1].kids.append(data)
+        elif not self._unseen():
+            # shown whatever the tree's elements say; inside one without layout it
+            # isn't reached
+            shown = Node("span", {"style": "visibility:visible"})
+            shown.kids.append(data)
+            self.open[-1].kids.append(shown)
+
+    def _cut(self, at: int) -> None:
+        """Close the open element number ``at`` (those below count on) and all inside."""
+        if at < len(self.open):
+            self.deep.clear()
+            del self.open[at:]
+            return
+        ended = self.deep[at - len(self.open) :]
+        del self.deep[at - len(self.open) :]
+        for tag, shown in reversed(ended):
+            if shown is not None:
+                self._break(tag)
 
     def _end(self, tags, stop):
         """Close the outermost open element of ``tags`` inside the nearest of ``stop``."""
-        found = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
+        found, names = None, list(self._names())
+        for i in range(len(names) - 1, 0, -1):
+            if names[i] in tags:
                 found = i
-            elif self.open[i].tag in stop:
+            elif names[i] in stop:
                 break
         if found:
-            del self.open[found:]
+            self._cut(found)
 
     def _pop_to(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
+        names = list(self._names())
+        for i in range(len(names) - 1, 0, -1):
+            if names[i] == tag:
+                self._cut(i)
                 return
-            if self.open[i].tag in SCOPES and tag not in SCOPES and tag not in _ROW | _PART | {"table"}:
+            if names[i] in SCOPES and tag not in SCOPES and tag not in _ROW | _PART | {"table"}:
                 return
 
 
 def visible(node: Node) -> bool:
-    if node.tag in UNSEEN or "hidden" in node.attrs or _HIDDEN.search(node.attrs.get("style", "")):
+    """Whether the element takes part in the layout at all."""
+    if node.tag in UNSEEN or "hidden" in node.attrs or _NONE.search(node.attrs.get("style", "")):
         return False
     return not (node.tag == "dialog" and "open" not in node.attrs)
 
 
+def visibility(path: list[Node], shown: bool = True) -> bool:
+    """Whether text is shown inside these nested elements: the innermost element that
+    says so decides."""
+    for node in path:
+        for word in _VISIBILITY.findall(node.attrs.get("style", ""))[-1:]:
+            shown = word.lower() == "visible"
+    return shown
+
+
 def chosen(select: Node) -> list[Node]:
     """The options that a reader sees: all of a list box, else the last selected
     one, or the first that can be chosen."""
@@ -153,7 +214,8 @@ def chosen(select: Node) -> list[Node]:
 class Layout:
     """Lines of text, with blank lines between spaced blocks."""
 
-    def __init__(self):
+    def __init__(self, shown: bool = True):
+        self.shown = shown
         self.lines: list[str] = []
         self.line: list[str] = []
         self.indent = ""
@@ -161,6 +223,8 @@ class Layout:
         self.blank = False
 
     def text(self, data: str, pre: bool) -> None:
+        if not self.shown:
+            return
         if pre:
             first, *rest = data.split("\n")
             self._add(first)
@@ -205,40 +269,55 @@ class Layout:
                 continue
             if not visible(kid):
                 continue
-            tag = kid.tag
-            if tag == "br":
+            outer, self.shown = self.shown, visibility([kid], self.shown)
+            number = self._element(node, kid, pre, depth, number)
+            self.shown = outer
+
+    def _element(self, node: Node, kid: Node, pre: bool, depth: int, number: int) -> int:
+        tag = kid.tag
+        if tag == "br":
+            self.end_line(keep=True)
+        elif tag == "table":
+            self.block(True)
+            for line in table(kid, self.shown):
+                self.line = [line]
                 self.end_line(keep=True)
-            elif tag == "table":
-                self.block(True)
-                for line in table(kid):
-                    self.line = [line]
-                    self.end_line(keep=True)
-                self.block(True)
-            elif tag == "li":
-                marker = f"{number}. " if node.tag == "ol" else "- "
-                number += 1
-                self._inside(kid, marker, pre, depth)
-            elif tag == "dd" or tag == "blockquote":
-                self._inside(kid, None, pre, depth)
-            elif tag == "select":
-                of = chosen(kid)
-                for option in of:
-                    if len(of) > 1:
-                        self.block(False)
-                    self.walk(option, pre, depth + 1)
+            self.block(True)
+        elif tag == "li":
+            marker = f"{number}. " if node.tag == "ol" else "- "
+            number += 1
+            self._inside(kid, marker, pre, depth)
+        elif tag == "dd" or tag == "blockquote":
+            self._inside(kid, None, pre, depth)
+        elif tag == "details" and "open" not in kid.attrs:
+            summary = next((k for k in kid.kids if isinstance(k, Node) and k.tag == "summary"), None)
+            self.block(False)
+            if summary is not None and visible(summary):
+                self.walk(summary, pre, depth + 1)
+            self.block(False)
+        elif tag == "input":
+            if kid.attrs.get("type", "").lower() not in VALUELESS:
+                self.text(kid.attrs.get("value", ""), False)
+        elif tag == "select":
+            of = chosen(kid)
+            for option in of:
                 if len(of) > 1:
                     self.block(False)
-            elif tag in BLOCKS:
-                spaced = tag in SPACED and not (tag in ("ul", "ol") and node.tag == "li")
-                self.block(spaced)
-                self.walk(kid, pre or tag == "pre", depth + 1)
-                self.block(spaced)
-            else:
-                if tag == "textarea" or tag == "text":  # text of a picture
-                    self.block(False)
-                self.walk(kid, pre or tag == "textarea", depth + 1)
-                if tag == "text":
-                    self.block(False)
+                self.walk(option, pre, depth + 1)
+            if len(of) > 1:
+                self.block(False)
+        elif tag in BLOCKS:
+            spaced = tag in SPACED and not (tag in ("ul", "ol") and node.tag == "li")
+            self.block(spaced)
+            self.walk(kid, pre or tag == "pre", depth + 1)
+            self.block(spaced)
+        else:
+            if tag == "textarea" or tag == "text":  # text of a picture
+                self.block(False)
+            self.walk(kid, pre or tag == "textarea", depth + 1)
+            if tag == "text":
+                self.block(False)
+        return number
 
     def _inside(self, kid: Node, marker: str | None, pre: bool, depth: int) -> None:
         self.block(kid.tag == "blockquote")
@@ -250,66 +329,82 @@ class Layout:
         self.indent, self.marker = indent, None if self.marker == marker else outer
 
 
-def render(node: Node) -> list[str]:
-    out = Layout()
+def render(node: Node, shown: bool = True) -> list[str]:
+    out = Layout(shown)
     out.walk(node)
     out.end_line()
     return out.lines
 
 
-def table(node: Node) -> list[str]:
+def table(node: Node, shown: bool = True) -> list[str]:
     """Lines of a table: a caption, then rows whose cells line up; a cell of
-    several lines takes several. Text outside cells stands before them."""
+    several lines takes several, and a cell of several rows keeps its columns in
+    all of them. Text outside cells stands before them."""
     before, rows = [], []
 
-    def collect(part: Node):
+    def collect(part: Node, shown: bool):
         loose = Node("", {})
         for kid in part.kids:
             if isinstance(kid, str) or kid.tag not in _ROW | _PART | _CELL:
                 loose.kids.append(kid)
-            elif not visible(kid):
                 continue
-            elif kid.tag == "tr" or kid.tag in _CELL:
+            if not visible(kid):
+                continue
+            inside = visibility([kid], shown)
+            if kid.tag == "tr" or kid.tag in _CELL:
                 cells = [kid] if kid.tag in _CELL else [c for c in kid.kids if isinstance(c, Node) and c.tag in _CELL and visible(c)]
                 other = [c for c in kid.kids if isinstance(c, str) or c.tag not in _CELL] if kid.tag == "tr" else []
                 extra = Node("", {})
                 extra.kids = other
-                before.extend(render(extra))
+                before.extend(render(extra, inside))
                 if cells:
-                    rows.append([(render(c), c.attrs.get("colspan", "")) for c in cells])
+                    rows.append([(render(c, visibility([c], inside)), c.attrs) for c in cells])
             elif kid.tag == "caption":
-                before.extend(render(kid))
+                before.extend(render(kid, inside))
             elif kid.tag != "colgroup":
-                collect(kid)
-        before.extend(render(loose))
+                collect(kid, inside)
+        before.extend(render(loose, shown))
 
-    collect(node)
+    collect(node, shown)
     widths: dict[int, int] = {}
     placed = []
+    taken: dict[int, int] = {}  # column -> rows that a cell above still holds it for
     for row in rows:
-        at, cells = 0, []
-        for lines, span in row:
-            n = int(span) if re.fullmatch(r"[1-9]\d{0,2}", span) else 1
-            cells.append((at, n, lines))
-            if n == 1:
+        at, cells, held = 0, [], {}
+        for lines, attrs in row:
+            while taken.get(at):
+                at += 1
+            across, down = _span(attrs, "colspan"), _span(attrs, "rowspan")
+            cells.append((at, across, lines))
+            if across == 1:
                 width = max(map(len, lines), default=0)
                 if width <= WIDEST:
                     widths[at] = max(widths.get(at, 0), width)
-            at += n
+            if down > 1:
+                held |= dict.fromkeys(range(at, at + across), down - 1)
+            at += across
+        taken = {c: n - 1 for c, n in taken.items() if n > 1} | held
         placed.append(cells)
     out = before
+    starts = lambda n: sum(widths.get(c, 0) + 2 for c in range(n))
     for cells in placed:
         for i in range(max(1, max((len(lines) for *_, lines in cells), default=1))):
-            parts = []
-            for at, n, lines in cells:
-                width = sum(widths.get(c, 0) for c in range(at, at + n)) + 2 * (n - 1)
-                parts.append((lines[i] if i < len(lines) else "").ljust(width))
-            line = "  ".join(parts).rstrip()
-            if line:
-                out.append(line)
+            line, end = "", 0
+            for at, across, lines in cells:
+                # from where the cell before should have ended
+                line += " " * (starts(at) - end)
+                end = starts(at + across)
+                line += (lines[i] if i < len(lines) else "").ljust(end - starts(at) - 2) + "  "
+            if line.strip():
+                out.append(line.rstrip())
     return out
 
 
+def _span(attrs: dict, name: str) -> int:
+    value = attrs.get(name, "")
+    return int(value) if re.fullmatch(r"[1-9]\d{0,2}", value) else 1
+
+
 def text_of(html: str | None) -> str:
     tree = Tree()
     tree.feed((html or "").replace("\0", ""))
@@ -322,15 +417,19 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
     name is replaced). Null and empty pages have empty text; rows are rendered
     one by one, so repeated rows, ties and null keys need no care."""
 
+    own = "__html"
+    while own in pages.columns:
+        own += "_"
+
     def look(batches):
         for batch in batches:
-            at = batch.schema.get_field_index("__html")
+            at = batch.schema.get_field_index(own)
             texts = [text_of(h) for h in batch.column(at).to_pylist()]
             arrays = [c for i, c in enumerate(batch.columns) if i != at] + [pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=[n for i, n in enumerate(batch.schema.names) if i != at] + ["text"])
 
-    held = pages.withColumnRenamed(column, "__html")
+    held = pages.withColumnRenamed(column, own)
     rest = held.drop("text")
     if column == "text":
         rest = held
-    return rest.mapInArrow(look, rest.drop("__html").withColumn("text", F.lit("")).schema)
+    return rest.mapInArrow(look, rest.drop(own).withColumn("text", F.lit("")).schema)

@@ -25,7 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import connected_components, number_rows, partitions, segments, slices, stage
+from candlewick.llm.common import connected_components, free_name, number_rows, partitions, segments, slices, stage
+from candlewick.session import staged_run
 
 #: MinHash samples of a set; the first BANDS * ROWS of them are banded, all are
 #: folded into the sketch. A pair at 0.75 shares no band about once in 10^7.
@@ -327,10 +328,11 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     key = F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     firsts = components(spark, docs).filter("first AND n_shingles > 0")
-    firsts = stage(spark, firsts.select(F.struct("doc_id", "text_hash").alias("__key")).distinct(), "kept")
-    rank = F.row_number().over(Window.partitionBy("__key").orderBy("doc_id"))
-    rows = docs.filter(worded).withColumn("__key", key).join(firsts, "__key").withColumn("__rank", rank)
-    return rows.filter("__rank = 1").select(docs.columns).union(docs.filter(~worded).select(docs.columns))
+    same, rank = free_name(docs, "__key"), free_name(docs, "__rank")
+    firsts = stage(spark, firsts.select(F.struct("doc_id", "text_hash").alias(same)).distinct(), "kept")
+    order = F.row_number().over(Window.partitionBy(same).orderBy("doc_id"))
+    rows = docs.filter(worded).withColumn(same, key).join(firsts, same).withColumn(rank, order)
+    return rows.filter(F.col(rank) == 1).select(docs.columns).union(docs.filter(~worded).select(docs.columns))
 
 
 def components(spark: SparkSession, docs: DataFrame, rounds: int = 2) -> DataFrame:
@@ -341,8 +343,14 @@ def components(spark: SparkSession, docs: DataFrame, rounds: int = 2) -> DataFra
     count if there is no other); ``kept`` is ``doc_id = component_id`` (both
     null counts), ``first`` marks exactly one row of each component. Null, empty
     and blank texts are linked with nothing. Repeated rows are copies of each
-    other. Other columns of ``docs`` are left out.
+    other. Other columns of ``docs`` are left out. What is staged on the way is dropped
+    at the end; the result reads a table of its own.
     """
+    with staged_run(spark):
+        return stage(spark, _components(spark, docs, rounds), "near-copies", lasting=True)
+
+
+def _components(spark: SparkSession, docs: DataFrame, rounds: int) -> DataFrame:
     rows = describe(spark, docs)
     full = rows.filter("n > 0")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))

@@ -154,14 +154,22 @@ def best_fit(lengths: dict[int, int], capacity: int) -> Plan:
 
 
 def plan(lengths: dict[int, int], capacity: int, passes: int = 4) -> Plan:
-    """Configurations with their numbers of sequences, covering the histogram."""
+    """Configurations with their numbers of sequences, covering the histogram.
+
+    Each pass solves the program for what is left and takes whole multiples; the rest is
+    placed best-fit decreasing. Of the plans after each pass (and of none, which is
+    best fit alone) the one with the fewest sequences is kept, of equal ones the one
+    that the program went furthest with."""
     left = {s: n for s, n in lengths.items() if n}
-    made: Plan = []
+    alone: Plan = []
     smallest = min(left, default=0)
     for s in [s for s in left if s + smallest > capacity]:
-        made.append(([(s, 1)], left.pop(s)))
+        alone.append(([(s, 1)], left.pop(s)))
+    made: Plan = []
+    best = best_fit(left, capacity)
+    fewest = sum(n for _, n in best)
     for _ in range(passes):
-        if sum(left.values()) < 2_000:
+        if not left:
             break
         sizes = np.array(sorted(left), np.int64)
         counts = np.array([left[int(s)] for s in sizes], np.float64)
@@ -178,7 +186,10 @@ def plan(lengths: dict[int, int], capacity: int, passes: int = 4) -> Plan:
         left = {s: n for s, n in left.items() if n}
         if not taken:
             break
-    return made + best_fit(left, capacity)
+        whole = made + best_fit(left, capacity)
+        if (total := sum(n for _, n in whole)) <= fewest:
+            best, fewest = whole, total
+    return alone + best
 
 
 def pack(spark: SparkSession, items: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:

@@ -41,11 +41,38 @@ def test_text_of_formulas_pictures_maps_and_choices():
     assert ht.text_of(f"<select multiple>{options.format('')}</select>") == "-\nb\nc"
 
 
+def test_what_lies_below_the_tree_keeps_its_visibility():
+    deep = lambda inside, n=200: "<div>" * n + inside + "</div>" * n
+    assert ht.text_of(deep("<script>var leak=1</script><p hidden>secret</p>hi")) == "hi"
+    assert ht.text_of(deep("<section style='display:none'>a<div>b</div></section>c<p>d")) == "c\n\nd"
+    assert ht.text_of(deep("<div style='visibility:hidden'>a<b style='visibility: visible'>seen</b>b</div>c")) == "seen\nc"
+    assert ht.text_of("<div style='visibility:hidden'>" + deep("a<b style='visibility:visible'>x</b>") + "</div>y") == "x\ny"
+    assert ht.text_of("<div hidden>" + deep("a") + "</div>b") == "b"
+    assert ht.text_of(deep("<ul><li hidden>a<li>b</ul><template>t<div>u</div></template>")) == "b"
+    assert ht.text_of(deep("one<div>two</div>three", 5000)) == "one\ntwo\nthree"
+    assert ht.text_of(deep("<svg><defs/><text>seen</text><desc>no</desc></svg>")) == "seen"
+
+
+def test_visibility_inputs_and_details():
+    page = "<div style='visibility:hidden'>a<p style='visibility:visible'>b<i style='visibility:collapse'>c</i></p>d</div>e"
+    assert ht.text_of(page) == "b\n\ne"
+    assert ht.text_of("<table style='visibility:hidden'><tr><td>a<td style='visibility:visible'>b</table>") == "  b"
+    assert ht.text_of("Name <input value=Ann> <input type=hidden value=x><input type=submit value=Go><input type=PASSWORD value=p>") == "Name Ann Go"
+    assert ht.text_of("<details><summary>More</summary><p>inside</details>after") == "More\nafter"
+    assert ht.text_of("<details open><summary>More</summary><p>inside</details>") == "More\n\ninside"
+
+
+def test_cells_of_several_rows_and_columns():
+    assert ht.text_of("<table><tr><td rowspan=2>A<td>b1<tr><td>b2<tr><td>C<td>b3</table>") == "A  b1\n   b2\nC  b3"
+    page = "<table><tr><td>one<td rowspan=3>two<td>three<tr><td>x<td>y<tr><td colspan=1>z<td>w<tr><td colspan=2>wide<td>end</table>"
+    assert ht.text_of(page) == "one  two  three\nx         y\nz         w\nwide      end"
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None), (2, ""), (3, "<p>a"), (3, "<p>a"), (None, "<li>x</ul>y"), (5, deep), (6, "a < b <3 <!-- c --> &nbsp;d"),
             (7, "<table><td>a<td colspan=2>b<tr>text</table>"), (8, "\0<p>z"), (9, "<ol start='x'><li>q")]
-    pages = spark.createDataFrame(rows, "page_id long, html string").selectExpr("*", "1 AS text", "2 AS __x")
+    pages = spark.createDataFrame(rows, "page_id long, html string").selectExpr("*", "1 AS text", "2 AS __x", "3 AS __html")
     got = {(r.page_id, r.text) for r in ht.extract(pages).collect()}
     assert {(1, ""), (2, ""), (3, "a"), (5, "deep"), (8, "z"), (9, "1. q")} <= got
     assert any(k is None and "x" in t and "y" in t for k, t in got)

@@ -102,3 +102,17 @@ def test_odd_sketches_are_precise_where_similarity_is_high():
             s = neardup.odd_sketches(neardup.minhashes([np.unique(a), np.unique(b)]))
             off.append(float(neardup.estimates(s[0], s[1])) - true)
         assert abs(np.mean(off)) < 0.03 and np.std(off) < 0.08
+
+
+def test_only_the_result_stays_staged(spark, odd_docs):
+    from candlewick import session
+
+    folder = f"{session.ensure_checkpoint_dir(spark)}/staged"
+    before = session.list_names(spark, folder)
+    result = neardup.components(spark, odd_docs)
+    left = set(session.list_names(spark, folder)) - set(before)
+    assert len(left) == 1 and result.count() == odd_docs.count()
+    kept = neardup.keep_one(spark, odd_docs.selectExpr("*", "1 AS __key", "2 AS __rank"))
+    assert kept.columns[-2:] == ["__key", "__rank"] and kept.select("__key").distinct().count() == 1
+    session.drop_lasting(spark)
+    assert set(session.list_names(spark, folder)) <= set(before)

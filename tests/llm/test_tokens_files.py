@@ -129,9 +129,28 @@ def test_plan_covers_the_histogram(hist):
     assert used == Counter(hist)
 
 
-def test_plan_is_as_good_as_best_fit():
+def _sequences(plan):
+    return sum(n for _, n in plan)
+
+
+@settings(max_examples=40, deadline=None)
+@given(hist=st.dictionaries(st.integers(1, 60), st.integers(1, 30), max_size=20))
+def test_plan_is_never_worse_than_best_fit(hist):
+    assert _sequences(packing.plan(hist, 60)) <= _sequences(packing.best_fit(hist, 60))
+
+
+def test_the_program_runs_at_every_size(monkeypatch):
+    """A few pieces are enough, and where best fit wastes room, it saves sequences."""
     rng = np.random.default_rng(1)
-    lengths = np.clip(np.exp(rng.normal(5.5, 1, 60_000)).astype(int), 1, 2047)
-    hist = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
-    total = sum(n for _, n in packing.plan(hist, 2048))
-    assert total <= -(-int(lengths.sum()) // 2048) * 1.002 + 1
+    for n in (12, 500, 60_000):
+        lengths = np.clip(np.exp(rng.normal(5.5, 1, n)).astype(int), 1, 2047)
+        hist = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+        seen = []
+        real = packing.configuration_lp
+        with monkeypatch.context() as m:
+            m.setattr(packing, "configuration_lp", lambda *a: seen.append(1) or real(*a))
+            total = _sequences(packing.plan(hist, 2048))
+        assert seen and total <= min(_sequences(packing.best_fit(hist, 2048)), -(-int(lengths.sum()) // 2048) * 1.002 + 1)
+    # 50 sequences could be filled to the last token
+    hist = {44: 30, 30: 30, 26: 30, 51: 20, 27: 20, 22: 20}
+    assert 50 <= _sequences(packing.plan(hist, 100)) <= 51 < _sequences(packing.best_fit(hist, 100))
