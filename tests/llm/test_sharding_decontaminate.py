@@ -109,8 +109,9 @@ def test_hits_equal_brute_force(spark, odd_docs, no_docs):
              (2, "here 123"), (6, "words here long")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = _brute([(r.doc_id, r.text) for r in odd_docs.collect()], items, 4)
-    for max_bytes in (1 << 20, 20):
-        hits = dec.find_hits(spark, odd_docs, bench, 4, max_bytes)
+    # one automaton, several in one pass, several passes
+    for bounds in ({}, {"max_windows": 2}, {"max_windows": 1, "a_pass": 2}):
+        hits = dec.find_hits(spark, odd_docs, bench, 4, **bounds)
         got = Counter((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in dec.report(hits).collect())
         # a null id is an item, but not part of the list of ids
         assert {k[:3] for k in got} == {k[:3] for k in want}
@@ -120,14 +121,38 @@ def test_hits_equal_brute_force(spark, odd_docs, no_docs):
 
 
 def test_offsets_point_into_the_original():
-    found = dec.automaton([(1, "Été OÙ la")], 10)
+    of = lambda text: [dec.Windows([(b" ".join(dec.words(text)), [1])])]
+    found = of("Été OÙ la")
     text = "¡¡ x: été...où -- LA fin"
     n, hits = dec.scan(found, text)
     assert (n, hits) == (6, [])  # only A-Z are lowered, so É and Ù stay apart from é and ù
-    ((_, first, k, a, b),) = dec.scan(dec.automaton([(1, "été où la")], 10), text)[1]
+    ((_, first, k, a, b),) = dec.scan(of("été où la"), text)[1]
     assert (first, k, text[a:b]) == (2, 3, "été...où -- LA")
 
 
+def test_many_windows_stay_small():
+    """100,000 windows of different words, in a process of its own: the automaton takes
+    tens of megabytes, where one of characters took some 400 for 1 MB of text."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, random
+from candlewick.llm.decontaminate import Windows, scan
+ws = [b"%x" % random.getrandbits(24) for _ in range(100_009)]
+lines = [(b" ".join(ws[i : i + 10]), [i]) for i in range(100_000)]
+size = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+before = size()
+found = Windows(lines)
+grown = size() - before
+n, hits = scan([found], b" ".join(ws[500:530]).decode())
+assert n == 30 and len(hits) >= 21, len(hits)
+print(grown)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120)
+    assert float(out.stdout) < 200
+
+
 def test_op8_equals_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
