@@ -4,9 +4,12 @@ window, connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,8 +92,6 @@ def place_runs(df: DataFrame, keys: np.ndarray, place, schema: str, columns: tup
     ``place(run, rank_in_run)`` gives a dict of Arrow-ready columns. The table
     is bounded by the number of classes, so it travels with the task.
     """
-    import pyarrow as pa
-
     cls, rank = columns
     first = keys & ((1 << 40) - 1)
 
@@ -149,6 +150,21 @@ def connected_components(
             return labels.withColumnRenamed("label", "component")
 
 
+#: What empties the tables that an operator keeps in a worker from task to task.
+KEPT_TABLES: list = []
+
+
+def release() -> None:
+    """Drop tables that other operators left in this worker, and give what its earlier
+    tasks freed back to the system: a worker lives through many stages, and its
+    peaks would add up with those of the JVM."""
+    for clear in KEPT_TABLES:
+        clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not with every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches, rows: int = 256):
     """Arrow batches in pieces of at most ``rows`` rows, so that a task holds
     few texts as Python objects at a time."""

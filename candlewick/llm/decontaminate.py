@@ -8,6 +8,7 @@ positions and to character offsets of the original text.
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import slices, stage
+from candlewick.llm.common import release, slices, stage
 from candlewick.session import staged_run
 
 #: Bytes of UTF-8 text -> the same with A-Z lowered and every separator a
@@ -64,6 +65,9 @@ class Windows:
 
         self.symbols: dict[bytes, str] = {}
         self.found = ahocorasick.Automaton() if windows else None
+        #: Runs of known words that are long enough for a window.
+        shortest = min((line.count(b" ") + 1 for line, _ in windows), default=1)
+        self.runs = re.compile(f"[^{self.OTHER}]{{{shortest},}}", re.S)
         for line, ids in windows:
             ws = line.split(b" ")
             for w in ws:
@@ -78,8 +82,10 @@ class Windows:
         """(last word, words, item ids) of every window among the words."""
         if self.found is None:
             return []
-        get = self.symbols.get
-        return [(end, k, ids) for end, (k, ids) in self.found.iter("".join([get(w, self.OTHER) for w in ws]))]
+        line = "".join(map(self.symbols.get, ws, itertools.repeat(self.OTHER)))
+        return [
+            (run.start() + end, k, ids) for run in self.runs.finditer(line) for end, (k, ids) in self.found.iter(run[0])
+        ]
 
 
 def scan(automata: list[Windows], text: str | None) -> tuple[int, list[tuple]]:
@@ -140,6 +146,7 @@ def find_hits(
         held, name = blocks[at : at + a_pass], uuid.uuid4().hex
 
         def look(batches, held=held, name=name):
+            release()
             automata = _automata(name, held)
             for batch in slices(batches):
                 n, hits = [], []

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import connected_components, free_name, number_rows, partitions, segments, slices, stage
+from candlewick.llm.common import connected_components, free_name, number_rows, partitions, release, segments, slices, stage
 from candlewick.session import staged_run
 
 #: MinHash samples of a set; the first BANDS * ROWS of them are banded, all are
@@ -116,6 +116,7 @@ def describe(spark: SparkSession, docs: DataFrame) -> DataFrame:
     the digest of its shingle set and ``row`` a number of its own."""
 
     def look(batches):
+        release()
         for batch in slices(batches):
             ids, texts, hashes = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
             for at in range(0, len(texts), 512):
@@ -237,6 +238,7 @@ def _in_blocks(spark: SparkSession, left: DataFrame, columns: list[str], work, s
         return work(members, np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max()))
 
     def look(batches):
+        release()
         held, key = None, None
         for batch in slices(batches):
             for band, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):

@@ -13,6 +13,8 @@ import os
 
 import numpy as np
 
+from candlewick.llm.common import KEPT_TABLES
+
 #: Signs that may follow a run of letters without joining it (no apostrophe).
 TAIL = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 #: Control signs that str.split() takes as white space and the vocabulary does not.
@@ -117,5 +119,9 @@ class TextEncoder:
 
 @functools.cache
 def encoder(path: str) -> TextEncoder:
-    """One encoder per worker process and vocabulary file."""
+    """One encoder per worker process and vocabulary file, until another operator's
+    task needs the room."""
     return TextEncoder(path)
+
+
+KEPT_TABLES.append(encoder.cache_clear)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import partitions, slices, stage, thinned
+from candlewick.llm.common import partitions, release, slices, stage, thinned
 from candlewick.session import staged_run
 
 GAP, DECAY, LONGEST = 2, 0.5, 24
@@ -343,6 +343,7 @@ class _StoredTexts:
         self.spark = spark
 
         def sketch(batches):
+            release()
             for batch in slices(batches):
                 got = [_sketch(t) for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
@@ -608,7 +609,7 @@ class Evidence:
 class _Scorer:
     """Decision values of words, kept in a bounded table in each worker."""
 
-    def __init__(self, model: Model, max_words: int = 250_000):
+    def __init__(self, model: Model, max_words: int = 100_000):
         self.model, self.max_words, self.seen = model, max_words, {}
 
     def evidence(self, texts: list[str | None]) -> list[Evidence]:
@@ -642,6 +643,7 @@ def rate(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     names = ["score", "predicted"]
 
     def look(batches):
+        release()
         scorer = _Scorer(held.value)
         for batch in slices(batches):
             score = scorer(batch.column("text").to_pylist())
