@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import partitions, slices
+from candlewick.llm.common import connected_components, number_rows, partitions, release, slices, stage
 from candlewick.llm.decontaminate import words
+from candlewick.session import staged_run
 
 #: Common words of four languages (fixed values).
 ANCHORS = (
@@ -31,6 +32,8 @@ ANCHORS = (
 FEW_WORDS, FEW_ANCHORS = 64, 16
 #: Below so many code points, character 4-grams are kept as well.
 FEW_CHARS = 256
+#: Slots of the table that ranks signatures by rarity, and bits of a parity bitmap.
+SLOTS, BITS = 1 << 18, 512
 
 Sections = dict[str, np.ndarray]
 
@@ -202,3 +205,253 @@ def _batch(out: list[list], of: pa.DataType) -> pa.RecordBatch:
     kinds = [of, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+
+
+def length_bounds(percent: int, up_to: int) -> np.ndarray:
+    """First length of each partition, until beyond ``up_to``: the largest
+    partner of any set of a partition is in the next one at most."""
+    bounds = [1]
+    while bounds[-1] <= up_to:
+        bounds.append(bounds[-1] * 100 // percent + 1)
+    return np.array(bounds)
+
+
+def _tagged(section: str, signatures: np.ndarray) -> np.ndarray:
+    """64-bit values of their own for each section's signatures."""
+    x = (signatures.astype(np.uint64) | np.uint64(ord(section) << 32)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def rarity(reps: DataFrame) -> np.ndarray:
+    """How many signatures of all fingerprints fall in each of SLOTS slots: a
+    table of one size, counted in the tasks and added up."""
+
+    def look(batches):
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in slices(batches):
+            for print_ in batch.column(0).to_pylist():
+                for k, v in decode(print_).items():
+                    np.add.at(counts, (_tagged(k, v) % np.uint64(SLOTS)).astype(np.int64), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at])], names=["slot", "n"])
+
+    out = np.zeros(SLOTS, np.int64)
+    total = reps.select("fingerprint").mapInArrow(look, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    for slot, n in total.toPandas().itertuples(index=False):
+        out[slot] = n
+    return out
+
+
+def prefix_keys(section: str, signatures: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The buckets of a set: its rarest signatures, as many as two alike sets
+    need to share one, in its own length partition and, if it may have shorter
+    partners there, in the one before."""
+    n = len(signatures)
+    tagged = _tagged(section, signatures)
+    order = np.lexsort((tagged, counts[(tagged % np.uint64(SLOTS)).astype(np.int64)]))
+    shortest = -(-n * percent // 100)
+    first = tagged[order[: n - shortest + 1]]
+    bounds = length_bounds(percent, n)
+    own, low = np.searchsorted(bounds, [n, shortest], side="right")
+    return np.concatenate([first ^ (np.uint64(p) * np.uint64(0xA24BAED4963EE407)) for p in range(low, own + 1)]).view(np.int64)
+
+
+def parity(section: str, signatures: np.ndarray) -> bytes:
+    bit = (_tagged(section, signatures) >> np.uint64(40)) % np.uint64(BITS)
+    return np.packbits((np.bincount(bit.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
+
+
+def _entries(reps: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """``reps(node, fingerprint)`` -> ``(bucket, node, n, bits)``."""
+
+    def look(batches):
+        release()
+        for batch in slices(batches):
+            keys, nodes, sizes, bits = [], [], [], []
+            for node, print_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for k, v in decode(print_).items():
+                    if len(v):
+                        keys.append(prefix_keys(k, v, counts, percent))
+                        m = len(keys[-1])
+                        nodes.append(np.full(m, node, np.int64))
+                        sizes.append(np.full(m, len(v), np.int64))
+                        bits += [parity(k, v)] * m
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(np.concatenate(c)) for c in (keys, nodes, sizes)), pa.array(bits, pa.binary())],
+                    names=["bucket", "node", "n", "bits"],
+                )
+
+    return reps.select("node", "fingerprint").mapInArrow(look, "bucket long, node long, n long, bits binary")
+
+
+def _alike(x: str, y: str, percent: int) -> bool:
+    return round(likeness(decode(x), decode(y), (percent - 0.5) / 100) * 100, 9) >= percent
+
+
+def _confirmed(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    of = lambda s: reps.select(F.col("node").alias(s), F.col("fingerprint").alias(f"f_{s}"))
+
+    def look(batches):
+        for batch in slices(batches):
+            ok = [_alike(x, y, percent) for x, y in zip(batch.column("f_a").to_pylist(), batch.column("f_b").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    rows = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "f_a", "f_b")
+    return rows.mapInArrow(look, "a long, b long")
+
+
+def _in_blocks(spark: SparkSession, rows: DataFrame, work, schema: str, block: int) -> DataFrame:
+    """Give ``work(members, one, two)`` any two blocks of a bucket's rows: the
+    columns by name, and the rows of either block. A bucket of any size is cut
+    into blocks of ``block`` rows; a task holds two."""
+    columns = rows.columns
+    numbered = stage(spark, number_rows(rows, ["bucket"], "__at", ["node", "n"], partitions(spark)), "spot-members")
+    last = numbered.groupBy("bucket").agg((F.floor(F.max("__at") / block)).cast("int").alias("__last"))
+    spread = numbered.withColumn("__mine", F.floor(F.col("__at") / block).cast("int")).join(last, "bucket").withColumn(
+        "__other", F.explode(F.sequence(F.lit(0), F.col("__last")))
+    ).select(F.least("__mine", "__other").alias("__i"), F.greatest("__mine", "__other").alias("__j"), "__mine", *columns)
+    at = columns.index("bucket") + 3
+
+    def done(held):
+        members = dict(zip(["mine", *columns], held))
+        side = np.array(members["mine"])
+        for name in ("node", "label", "n"):
+            members[name] = np.array(members[name], np.int64)
+        members["bits"] = np.frombuffer(b"".join(members["bits"]), np.uint64).reshape(-1, BITS // 64)
+        return work(members, np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max()))
+
+    def look(batches):
+        release()
+        held, key = None, None
+        for batch in slices(batches):
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (row[at], *row[:2]) != key:
+                    if held and (got := done(held)):
+                        yield got
+                    key, held = (row[at], *row[:2]), [[] for _ in row[2:]]
+                for column, v in zip(held, row[2:]):
+                    column.append(v)
+        if held and (got := done(held)):
+            yield got
+
+    return (
+        spread.repartition(partitions(spark), "bucket", "__i", "__j").sortWithinPartitions("bucket", "__i", "__j")
+        .mapInArrow(look, schema)
+    )
+
+
+def similar(spark: SparkSession, prints: DataFrame, percent: int = 75, rounds: int = 2, block: int = 512) -> DataFrame:
+    """``prints(doc_id, fingerprint)`` -> ``(doc_id, class_id, component_id)``,
+    one row per row.
+
+    Fingerprints are linked if ``likeness`` is at least ``percent`` / 100.
+    ``class_id`` is the smallest doc_id with an equal fingerprint (of texts
+    without any signature, empty ones too, these are equal), ``component_id``
+    the smallest reachable over links; null ids count only if there is no other.
+    Null fingerprints are linked with nothing: both ids are their own. Repeated
+    rows are of one class, other columns are left out, an empty table gives
+    none. No link is lost: the buckets are exact, whatever their size.
+
+    Copies are one class before any comparison. Then each class is compared with
+    the first of its buckets' members that it shares most buckets with, ``rounds``
+    times; what is in one component needs no more comparison, the rest of
+    each bucket is compared in blocks.
+    """
+    with staged_run(spark):
+        return stage(spark, _similar(spark, prints, percent, rounds, block), "spot-similar", lasting=True)
+
+
+def _similar(spark: SparkSession, prints: DataFrame, percent: int, rounds: int, block: int) -> DataFrame:
+    key = F.md5(F.col("fingerprint").cast("binary"))
+    rows = stage(spark, prints.select("doc_id", "fingerprint", key.alias("key")).withColumn("row", F.monotonically_increasing_id()), "spot-prints")
+    full = rows.filter("fingerprint IS NOT NULL")
+    low = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))
+    classes = stage(spark, full.groupBy("key").agg(F.min("row").alias("node"), low.alias("low")), "spot-classes")
+    reps = stage(
+        spark,
+        full.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "fingerprint"),
+        "spot-reps",
+    )
+    entries = stage(spark, _entries(reps, rarity(reps), percent), "spot-entries")
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
+    live = stage(spark, entries.join(shared, "bucket"), "spot-buckets")
+    links, labels = None, None
+
+    def labelled() -> DataFrame:
+        now = live.withColumn("label", F.col("node"))
+        if labels is not None:
+            now = live.join(labels.select(F.col("id").alias("node"), "component"), "node", "left").select(
+                *live.columns, F.coalesce("component", "node").alias("label")
+            )
+        now = stage(spark, now, "spot-labelled")
+        apart = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+        return stage(spark, now.join(apart.select("bucket"), "bucket"), "spot-open")
+
+    now = labelled()
+    for k in range(rounds):
+        order = F.col("node") if k == 0 else F.xxhash64("node", F.lit(k))
+        hubs = now.groupBy("bucket").agg(F.min_by(F.struct("node", "label"), F.struct(order, "node")).alias("hub"))
+        met = now.join(hubs, "bucket").filter("label <> hub.label").groupBy("node", F.col("hub.node").alias("hub")).agg(
+            F.count(F.lit(1)).alias("c")
+        )
+        best = met.groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
+        pairs = stage(spark, best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "spot-pairs")
+        new = _confirmed(pairs, reps, percent)
+        links = stage(spark, new if links is None else links.union(new), "spot-links")
+        # equal labels are connected; whole components come at the end
+        labels = connected_components(spark, links, "spot-components", rounds=3)
+        now = labelled()
+
+    def partners(m: dict, i: int, two: np.ndarray) -> np.ndarray:
+        label, n, bits = m["label"], m["n"], m["bits"]
+        ok = two[label[two] != label[i]]
+        ok = ok[np.minimum(n[ok], n[i]) * 100 >= np.maximum(n[ok], n[i]) * percent]
+        differ = np.bitwise_count(bits[ok] ^ bits[i]).sum(-1, dtype=np.int64)
+        return ok[differ * (100 + percent) <= (n[ok] + n[i]) * (100 - percent)]
+
+    def involved(m: dict, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch | None:
+        found = np.zeros(len(m["node"]), bool)
+        for i in one:
+            ok = partners(m, i, two)
+            found[ok] = True
+            found[i] |= len(ok) > 0
+        if found.any():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.array(m["bucket"])[found], pa.int64()), pa.array(m["node"][found])], names=["bucket", "node"]
+            )
+
+    def linked(m: dict, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch | None:
+        up: dict = {}
+
+        def top(x):
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        a, b = [], []
+        for i in one:
+            for j in partners(m, i, two):
+                x, y = top(m["label"][i]), top(m["label"][j])
+                if x != y and _alike(m["fingerprint"][i], m["fingerprint"][j], percent):
+                    up[x] = y
+                    a.append(m["node"][i])
+                    b.append(m["node"][j])
+        if a:
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    near = stage(spark, _in_blocks(spark, now, involved, "bucket long, node long", block).distinct(), "spot-involved")
+    held = now.join(near, ["bucket", "node"], "left_semi").join(reps, "node")
+    new = _in_blocks(spark, held, linked, "a long, b long", block)
+    labels = connected_components(spark, new if links is None else links.union(new), "spot-components")
+    member = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select(
+        "key", "low", F.coalesce("component", "node").alias("component")
+    )
+    lows = member.groupBy("component").agg(F.min("low").alias("lowest"))
+    found = member.join(lows, "component").select(
+        "key", F.col("low.doc_id").alias("class_id"), F.col("lowest.doc_id").alias("component_id")
+    )
+    return full.select("doc_id", "key").join(found, "key").select("doc_id", "class_id", "component_id").union(
+        rows.filter("fingerprint IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
+    )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from statistics import mean
 
 from candlewick.llm import spotsigs as sp
@@ -58,3 +59,86 @@ def test_pruning_by_size_never_hides_a_similar_pair():
         full = len(set(a) & set(b)) / len(set(a) | set(b))
         assert sp.jaccard(a, b) == full
         assert sp.jaccard(a, b, 0.5) in (full, 0.0) and (full < 0.5 or sp.jaccard(a, b, 0.5) == full)
+
+
+def _by_brute_force(prints, percent):
+    """Smallest reachable id of each row, all pairs compared in full."""
+    of = [sp.decode(p) for _, p in prints]
+    up = list(range(len(prints)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if prints[i][1] == prints[j][1] or sp.likeness(of[i], of[j]) * 100 >= percent - 1e-9:
+                up[top(i)] = top(j)
+    low = {}
+    for i, (key, _) in enumerate(prints):
+        low[top(i)] = min(key, low.get(top(i), key))
+    return {key: low[top(i)] for i, (key, _) in enumerate(prints)}
+
+
+def _variants():
+    """Texts of many lengths with near copies at all distances, and one big group."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)] + ["the", "of", "and", "to", "in"] * 40
+    texts = ["", "", "x", "the the the", "short words here", "short words herf"]
+    for n in (3, 10, 30, 70, 100, 180, 400):
+        for _ in range(4):
+            base = [rng.choice(vocabulary) for _ in range(n)]
+            for share in (0, 0, 0.02, 0.05, 0.1, 0.2, 0.4):
+                texts.append(" ".join(rng.choice(vocabulary) if rng.random() < share else w for w in base))
+            texts.append(" ".join(base + base[: n // 5]) + " " + " ".join(rng.choice(vocabulary) for _ in range(n // 6)))
+    base = [rng.choice(vocabulary) for _ in range(120)]
+    for i in range(60):
+        texts.append(" ".join([*base[:i], f"u{i}", *base[i + 1 :]]))
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+def test_similar_loses_no_link(spark):
+    docs = spark.createDataFrame(_variants(), "doc_id long, text string")
+    prints = [(r.doc_id, r.fingerprint) for r in sp.fingerprints(spark, docs).collect()]
+    frame = spark.createDataFrame(prints, "doc_id long, fingerprint string")
+    first = {}
+    for key, p in sorted(prints):
+        first.setdefault(p, key)
+    for percent, rounds, block in ((75, 2, 512), (75, 0, 7), (60, 1, 16)):
+        rows = {r.doc_id: r for r in sp.similar(spark, frame, percent, rounds, block).collect()}
+        assert {k: r.component_id for k, r in rows.items()} == _by_brute_force(prints, percent), (percent, rounds, block)
+        assert all(rows[k].class_id == first[p] for k, p in prints)
+    assert len({r.component_id for r in rows.values()}) < len({r.class_id for r in rows.values()})
+
+
+def test_similar_on_odd_rows(spark, odd_docs, no_docs):
+    out = sp.similar(spark, sp.fingerprints(spark, odd_docs)).collect()
+    assert len(out) == odd_docs.count()
+    assert {r.component_id for r in out if r.doc_id == 7} == {7}
+    assert {r.class_id for r in out if r.doc_id in (3, 5)} == {3}  # empty texts are equal
+    assert sp.similar(spark, sp.fingerprints(spark, no_docs)).count() == 0
+    nulls = spark.createDataFrame([(1, None), (2, None)], "doc_id long, fingerprint string").withColumn("key", sp.F.lit(1))
+    assert {tuple(r) for r in sp.similar(spark, nulls).collect()} == {(1, 1, 1), (2, 2, 2)}
+
+
+def test_partners_are_in_the_next_length_partition_at_most():
+    import numpy as np
+
+    for percent in (50, 75, 90):
+        bounds = sp.length_bounds(percent, 5000)
+        for n in range(1, 2000):
+            largest = n * 100 // percent
+            own, far = np.searchsorted(bounds, [n, largest], side="right")
+            assert far - own <= 1
+
+
+def test_parity_bits_never_exceed_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 500, rng.integers(1, 300))).astype(np.uint32)
+        b = np.unique(rng.integers(0, 500, rng.integers(1, 300))).astype(np.uint32)
+        x, y = (np.frombuffer(sp.parity("s", v), np.uint64) for v in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
