@@ -263,27 +263,42 @@ def parity(section: str, signatures: np.ndarray) -> bytes:
 
 
 def _entries(reps: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """``reps(node, fingerprint)`` -> ``(bucket, node, n, bits)``."""
+    """``reps(node, fingerprint)`` -> ``(bucket, node, section)``."""
 
     def look(batches):
         release()
         for batch in slices(batches):
-            keys, nodes, sizes, bits = [], [], [], []
+            keys, nodes, kinds = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
             for node, print_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for k, v in decode(print_).items():
                     if len(v):
                         keys.append(prefix_keys(k, v, counts, percent))
-                        m = len(keys[-1])
-                        nodes.append(np.full(m, node, np.int64))
-                        sizes.append(np.full(m, len(v), np.int64))
-                        bits += [parity(k, v)] * m
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(np.concatenate(c)) for c in (keys, nodes, sizes)), pa.array(bits, pa.binary())],
-                    names=["bucket", "node", "n", "bits"],
-                )
+                        nodes.append(np.full(len(keys[-1]), node, np.int64))
+                        kinds += [k] * len(keys[-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes)), pa.array(kinds, pa.string())],
+                names=["bucket", "node", "section"],
+            )
+
+    return reps.select("node", "fingerprint").mapInArrow(look, "bucket long, node long, section string")
+
+
+def _bitmaps(reps: DataFrame) -> DataFrame:
+    """``reps(node, fingerprint)`` -> ``(node, section, n, bits)``."""
+
+    def look(batches):
+        for batch in slices(batches):
+            rows = [
+                (node, k, len(v), parity(k, v))
+                for node, print_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for k, v in decode(print_).items()
+            ]
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names=["node", "section", "n", "bits"]
+            )
 
-    return reps.select("node", "fingerprint").mapInArrow(look, "bucket long, node long, n long, bits binary")
+    return reps.select("node", "fingerprint").mapInArrow(look, "node long, section string, n long, bits binary")
 
 
 def _alike(x: str, y: str, percent: int) -> bool:
@@ -307,7 +322,7 @@ def _in_blocks(spark: SparkSession, rows: DataFrame, work, schema: str, block: i
     columns by name, and the rows of either block. A bucket of any size is cut
     into blocks of ``block`` rows; a task holds two."""
     columns = rows.columns
-    numbered = stage(spark, number_rows(rows, ["bucket"], "__at", ["node", "n"], partitions(spark)), "spot-members")
+    numbered = stage(spark, number_rows(rows, ["bucket"], "__at", ["node", "section"], partitions(spark)), "spot-members")
     last = numbered.groupBy("bucket").agg((F.floor(F.max("__at") / block)).cast("int").alias("__last"))
     spread = numbered.withColumn("__mine", F.floor(F.col("__at") / block).cast("int")).join(last, "bucket").withColumn(
         "__other", F.explode(F.sequence(F.lit(0), F.col("__last")))
@@ -441,6 +456,7 @@ def _similar(spark: SparkSession, prints: DataFrame, percent: int, rounds: int,
         if a:
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
+    now = stage(spark, now.join(_bitmaps(reps), ["node", "section"]), "spot-open")
     near = stage(spark, _in_blocks(spark, now, involved, "bucket long, node long", block).distinct(), "spot-involved")
     held = now.join(near, ["bucket", "node"], "left_semi").join(reps, "node")
     new = _in_blocks(spark, held, linked, "a long, b long", block)
