@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from candlewick.llm import langid, lm, toxicity
 from candlewick.llm.queries import op3, op6, op9
@@ -62,18 +63,62 @@ def test_the_model_is_normalised_and_learns():
     assert np.allclose(np.exp(lm.fit(np.empty(0, np.int64), np.empty(0))).sum(1), 1)
 
 
-def test_words_probabilities_sum_to_one(spark):
-    texts = ["the cat sat", "the dog sat", "the cat ran off", "a dog"]
-    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
-    types = sorted({w for t in texts for w in t.split()}) + ["zebra"]
-    probe = spark.createDataFrame([(100 + i, f"the {w}", True) for i, w in enumerate(types)] + [(99, "the", True)],
-                                  docs.schema)
-    rows = {r.doc_id: r for r in lm.score(spark, docs.union(probe)).collect()}
-    # P(the w) without the end's share: score minus P(end | the, w) is not seen
-    # from outside, so compare through the table: each word once after "the"
-    assert all(r.score < 0 and r.base_score < 0 for r in rows.values())
-    assert rows[100 + types.index("zebra")].n_known == 2
-    assert len(rows) == len(texts) + len(types) + 1
+def _naive_model(training):
+    """P(word | two words before) by plain loops over the training texts."""
+    counts = Counter(w for t in training for w in [*_words(t), b""])
+    signed = {w: h - (1 << 64) if h >> 63 else h for w in counts for h in [xxhash.xxh3_64_intdigest(w)]}
+    top = sorted((w for w in counts if w), key=lambda w: (-counts[w], signed[w]))[: lm.TOP]
+    # single words are numbered by their place among the most frequent
+    ranks = {w: i + 1 for i, w in enumerate(top)}
+
+    def kind(w):
+        if not w:
+            return 0
+        if w in ranks:
+            return ranks[w]
+        return 1 + lm.TOP + (w[-1] * 53 + (w[-2] if len(w) > 1 else 0) * 11) % lm.SUFFIXES
+
+    cells = Counter()
+    for t in training:
+        before = (0, 0)
+        for k in map(kind, [*_words(t), b""]):
+            cells[(before[0] * lm.CLASSES + before[1]) * lm.CLASSES + k] += 1
+            before = (before[1], k)
+    at = sorted(cells)
+    table = np.exp(lm.fit(np.array(at), np.array([cells[c] for c in at], float)))
+    shares = Counter()
+    for w, c in counts.items():
+        shares[kind(w)] += c
+    n, once = sum(counts.values()), sum(c == 1 for c in counts.values())
+    unseen = min(max(once / n, 1 / (n + 1)), 0.5)
+
+    def p(w, before):
+        if w not in counts:
+            return unseen
+        own = counts[w] / shares[kind(w)] if kind(w) > lm.TOP else 1.0
+        return (1 - unseen) * table[before[0] * lm.CLASSES + before[1], kind(w)] * own
+
+    return counts, kind, shares, unseen, table, p
+
+
+def test_op3_score_against_plain_loops(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
+    counts, kind, shares, unseen, table, p = _naive_model([t for d, t in docs if crc_mod(d, 5) != 1])
+    rows = {r.doc_id: r for r in op3(spark, SF001).collect()}
+    for d, t in docs:
+        before, total = (0, 0), 0.0
+        for w in [*_words(t), b""]:
+            total += math.log10(p(w, before))
+            before = (before[1], kind(w))
+        assert abs(rows[d].score - total) < 1e-4 * max(1, abs(total)), d
+    # after any words, all known words, the end and what is unseen share one,
+    # but for what the smoothing leaves to classes without a word
+    empty = [k for k in range(lm.CLASSES) if not shares[k]]
+    rng = np.random.default_rng(3)
+    for before in rng.integers(0, lm.CLASSES, (20, 2)):
+        spare = (1 - unseen) * table[before[0] * lm.CLASSES + before[1], empty].sum()
+        assert abs(sum(p(w, before) for w in counts) + unseen + spare - 1) < 1e-9
+        assert spare < 0.02
 
 
 def test_op3_odd_rows(spark, odd_docs, no_docs):
