@@ -216,7 +216,9 @@ def fit(spark: SparkSession, docs: DataFrame, per_language: int = 300, max_bytes
 
 def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` plus ``lang_pred``, ``score``, ``accepted``
-    (columns of those names are replaced); only ``text`` is looked at."""
+    (columns of those names are replaced); only ``text`` is looked at. Null and
+    empty texts and those without a letter are ``und``, 0.0, not accepted.
+    Rows stay one by one, an empty table gives none."""
     held = spark.sparkContext.broadcast(model)
 
     def look(batches):

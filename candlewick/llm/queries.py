@@ -22,25 +22,31 @@ def tokenizer() -> str:
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all whole texts, an end id each, written as Re-Pair blocks by ascending doc_id and
+    read back. Null texts count as empty: the end id alone."""
     path = scratch_path(spark, "token-file")
     repair.write(spark, table(spark, sf_dir, "documents"), path, tokenizer(), end_id=1)
     return repair.read(spark, path, {"ids_crc32": F.crc32("ids")})
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' pieces in sequences of 2048 tokens. Null and empty texts are the end id alone."""
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"), tokenizer(), capacity=2048, end_id=0)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts, learnt from rows that aren't held out. Null and empty texts are one end."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", crc_mod(F.col("doc_id"), 5) == 1)
     return lm.score(spark, docs, "held_out")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page. Null and empty pages give an empty text."""
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 8 shards of near equal bytes; equal texts stay together, null texts have size 1."""
     return sharding.shard(spark, table(spark, sf_dir, "documents"), shards=8).withColumns(
         {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
     )
@@ -51,16 +57,19 @@ def language_model(spark: SparkSession, docs: DataFrame) -> langid.Model:
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text; null texts and those without a letter are ``und`` with score 0."""
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", "text", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"))
     return langid.identify(spark, rows, language_model(spark, docs)).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document; null, empty and blank texts are alone."""
     return neardup.components(spark, table(spark, sf_dir, "documents")).drop("first", "text_hash")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document; null texts have no words and no hits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.find_hits(spark, docs, table(spark, sf_dir, "benchmark"), window=10))
 
@@ -70,6 +79,7 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> t
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; null and empty ones get the score of no evidence."""
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", "text", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"))
     model = toxicity_model(spark, docs, table(spark, sf_dir, "labels"))
@@ -77,10 +87,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprints of every text and of its edited text; null texts count as empty."""
     return spotsigs.fingerprints(spark, table(spark, sf_dir, "documents"))
 
 
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept of every document; null and empty texts are one empty line, which stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     index = lines.LineIndex(spark, scratch_path(spark, "line-index"), least=3, min_chars=20)
     index.insert(docs)
@@ -88,6 +100,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector; null vectors and those with null or non-finite entries go."""
     return whitening.report(spark, table(spark, sf_dir, "embeddings"), components=8)
 
 

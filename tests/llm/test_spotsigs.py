@@ -30,6 +30,34 @@ def test_op10_over_the_table(spark):
     assert mean(r.near_next for r in rows.values()) < 0.1
 
 
+def _plain_likeness(x, y):
+    """Of two fingerprints as strings: by sets of their 8-digit signatures."""
+    a, b = ({p[0]: {p[i : i + 8] for i in range(1, len(p), 8)} for p in f.split(";")} for f in (x, y))
+    for k in "cas":
+        if k in a and k in b and (a[k] or b[k]):
+            return len(a[k] & b[k]) / len(a[k] | b[k])
+    return float(x == y)
+
+
+def test_op10_likeness_against_sets_of_digits(spark):
+    rows = sorted(op10(spark, SF001).collect(), key=lambda r: r.doc_id)
+    for r, after in zip(rows, rows[1:] + rows[:1]):
+        assert abs(r.near_edited - _plain_likeness(r.fingerprint, r.edited_fingerprint)) < 1e-12
+        assert abs(r.near_next - _plain_likeness(r.fingerprint, after.fingerprint)) < 1e-12
+
+
+def test_signatures_against_plain_words():
+    """A chain is an anchor and the next two words that are none."""
+    anchors, text = sp.Anchors(), " ".join(f"the w{i} of x{i % 7} y{i % 5} and" for i in range(40))
+    ws = text.split()
+    chains = set()
+    for i, w in enumerate(ws):
+        rest = [v for v in ws[i + 1 :] if v not in sp.ANCHORS][:2]
+        if w in sp.ANCHORS and len(rest) == 2:
+            chains.add((w, *rest))
+    assert len(sp.sections(text, anchors)["s"]) == len(chains)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = sp.fingerprints(spark, odd_docs).collect()
     assert len(rows) == odd_docs.count()
