@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -118,12 +119,19 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def _tree(key: Column, bounds: list, low: int) -> Column:
-    """The number of bounds at or below the key, plus ``low``, by halving."""
-    if not bounds:
+def _tree(cuts: list[tuple], low: int) -> Column:
+    """The number of cuts ``(doc_id, h)`` at or below a row, plus ``low``, by halving."""
+    if not cuts:
         return F.lit(low)
-    m = len(bounds) // 2
-    return F.when(key >= bounds[m], _tree(key, bounds[m + 1 :], low + m + 1)).otherwise(_tree(key, bounds[:m], low))
+    m = len(cuts) // 2
+    key, h = cuts[m]
+    above = F.col("h") >= h if key is None else (F.col("doc_id") > key) | ((F.col("doc_id") == key) & (F.col("h") >= h))
+    return F.when(above, _tree(cuts[m + 1 :], low + m + 1)).otherwise(_tree(cuts[:m], low))
+
+
+def _cuts(key, ranges: int) -> list[tuple]:
+    """Cuts inside the rows of one id, by the text's hash."""
+    return [(key, -(1 << 63) + (1 << 64) * j // ranges) for j in range(ranges)]
 
 
 def with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -131,15 +139,18 @@ def with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     partition a range: ``(bucket, halo, doc_id, text)``. The first row of the
     next range (of the first range, after the last) ends each range as a halo
     row, so every row's successor is in its own partition. Null ids come first;
-    rows of one id follow the text's hash; repeated rows come in any order.
+    rows of one id follow the text's hash, and an id (or null) with the rows of
+    several ranges is cut by it; repeated rows come in any order.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     width = partitions(spark)
-    cuts = rows.agg(
-        F.percentile_approx("doc_id", [i / width for i in range(1, width)] or [0.5], 100 * width).alias("cuts")
-    ).first()["cuts"]
-    bucket = F.coalesce(_tree(F.col("doc_id"), sorted(set(cuts or [])), 0), F.lit(0))
-    rows = rows.withColumn("bucket", bucket)
+    found = rows.agg(
+        F.percentile_approx("doc_id", [i / width for i in range(1, width)] or [0.5], 100 * width).alias("cuts"),
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("doc_id").isNull()).alias("none"),
+    ).first()
+    none = _cuts(None, max(1, found["none"] * width // max(1, found["n"])))[1:]
+    cuts = [c for key, n in sorted(Counter(found["cuts"] or []).items()) for c in _cuts(key, n)]
+    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), _tree(none, 0)).otherwise(_tree(cuts, len(none))))
     # one row a range
     firsts = sorted(
         (r["bucket"], r["f"]) for r in rows.groupBy("bucket").agg(F.min(F.struct("doc_id", "h")).alias("f")).collect()
@@ -153,7 +164,7 @@ def with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
         rows.join(F.broadcast(heads), "bucket")
         .withColumn("to", F.explode(F.when(is_first, F.array(own, copy)).otherwise(F.array(own))))
         .select("to.bucket", "to.halo", "doc_id", "text", "h")
-        .repartitionById(max(1, len(cuts or []) + 1), "bucket")
+        .repartitionById(len(none) + len(cuts) + 1, "bucket")
         .sortWithinPartitions("bucket", "halo", "doc_id", "h").select("bucket", "halo", "doc_id", "text")
     )
 

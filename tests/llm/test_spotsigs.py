@@ -68,6 +68,22 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert one.near_next == 1.0
 
 
+def test_a_hot_id_is_cut_by_hash_and_keeps_its_order(spark):
+    keys = [None] * 300 + [5] * 300 + list(range(100, 400))
+    docs = spark.createDataFrame([(k, f"the text {i} of number {i * 7}") for i, k in enumerate(keys)], "doc_id long, text string")
+    rows = sp.with_next(spark, docs).withColumn("part", sp.F.spark_partition_id()).collect()
+    for key in (None, 5):
+        assert len({r.part for r in rows if r.doc_id == key and not r.halo}) > 1
+    order = docs.orderBy(sp.F.col("doc_id").asc_nulls_first(), sp.F.xxhash64("text")).collect()
+    after = {a.text: b.text for a, b in zip(order, order[1:] + order[:1])}
+    seen = 0
+    for one, two in zip(rows, rows[1:]):
+        if not one.halo:
+            assert (one.bucket, two.text) == (two.bucket, after[one.text])
+            seen += 1
+    assert seen == len(keys)
+
+
 def test_chains_skip_anchors_and_strings_round_trip():
     anchors = sp.Anchors()
     a = sp.sections("the cat of the house " * 20 + "sat", anchors)["s"]
