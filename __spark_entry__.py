@@ -148,12 +148,15 @@ def _merged_into_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _incremental_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs, to 10 and to 20 January, over a raw zone that already holds a
-    later day; marks as read back after the second."""
+    later day; marks as read back after the second. Bars that break a row rule (a
+    price of 0) are filed as rejects of their run and move no mark."""
     rows = ingest.with_date(_enriched(_g(spark, sf_dir)))
-    root, state = scratch_path(spark, "raw-zone"), scratch_path(spark, "marks")
+    root, state, rejects = (scratch_path(spark, n) for n in ("raw-zone", "marks", "rejects"))
     ingest.write_partitions(rows.filter(F.col("date") == F.lit(dt.date(2024, 1, 25))), root)
-    ingest.run_incremental(rows, root, state, INCREMENTAL_BOOTSTRAP, BACKFILL_END)
-    result = ingest.run_incremental(rows, root, state, INCREMENTAL_BOOTSTRAP, INCREMENTAL_END)
+    ingest.run_incremental(rows, root, state, INCREMENTAL_BOOTSTRAP, BACKFILL_END, rejects_path=rejects, run_id="first")
+    result = ingest.run_incremental(
+        rows, root, state, INCREMENTAL_BOOTSTRAP, INCREMENTAL_END, rejects_path=rejects, run_id="second"
+    )
     return result.marks_after.drop("updated_at")
 
 

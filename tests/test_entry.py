@@ -47,3 +47,18 @@ def test_matches_duckdb_at_smallest_scale(spark, duck, name):
     assert sorted(df.columns) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert digest(df.columns, s_rows)[0] == digest(d_cols, d_rows)[0]
+
+
+def test_incremental_marks_with_ticks_without_a_price(spark, duck, tmp_root):
+    """Bars whose low is 0 are filed as rejects; they stop neither run."""
+    at = "timestamp '2024-01-01' + interval (i * 37) minute"
+    events = f"""select i as event_id, i % 7 as user_id, {at} as ts, 'view' as event_type,
+        case when i % 50 = 1 then 0.0 else 1.5 + i % 3 end as value from range(1100) t(i)"""
+    path = os.path.join(tmp_root, "events.parquet")
+    duck.execute(f"copy ({events}) to '{path}' (format parquet)")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{path}')")
+    want = con.execute(E.oracle_sql()["run_incremental_marks"])
+    columns = [c[0] for c in want.description]
+    rows = E.queries()["run_incremental_marks"](spark, tmp_root).select(columns).collect()
+    assert sorted(map(tuple, rows)) == sorted(want.fetchall()) and len(rows) == 1
