@@ -5,8 +5,8 @@ Words: each of the most frequent has a class of its own; other words share
 classes by their last two bytes. The model predicts the next class from the two
 before it: context vectors pass through a matrix for each position, and the sum
 is compared with every class's vector. All training text counts: word counts
-are gathered from every document, and so are the class trigrams that the
-estimation draws its batches from. A word's probability is its class's times
+are gathered from every document, and so are the class trigrams; each step of the
+estimation goes over all of them. A word's probability is its class's times
 its share of the class's training tokens; words never seen share the mass that
 Good-Turing gives them. Over the distinct training words and one unseen word
 the probabilities sum to one.
@@ -67,13 +67,17 @@ def trigrams(classes: np.ndarray) -> np.ndarray:
     return (padded[:-2] * CLASSES + padded[1:-1]) * CLASSES + padded[2:]
 
 
-def fit(
-    cells: np.ndarray, counts: np.ndarray, dim: int = 32, steps: int = 800, batch: int = 2048, noise: int = 32, seed: int = 5
-) -> np.ndarray:
+def fit(cells: np.ndarray, counts: np.ndarray, dim: int = 32, steps: int = 300, noise: int = 32, seed: int = 5) -> np.ndarray:
     """Noise-contrastive estimation on class trigrams: (CLASSES^2, CLASSES)
-    natural log-probabilities, each row normalised."""
+    natural log-probabilities, each row normalised. ``seed`` is for where the vectors
+    start; nothing is drawn from the data or the noise.
+
+    A step takes the gradient over all training tokens, each against ``noise`` noise
+    tokens in expectation. Scores are sums of a part for each of the two classes before,
+    so the sums over contexts need no table larger than CLASSES^3."""
     rng = np.random.default_rng(seed)
-    uni = np.bincount(cells % CLASSES, counts, CLASSES) + 0.5
+    data = np.bincount(cells, counts, CLASSES**3).reshape(CLASSES, CLASSES, CLASSES)
+    uni = data.sum((0, 1)) + 0.5
     uni /= uni.sum()
     log_uni = np.log(uni)
     p = {
@@ -83,31 +87,26 @@ def fit(
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
     if len(cells):
-        up_to = np.cumsum(counts / counts.sum())
+        data /= data.sum()
+        both = data + noise * data.sum(2, keepdims=True) * uni
     for step in range(1, steps + 1 if len(cells) else 1):
-        cell = cells[np.minimum(np.searchsorted(up_to, rng.random(batch)), len(cells) - 1)]
-        context, target = (cell // CLASSES**2, cell // CLASSES % CLASSES), cell % CLASSES
-        drawn = rng.choice(CLASSES, noise, p=uni)
-        seen = [p["r"][i][context[i]] for i in (0, 1)]
-        guess = seen[0] @ p["c"][0] + seen[1] @ p["c"][1]
+        guess = [p["r"][i] @ p["c"][i] for i in (0, 1)]
+        parts = [g @ p["q"].T for g in guess]
         # log-odds that a class is data rather than one of the noise samples
-        s_t = (guess * p["q"][target]).sum(1) + p["b"][target] - np.log(noise) - log_uni[target]
-        s_n = guess @ p["q"][drawn].T + p["b"][drawn] - np.log(noise) - log_uni[drawn]
-        e_t = 1 / (1 + np.exp(-s_t)) - 1
-        e_n = 1 / (1 + np.exp(-s_n))
-        d_guess = e_t[:, None] * p["q"][target] + e_n @ p["q"][drawn]
+        odds = parts[0][:, None, :] + (parts[1] + p["b"] - np.log(noise) - log_uni)
+        error = both / (1 + np.exp(-odds)) - data
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        np.add.at(g["q"], target, e_t[:, None] * guess)
-        np.add.at(g["q"], drawn, e_n.T @ guess)
-        g["b"] = np.bincount(target, e_t, CLASSES) + np.bincount(drawn, e_n.sum(0), CLASSES)
         for i in (0, 1):
-            g["c"][i] = seen[i].T @ d_guess
-            np.add.at(g["r"][i], context[i], d_guess @ p["c"][i].T)
-        rate = 0.02 * (1 - step / (steps + 1))
+            e = error.sum(1 - i)
+            back = e @ p["q"]
+            g["q"] += e.T @ guess[i]
+            g["c"][i] = p["r"][i].T @ back
+            g["r"][i] = back @ p["c"][i].T
+        g["b"] = e.sum(0)
+        rate = 0.05 * (1 - step / (steps + 1))
         for k in p:
-            grad = g[k] / batch
-            first[k] = 0.9 * first[k] + 0.1 * grad
-            second[k] = 0.99 * second[k] + 0.01 * grad**2
+            first[k] = 0.9 * first[k] + 0.1 * g[k]
+            second[k] = 0.99 * second[k] + 0.01 * g[k] ** 2
             p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
     a, b = p["r"][0] @ p["c"][0], p["r"][1] @ p["c"][1]
     scores = (a[:, None, :] + b[None, :, :]).reshape(-1, dim) @ p["q"].T + p["b"]

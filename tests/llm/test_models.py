@@ -63,6 +63,21 @@ def test_the_model_is_normalised_and_learns():
     assert np.allclose(np.exp(lm.fit(np.empty(0, np.int64), np.empty(0))).sum(1), 1)
 
 
+def test_the_fit_counts_every_trigram():
+    """The probabilities of contexts that are one in 100,000 are learnt as well: no draw
+    of so many trigrams would meet them often enough."""
+    rng, k = np.random.default_rng(1), 6
+    want = rng.normal(0, 1, (k, 1, k)) + rng.normal(0, 1, (1, k, k))
+    want -= np.log(np.exp(want).sum(2, keepdims=True))
+    contexts = np.ones((k, k, 1))
+    contexts[-1] = 1e-5
+    i, j, to = np.indices((k, k, k)).reshape(3, -1)
+    context = i * lm.CLASSES + j
+    table = lm.fit(context * lm.CLASSES + to, (1e9 * contexts * np.exp(want)).reshape(-1))
+    off = np.abs(table[context, to].reshape(k, k, k) - want)
+    assert off[:-1].max() < 0.4 and off[-1].max() < 0.5
+
+
 def _naive_model(training):
     """P(word | two words before) by plain loops over the training texts."""
     counts = Counter(w for t in training for w in [*_words(t), b""])
