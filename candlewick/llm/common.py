@@ -154,12 +154,13 @@ def connected_components(
 KEPT_TABLES: list = []
 
 
-def release() -> None:
-    """Drop tables that other operators left in this worker, and give what its earlier
-    tasks freed back to the system: a worker lives through many stages, and its
-    peaks would add up with those of the JVM."""
+def release(keep=None) -> None:
+    """Drop tables that other operators left in this worker (``keep``: the entry of
+    KEPT_TABLES that stays), and give what its earlier tasks freed back to the system:
+    a worker lives through many stages, and its peaks would add up with those of the JVM."""
     for clear in KEPT_TABLES:
-        clear()
+        if clear != keep:
+            clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not with every C library
         ctypes.CDLL(None).malloc_trim(0)

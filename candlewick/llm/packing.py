@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import number_rows, partitions, place_runs, slices, stage
+from candlewick.llm.common import number_rows, partitions, place_runs, release, slices, stage
 from candlewick.llm.tokens import encoder
 
 #: (lengths in placing order with copies, number of sequences of this kind)
@@ -36,6 +36,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     repeated pieces; other columns of ``docs`` are left out."""
 
     def cut(batches):
+        release(encoder.cache_clear)
         for batch in slices(batches):
             doc, piece, start, length, ids = [], [], [], [], []
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

@@ -24,11 +24,11 @@ ODD = "\x1c\x1d\x1e\x1f"
 class TextEncoder:
     """Texts -> little-endian unsigned 32-bit ids as bytes (no special tokens).
 
-    ``max_words``: the word table is emptied when it grows past this, which
+    ``max_words``: the tables are emptied when that of words grows past this, which
     bounds a worker's memory and changes no result.
     """
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -55,22 +55,15 @@ class TextEncoder:
         if not self.by_word:
             return self.direct([t or "" for t in texts])
         split = [[] if not t else [t] if any(c in t for c in ODD) else t.split() for t in texts]
-        get = self.words.get
-        found = [list(map(get, ws)) for ws in split]
-        short = [i for i, ids in enumerate(found) if None in ids]
-        if short:
-            if len(self.words) > self.max_words:
-                self.words.clear()
-                self.parts.clear()
-                found = [[None] * len(ws) for ws in split]
-                short = range(len(split))
-            self._learn(list({w for i in short for w, ids in zip(split[i], found[i]) if ids is None}))
-            for i in short:
-                ids, ws, at = found[i], split[i], -1
-                for _ in range(ids.count(None)):
-                    at = ids.index(None, at + 1)
-                    ids[at] = get(ws[at])
-        return [b"".join(ids) for ids in found]
+        every = set().union(*split)
+        new = every.difference(self.words)
+        if new and len(self.words) > self.max_words:
+            self.words.clear()
+            self.parts.clear()
+            new = every
+        self._learn(list(new))
+        get = self.words.__getitem__
+        return [b"".join(map(get, ws)) for ws in split]
 
     def _learn(self, new: list[str]) -> None:
         parts, words, whole = self.parts, self.words, []
@@ -120,7 +113,8 @@ class TextEncoder:
 @functools.cache
 def encoder(path: str) -> TextEncoder:
     """One encoder per worker process and vocabulary file, until another operator's
-    task needs the room."""
+    task needs the room. Taking the room from the others is up to the task, by
+    ``release(encoder.cache_clear)``."""
     return TextEncoder(path)
 
 

@@ -38,6 +38,19 @@ def _cached(path):
     return _held.setdefault(path, TextEncoder(path, max_words=50))
 
 
+def test_a_task_keeps_its_own_table_and_drops_the_others(tokenizer_path, monkeypatch):
+    from candlewick.llm import common, tokens
+
+    gone = []
+    monkeypatch.setattr(common, "KEPT_TABLES", [tokens.encoder.cache_clear, lambda: gone.append(1)])
+    mine = tokens.encoder(tokenizer_path)
+    common.release(tokens.encoder.cache_clear)
+    assert gone == [1] and tokens.encoder(tokenizer_path) is mine
+    common.release()
+    assert gone == [1, 1] and tokens.encoder(tokenizer_path) is not mine
+    assert mine.max_words <= 500_000  # an executor's workers share its memory with the JVM
+
+
 def _expected(enc, docs, end_id):
     rows = docs.select("doc_id", "text").collect()
     return [(r.doc_id, enc.direct([r.text or ""])[0] + end_id.to_bytes(4, "little")) for r in rows]
