@@ -331,7 +331,7 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     firsts = components(spark, docs).filter("first AND n_shingles > 0")
     same, rank = free_name(docs, "__key"), free_name(docs, "__rank")
-    firsts = stage(spark, firsts.select(F.struct("doc_id", "text_hash").alias(same)).distinct(), "kept")
+    firsts = stage(spark, firsts.select(F.struct("doc_id", "text_hash").alias(same)).distinct(), "kept", lasting=True)
     order = F.row_number().over(Window.partitionBy(same).orderBy("doc_id"))
     rows = docs.filter(worded).withColumn(same, key).join(firsts, same).withColumn(rank, order)
     return rows.filter(F.col(rank) == 1).select(docs.columns).union(docs.filter(~worded).select(docs.columns))

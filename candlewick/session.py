@@ -100,6 +100,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 # their run because a result still reads them.
 _RUNS: list[list[str]] = []
 _LASTING: dict[str, SparkSession] = {}
+# Those staged outside any run, which stay until the program ends.
+_OWN: dict[str, SparkSession] = {}
 
 
 def scratch_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
@@ -112,7 +114,7 @@ def scratch_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
     if runs:
         runs[-1].append(path)
     else:
-        _LASTING[path] = spark
+        (_LASTING if lasting else _OWN)[path] = spark
     return path
 
 
@@ -131,20 +133,26 @@ def staged_run(spark: SparkSession) -> Iterator[None]:
 
 
 def drop_lasting(spark: SparkSession) -> int:
-    """Drop the staged folders that results of this session still read; their number."""
-    mine = [p for p, of in _LASTING.items() if of is spark]
+    """Drop the staged folders that results of this session's runs still read; their
+    number. What was staged outside any run, such as the raw table of a model graph, stays."""
+    return _drop(spark, _LASTING)
+
+
+def _drop(spark: SparkSession, staged: dict[str, SparkSession]) -> int:
+    mine = [p for p, of in staged.items() if of is spark]
     for path in mine:
         drop_staged(spark, path)
-        del _LASTING[path]
+        del staged[path]
     return len(mine)
 
 
 @atexit.register
 def _drop_at_exit() -> None:
     """Only while the session still runs: a stopped one has no file system to ask."""
-    for spark in {id(s): s for s in _LASTING.values()}.values():
-        if spark.sparkContext._jsc is not None:
-            drop_lasting(spark)
+    for staged in (_LASTING, _OWN):
+        for spark in {id(s): s for s in staged.values()}.values():
+            if spark.sparkContext._jsc is not None:
+                _drop(spark, staged)
 
 
 def _file_system(spark: SparkSession, path: str):

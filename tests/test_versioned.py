@@ -177,6 +177,16 @@ def test_staged_folders_go_with_their_run(spark):
     assert _staged(spark) == before
 
 
+def test_dropping_lasting_folders_leaves_what_no_run_staged(spark):
+    own = session.scratch_path(spark, "own")
+    spark.range(3).write.parquet(own)
+    with session.staged_run(spark):
+        result = session.scratch_path(spark, "result", lasting=True)
+        spark.range(1).write.parquet(result)
+    session.drop_lasting(spark)
+    assert not session.table_exists(spark, result) and spark.read.parquet(own).count() == 3
+
+
 def test_no_staged_folder_is_left_after_merges(spark, tmp_root):
     before = _staged(spark)
     for hours in (30, 50, 50):
